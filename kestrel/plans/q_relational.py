@@ -91,8 +91,8 @@ def cast_label(spark, sf_dir):
 
 
 _DIABETES_SQL = """(SELECT d.doc_id, d.n_chars,
-        len(list_filter(string_split_regex(regexp_replace(lower(d.text), '[^a-z ]', '', 'g'), ' +'), x -> x <> '')) AS n_tokens,
-        len(list_distinct(list_filter(string_split_regex(regexp_replace(lower(d.text), '[^a-z ]', '', 'g'), ' +'), x -> x <> ''))) AS n_distinct_tokens,
+        len(list_filter(string_split_regex(regexp_replace(lower(d.text), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> '')) AS n_tokens,
+        len(list_distinct(list_filter(string_split_regex(regexp_replace(lower(d.text), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> ''))) AS n_distinct_tokens,
         l.quality
      FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 

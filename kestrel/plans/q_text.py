@@ -1 +1,138 @@
-"""placeholder"""
+"""Text and term-weighting queries (S6, T1-T8, V1-V4) over all documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kestrel import tables as T
+from kestrel.functions import text as X
+from kestrel.functions.stopwords import ENGLISH_STOP_WORDS, sql_list_literal
+from kestrel.operators import features as V
+from kestrel.operators.sampling import random_split, split_threshold
+from kestrel.plans.catalog import register
+
+SPLIT_SEED = 0
+
+TOKENS_SQL = ("list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z ]', '', 'g'), ' +'), "
+              "lambda x: x <> '')")
+DOC_TOKENS_SQL = f"(SELECT doc_id, {TOKENS_SQL} AS tokens FROM documents)"
+STOP_SQL = sql_list_literal(ENGLISH_STOP_WORDS)
+
+
+def doc_tokens(spark, sf_dir):
+    """(doc_id, tokens) after T1-T3."""
+    return T.load(spark, sf_dir, "documents").select(
+        "doc_id", X.letter_tokens("text").alias("tokens"))
+
+
+@register("text_lower", "SELECT doc_id, lower(text) AS text FROM documents")
+def text_lower(spark, sf_dir):
+    return T.load(spark, sf_dir, "documents").select("doc_id", X.text_lower("text").alias("text"))
+
+
+@register("keep_letters", """
+SELECT doc_id, regexp_replace(lower(text), '[^a-z ]', '', 'g') AS text FROM documents""")
+def keep_letters(spark, sf_dir):
+    return T.load(spark, sf_dir, "documents").select("doc_id", X.keep_letters("text").alias("text"))
+
+
+@register("tokenize", f"""
+SELECT doc_id, len(tokens) AS n_tokens, len(list_distinct(tokens)) AS n_distinct
+FROM {DOC_TOKENS_SQL} t""")
+def tokenize(spark, sf_dir):
+    t = doc_tokens(spark, sf_dir)
+    return t.select("doc_id", F.size("tokens").alias("n_tokens"),
+                    F.size(F.array_distinct("tokens")).alias("n_distinct"))
+
+
+@register("join_tokens", f"SELECT doc_id, array_to_string(tokens, ' ') AS text FROM {DOC_TOKENS_SQL} t")
+def join_tokens(spark, sf_dir):
+    return doc_tokens(spark, sf_dir).select("doc_id", X.join_tokens("tokens").alias("text"))
+
+
+@register("remove_stopwords", f"""
+SELECT doc_id, len(kept) AS n_kept, array_to_string(kept, ' ') AS text FROM (
+  SELECT doc_id, list_filter(tokens, lambda x: NOT list_contains({STOP_SQL}, x)) AS kept
+  FROM {DOC_TOKENS_SQL} t) k""")
+def remove_stopwords(spark, sf_dir):
+    """T5 on unstemmed tokens (the stemmed variant runs inside clean_text)."""
+    k = doc_tokens(spark, sf_dir).select("doc_id", X.remove_stopwords("tokens").alias("kept"))
+    return k.select("doc_id", F.size("kept").alias("n_kept"), X.join_tokens("kept").alias("text"))
+
+
+@register("stopword_table", f"""
+SELECT doc_id, len(list_filter(tokens, lambda x: list_contains({STOP_SQL}, x))) AS n_stopwords
+FROM {DOC_TOKENS_SQL} t""")
+def stopword_table(spark, sf_dir):
+    """The stop-word list as data, counted against every document."""
+    stop = F.array(*[F.lit(w) for w in ENGLISH_STOP_WORDS])
+    t = doc_tokens(spark, sf_dir)
+    return t.select("doc_id", F.size(F.filter("tokens", lambda x: F.array_contains(stop, x)))
+                    .alias("n_stopwords"))
+
+
+@register("stem_vocabulary")
+def stem_vocabulary(spark, sf_dir):
+    """T4: (word, stem) once per distinct word of the corpus."""
+    toks = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("token"))
+    return X.stem_vocabulary(toks, "token", 1)
+
+
+@register("double_stem")
+def double_stem(spark, sf_dir):
+    """The pandas vectoriser stems the already stemmed text again."""
+    toks = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("token"))
+    return X.stem_vocabulary(toks, "token", 2)
+
+
+@register("clean_text")
+def clean_text(spark, sf_dir):
+    """Lower -> letters -> split -> stem -> stop words -> one string per document."""
+    c = X.clean_text(T.load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return c.select("doc_id", F.size("clean_tokens").alias("n_tokens"),
+                    X.join_tokens("clean_tokens").alias("text"))
+
+
+@register("hashing_tf")
+def hashing_tf(spark, sf_dir):
+    """V1 + V2: hashed term counts (2^18 buckets) weighted by the fitted IDF."""
+    v = V.hashed_tfidf(doc_tokens(spark, sf_dir), "tokens")
+    return v.select("doc_id", "tf_features", "features")
+
+
+@register("idf_weights", f"""
+SELECT term, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf
+FROM (SELECT DISTINCT doc_id, unnest(tokens) AS term FROM {DOC_TOKENS_SQL} t) u GROUP BY term""")
+def idf_weights(spark, sf_dir):
+    """V2 in long form: ln((m + 1) / (df + 1))."""
+    return V.idf_weights(doc_tokens(spark, sf_dir))
+
+
+_TFIDF_SQL = """
+WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM {docs} t) u
+            GROUP BY doc_id, term),
+fit_tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM {fit} t) u
+            GROUP BY doc_id, term),
+m AS (SELECT count(*) AS m FROM {fit} t),
+df AS (SELECT term, count(*) AS df FROM fit_tf GROUP BY term),
+w AS (SELECT tf.doc_id, tf.term, tf.tf, df.df, tf.tf * (ln((1.0 + m.m) / (1.0 + df.df)) + 1.0) AS raw
+      FROM tf JOIN df ON tf.term = df.term, m)
+SELECT doc_id, term, tf, df, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS tfidf FROM w"""
+
+_TRAIN_DOCS_SQL = f"""(SELECT * FROM {DOC_TOKENS_SQL} d
+   WHERE substr(md5('{SPLIT_SEED}:' || CAST(doc_id AS VARCHAR)), 1, 4) < '{split_threshold(0.8)}')"""
+
+
+@register("tfidf_smooth_l2", _TFIDF_SQL.format(docs=DOC_TOKENS_SQL, fit=DOC_TOKENS_SQL))
+def tfidf_smooth_l2(spark, sf_dir):
+    """V3: the pandas half's vectoriser, in long form."""
+    return V.tfidf_smooth_l2(doc_tokens(spark, sf_dir))
+
+
+@register("tfidf_scope", _TFIDF_SQL.format(docs=DOC_TOKENS_SQL, fit=_TRAIN_DOCS_SQL))
+def tfidf_scope(spark, sf_dir):
+    """V4: weights fitted on the train split only, applied to every document."""
+    docs = doc_tokens(spark, sf_dir)
+    train = random_split(docs, "doc_id", 0.8, SPLIT_SEED).where(F.col("split") == "train") \
+        .drop("split")
+    return V.tfidf_smooth_l2(docs, fit_docs=train)
