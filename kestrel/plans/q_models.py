@@ -1 +1,171 @@
-"""placeholder"""
+"""Model queries (K1-K10, E16) and their inputs.
+
+movie.csv stand-in: labelled documents, de-duplicated on (text, label), cleaned and
+hashed into TF-IDF vectors; diabetes.csv stand-in: three numeric features per labelled
+document; points: ``embeddings``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kestrel import tables as T
+from kestrel.functions import text as X
+from kestrel.operators import evaluation as E
+from kestrel.operators import features as V
+from kestrel.operators import models as M
+from kestrel.operators.sampling import exact_split, random_split
+from kestrel.plans.catalog import register
+
+SPLIT_SEED = 0
+TREE_SEED = 42
+KMEANS_K, KMEANS_SEED = 4, 13
+# Hashed dimensions: the Spark ML default for LR/NB; fewer for trees, whose split
+# search grows with the number of features.
+LINEAR_FEATURES, TREE_FEATURES = 1 << 18, 1 << 12
+
+
+def labelled_docs(spark, sf_dir):
+    """A3 on (text, label), keeping the smallest doc_id as the row key."""
+    d = T.labelled_text(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
+    return d.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id"))
+
+
+def text_features(spark, sf_dir, num_features: int = LINEAR_FEATURES):
+    """(doc_id, label, split, features): T8 -> V1/V2 (fitted on all rows) -> R1.
+
+    Checkpointed, because four estimators read it.
+    """
+    docs = labelled_docs(spark, sf_dir)
+    clean = X.clean_text(docs.select("doc_id", "text"))
+    feats = V.hashed_tfidf(clean.join(docs.select("doc_id", "label"), "doc_id"),
+                           "clean_tokens", num_features)
+    feats = random_split(feats.select("doc_id", F.col("label").cast("double").alias("label"),
+                                      "features"), "doc_id", 0.8, SPLIT_SEED)
+    return M.materialize(feats)
+
+
+def _split(feats):
+    return (feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test"))
+
+
+def _text_model(spark, sf_dir, name, num_features):
+    train, test = _split(text_features(spark, sf_dir, num_features))
+    return M.fit_predict(name, train, test, ["doc_id"], seed=TREE_SEED)
+
+
+@register("logistic_regression")
+def logistic_regression(spark, sf_dir):
+    """K1: test predictions of logistic regression on TF-IDF."""
+    return _text_model(spark, sf_dir, "lr", LINEAR_FEATURES)
+
+
+@register("naive_bayes_multinomial")
+def naive_bayes_multinomial(spark, sf_dir):
+    """K2: multinomial naive Bayes on TF-IDF weights."""
+    return _text_model(spark, sf_dir, "nb", LINEAR_FEATURES)
+
+
+@register("naive_bayes_bernoulli")
+def naive_bayes_bernoulli(spark, sf_dir):
+    """K3: term presence, Bernoulli naive Bayes (the pandas half's model)."""
+    return _text_model(spark, sf_dir, "nb_bernoulli", LINEAR_FEATURES)
+
+
+@register("decision_tree")
+def decision_tree(spark, sf_dir):
+    """K4: depth-5 tree, 32 bins."""
+    return _text_model(spark, sf_dir, "dt", TREE_FEATURES)
+
+
+@register("random_forest")
+def random_forest(spark, sf_dir):
+    """K5: 20 trees of depth 5, seeded."""
+    return _text_model(spark, sf_dir, "rf", TREE_FEATURES)
+
+
+@register("predict_proba")
+def predict_proba(spark, sf_dir):
+    """Positive-class probability from the probability vector."""
+    return _text_model(spark, sf_dir, "lr", LINEAR_FEATURES).select("doc_id", "score")
+
+
+@register("vector_element")
+def vector_element(spark, sf_dir):
+    """Element 1 of the probability vector of every test row."""
+    return _text_model(spark, sf_dir, "nb", LINEAR_FEATURES).select(
+        "doc_id", F.col("score").alias("p_positive"))
+
+
+def diabetes_table(spark, sf_dir):
+    """(doc_id, n_chars, n_tokens, n_distinct_tokens, quality): label last."""
+    d = T.labelled_text(spark, sf_dir)
+    toks = X.letter_tokens("text")
+    return d.select("doc_id", "n_chars", F.size(toks).alias("n_tokens"),
+                    F.size(F.array_distinct(toks)).alias("n_distinct_tokens"), "quality")
+
+
+DEPTHS = (1, 5, 30)  # the reference's 32 is above Spark ML's maximum depth of 30
+
+
+def overfit_predictions(spark, sf_dir):
+    """Stacked train and test predictions of trees of depth 1, 5 and 30 (K6)."""
+    from pyspark.ml.functions import array_to_vector
+    from kestrel.operators.relational import positional_features
+    tab = positional_features(diabetes_table(spark, sf_dir), keep=["doc_id"])
+    tab = exact_split(tab, "doc_id", 0.2, 42).withColumn(
+        "features", array_to_vector("features")).withColumn("label", F.col("label").cast("double"))
+    tab = M.materialize(tab)
+    train = tab.where(F.col("split") == "train")
+    out = None
+    for depth in DEPTHS:
+        for split in ("train", "test"):
+            part = tab.where(F.col("split") == split)
+            p = M.fit_predict("dt", train, part, ["doc_id"], seed=42, max_depth=depth) \
+                 .withColumn("model", F.lit(f"depth_{depth}")).withColumn("split", F.lit(split))
+            out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("depth_sweep")
+def depth_sweep(spark, sf_dir):
+    """K6 + E13: train and test accuracy of trees of depth 1, 5 and 30."""
+    return E.classification_metrics(overfit_predictions(spark, sf_dir), ["model", "split"]) \
+            .select("model", "split", "accuracy")
+
+
+@register("kmeans_assign")
+def kmeans_assign(spark, sf_dir):
+    """K8: k-means with k = 4, seed 13, on the 64-dimensional embeddings."""
+    _, assigned = M.kmeans_fit(T.load(spark, sf_dir, "embeddings"), KMEANS_K, KMEANS_SEED)
+    return assigned.select("vec_id", "cluster")
+
+
+@register("kmeans_centers", """
+SELECT label, CAST(i - 1 AS INTEGER) AS dim, avg(CAST(embedding[i] AS DOUBLE)) AS mean
+FROM embeddings, range(1, 65) r(i) GROUP BY label, i""")
+def kmeans_centers(spark, sf_dir):
+    """K9, mean form: the centre of every given label, per dimension."""
+    return M.group_means(T.load(spark, sf_dir, "embeddings"), "label")
+
+
+@register("kmeans_model_centers")
+def kmeans_model_centers(spark, sf_dir):
+    """K9: the fitted k-means centres as (cluster, dim, center) rows."""
+    model, _ = M.kmeans_fit(T.load(spark, sf_dir, "embeddings"), KMEANS_K, KMEANS_SEED)
+    return M.kmeans_centers(model, spark)
+
+
+@register("silhouette", """
+WITH p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+pair AS (SELECT a.vec_id, a.label AS la, b.label AS lb, list_sum(list_transform(list_zip(a.x, b.x),
+                 lambda t: (t[1] - t[2]) * (t[1] - t[2]))) AS d
+         FROM p a JOIN p b ON a.vec_id <> b.vec_id),
+per AS (SELECT vec_id, la, lb, avg(d) AS md FROM pair GROUP BY vec_id, la, lb),
+ab AS (SELECT vec_id, max(CASE WHEN la = lb THEN md END) AS a, min(CASE WHEN la <> lb THEN md END) AS b
+       FROM per GROUP BY vec_id)
+SELECT avg(CASE WHEN a IS NULL THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END)
+       AS silhouette FROM ab""")
+def silhouette(spark, sf_dir):
+    """Silhouette of the given labels, squared Euclidean distance."""
+    return M.silhouette(T.load(spark, sf_dir, "embeddings"), "label")
