@@ -27,21 +27,27 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | str,
             .json(path))
 
 
+def read_json_lines_with_corrupt(spark: SparkSession, path: str, schema: StructType,
+                                 lenient_escapes: bool = True) -> DataFrame:
+    """Parsed rows plus ``_corrupt_record``, which holds the raw text of broken lines."""
+    full = StructType(list(schema.fields)).add(CORRUPT_COL, "string")
+    return (spark.read.schema(full)
+            .option("allowBackslashEscapingAnyCharacter", lenient_escapes)
+            .option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL)
+            .json(path))
+
+
 def read_json_lines_checked(spark: SparkSession, path: str, schema: StructType,
                             lenient_escapes: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good rows, corrupt lines) (S3): broken lines go to a side DataFrame.
 
-    The reader is asked for a corrupt-record column; rows that carry it are the
-    corrupt side. The corrupt side keeps the parsed columns too: Spark refuses a raw
-    JSON query that references only the corrupt-record column.
+    The corrupt side keeps the parsed columns next to the raw line: Spark refuses a raw
+    JSON query that references only the corrupt-record column. To count both sides in
+    one pass, aggregate ``read_json_lines_with_corrupt`` instead.
     """
-    full = StructType(list(schema.fields)).add(CORRUPT_COL, "string")
-    parsed = (spark.read.schema(full)
-              .option("allowBackslashEscapingAnyCharacter", lenient_escapes)
-              .option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COL)
-              .json(path))
+    parsed = read_json_lines_with_corrupt(spark, path, schema, lenient_escapes)
     good = parsed.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
     bad = parsed.where(F.col(CORRUPT_COL).isNotNull())
     return good, bad
