@@ -11,7 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from kestrel.functions.porter import stem as porter_stem
 from kestrel.functions.stopwords import ENGLISH_STOP_WORDS
@@ -56,6 +56,26 @@ def porter_stem_udf(words: pd.Series) -> pd.Series:
     return words.map(porter_stem)
 
 
+_MEMO: dict[str, str] = {}
+_MEMO_LIMIT = 1 << 21
+
+
+def _stem_memo(word: str) -> str:
+    s = _MEMO.get(word)
+    if s is None:
+        if len(_MEMO) >= _MEMO_LIMIT:
+            _MEMO.clear()
+        s = _MEMO[word] = porter_stem(word)
+    return s
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def porter_stem_array_udf(token_lists: pd.Series) -> pd.Series:
+    """Stem every token of every array in an Arrow batch; each Python worker keeps a
+    memo, so a word is stemmed about once per worker however often it occurs."""
+    return token_lists.map(lambda ts: None if ts is None else [_stem_memo(t) for t in ts])
+
+
 def stem_vocabulary(tokens: DataFrame, token_col: str = "token", times: int = 1
                     ) -> DataFrame:
     """``(word, stem)`` for every distinct word, stemmed ``times`` times.
@@ -77,15 +97,21 @@ def explode_tokens(docs: DataFrame, key: str, tokens_col: str) -> DataFrame:
 
 
 def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens",
-                out: str = "stems", times: int = 1) -> DataFrame:
+                out: str = "stems", times: int = 1, strategy: str = "inline") -> DataFrame:
     """Replace each token array by its stems, keeping token order (T4 applied).
 
-    tokens -> (key, pos, token) -> join the stemmed vocabulary on the word -> rebuild
-    the array per document in position order. Hot words make the join skewed; AQE
-    splits the skewed partitions (the vocabulary side has one row per word) or, when the
-    measured vocabulary is small, broadcasts it. A document is one row of input, so
-    its rebuilt array is bounded by the document itself.
+    ``inline`` (default): an Arrow-batched pandas UDF stems the arrays where they are,
+    with a per-worker memo; no token ever crosses the network.
+    ``vocabulary``: tokens -> (key, pos, token) -> join the stemmed distinct vocabulary
+    -> rebuild each array in position order. Python runs once per distinct word of the
+    corpus, but every token is shuffled twice (join, regroup); hot words skew the join
+    (AQE splits those partitions, or broadcasts a vocabulary measured small).
     """
+    if strategy == "inline":
+        s = F.col(tokens_col)
+        for _ in range(times):
+            s = porter_stem_array_udf(s)
+        return docs.select(key, s.alias(out))
     exploded = explode_tokens(docs, key, tokens_col)
     vocab = stem_vocabulary(exploded.where(F.col("token").isNotNull()), "token", times)
     stemmed = exploded.join(vocab, exploded["token"] == vocab["word"], "left")
@@ -95,8 +121,8 @@ def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens"
 
 
 def clean_text(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
-               out: str = "clean_tokens") -> DataFrame:
+               out: str = "clean_tokens", strategy: str = "inline") -> DataFrame:
     """Lower -> letters -> split -> stem -> stop words, as ``(key, out)`` arrays."""
     toks = docs.select(key, letter_tokens(text_col).alias("tokens"))
-    stemmed = stem_tokens(toks, key, "tokens", "stems")
+    stemmed = stem_tokens(toks, key, "tokens", "stems", strategy=strategy)
     return stemmed.select(key, remove_stopwords("stems").alias(out))

@@ -22,6 +22,17 @@ def default_buckets(df: DataFrame) -> int:
     return max(2, min(4096, 2 * parts))
 
 
+def _count_below(cut, lo: int, hi: int, key: Column) -> Column:
+    """Number of sorted cut points in positions [lo, hi) that are below ``key``, as a
+    balanced tree of CASE expressions: log2(hi - lo) comparisons per row, and plain
+    code-generated expressions (no lambda that would re-evaluate ``key``)."""
+    if lo >= hi:
+        return F.lit(0)
+    mid = (lo + hi) // 2
+    return F.when(cut(mid) < key, F.lit(mid - lo + 1) + _count_below(cut, mid + 1, hi, key)) \
+            .otherwise(_count_below(cut, lo, mid, key))
+
+
 def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
                     buckets: int) -> DataFrame:
     """Add ``_bucket``: a range bucket that never decreases along ``key``."""
@@ -30,14 +41,15 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
     if not partition_cols:
         # A bounded list of at most buckets-1 cut points, like QuantileDiscretizer.
         cuts = sorted({q for q in d.approxQuantile(_BK, probs, 0.001) if q == q})
-        splits = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else \
-            F.array().cast("array<double>")
-        d = d.withColumn(_B, F.size(F.filter(splits, lambda s: s < F.col(_BK))))
+        d = d.withColumn(_B, _count_below(lambda i: F.lit(float(cuts[i])), 0, len(cuts),
+                                          F.col(_BK)))
     else:
         cuts = d.groupBy(*partition_cols).agg(
             F.percentile_approx(_BK, probs, 10000).alias("_cuts"))
+        # percentile_approx returns len(probs) sorted values per group.
         d = (d.join(cuts, list(partition_cols), "left")
-              .withColumn(_B, F.size(F.filter("_cuts", lambda s: s < F.col(_BK))))
+              .withColumn(_B, _count_below(lambda i: F.element_at("_cuts", i + 1), 0,
+                                           len(probs), F.col(_BK)))
               .drop("_cuts"))
     return d.drop(_BK)
 

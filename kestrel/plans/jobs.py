@@ -10,18 +10,21 @@ from kestrel.operators import models as M
 from kestrel.plans.catalog import register
 from kestrel.plans.q_evaluation import model_comparison_table
 from kestrel.plans.q_models import (KMEANS_K, KMEANS_SEED, LINEAR_FEATURES, TREE_FEATURES,
-                                    TREE_SEED, overfit_predictions, text_features)
+                                    TREE_SEED, clean_labelled_tokens, overfit_predictions,
+                                    text_features)
 
 
 @register("sentiment_pipeline")
 def sentiment_pipeline(spark, sf_dir):
     """Q2: dedupe -> clean -> TF-IDF -> split -> LR, NB, DT, RF -> one metrics pass.
 
-    The two feature tables (2^18 and 2^12 hashed dimensions) are checkpointed once;
-    all four models' test predictions are stacked and scored by a single aggregation.
+    The cleaned tokens are checkpointed once and hashed at two widths (2^18 for the
+    linear models, 2^12 for the trees); all four models' test predictions are stacked
+    and scored by a single aggregation.
     """
-    linear = text_features(spark, sf_dir, LINEAR_FEATURES)
-    trees = text_features(spark, sf_dir, TREE_FEATURES)
+    clean = clean_labelled_tokens(spark, sf_dir)
+    linear = text_features(spark, sf_dir, LINEAR_FEATURES, clean)
+    trees = text_features(spark, sf_dir, TREE_FEATURES, clean)
     preds = []
     for name, feats in (("lr", linear), ("nb", linear), ("dt", trees), ("rf", trees)):
         train = feats.where(F.col("split") == "train")

@@ -31,18 +31,22 @@ def labelled_docs(spark, sf_dir):
     return d.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id"))
 
 
-def text_features(spark, sf_dir, num_features: int = LINEAR_FEATURES):
-    """(doc_id, label, split, features): T8 -> V1/V2 (fitted on all rows) -> R1.
-
-    Checkpointed, because four estimators read it.
-    """
+def clean_labelled_tokens(spark, sf_dir):
+    """(doc_id, label, split, clean_tokens): A3 -> T8 -> R1, checkpointed once; every
+    feature width and every model starts from it."""
     docs = labelled_docs(spark, sf_dir)
     clean = X.clean_text(docs.select("doc_id", "text"))
-    feats = V.hashed_tfidf(clean.join(docs.select("doc_id", "label"), "doc_id"),
-                           "clean_tokens", num_features)
-    feats = random_split(feats.select("doc_id", F.col("label").cast("double").alias("label"),
-                                      "features"), "doc_id", 0.8, SPLIT_SEED)
-    return M.materialize(feats)
+    tab = clean.join(docs.select("doc_id", F.col("label").cast("double").alias("label")),
+                     "doc_id")
+    return M.materialize(random_split(tab, "doc_id", 0.8, SPLIT_SEED))
+
+
+def text_features(spark, sf_dir, num_features: int = LINEAR_FEATURES, clean=None):
+    """(doc_id, label, split, features): hashed TF (V1) weighted by an IDF fitted on
+    all rows (V2), as the reference. Checkpointed, because several estimators read it."""
+    clean = clean if clean is not None else clean_labelled_tokens(spark, sf_dir)
+    feats = V.hashed_tfidf(clean, "clean_tokens", num_features)
+    return M.materialize(feats.select("doc_id", "label", "split", "features"))
 
 
 def _split(feats):

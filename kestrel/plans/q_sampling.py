@@ -25,9 +25,10 @@ _KEY_SQL = ("(CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_partkey AS VARCHAR) |
 
 
 def weather(spark, sf_dir):
-    return T.load(spark, sf_dir, "lineitem").select(
+    w = T.load(spark, sf_dir, "lineitem").select(
         T.lineitem_row_key().alias("row_key"),
         F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    return T.spread(w, "row_key")
 
 
 WEATHER_SQL = f"(SELECT {_KEY_SQL} AS row_key, l_quantity AS x, l_extendedprice AS y FROM lineitem)"
@@ -78,7 +79,10 @@ def size_schedule(spark, sf_dir):
 
 
 def regression_split(spark, sf_dir):
-    return S.exact_split(weather(spark, sf_dir), "row_key", 0.2, SAMPLE_SEED)
+    """Exact 80/20 split of the weather rows, checkpointed: the fit and the scoring
+    both read it."""
+    from kestrel.operators.models import materialize
+    return materialize(S.exact_split(weather(spark, sf_dir), "row_key", 0.2, SAMPLE_SEED))
 
 
 _REG_SQL = f"""

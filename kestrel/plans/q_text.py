@@ -21,19 +21,19 @@ STOP_SQL = sql_list_literal(ENGLISH_STOP_WORDS)
 
 def doc_tokens(spark, sf_dir):
     """(doc_id, tokens) after T1-T3."""
-    return T.load(spark, sf_dir, "documents").select(
+    return T.documents(spark, sf_dir).select(
         "doc_id", X.letter_tokens("text").alias("tokens"))
 
 
 @register("text_lower", "SELECT doc_id, lower(text) AS text FROM documents")
 def text_lower(spark, sf_dir):
-    return T.load(spark, sf_dir, "documents").select("doc_id", X.text_lower("text").alias("text"))
+    return T.documents(spark, sf_dir).select("doc_id", X.text_lower("text").alias("text"))
 
 
 @register("keep_letters", """
 SELECT doc_id, regexp_replace(lower(text), '[^a-z ]', '', 'g') AS text FROM documents""")
 def keep_letters(spark, sf_dir):
-    return T.load(spark, sf_dir, "documents").select("doc_id", X.keep_letters("text").alias("text"))
+    return T.documents(spark, sf_dir).select("doc_id", X.keep_letters("text").alias("text"))
 
 
 @register("tokenize", f"""
@@ -88,7 +88,7 @@ def double_stem(spark, sf_dir):
 @register("clean_text")
 def clean_text(spark, sf_dir):
     """Lower -> letters -> split -> stem -> stop words -> one string per document."""
-    c = X.clean_text(T.load(spark, sf_dir, "documents").select("doc_id", "text"))
+    c = X.clean_text(T.documents(spark, sf_dir).select("doc_id", "text"))
     return c.select("doc_id", F.size("clean_tokens").alias("n_tokens"),
                     X.join_tokens("clean_tokens").alias("text"))
 

@@ -21,11 +21,27 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str | Column) -> DataFrame:
+    """Hash-partition on a unique key when the scan has fewer splits than the cluster
+    has cores, so CPU-heavy row work (regular expressions, hashing, stemming) uses
+    every core. A large input already has many splits and is left alone: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def lineitem_row_key() -> Column:
     """Unique row key of lineitem: only the four columns together are unique."""
     return F.concat_ws(":", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents, spread over all cores for text processing."""
+    return spread(load(spark, sf_dir, "documents"), "doc_id")
+
+
 def reviews_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """reviews(asin, review_day, overall) with one review per line item."""
     return load(spark, sf_dir, "lineitem").select(
@@ -66,6 +82,6 @@ def metadata_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_text(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     """movie.csv stand-in: documents joined to labels; ``label`` = quality."""
-    docs = load(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     labels = load(spark, sf_dir, "labels")
     return docs.join(labels, "doc_id", how)
