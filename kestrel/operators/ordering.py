@@ -38,6 +38,8 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
     """Add ``_bucket``: a range bucket that never decreases along ``key``."""
     d = df.withColumn(_BK, key.cast("double"))
     probs = [i / buckets for i in range(1, buckets)]
+    if not probs:
+        return d.drop(_BK).withColumn(_B, F.lit(0))
     if not partition_cols:
         # A bounded list of at most buckets-1 cut points, like QuantileDiscretizer.
         cuts = sorted({q for q in d.approxQuantile(_BK, probs, 0.001) if q == q})

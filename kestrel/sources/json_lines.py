@@ -29,27 +29,31 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | str,
 
 def read_json_lines_with_corrupt(spark: SparkSession, path: str, schema: StructType,
                                  lenient_escapes: bool = True) -> DataFrame:
-    """Parsed rows plus ``_corrupt_record``, which holds the raw text of broken lines."""
+    """Parsed rows plus ``_corrupt_record``, the raw text of a line that did not parse.
+
+    The lines are read as text and parsed with ``from_json`` (same parser and options),
+    so the raw line is an ordinary column: the corrupt side can be counted or written
+    on its own, which Spark forbids for a raw JSON scan.
+    """
     full = StructType(list(schema.fields)).add(CORRUPT_COL, "string")
-    return (spark.read.schema(full)
-            .option("allowBackslashEscapingAnyCharacter", lenient_escapes)
-            .option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT_COL)
-            .json(path))
+    opts = {"allowBackslashEscapingAnyCharacter": str(bool(lenient_escapes)).lower(),
+            "timestampNTZFormat": TIMESTAMP_NTZ_FORMAT, "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT_COL}
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    parsed = lines.select(F.from_json("value", full, opts).alias("_r"), "value")
+    return parsed.select(
+        *[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields],
+        F.when(F.col("_r").isNull() | F.col(f"_r.{CORRUPT_COL}").isNotNull(), F.col("value"))
+         .alias(CORRUPT_COL))
 
 
 def read_json_lines_checked(spark: SparkSession, path: str, schema: StructType,
                             lenient_escapes: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(good rows, corrupt lines) (S3): broken lines go to a side DataFrame.
-
-    The corrupt side keeps the parsed columns next to the raw line: Spark refuses a raw
-    JSON query that references only the corrupt-record column. To count both sides in
-    one pass, aggregate ``read_json_lines_with_corrupt`` instead.
-    """
+    """(good rows, corrupt lines) (S3): broken lines go to a side DataFrame
+    ``(_corrupt_record)`` holding the raw line."""
     parsed = read_json_lines_with_corrupt(spark, path, schema, lenient_escapes)
     good = parsed.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = parsed.where(F.col(CORRUPT_COL).isNotNull())
+    bad = parsed.where(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
     return good, bad
 
 
