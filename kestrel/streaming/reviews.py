@@ -1,0 +1,46 @@
+"""The review aggregation on a stream of JSON-lines files (Structured Streaming).
+
+The reference only runs batch jobs. This module shows that the same count/average per
+(product, day) runs unchanged when review files keep arriving in a folder: the reader
+and the aggregation are the batch ones, only ``readStream`` / ``writeStream`` differ.
+The state is one row per (product, day), like the batch result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kestrel.operators.relational import group_count_avg
+from kestrel.sources.json_lines import TIMESTAMP_NTZ_FORMAT
+
+
+def review_counts_stream(spark: SparkSession, path: str, schema: str,
+                         asin: str, ts: str, rating: str) -> DataFrame:
+    """Streaming ``(asin, review_day, num_reviews, avg_rating)`` over files in ``path``."""
+    stream = (spark.readStream.schema(schema)
+              .option("allowBackslashEscapingAnyCharacter", True)
+              .option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
+              .json(path))
+    reviews = stream.select(F.col(asin).alias("asin"), F.to_date(ts).alias("review_day"),
+                            F.col(rating).alias("overall"))
+    return group_count_avg(reviews)
+
+
+def run_available(agg: DataFrame, table_path: str, checkpoint_location: str) -> DataFrame:
+    """Process every file present now, keep the complete result as a parquet table
+    (rewritten per micro-batch), and return that table as a batch DataFrame.
+
+    ``checkpoint_location`` must be on shared storage so the query resumes after a
+    driver or executor loss.
+    """
+    def write_batch(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(table_path)
+
+    q = (agg.writeStream.outputMode("complete")
+         .option("checkpointLocation", checkpoint_location)
+         .foreachBatch(write_batch)
+         .trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    return agg.sparkSession.read.parquet(table_path)

@@ -1,0 +1,16 @@
+from conftest import SMALL
+from kestrel import tables as T
+from kestrel.operators.relational import group_count_avg
+from kestrel.plans.q_sources import EVENTS_SCHEMA, events_as_json
+from kestrel.session import scratch_path
+from kestrel.streaming.reviews import review_counts_stream, run_available
+
+
+def test_stream_equals_batch(spark):
+    path = events_as_json(spark, SMALL)
+    agg = review_counts_stream(spark, path, EVENTS_SCHEMA, "user_id", "ts", "value")
+    got = run_available(agg, scratch_path(spark, "stream_table"),
+                        scratch_path(spark, "stream_ckpt"))
+    batch = group_count_avg(T.reviews_from_events(spark, SMALL))
+    assert got.count() == batch.count()
+    assert got.exceptAll(batch).count() == 0
