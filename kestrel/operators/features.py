@@ -2,15 +2,16 @@
 
 Two shapes: a long form ``(doc_id, term, tf, df, weight)`` that SQL can check, built
 from aggregations and equi-joins only, and Spark ML vectors for model fitting.
-Per-term and per-document statistics are computed with ``groupBy`` (partial
-aggregation absorbs a term present in every document) and joined back; a window
-partitioned by term would put all rows of a frequent term into one task.
+Per-term statistics are computed with ``groupBy`` (partial aggregation absorbs a term
+present in every document) and joined back; a window partitioned by term would put all
+rows of a frequent term into one task. Per-document statistics use a window over the
+document, a group bounded by the document's own length.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, IDF
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,9 +60,10 @@ def tfidf_smooth_l2(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens"
     idf = df.select("term", "df",
                     (F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     w = tf.join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return (w.join(norms, key)
-             .select(key, "term", "tf", "df", (F.col("raw") / F.col("norm")).alias("tfidf")))
+    # A document is a bounded group (its own distinct terms), so the row norm is a
+    # window over the document; unlike a groupBy + join it does not recompute ``w``.
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    return w.select(key, "term", "tf", "df", (F.col("raw") / norm).alias("tfidf"))
 
 
 def hashed_tfidf(docs: DataFrame, tokens: str = "tokens", num_features: int = 1 << 18,

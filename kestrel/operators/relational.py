@@ -216,9 +216,19 @@ def review_ranking_order() -> list[Column]:
 
 
 def top_products(reviews: DataFrame, meta: DataFrame, k: int = 15) -> DataFrame:
-    """Count and average per (product, day), attach the brand, keep the k busiest."""
+    """Count and average per (product, day), attach the brand, keep the k busiest (Q1).
+
+    Same rows as ``top_k(join_fanout_dedupe(...))`` but planned for scale: a semi-join
+    drops groups whose product has no metadata (no fan-out, no brand carried), the top k
+    is taken, and only then are the metadata rows of the k winners joined (the winners,
+    at most k rows, are broadcast) and reduced to the smallest brand. The sort-based
+    ``min`` over string brands never runs on the whole metadata table.
+    """
     grouped = group_count_avg(reviews)
-    joined = join_fanout_dedupe(grouped, meta)
-    top = top_k_global(joined, k, review_ranking_order())
-    return top.select("asin", "review_day", "num_reviews",
-                      round_half_up("avg_rating", 4).alias("avg_rating"), "brand")
+    known = grouped.join(meta.select("asin"), "asin", "left_semi")
+    top = top_k_global(known, k, review_ranking_order())
+    keys = ["asin", "review_day", "num_reviews", "avg_rating"]
+    with_brand = meta.join(F.broadcast(top), "asin").groupBy(*keys).agg(
+        F.min("brand").alias("brand"))
+    return with_brand.select("asin", "review_day", "num_reviews",
+                             round_half_up("avg_rating", 4).alias("avg_rating"), "brand")

@@ -48,8 +48,8 @@ def fixed_width_report(top: DataFrame, order: Sequence[Column]) -> DataFrame:
                      F.date_format("review_day", REVIEW_TIME_FORMAT),
                      F.col("avg_rating"), F.col("brand")]).alias("line"),
     )
-    spark = top.sparkSession
-    head = spark.createDataFrame([(0, header_line())], "line_no int, line string")
+    head = top.sparkSession.range(1).select(F.lit(0).alias("line_no"),
+                                            F.lit(header_line()).alias("line"))
     return head.unionByName(body.withColumn("line_no", F.col("line_no").cast("int")))
 
 
