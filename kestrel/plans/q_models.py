@@ -14,8 +14,9 @@ from kestrel.functions import text as X
 from kestrel.operators import evaluation as E
 from kestrel.operators import features as V
 from kestrel.operators import models as M
-from kestrel.operators.sampling import exact_split, random_split
+from kestrel.operators.sampling import exact_split, random_split, split_threshold
 from kestrel.plans.catalog import register
+from kestrel.plans.q_text import TOKENS_SQL
 
 SPLIT_SEED = 0
 TREE_SEED = 42
@@ -49,6 +50,71 @@ def text_features(spark, sf_dir, num_features: int = LINEAR_FEATURES, clean=None
     return M.materialize(feats.select("doc_id", "label", "split", "features"))
 
 
+def count_features(spark, sf_dir):
+    """(doc_id, label, split, features): exact-vocabulary raw term counts of the T1-T3
+    tokens (CountVectorizer fitted on all labelled rows, as the reference fits its
+    vectoriser before the split). The vocabulary is the model's only driver state."""
+    from pyspark.ml.feature import CountVectorizer
+    docs = labelled_docs(spark, sf_dir)
+    toks = docs.select("doc_id", F.col("label").cast("double").alias("label"),
+                       X.letter_tokens("text").alias("tokens"))
+    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=1 << 18,
+                         minDF=1.0).fit(toks)
+    feats = cv.transform(toks).select("doc_id", "label", "features")
+    return M.materialize(random_split(feats, "doc_id", 0.8, SPLIT_SEED))
+
+
+_NB_SQL = """
+WITH docs AS (SELECT min(d.doc_id) AS doc_id, d.text, l.quality AS label
+              FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.text, l.quality),
+ds AS (SELECT doc_id, label,
+              CASE WHEN substr(md5('{seed}:' || CAST(doc_id AS VARCHAR)), 1, 4) < '{thr}'
+                   THEN 'train' ELSE 'test' END AS split,
+              {tokens} AS tokens FROM docs),
+tc AS (SELECT doc_id, label, split, term, count(*) AS n
+       FROM (SELECT doc_id, label, split, unnest(tokens) AS term FROM ds) u GROUP BY ALL),
+v AS (SELECT count(DISTINCT term) AS nv FROM tc),
+ntrain AS (SELECT count(*) AS n FROM ds WHERE split = 'train'),
+cls AS (SELECT label AS c, count(*) AS nd FROM ds WHERE split = 'train' GROUP BY label),
+nl AS (SELECT count(*) AS nl FROM cls),
+prior AS (SELECT c, nd, ln(nd + 1.0) - ln(ntrain.n + nl.nl * 1.0) AS pi FROM cls, ntrain, nl),
+ct AS (SELECT label AS c, term, sum(n) AS n, count(*) AS df FROM tc WHERE split = 'train'
+       GROUP BY label, term),
+ctot AS (SELECT c, coalesce(sum(ct.n), 0) AS tot FROM cls LEFT JOIN ct USING (c) GROUP BY c),
+test_terms AS (SELECT tc.doc_id, tc.term, tc.n FROM tc WHERE split = 'test'),
+test_docs AS (SELECT doc_id, label FROM ds WHERE split = 'test'),
+"""
+
+NB_MULTINOMIAL_SQL = _NB_SQL + """
+scores AS (
+  SELECT t.doc_id, t.label, p.c,
+         p.pi + coalesce((SELECT sum(tt.n * (ln(coalesce(ct.n, 0) + 1.0) - ln(ctot.tot + v.nv)))
+                          FROM test_terms tt LEFT JOIN ct ON ct.c = p.c AND ct.term = tt.term
+                          WHERE tt.doc_id = t.doc_id), 0) AS s
+  FROM test_docs t, prior p, ctot, v WHERE ctot.c = p.c)
+SELECT doc_id, label, CASE WHEN max(s) FILTER (WHERE c = 1) > max(s) FILTER (WHERE c = 0)
+                          THEN 1 ELSE 0 END AS prediction
+FROM scores GROUP BY doc_id, label"""
+
+NB_BERNOULLI_SQL = _NB_SQL + """
+theta AS (SELECT ct.c, ct.term, ln((ct.df + 1.0) / (p.nd + 2.0)) AS lt,
+                 ln(1.0 - (ct.df + 1.0) / (p.nd + 2.0)) AS lnt
+          FROM ct JOIN prior p ON ct.c = p.c),
+negsum AS (SELECT p.c, coalesce(sum(th.lnt), 0)
+                       + (v.nv - count(th.term)) * ln(1.0 - 1.0 / (p.nd + 2.0)) AS ns
+           FROM prior p LEFT JOIN theta th ON th.c = p.c, v GROUP BY p.c, p.nd, v.nv),
+scores AS (
+  SELECT t.doc_id, t.label, p.c,
+         p.pi + ns.ns + coalesce((SELECT sum(coalesce(th.lt, ln(1.0 / (p.nd + 2.0)))
+                                          - coalesce(th.lnt, ln(1.0 - 1.0 / (p.nd + 2.0))))
+                                  FROM test_terms tt LEFT JOIN theta th ON th.c = p.c AND th.term = tt.term
+                                  WHERE tt.doc_id = t.doc_id), 0) AS s
+  FROM test_docs t, prior p, negsum ns WHERE ns.c = p.c)
+SELECT doc_id, label, CASE WHEN max(s) FILTER (WHERE c = 1) > max(s) FILTER (WHERE c = 0)
+                          THEN 1 ELSE 0 END AS prediction
+FROM scores GROUP BY doc_id, label"""
+
+
 def _split(feats):
     return (feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test"))
 
@@ -76,6 +142,24 @@ def naive_bayes_bernoulli(spark, sf_dir):
     return _text_model(spark, sf_dir, "nb_bernoulli", LINEAR_FEATURES)
 
 
+@register("naive_bayes_counts", NB_MULTINOMIAL_SQL.format(seed=SPLIT_SEED, thr=split_threshold(0.8),
+                                                                tokens=TOKENS_SQL))
+def naive_bayes_counts(spark, sf_dir):
+    """K2 on raw counts: multinomial naive Bayes (smoothing 1) over the exact
+    vocabulary; its closed form is the SQL twin."""
+    train, test = _split(count_features(spark, sf_dir))
+    return M.fit_predict("nb", train, test, ["doc_id"]).select("doc_id", "label", "prediction")
+
+
+@register("naive_bayes_presence", NB_BERNOULLI_SQL.format(seed=SPLIT_SEED, thr=split_threshold(0.8),
+                                                               tokens=TOKENS_SQL))
+def naive_bayes_presence(spark, sf_dir):
+    """K3 on term presence: Bernoulli naive Bayes over the exact vocabulary."""
+    train, test = _split(count_features(spark, sf_dir))
+    return M.fit_predict("nb_bernoulli", train, test, ["doc_id"]).select(
+        "doc_id", "label", "prediction")
+
+
 @register("decision_tree")
 def decision_tree(spark, sf_dir):
     """K4: depth-5 tree, 32 bins."""
