@@ -50,7 +50,7 @@ def learning_curve(df: DataFrame, key: str, x: str, y: str, chunks: int, min_siz
     xc = F.col(x).cast("double") - F.lit(cx)
     yc = F.col(y).cast("double") - F.lit(cy)
     tagged = (ranked.where(F.col("_draw") <= last_size)
-              .select(first_chunk.cast("int").alias("chunk"), "_split",
+              .select(first_chunk.cast("long").alias("chunk"), "_split",
                       xc.alias("xc"), yc.alias("yc")))
     sums = tagged.groupBy("chunk").agg(*[
         F.sum(F.when(F.col("_split") == s, e)).alias(f"{s}_{name}")

@@ -200,7 +200,8 @@ def top_k_per_group(df: DataFrame, k: int, group: Sequence[str], order: Sequence
     per group inside each task before the shuffle, so a hot group costs k rows per task.
     """
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    return df.withColumn(rank_col, F.row_number().over(w).cast("long")) \
+             .where(F.col(rank_col) <= k)
 
 
 def head_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:

@@ -74,7 +74,8 @@ def size_schedule(df: DataFrame, chunks: int, min_size: int, max_size: int) -> D
     n = F.least(F.col("_rows"), F.lit(max_size))
     step = F.floor((n - F.lit(min_size)) / F.lit(chunks)).cast("long")
     return (df.agg(F.count(F.lit(1)).alias("_rows"))
-              .select(F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
+              .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
+                      .alias("chunk"),
                       step.alias("_step"))
               .select("chunk", (F.lit(min_size) + (F.col("chunk") + 1) * F.col("_step"))
                       .cast("long").alias("size")))

@@ -87,7 +87,8 @@ def regression_split(spark, sf_dir):
 
 _REG_SQL = f"""
 WITH s AS {_exact_split_sql(WEATHER_SQL, "row_key", SAMPLE_SEED)},
-fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_count(y, x) AS n_train
+fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
+               CAST(regr_count(y, x) AS BIGINT) AS n_train
         FROM s WHERE split = 'train'),
 pred AS (SELECT s.row_key, s.y, fit.intercept + fit.slope * s.x AS p FROM s, fit WHERE split = 'test')
 """

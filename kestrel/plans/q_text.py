@@ -41,8 +41,8 @@ SELECT doc_id, len(tokens) AS n_tokens, len(list_distinct(tokens)) AS n_distinct
 FROM {DOC_TOKENS_SQL} t""")
 def tokenize(spark, sf_dir):
     t = doc_tokens(spark, sf_dir)
-    return t.select("doc_id", F.size("tokens").alias("n_tokens"),
-                    F.size(F.array_distinct("tokens")).alias("n_distinct"))
+    return t.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"),
+                    F.size(F.array_distinct("tokens")).cast("long").alias("n_distinct"))
 
 
 @register("join_tokens", f"SELECT doc_id, array_to_string(tokens, ' ') AS text FROM {DOC_TOKENS_SQL} t")
@@ -57,7 +57,8 @@ SELECT doc_id, len(kept) AS n_kept, array_to_string(kept, ' ') AS text FROM (
 def remove_stopwords(spark, sf_dir):
     """T5 on unstemmed tokens (the stemmed variant runs inside clean_text)."""
     k = doc_tokens(spark, sf_dir).select("doc_id", X.remove_stopwords("tokens").alias("kept"))
-    return k.select("doc_id", F.size("kept").alias("n_kept"), X.join_tokens("kept").alias("text"))
+    return k.select("doc_id", F.size("kept").cast("long").alias("n_kept"),
+                    X.join_tokens("kept").alias("text"))
 
 
 @register("stopword_table", f"""
@@ -68,7 +69,7 @@ def stopword_table(spark, sf_dir):
     stop = F.array(*[F.lit(w) for w in ENGLISH_STOP_WORDS])
     t = doc_tokens(spark, sf_dir)
     return t.select("doc_id", F.size(F.filter("tokens", lambda x: F.array_contains(stop, x)))
-                    .alias("n_stopwords"))
+                    .cast("long").alias("n_stopwords"))
 
 
 @register("stem_vocabulary")
