@@ -8,6 +8,8 @@ Porter-stem every word, then drop stop words - after stemming, so stems such as
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +99,8 @@ def explode_tokens(docs: DataFrame, key: str, tokens_col: str) -> DataFrame:
 
 
 def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens",
-                out: str = "stems", times: int = 1, strategy: str = "inline") -> DataFrame:
+                out: str = "stems", times: int = 1, strategy: str = "inline",
+                keep: Sequence[str] = ()) -> DataFrame:
     """Replace each token array by its stems, keeping token order (T4 applied).
 
     ``inline`` (default): an Arrow-batched pandas UDF stems the arrays where they are,
@@ -106,12 +109,15 @@ def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens"
     -> rebuild each array in position order. Python runs once per distinct word of the
     corpus, but every token is shuffled twice (join, regroup); hot words skew the join
     (AQE splits those partitions, or broadcasts a vocabulary measured small).
+    ``keep`` names columns carried through unchanged (inline strategy only).
     """
     if strategy == "inline":
         s = F.col(tokens_col)
         for _ in range(times):
             s = porter_stem_array_udf(s)
-        return docs.select(key, s.alias(out))
+        return docs.select(key, *keep, s.alias(out))
+    if keep:
+        raise ValueError("keep is only supported by the inline strategy")
     exploded = explode_tokens(docs, key, tokens_col)
     vocab = stem_vocabulary(exploded.where(F.col("token").isNotNull()), "token", times)
     stemmed = exploded.join(vocab, exploded["token"] == vocab["word"], "left")
@@ -121,8 +127,9 @@ def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens"
 
 
 def clean_text(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
-               out: str = "clean_tokens", strategy: str = "inline") -> DataFrame:
-    """Lower -> letters -> split -> stem -> stop words, as ``(key, out)`` arrays."""
-    toks = docs.select(key, letter_tokens(text_col).alias("tokens"))
-    stemmed = stem_tokens(toks, key, "tokens", "stems", strategy=strategy)
-    return stemmed.select(key, remove_stopwords("stems").alias(out))
+               out: str = "clean_tokens", strategy: str = "inline",
+               keep: Sequence[str] = ()) -> DataFrame:
+    """Lower -> letters -> split -> stem -> stop words, as ``(key, keep..., out)``."""
+    toks = docs.select(key, *keep, letter_tokens(text_col).alias("tokens"))
+    stemmed = stem_tokens(toks, key, "tokens", "stems", strategy=strategy, keep=keep)
+    return stemmed.select(key, *keep, remove_stopwords("stems").alias(out))

@@ -31,6 +31,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def for_gradient_passes(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Fewer, larger partitions for L-BFGS: every iteration ships one dense gradient of
+    the full feature width per partition, so on wide hashed features the partition
+    count, not the rows, sets the cost. Coalescing is narrow (no shuffle); a large
+    table keeps about one partition per ``rows_per_partition`` rows."""
+    import math
+    want = max(1, math.ceil(df.count() / rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def classifier(name: str, features: str = "features", label: str = "label", seed: int = 0,
                max_depth: int = 5):
     """The estimators of the reference with Spark ML defaults (seeds made explicit)."""
@@ -62,7 +72,7 @@ def fit_predict(name: str, train: DataFrame, test: DataFrame, keep: Sequence[str
         # Bernoulli NB accepts only 0/1 values: presence of a term.
         binar = Binarizer(threshold=0.0, inputCol=features, outputCol="_binary")
         train, test = binar.transform(train), binar.transform(test)
-    model = est.fit(train)
+    model = est.fit(for_gradient_passes(train) if name == "lr" else train)
     pred = model.transform(test)
     return pred.select(
         F.lit(name).alias("model"), *keep, F.col(label).cast("int").alias("label"),

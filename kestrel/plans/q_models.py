@@ -35,10 +35,8 @@ def labelled_docs(spark, sf_dir):
 def clean_labelled_tokens(spark, sf_dir):
     """(doc_id, label, split, clean_tokens): A3 -> T8 -> R1, checkpointed once; every
     feature width and every model starts from it."""
-    docs = labelled_docs(spark, sf_dir)
-    clean = X.clean_text(docs.select("doc_id", "text"))
-    tab = clean.join(docs.select("doc_id", F.col("label").cast("double").alias("label")),
-                     "doc_id")
+    docs = labelled_docs(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
+    tab = X.clean_text(docs, keep=["label"])
     return M.materialize(random_split(tab, "doc_id", 0.8, SPLIT_SEED))
 
 

@@ -39,9 +39,19 @@ def json_lines_scan(spark, sf_dir):
         F.sum(F.get_json_object("props", "$.k").cast("long")).alias("sum_k"))
 
 
-@register("json_schema_infer")
+@register("json_schema_infer", """
+SELECT column_name,
+       CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT') THEN 'bigint'
+            WHEN column_type IN ('DOUBLE', 'FLOAT') THEN 'double'
+            WHEN column_type = 'BOOLEAN' THEN 'boolean'
+            ELSE 'string' END AS data_type
+FROM (DESCRIBE events) d""")
 def json_schema_infer(spark, sf_dir):
-    """The schema inferred from the JSON lines, as (column_name, data_type) rows."""
+    """The schema inferred from the JSON lines, as (column_name, data_type) rows.
+
+    JSON inference sees integers as bigint, decimals as double and every other scalar,
+    timestamps included, as string; the SQL twin applies that rule to the table's
+    own column types."""
     return json_lines.infer_json_schema(spark, events_as_json(spark, sf_dir))
 
 
