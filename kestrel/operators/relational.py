@@ -113,6 +113,15 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols])
 
 
+def null_flag(df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[str] = (),
+              suffix: str = "_null") -> DataFrame:
+    """Per row and column, the column's name where the value is null, else null (P6);
+    ``keep`` columns are passed through."""
+    cols = list(columns) if columns else [c for c in df.columns if c not in keep]
+    return df.select(*keep, *[F.when(F.col(c).isNull(), F.lit(c)).alias(f"{c}{suffix}")
+                              for c in cols])
+
+
 def null_counts_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """A6 laid out as rows ``(column_name, n_null)``."""
     cols = list(columns) if columns else df.columns

@@ -249,3 +249,13 @@ def top_k_global(spark, sf_dir):
 SELECT * FROM orders ORDER BY o_orderkey LIMIT 5""")
 def head_rows(spark, sf_dir):
     return R.head_rows(T.load(spark, sf_dir, "orders"), 5, ["o_orderkey"])
+
+
+@register("null_flag", f"""
+SELECT doc_id, CASE WHEN quality IS NULL THEN 'quality' END AS quality_null,
+       CASE WHEN toxic IS NULL THEN 'toxic' END AS toxic_null
+FROM {_LEFT_LABELLED} t""")
+def null_flag(spark, sf_dir):
+    """The column name where a value is null, one row per document."""
+    return R.null_flag(T.labelled_text(spark, sf_dir, "left"), ["quality", "toxic"],
+                       keep=["doc_id"])

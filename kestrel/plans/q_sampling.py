@@ -176,3 +176,16 @@ def learning_curve(spark, sf_dir):
     """Test RMSE against sample size, all sizes in one aggregation pass."""
     return G.learning_curve(weather(spark, sf_dir), "row_key", "x", "y", CHUNKS, MIN_CHUNK,
                             MAX_CHUNK, SAMPLE_SEED, SPLIT_SEED)
+
+
+@register("abs_error", _REG_SQL + "SELECT row_key, abs(y - p) AS abs_error FROM pred")
+def abs_error(spark, sf_dir):
+    """M1: per-row absolute error of the fitted line on the test rows."""
+    p = _test_predictions(spark, sf_dir)
+    return p.select("row_key", F.abs(F.col("label") - F.col("prediction")).alias("abs_error"))
+
+
+@register("mse", _REG_SQL + "SELECT avg((y - p) * (y - p)) AS mse FROM pred")
+def mse(spark, sf_dir):
+    """Mean squared error on the test rows."""
+    return _reg_metrics(spark, sf_dir).select("mse")

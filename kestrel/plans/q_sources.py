@@ -146,3 +146,15 @@ def fixed_width_report(spark, sf_dir):
     top = R.top_products(T.reviews_from_lineitem(spark, sf_dir),
                          T.metadata_from_part(spark, sf_dir), k=15)
     return report.fixed_width_report(top, R.review_ranking_order())
+
+
+@register("pad_left", """
+SELECT p_partkey,
+       lpad(p_name, CAST(greatest(length(p_name), 20) AS INTEGER), ' ') AS name_20,
+       lpad(p_brand, CAST(greatest(length(p_brand), 5) AS INTEGER), ' ') AS brand_5
+FROM part""")
+def pad_left(spark, sf_dir):
+    """Right-align in a width without cutting longer values (brands exceed 5)."""
+    part = T.load(spark, sf_dir, "part")
+    return part.select("p_partkey", report.pad_left(F.col("p_name"), 20).alias("name_20"),
+                       report.pad_left(F.col("p_brand"), 5).alias("brand_5"))
