@@ -159,3 +159,12 @@ def test_fixed_width_report_layout(spark):
     assert lines[0].split("\t")[0] == "   <product ID>"
     assert all(len(f) >= w for line in lines
                for f, w in zip(line.split("\t"), (15, 20, 15, 20, 20)))
+
+
+def test_no_pairwise_joins_in_any_plan(spark):
+    """Scale guard: no registered query may plan a nested-loop or cartesian join."""
+    catalog.load_all()
+    for key, fn in catalog.QUERIES.items():
+        plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan, key
+        assert "BroadcastNestedLoopJoin" not in plan, key
