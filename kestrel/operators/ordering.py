@@ -17,9 +17,16 @@ _BK = "_bucket_key"
 _B = "_bucket"
 
 
+# Above this many cut points the bucket is found by Spark ML's Bucketizer (a JVM binary
+# search) instead of an inline CASE tree, which must stay small enough for codegen.
+_CASE_TREE_MAX = 255
+
+
 def default_buckets(df: DataFrame) -> int:
+    """Two buckets per shuffle partition: the per-bucket windows then have about the
+    rows of a shuffle partition each, whatever the data size."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(4096, 2 * parts))
+    return max(2, min(16384, 2 * parts))
 
 
 def _count_below(cut, lo: int, hi: int, key: Column) -> Column:
@@ -41,11 +48,26 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
     if not probs:
         return d.drop(_BK).withColumn(_B, F.lit(0))
     if not partition_cols:
-        # A bounded list of at most buckets-1 cut points, like QuantileDiscretizer.
-        cuts = sorted({q for q in d.approxQuantile(_BK, probs, 0.001) if q == q})
-        d = d.withColumn(_B, _count_below(lambda i: F.lit(float(cuts[i])), 0, len(cuts),
-                                          F.col(_BK)))
+        # A bounded list of at most buckets-1 cut points, like QuantileDiscretizer; the
+        # rank error shrinks with the bucket width so buckets stay balanced.
+        rel_err = min(0.001, 0.25 / buckets)
+        cuts = sorted({q for q in d.approxQuantile(_BK, probs, rel_err) if q == q})
+        if len(cuts) > _CASE_TREE_MAX:
+            from pyspark.ml.feature import Bucketizer
+            splits = [float("-inf"), *cuts, float("inf")]
+            # Bucketizer puts x in [s_i, s_i+1); any monotone assignment will do.
+            d = Bucketizer(splits=splits, inputCol=_BK, outputCol="_bf",
+                           handleInvalid="keep").transform(d)
+            d = d.withColumn(_B, F.col("_bf").cast("int")).drop("_bf")
+        else:
+            d = d.withColumn(_B, _count_below(lambda i: F.lit(float(cuts[i])), 0, len(cuts),
+                                              F.col(_BK)))
     else:
+        # Per-group cut points travel with the rows; their count is capped so the
+        # inline search stays small.
+        if len(probs) > _CASE_TREE_MAX:
+            step = (len(probs) + 1) / (_CASE_TREE_MAX + 1)
+            probs = [probs[int(round(step * (i + 1))) - 1] for i in range(_CASE_TREE_MAX)]
         cuts = d.groupBy(*partition_cols).agg(
             F.percentile_approx(_BK, probs, 10000).alias("_cuts"))
         # percentile_approx returns len(probs) sorted values per group.

@@ -168,3 +168,16 @@ def test_no_pairwise_joins_in_any_plan(spark):
         plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan, key
         assert "BroadcastNestedLoopJoin" not in plan, key
+
+
+def test_rank_with_many_buckets_uses_bucketizer(spark):
+    df = T.load(spark, MEDIUM, "lineitem").select(T.lineitem_row_key().alias("k"), "l_extendedprice")
+    exact = df.withColumn("rn", F.row_number().over(Window.orderBy("l_extendedprice", "k")))
+    got = O.global_rank(df, [F.col("l_extendedprice"), F.col("k")], "rn", buckets=1000)
+    assert got.exceptAll(exact).count() == 0
+    g = T.load(spark, SMALL, "events").select("event_type", "event_id", "value")
+    exact_g = g.withColumn("rn", F.row_number().over(
+        Window.partitionBy("event_type").orderBy("value", "event_id")))
+    got_g = O.global_rank(g, [F.col("value"), F.col("event_id")], "rn",
+                          partition_cols=["event_type"], buckets=1000)
+    assert got_g.exceptAll(exact_g).count() == 0
