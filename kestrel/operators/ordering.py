@@ -71,7 +71,9 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
         cuts = d.groupBy(*partition_cols).agg(
             F.percentile_approx(_BK, probs, 10000).alias("_cuts"))
         # percentile_approx returns len(probs) sorted values per group.
-        d = (d.join(cuts, list(partition_cols), "left")
+        cuts = cuts.select(*[F.col(c).alias(f"_c_{c}") for c in partition_cols], "_cuts")
+        cond = [d[c].eqNullSafe(cuts[f"_c_{c}"]) for c in partition_cols]
+        d = (d.join(cuts, cond, "left").drop(*[f"_c_{c}" for c in partition_cols])
               .withColumn(_B, _count_below(lambda i: F.element_at("_cuts", i + 1), 0,
                                            len(probs), F.col(_BK)))
               .drop("_cuts"))
@@ -109,9 +111,15 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[st
                      *[F.sum(f"_bt_{c}").over(whole).alias(f"tot_{c}") for c in sums])
     if not pc:
         tot = F.broadcast(tot)  # at most ``nb`` rows by construction
-    out = d.join(tot, [*pc, _B])
+        out = d.join(tot, [_B])
+    else:
+        # Null-safe on the group keys: a null group is a group too.
+        t = tot.select(*[F.col(c).alias(f"_g_{c}") for c in pc], F.col(_B).alias("_g_b"),
+                       *[c for c in tot.columns if c not in pc and c != _B])
+        cond = [d[c].eqNullSafe(t[f"_g_{c}"]) for c in pc] + [d[_B] == t["_g_b"]]
+        out = d.join(t, cond)
     return out.select(
-        *[c for c in d.columns if not c.startswith("_in_") and c != _B],
+        *[d[c] for c in d.columns if not c.startswith("_in_") and c != _B],
         *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"run_{c}") for c in sums],
         *[F.col(f"tot_{c}") for c in sums],
     )

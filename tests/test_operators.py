@@ -181,3 +181,11 @@ def test_rank_with_many_buckets_uses_bucketizer(spark):
     got_g = O.global_rank(g, [F.col("value"), F.col("event_id")], "rn",
                           partition_cols=["event_type"], buckets=1000)
     assert got_g.exceptAll(exact_g).count() == 0
+
+
+def test_rank_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0, 1), (None, 2.0, 2), ("a", 1.0, 3)],
+                               "g string, s double, id int")
+    got = O.global_rank(df, [F.col("s"), F.col("id")], "rn", partition_cols=["g"], buckets=4)
+    assert {(r["g"], r["id"], r["rn"]) for r in got.collect()} == \
+        {(None, 1, 1), (None, 2, 2), ("a", 3, 1)}
