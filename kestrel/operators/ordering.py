@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import ensure_checkpoint_dir
+
 _BK = "_bucket_key"
 _B = "_bucket"
 
@@ -70,6 +72,11 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
             probs = [probs[int(round(step * (i + 1))) - 1] for i in range(_CASE_TREE_MAX)]
         cuts = d.groupBy(*partition_cols).agg(
             F.percentile_approx(_BK, probs, 10000).alias("_cuts"))
+        # The merged sketch can depend on the order partial results arrive in; both
+        # plan branches below (and any task retry) must see the same cut points, so
+        # the small table (one row per group) is checkpointed in the shared folder.
+        ensure_checkpoint_dir(d.sparkSession)
+        cuts = cuts.checkpoint(eager=True)
         # percentile_approx returns len(probs) sorted values per group.
         cuts = cuts.select(*[F.col(c).alias(f"_c_{c}") for c in partition_cols], "_cuts")
         cond = [d[c].eqNullSafe(cuts[f"_c_{c}"]) for c in partition_cols]
