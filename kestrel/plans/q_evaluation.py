@@ -37,7 +37,10 @@ def stacked_rule_predictions(spark, sf_dir):
                        F.col("r.prediction").alias("prediction"), F.col("r.score").alias("score"))
 
 
-STACKED_SQL = f"""
+def stacked_sql(by: str = "model", where: str = "TRUE") -> str:
+    """CTEs ``docs``, ``stacked``, ``counts`` (tp/fp/fn/tn grouped ``by``, rows ``where``)
+    and ``metrics``; the SQL twin of ``stacked_rule_predictions``."""
+    return f"""
 WITH docs AS (
   SELECT d.doc_id, d.n_chars, d.lang, l.quality AS label,
          CASE WHEN substr(md5('{SPLIT_SEED}:' || CAST(d.doc_id AS VARCHAR)), 1, 4) < '{split_threshold(0.8)}'
@@ -53,14 +56,14 @@ stacked AS (
   SELECT 'short_text', doc_id, split, label, CAST(n_chars < 2000 AS INT),
          CAST(-n_chars AS DOUBLE) FROM docs),
 counts AS (
-  SELECT model,
+  SELECT {by},
          count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
          count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
          count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
          count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn
-  FROM stacked GROUP BY model),
+  FROM stacked WHERE {where} GROUP BY {by}),
 metrics AS (
-  SELECT model,
+  SELECT {by},
          (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS accuracy,
          CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) END AS precision,
          CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) END AS recall
@@ -68,15 +71,24 @@ metrics AS (
 """
 
 
-def _auc_sql(score: str, where: str = "TRUE") -> str:
+STACKED_SQL = stacked_sql()
+
+
+def _auc_cte(score: str, where: str = "TRUE") -> str:
+    """CTE ``auc(model, auc)``: tie-aware rank statistic per model."""
     return f"""
 , sc AS (SELECT model, {score} AS s, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg
          FROM stacked WHERE {where} GROUP BY model, {score}),
 rn AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY s
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM sc)
-SELECT model, CASE WHEN sum(pos) * sum(neg) > 0
-                   THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) END AS auc
-FROM rn GROUP BY model"""
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM sc),
+auc AS (SELECT model, CASE WHEN sum(pos) * sum(neg) > 0
+                           THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) END AS auc
+        FROM rn GROUP BY model)
+"""
+
+
+def _auc_sql(score: str, where: str = "TRUE") -> str:
+    return _auc_cte(score, where) + "SELECT model, auc FROM auc"
 
 
 @register("confusion_matrix", STACKED_SQL + """
@@ -168,8 +180,7 @@ def auc_constant(spark, sf_dir):
     return E.auc_score(s, ["model"])
 
 
-_SPLIT_COUNTS = STACKED_SQL.replace("GROUP BY model)", "GROUP BY model, split)").replace(
-    "SELECT model,\n         count(*) FILTER", "SELECT model, split,\n         count(*) FILTER")
+_SPLIT_COUNTS = stacked_sql(by="model, split")
 
 
 @register("train_test_accuracy", _SPLIT_COUNTS + """
@@ -204,11 +215,8 @@ def fit_diagnosis(spark, sf_dir):
     return E.fit_diagnosis(_accuracy_table(spark, sf_dir))
 
 
-@register("model_comparison", STACKED_SQL.replace("FROM stacked GROUP BY model)",
-                                                 "FROM stacked WHERE split = 'test' GROUP BY model)")
-          + _auc_sql("score", "split = 'test'").replace(
-              "\nSELECT model, CASE", ", auc AS (SELECT model, CASE").replace(
-              "FROM rn GROUP BY model", "FROM rn GROUP BY model)") + """
+@register("model_comparison", stacked_sql(where="split = 'test'")
+          + _auc_cte("score", "split = 'test'") + """
 SELECT m.model, m.accuracy * 100 AS accuracy, m.precision * 100 AS precision,
        m.recall * 100 AS recall,
        CASE WHEN m.precision + m.recall > 0
