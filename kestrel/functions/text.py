@@ -40,11 +40,15 @@ def letter_tokens(col: str | Column) -> Column:
     return tokenize(keep_letters(col))
 
 
+def is_stopword(token: Column, words=ENGLISH_STOP_WORDS) -> Column:
+    """Membership test planned as ``InSet`` (a hash lookup), not a scan of the list."""
+    return token.isin(list(words))
+
+
 def remove_stopwords(tokens: str | Column, words=ENGLISH_STOP_WORDS) -> Column:
     """T5: keep order and repeats (``array_except`` would also de-duplicate)."""
     c = F.col(tokens) if isinstance(tokens, str) else tokens
-    stop = F.array(*[F.lit(w) for w in words])
-    return F.filter(c, lambda t: ~F.array_contains(stop, t))
+    return F.filter(c, lambda t: ~is_stopword(t, words))
 
 
 def join_tokens(tokens: str | Column) -> Column:

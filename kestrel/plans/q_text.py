@@ -66,9 +66,8 @@ SELECT doc_id, len(list_filter(tokens, lambda x: list_contains({STOP_SQL}, x)))
 FROM {DOC_TOKENS_SQL} t""")
 def stopword_table(spark, sf_dir):
     """The stop-word list as data, counted against every document."""
-    stop = F.array(*[F.lit(w) for w in ENGLISH_STOP_WORDS])
     t = doc_tokens(spark, sf_dir)
-    return t.select("doc_id", F.size(F.filter("tokens", lambda x: F.array_contains(stop, x)))
+    return t.select("doc_id", F.size(F.filter("tokens", lambda x: X.is_stopword(x)))
                     .cast("long").alias("n_stopwords"))
 
 
