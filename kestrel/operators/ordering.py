@@ -89,18 +89,22 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
 
 def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[str],
                  partition_cols: Sequence[str] = (), bucket_key: Column | None = None,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, bucket: Column | None = None) -> DataFrame:
     """Add ``run_<c>`` (inclusive running sum along ``order``) and ``tot_<c>`` (group
     total) for each column ``c`` of ``sums``.
 
     ``order`` must be a total order within each group (append a unique key). The first
     order column, or ``bucket_key``, must be numeric and non-decreasing along the order;
     it only decides how the work is split, never the result.
+
+    ``bucket`` may give the bucket directly (an int column, non-decreasing along the
+    order), e.g. equal-width ranges of a uniform hash; the quantile pass is then skipped.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     key = bucket_key if bucket_key is not None else order_cols[0]
     nb = buckets or default_buckets(df)
-    d = _assign_buckets(df, key, partition_cols, nb)
+    d = df.withColumn(_B, bucket) if bucket is not None else \
+        _assign_buckets(df, key, partition_cols, nb)
     pc = list(partition_cols)
 
     inner = Window.partitionBy(*pc, _B).orderBy(*order_cols) \
@@ -134,11 +138,12 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[st
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "rank",
                 partition_cols: Sequence[str] = (), bucket_key: Column | None = None,
-                buckets: int | None = None, count_col: str | None = None) -> DataFrame:
+                buckets: int | None = None, count_col: str | None = None,
+                bucket: Column | None = None) -> DataFrame:
     """1-based ``row_number`` along a total ``order`` computed two-phase; optionally
     the group size as ``count_col``."""
     d = df.withColumn("_one", F.lit(1).cast("long"))
-    r = running_sums(d, order, ["_one"], partition_cols, bucket_key, buckets)
+    r = running_sums(d, order, ["_one"], partition_cols, bucket_key, buckets, bucket)
     r = r.withColumnRenamed("run__one", rank_col)
     if count_col:
         r = r.withColumnRenamed("tot__one", count_col)

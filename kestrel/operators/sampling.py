@@ -44,10 +44,17 @@ def random_split(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int
 
 def hash_order(df: DataFrame, key: str, seed: int, rank_col: str = "draw",
                count_col: str | None = None) -> DataFrame:
-    """Rank rows by their seeded hash (ties broken by the key), computed two-phase."""
+    """Rank rows by their seeded hash (ties broken by the key), computed two-phase.
+
+    The digest of a unique key is uniform, so equal-width ranges of its first 48 bits
+    are balanced buckets without sampling the data for quantiles first.
+    """
+    from kestrel.operators.ordering import default_buckets
+    nb = default_buckets(df)
     d = df.withColumn("_h", row_hash(key, seed))
+    bucket = F.floor(hash_bucket_key(F.col("_h")) * F.lit(nb / float(1 << 48))).cast("int")
     r = global_rank(d, [F.col("_h"), F.col(key).cast("string")], rank_col,
-                    bucket_key=hash_bucket_key(F.col("_h")), count_col=count_col)
+                    count_col=count_col, bucket=bucket)
     return r.drop("_h")
 
 
