@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.sampling import hash_order, random_split, size_schedule
+from kestrel.operators.sampling import hash_order, random_split
 
 
 def fit_line(train: DataFrame, x: str, y: str) -> tuple[float, float, int]:
@@ -37,12 +37,14 @@ def learning_curve(df: DataFrame, key: str, x: str, y: str, chunks: int, min_siz
     sample seed, or the split would follow the draw order. x and y are centred on their means
     first to keep the sums well conditioned.
     """
-    ranked = hash_order(df.select(key, x, y), key, sample_seed, "_draw", count_col="_rows")
+    # One aggregation gives the row count (for the sizes) and the centring means.
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("cx"),
+                   F.avg(y).alias("cy")).first()
+    rows, cx, cy = int(stats["n"]), float(stats["cx"] or 0.0), float(stats["cy"] or 0.0)
+    ranked = hash_order(df.select(key, x, y), key, sample_seed, "_draw")
     ranked = random_split(ranked, key, train_fraction, split_seed, "_split")
-    means = df.agg(F.avg(x).alias("cx"), F.avg(y).alias("cy")).first()
-    cx, cy = float(means["cx"] or 0.0), float(means["cy"] or 0.0)
 
-    n_eff = F.least(F.col("_rows"), F.lit(max_size))
+    n_eff = F.lit(min(rows, max_size))
     step = F.floor((n_eff - F.lit(min_size)) / F.lit(chunks))
     first_chunk = F.when(step > 0, F.greatest(
         F.lit(0), F.ceil((F.col("_draw") - F.lit(min_size)) / step) - 1)).otherwise(F.lit(0))
@@ -59,8 +61,12 @@ def learning_curve(df: DataFrame, key: str, x: str, y: str, chunks: int, min_siz
                         ("sxx", F.col("xc") * F.col("xc")),
                         ("sxy", F.col("xc") * F.col("yc")),
                         ("syy", F.col("yc") * F.col("yc")))])
-    # Sizes of all chunks, from the row count; chunks without new rows still appear.
-    sizes = size_schedule(df, chunks, min_size, max_size)
+    # Sizes of all chunks (R4's rule on the counted rows); chunks without new rows
+    # still appear.
+    step_n = max(0, (min(rows, max_size) - min_size) // chunks)
+    sizes = df.sparkSession.range(chunks).select(
+        F.col("id").alias("chunk"),
+        (F.lit(min_size) + (F.col("id") + 1) * F.lit(step_n)).cast("long").alias("size"))
     stat_cols = [c for c in sums.columns if c != "chunk"]
     # ``chunks`` rows only: a window without partitioning is cheap here.
     upto = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
