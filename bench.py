@@ -1,6 +1,8 @@
 """Benchmark: wall seconds of the headline queries on one scale factor.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    python bench.py --all          # every registered query
+    python bench.py KEY [KEY ...]  # selected queries
 
 Each query is executed in full with a ``noop`` write (every row is produced, nothing
 is collected to the driver). One untimed warm-up query (a scan and an aggregation of
@@ -45,14 +47,16 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-    only = [a for a in sys.argv[1:]]
+    args = sys.argv[1:]
+    run_all = "--all" in args
+    only = [a for a in args if not a.startswith("--")]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
                           app_name="kestrel-bench")
     catalog.load_all()
     (spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
           .groupBy("r_regionkey").count().write.format("noop").mode("overwrite").save())
     timings: dict[str, float] = {}
-    for key in only or HEADLINE:
+    for key in only or (sorted(catalog.QUERIES) if run_all else HEADLINE):
         t0 = time.perf_counter()
         df = catalog.QUERIES[key](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

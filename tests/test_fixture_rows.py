@@ -118,3 +118,19 @@ def test_classification_report_rows(spark):
     assert set(rep) == {"0", "1", "accuracy", "macro avg", "weighted avg"}
     assert rep["1"]["support"] == 3861 and rep["0"]["support"] == 4084
     assert abs(rep["macro avg"]["f1"] - (rep["0"]["f1"] + rep["1"]["f1"]) / 2) < 1e-12
+
+
+def test_write_report_single_ordered_file(spark, tmp_dir):
+    import glob
+    from kestrel import tables as T
+    from conftest import SMALL
+    top = R.top_products(T.reviews_from_lineitem(spark, SMALL), T.metadata_from_part(spark, SMALL))
+    rep = report.fixed_width_report(top, R.review_ranking_order())
+    out = os.path.join(tmp_dir, "report")
+    report.write_report(rep, out)
+    files = glob.glob(os.path.join(out, "part-*"))
+    assert len(files) == 1
+    lines = open(files[0]).read().splitlines()
+    assert len(lines) == 16 and lines[0] == report.header_line()
+    expected = [r["line"] for r in rep.orderBy("line_no").collect()]
+    assert lines == expected
