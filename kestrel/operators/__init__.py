@@ -1,0 +1 @@
+"""Relational, ordering, sampling, feature, model and evaluation operators."""

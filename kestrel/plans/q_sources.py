@@ -82,10 +82,11 @@ SELECT count(*) FILTER (WHERE event_type <> 'view') AS n_good,
 FROM events""")
 def json_lenient_escape(spark, sf_dir):
     """S3: ``\\q`` is read as ``q``; broken lines land in the corrupt side output."""
-    schema = "event_id long, user_id long, event_type string, note string"
-    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
+                         StructField("event_type", StringType()), StructField("note", StringType())])
     parsed = json_lines.read_json_lines_with_corrupt(
-        spark, _mixed_json_lines(spark, sf_dir), _parse_datatype_string(schema))
+        spark, _mixed_json_lines(spark, sf_dir), schema)
     corrupt = F.col(json_lines.CORRUPT_COL).isNotNull()
     # One pass counts both sides; the corrupt side is the reader's side output.
     return parsed.agg(

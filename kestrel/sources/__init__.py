@@ -1,0 +1 @@
+"""Scans and sinks: JSON lines, CSV, the fixed-width report."""
