@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     setting always wins. Only when nothing is configured (local runs, tests) a fresh
     folder under the local temp directory is used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -26,10 +26,12 @@ def spread(df: DataFrame, key: str | Column) -> DataFrame:
     has cores, so CPU-heavy row work (regular expressions, hashing, stemming) uses
     every core. A large input already has many splits and is left alone: no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
-    return df.repartition(cores, key)
+    return df if splits >= cores else df.repartition(cores, key)
 
 
 def lineitem_row_key() -> Column:
