@@ -15,9 +15,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def explode_terms(docs: DataFrame, key: str, tokens: str) -> DataFrame:
+    """(key, term) for every token. ``explode_outer`` + a null filter, because for a
+    plain ``explode`` Catalyst infers ``size(tokens) > 0`` and pushes it below any
+    repartition, evaluating the whole tokenisation a second time inside the scan."""
+    return (docs.select(key, F.explode_outer(tokens).alias("term"))
+                .where(F.col("term").isNotNull()))
+
+
 def term_counts(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
     """(key, term, tf): occurrences of each term in each document."""
-    return (docs.select(key, F.explode(tokens).alias("term"))
+    return (explode_terms(docs, key, tokens)
                 .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

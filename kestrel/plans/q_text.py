@@ -74,14 +74,16 @@ def stopword_table(spark, sf_dir):
 @register("stem_vocabulary")
 def stem_vocabulary(spark, sf_dir):
     """T4: (word, stem) once per distinct word of the corpus."""
-    toks = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("token"))
+    toks = V.explode_terms(doc_tokens(spark, sf_dir), "doc_id", "tokens") \
+            .select(F.col("term").alias("token"))
     return X.stem_vocabulary(toks, "token", 1)
 
 
 @register("double_stem")
 def double_stem(spark, sf_dir):
     """The pandas vectoriser stems the already stemmed text again."""
-    toks = doc_tokens(spark, sf_dir).select(F.explode("tokens").alias("token"))
+    toks = V.explode_terms(doc_tokens(spark, sf_dir), "doc_id", "tokens") \
+            .select(F.col("term").alias("token"))
     return X.stem_vocabulary(toks, "token", 2)
 
 
