@@ -105,6 +105,9 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[st
     nb = buckets or default_buckets(df)
     d = df.withColumn(_B, bucket) if bucket is not None else \
         _assign_buckets(df, key, partition_cols, nb)
+    # A provably non-null bucket: otherwise the join below makes Catalyst infer
+    # ``isnotnull(bucket)`` and push that (hash and all) into the scan, computing it twice.
+    d = d.withColumn(_B, F.coalesce(F.col(_B).cast("int"), F.lit(0)))
     pc = list(partition_cols)
 
     inner = Window.partitionBy(*pc, _B).orderBy(*order_cols) \
