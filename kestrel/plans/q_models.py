@@ -1,8 +1,8 @@
 """Model queries (K1-K10, E16) and their inputs.
 
-movie.csv stand-in: labelled documents, de-duplicated on (text, label), cleaned and
-hashed into TF-IDF vectors; diabetes.csv stand-in: three numeric features per labelled
-document; points: ``embeddings``.
+Labelled text: documents joined to labels, de-duplicated on (text, label), cleaned and
+hashed into TF-IDF vectors. Tabular classification: three numeric features per labelled
+document (``tabular_table``). Points for clustering: ``embeddings``.
 """
 
 from __future__ import annotations
@@ -183,7 +183,7 @@ def vector_element(spark, sf_dir):
         "doc_id", F.col("score").alias("p_positive"))
 
 
-def diabetes_table(spark, sf_dir):
+def tabular_table(spark, sf_dir):
     """(doc_id, n_chars, n_tokens, n_distinct_tokens, quality): label last."""
     d = T.labelled_text(spark, sf_dir)
     toks = X.letter_tokens("text")
@@ -198,7 +198,7 @@ def overfit_predictions(spark, sf_dir):
     """Stacked train and test predictions of trees of depth 1, 5 and 30 (K6)."""
     from pyspark.ml.functions import array_to_vector
     from kestrel.operators.relational import positional_features
-    tab = positional_features(diabetes_table(spark, sf_dir), keep=["doc_id"])
+    tab = positional_features(tabular_table(spark, sf_dir), keep=["doc_id"])
     tab = exact_split(tab, "doc_id", 0.2, 42).withColumn(
         "features", array_to_vector("features")).withColumn("label", F.col("label").cast("double"))
     tab = M.materialize(tab)

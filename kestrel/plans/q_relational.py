@@ -90,7 +90,7 @@ def cast_label(spark, sf_dir):
     return R.cast_label(df, "label", "float")
 
 
-_DIABETES_SQL = """(SELECT d.doc_id, d.n_chars,
+_TABULAR_SQL = """(SELECT d.doc_id, d.n_chars,
         len(list_filter(string_split_regex(regexp_replace(lower(d.text), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> '')) AS n_tokens,
         len(list_distinct(list_filter(string_split_regex(regexp_replace(lower(d.text), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> ''))) AS n_distinct_tokens,
         l.quality
@@ -100,11 +100,11 @@ _DIABETES_SQL = """(SELECT d.doc_id, d.n_chars,
 @register("positional_features", f"""
 SELECT doc_id, [CAST(n_chars AS DOUBLE), CAST(n_tokens AS DOUBLE), CAST(n_distinct_tokens AS DOUBLE)] AS features,
        quality AS label
-FROM {_DIABETES_SQL} t""")
+FROM {_TABULAR_SQL} t""")
 def positional_features(spark, sf_dir):
-    """P5 over the diabetes-like table: all but the last column are features."""
-    from kestrel.plans.q_models import diabetes_table
-    return R.positional_features(diabetes_table(spark, sf_dir), keep=["doc_id"])
+    """P5 over the tabular classification table: all but the last column are features."""
+    from kestrel.plans.q_models import tabular_table
+    return R.positional_features(tabular_table(spark, sf_dir), keep=["doc_id"])
 
 
 @register("round_metric", """

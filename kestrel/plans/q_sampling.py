@@ -1,6 +1,7 @@
 """Sampling, splitting and regression queries.
 
-weather.csv stand-in: ``lineitem`` with feature ``l_quantity`` and label
+Regression input (one numeric feature, one numeric label): ``lineitem`` with feature
+``l_quantity`` and label
 ``l_extendedprice``; its unique row key is the four-column key.
 """
 
