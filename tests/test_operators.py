@@ -189,3 +189,22 @@ def test_rank_keeps_null_group(spark):
     got = O.global_rank(df, [F.col("s"), F.col("id")], "rn", partition_cols=["g"], buckets=4)
     assert {(r["g"], r["id"], r["rn"]) for r in got.collect()} == \
         {(None, 1, 1), (None, 2, 2), ("a", 3, 1)}
+
+
+def test_hashing_tf_mass(spark):
+    from kestrel.functions import text as X
+    from kestrel.operators import features as V
+    docs = T.load(spark, SMALL, "documents").select("doc_id", X.letter_tokens("text").alias("tokens"))
+    v = V.hashed_tfidf(docs, "tokens", 1 << 18).select("doc_id", "tokens", "tf_features").collect()
+    for r in v[:50]:
+        assert sum(r["tf_features"].values) == len(r["tokens"])
+    # Every occurrence lands in some bucket; distinct buckets never exceed distinct terms.
+    for r in v[:50]:
+        assert len(r["tf_features"].indices) <= len(set(r["tokens"]))
+
+
+def test_entry_runs_on_default_session(spark):
+    import __spark_entry__ as entry_mod
+    df = entry_mod.entry(spark)
+    assert df.columns == ["asin", "review_day", "num_reviews", "avg_rating", "brand"]
+    assert 0 < df.count() <= 15
