@@ -1,10 +1,8 @@
-"""Helpers shared by the operators: shared-folder tables, hashes, two-phase running sums."""
+"""Helpers shared by the operators: checkpoints, hashes, two-phase running sums."""
 
 from __future__ import annotations
 
-import atexit
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,36 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_ROOTS: dict[str, SparkSession] = {}
-
-
-def _remove_roots() -> None:
-    for root, spark in _ROOTS.items():
-        try:
-            jvm = spark._jvm
-            path = jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()) \
-                .delete(path, True)
-        except Exception:  # noqa: BLE001 - the JVM is gone: nothing left to ask
-            return
-
-
-atexit.register(_remove_roots)
-
-
-def written(df: DataFrame, *partition_cols: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared checkpoint folder and read
-    it back, so a lost executor costs a read and not a recomputation. The folder of the
-    session is removed when the driver ends."""
-    spark = df.sparkSession
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-llm"
-    _ROOTS.setdefault(root, spark)
-    path = f"{root}/{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder of ``spark.checkpoint.dir``: a lost executor
+    costs a read and not a recomputation. Spark removes the files once nothing refers to
+    them (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def text_or_empty(col: str | Column = "text") -> Column:
@@ -81,7 +55,7 @@ def running_sum(df: DataFrame, group: str, digest: str, order: list[str], value:
     are dealt by (group, range of the digest), so a group that holds a third of all rows
     is spread over ``buckets`` windows; only the totals of the buckets meet per group.
     The result doesn't depend on ``buckets``. The totals are taken from ``totals_of``: the
-    same rows without wide columns (default: ``df``, which should then be a written table).
+    same rows without wide columns (default: ``df``, which should then be a checkpoint).
     """
     width = (1 << HASH_BITS) // buckets + 1
     bucket = F.floor(F.col(digest) / F.lit(float(width))).cast("int")

@@ -3,8 +3,9 @@
 Documents are split by successive byte ranges of their text: round 1 deals them by the
 first bytes, round 2 deals every surviving group by the next bytes, and so on, until a
 group is a single row or its texts have ended. Two texts are equal when they were never
-separated, so equality needs no digest. The ranges grow fourfold, so the number of rounds
-is logarithmic in the longest text that has a copy.
+separated, so equality needs no digest. The ranges grow sixteenfold, so the number of
+rounds is logarithmic in the longest text that has a copy, and a row carries only the
+bytes that are still to be compared.
 
 Skew: a group is never gathered. Counting pre-aggregates (group, bytes) before the
 shuffle, and rows meet the counts over ``salts`` copies of each key.
@@ -16,84 +17,81 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from kestrel.llm.common import written
+from kestrel.llm.common import checkpointed
 
-FIRST_BYTES = 64
-GROWTH = 4
+FIRST_BYTES = 256
+GROWTH = 16
 SALTS = 16
 
 
-def _split(rows: DataFrame, text, offset: int, width: int, salts: int, tie: list[str]):
-    """Deal the rows of every group by the bytes [offset, offset + width).
+def _split(rows: DataFrame, width: int, salts: int, tie: list[str]):
+    """Deal the rows of every group by their next ``width`` bytes.
 
-    Returns the rows with ``next`` (id of the group they stay in; null when alone),
-    ``size``, ``best`` and ``more`` (the text goes on), and the table of groups."""
-    keyed = rows.withColumn("chunk", F.substring(text.cast("binary"), offset + 1, width)) \
-                .withColumn("more", F.octet_length(text) > offset + width) \
-                .withColumn("salt", F.pmod(F.xxhash64(*tie), F.lit(salts)).cast("int"))
+    Returns the rows without these bytes, with ``next`` (id of the group they stay in;
+    null when alone), ``size``, ``best`` and ``more`` (the text goes on); and the groups."""
+    rest = F.col("rest")
+    keyed = rows.select(*[c for c in rows.columns if c != "rest"],
+                        F.substring(rest, 1, width).alias("chunk"),
+                        (F.octet_length(rest) > width).alias("more"),
+                        F.pmod(F.xxhash64(*tie), F.lit(salts)).cast("int").alias("salt"),
+                        F.substring(rest, width + 1, 2**31 - 1 - width).alias("rest"))
     groups = keyed.groupBy("gid", "chunk", "more") \
                   .agg(F.count(F.lit(1)).alias("size"), F.max(F.struct(*tie)).alias("best")) \
                   .where("size > 1") \
                   .withColumn("next", F.monotonically_increasing_id())
-    groups = written(groups)  # fixes the ids in ``next``
+    groups = checkpointed(groups)  # fixes the ids in ``next``
     spread = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return keyed.join(spread, ["gid", "chunk", "more", "salt"], "left") \
                 .drop("chunk", "salt", "gid"), groups
 
 
 def equal_text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      carry: bool = False, first_bytes: int = FIRST_BYTES,
-                      growth: int = GROWTH, salts: int = SALTS) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, and with
-    ``carry`` the whole input row as the struct ``row``.
+                      first_bytes: int = FIRST_BYTES, growth: int = GROWTH,
+                      salts: int = SALTS) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical byte for byte; null counts as empty, so null and empty
     texts are one group. The largest doc_id of a group stays (a null id is smallest). When
     rows repeat with the same id and text, exactly one of them is kept. Empty tables give
     no rows; other columns don't matter and may have any names.
     """
-    columns = docs.columns if carry else [text_col]
-    rows = docs.select(F.col(id_col).alias("doc_id"),
-                       F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-    text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))
-    left = F.col("row") if carry else F.lit(None).cast(rows.schema["row"].dataType)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).cast("long").alias("gid"),
+                       F.sha2(text, 256).alias("sha"), text.cast("binary").alias("rest"))
+    best_type = StructType([StructField("doc_id", rows.schema["doc_id"].dataType),
+                            StructField("uid", LongType())])
+
+    def state_of(joined: DataFrame, uid, open_, size, best) -> DataFrame:
+        """One row per document that was still open; the bytes only of those that go on."""
+        return checkpointed(joined.select(
+            "doc_id", uid.alias("uid"), open_.alias("open"), "next", size.alias("size"),
+            best.cast(best_type).alias("best"), "sha", F.when(open_, F.col("rest")).alias("rest")))
 
     def closed(d: DataFrame) -> DataFrame:
         """Rows whose group is decided: alone, or their texts have ended."""
-        return d.select(
-            "doc_id", F.when(F.col("next").isNull(), F.col("doc_id"))
-                       .otherwise(F.col("best.doc_id")).alias("keep_id"),
+        alone = F.col("next").isNull()
+        return d.where("not open").select(
+            "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
             F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-            F.when(F.col("next").isNull(), True)
-             .otherwise(F.col("best").eqNullSafe(F.struct("doc_id", "uid"))).alias("kept"),
-            F.col("sha").alias("text_sha256"), *(["row"] if carry else []))
-
-    best_type = StructType([rows.schema["doc_id"], StructField("uid", LongType())])
-
-    # Round 1 runs over the input itself. Every group goes on to round 2, where each row
-    # has an id of its own (fixed by the written table) to break ties between equal rows.
-    offset, width = 0, first_bytes
-    joined, groups = _split(rows.withColumn("gid", F.lit(0).cast("long")), text, offset,
-                            width, salts, ["doc_id"])
-    open_ = F.col("next").isNotNull()
-    state = written(joined.select(
-        "doc_id", F.monotonically_increasing_id().alias("uid"), open_.alias("open"), "next",
-        F.lit(None).cast("long").alias("size"),
-        F.lit(None).cast(best_type).alias("best"),
-        F.when(~open_, F.sha2(text, 256)).alias("sha"),
-        F.when(open_, F.col("row")).otherwise(left).alias("row")), "open")
-    done = [closed(state.where("not open"))]
+            (alone | F.col("best").eqNullSafe(F.struct("doc_id", "uid"))).alias("kept"),
+            F.col("sha").alias("text_sha256"))
+
+    # Every group of round 1 goes on to round 2, where each row has an id of its own (fixed
+    # by the checkpoint) that breaks ties between repeated rows.
+    width = first_bytes
+    joined, groups = _split(rows, width, salts, ["doc_id"])
+    none = F.lit(None)
+    state = state_of(joined, F.monotonically_increasing_id(), F.col("next").isNotNull(),
+                     none.cast("long"), none)
+    done = [closed(state)]
     going = not groups.isEmpty()
     while going:
-        offset, width = offset + width, width * growth
-        rows = state.where("open").select("doc_id", "uid", "row", F.col("next").alias("gid"))
-        joined, groups = _split(rows, text, offset, width, salts, ["doc_id", "uid"])
-        open_ = F.col("next").isNotNull() & F.col("more")
-        state = written(joined.select(
-            "doc_id", "uid", open_.alias("open"), "next", "size", "best",
-            F.when(~open_, F.sha2(text, 256)).alias("sha"),
-            F.when(open_, F.col("row")).otherwise(left).alias("row")), "open")
-        done.append(closed(state.where("not open")))
+        width *= growth
+        rows = state.where("open").select("doc_id", "uid", "sha", "rest", F.col("next").alias("gid"))
+        joined, groups = _split(rows, width, salts, ["doc_id", "uid"])
+        state = state_of(joined, F.col("uid"), F.col("next").isNotNull() & F.col("more"),
+                         F.col("size"), F.col("best"))
+        done.append(closed(state))
         going = not groups.where("more").isEmpty()
     out = done[0]
     for d in done[1:]:
@@ -101,6 +99,21 @@ def equal_text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return out
 
 
-def drop_equal_texts(docs: DataFrame, **options) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
-    return equal_text_groups(docs, carry=True, **options).where("kept").select("row.*")
+def drop_equal_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     **options) -> DataFrame:
+    """The rows that stay, with the columns of ``docs``: those without a dropped twin of the
+    same id and text, and one each of rows that repeat."""
+    groups = equal_text_groups(docs, id_col, text_col, **options)
+    dropped = checkpointed(groups.where("not kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_repeats")))
+    sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
+    key = docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    stay = docs.join(dropped, key, "left_anti")
+    repeats = dropped.where("_repeats")
+    if repeats.isEmpty():
+        return stay
+    packed = docs.join(repeats, key, "left_semi") \
+                 .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(id_col).alias("_id"), sha.alias("_sha"))
+    return stay.unionByName(packed.dropDuplicates(["_id", "_sha"]).select("row.*"))

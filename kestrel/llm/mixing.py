@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import bucket_count, digest52, key_text, running_sum, written
+from kestrel.llm.common import bucket_count, checkpointed, digest52, key_text, running_sum
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -81,9 +81,9 @@ def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         digest52(F.concat(F.lit("mix:"), key_text(id_col))).alias("_h"),
         F.xxhash64(text).alias("_tie"), *columns)
-    sized = written(rows.drop("row"))
+    sized = checkpointed(rows.drop("row"))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = written(source_targets(sizes, **options)).withColumnRenamed("source", "_s")
+    targets = checkpointed(source_targets(sizes, **options)).withColumnRenamed("source", "_s")
 
     def with_target(d: DataFrame) -> DataFrame:
         """One row per source is joined; Spark broadcasts it only while it is small."""

@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import exact_dedup, mixing, sharding
+from kestrel.llm import exact_dedup, mixing, secret_scan, sharding, unigram
 from kestrel.llm.catalog import register
 from kestrel.llm.common import table
 
+#: Vocabulary files are read from where they are installed, by the driver.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@register("op2_secret_worklist")
+def op2_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text and in everything that decodes from it."""
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@register("op4_sentencepiece_unigram")
+def op4_sentencepiece_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text, and whether they decode to it."""
+    return unigram.encode_documents(table(spark, sf_dir, "documents"), PIECES)
+
+
 OP3_SQL = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256

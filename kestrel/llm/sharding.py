@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import bucket_count, digest52, key_text, running_sum, written
+from kestrel.llm.common import bucket_count, checkpointed, digest52, key_text, running_sum
 
 BASE_SHARDS, RACK_SHARDS, REGION_RACKS = 8, 2, 2
 
@@ -79,7 +79,7 @@ def assign_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id",
         shard_of(F.col(id_col), tree(shards, weights=weights)).alias("shard"),
         shard_of(F.col(id_col), tree(shards + 1, weights=weights)).alias("grown_shard"),
         digest52(F.concat(F.lit("slot:"), key_text(id_col))).alias("_h"))
-    placed = written(placed.withColumn("_one", F.lit(1).cast("long")))
+    placed = checkpointed(placed.withColumn("_one", F.lit(1).cast("long")))
     slots = running_sum(placed, "shard", "_h", ["doc_id", "size", "text_crc32"], "_one", "slot",
                         bucket_count(placed.count()))
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
