@@ -72,3 +72,35 @@ def running_sum(df: DataFrame, group: str, digest: str, order: list[str], value:
             .join(totals, [group, "_bucket"]) \
             .withColumn(out, F.col("_in") + F.col("_before")) \
             .drop("_in", "_before", "_bucket")
+
+
+def text_digest(col: str | Column = "text") -> Column:
+    """16 bytes of the SHA-256 of a text (null: of the empty one)."""
+    return F.unhex(F.substring(F.sha2(text_or_empty(col), 256), 1, 32))
+
+
+def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], unique: str,
+                salts: int = 16) -> DataFrame:
+    """Inner join of rows with one row per key of ``groups``. Every key is copied ``salts``
+    times and a row takes the copy that its ``unique`` column hashes to, so a key with a
+    third of all rows is spread over tasks."""
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(unique), F.lit(salts)).cast("int")) \
+               .join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def drop_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``decisions`` (doc_id, digest, kept) keeps; of rows that
+    repeat with the same id and text, as one is kept, one stays."""
+    verdict = decisions.groupBy("doc_id", "digest") \
+                       .agg(F.count_if("kept").alias("_kept"), F.count(F.lit(1)).alias("_all"))
+    verdict = checkpointed(verdict.where("_kept < _all")
+                           .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "_kept"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col("doc_id").alias("_i"), text_digest("text").alias("_t"))
+    same = F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_digest"))
+    stay = packed.join(verdict, same, "left_anti")
+    repeats = verdict.where("_kept > 0")
+    if not repeats.isEmpty():
+        stay = stay.unionByName(packed.join(repeats, same, "left_semi").dropDuplicates(["_i", "_t"]))
+    return stay.select("row.*")

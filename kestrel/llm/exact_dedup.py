@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from kestrel.llm.common import checkpointed
+from kestrel.llm.common import checkpointed, drop_rows
 
 FIRST_BYTES = 256
 GROWTH = 16
@@ -99,21 +99,8 @@ def equal_text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return out
 
 
-def drop_equal_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     **options) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``: those without a dropped twin of the
-    same id and text, and one each of rows that repeat."""
-    groups = equal_text_groups(docs, id_col, text_col, **options)
-    dropped = checkpointed(groups.where("not kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"),
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_repeats")))
-    sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    key = docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
-    stay = docs.join(dropped, key, "left_anti")
-    repeats = dropped.where("_repeats")
-    if repeats.isEmpty():
-        return stay
-    packed = docs.join(repeats, key, "left_semi") \
-                 .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(id_col).alias("_id"), sha.alias("_sha"))
-    return stay.unionByName(packed.dropDuplicates(["_id", "_sha"]).select("row.*"))
+def drop_equal_texts(docs: DataFrame, **options) -> DataFrame:
+    """The rows that stay, with the columns of ``docs``."""
+    groups = equal_text_groups(docs, **options)
+    return drop_rows(docs, groups.select(
+        "doc_id", F.unhex(F.substring("text_sha256", 1, 32)).alias("digest"), "kept"))

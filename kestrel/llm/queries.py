@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import exact_dedup, mixing, secret_scan, sharding, unigram
+from kestrel.llm import exact_dedup, mixing, near_dedup, quality, secret_scan, sharding, unigram
 from kestrel.llm.catalog import register
 from kestrel.llm.common import table
 
@@ -121,3 +121,16 @@ def op7_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their words in the mix, range-sorted by training position."""
     d = mixing.allocate(table(spark, sf_dir, "documents"))
     return d.orderBy(F.col("position_1").asc_nulls_last(), "doc_id")
+
+
+@register("op8_latent_neighbours")
+def op8_latent_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by votes of similar labelled ones."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_dart_minhash")
+def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")

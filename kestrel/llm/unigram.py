@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # below the least score, as SentencePiece has it
-WORD_CACHE = 400_000    # distinct words a worker remembers; only saves time
+WORD_CACHE = 250_000    # distinct words a worker remembers; only saves time
+SLICE = 1 << 20         # characters encoded together
 
 
 class DoubleArray:
@@ -291,13 +292,12 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
         pieces = np.array([p.replace(MARK, " ") for p in model.pieces], dtype=object)
         is_byte = np.zeros(len(model.pieces), bool)
         is_byte[model.byte_id[model.byte_id >= 0]] = True
-        for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
+        for doc_ids, texts in _slices(batches):
             ids = encoder.encode(texts)
             n_bytes = [int(is_byte[i].sum()) for i in ids]
             exact = [_decodes_to(model, pieces, is_byte, i, n, t)
                      for i, n, t in zip(ids, n_bytes, texts)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids,
+            yield pd.DataFrame({"doc_id": doc_ids, "ids": ids,
                                 "n_tokens": [len(i) for i in ids], "n_bytes": n_bytes,
                                 "exact": exact})
 
@@ -308,6 +308,21 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
                .withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
+    """Doc ids and texts in runs of about ``SLICE`` characters: bounds a worker's memory."""
+    for batch in batches:
+        ids, texts, size = [], [], 0
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            ids.append(doc_id)
+            texts.append(text if isinstance(text, str) else "")
+            size += len(texts[-1])
+            if size >= SLICE:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        if ids:
+            yield ids, texts
+
+
 def _decodes_to(model, pieces, is_byte, ids, n_bytes, text) -> bool:
     if n_bytes:
         at = np.flatnonzero(is_byte[ids])
