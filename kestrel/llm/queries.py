@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import exact_dedup, mixing, near_dedup, quality, secret_scan, sharding, unigram
+from kestrel.llm import (
+    exact_dedup, html_layout, mixing, near_dedup, quality, secret_scan, sharding, topk_search,
+    unigram, warc_fixity)
 from kestrel.llm.catalog import register
 from kestrel.llm.common import table
 
@@ -134,3 +136,68 @@ def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_size", "kept")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS words
+           FROM documents),
+n AS (SELECT count(*) AS n_docs, sum(len(words)) / count(*) AS average FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, ln(1 + (n_docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM p, n GROUP BY term, n_docs),
+s AS (SELECT q.doc_id AS query_id, p.doc_id,
+             round(sum(q.tf * f.idf * (p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * len(d.words) / n.average)))), 6) AS score
+      FROM p AS q JOIN f USING (term) JOIN p USING (term) JOIN d ON d.doc_id = p.doc_id, n
+      WHERE q.doc_id % 100 = 0 GROUP BY q.doc_id, p.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@register("op1_block_max_wand", OP1_SQL)
+def op1_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents by BM25 for every document whose id is divisible by 100."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return topk_search.search(docs, docs.where(topk_search.is_query()), k=10)
+
+
+@register("op5_layout_extraction")
+def op5_layout_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page, laid out."""
+    return html_layout.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def _warc_sql() -> str:
+    record = ("'WARC/1.1' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:uuid:' || "
+              "concat_ws('-', substr(m, 1, 8), substr(m, 9, 4), substr(m, 13, 4), substr(m, 17, 4), substr(m, 21, 12))"
+              f" || '>' || nl || 'WARC-Date: {warc_fixity.DATE}' || nl || 'WARC-Target-URI: ' || coalesce(url, '')"
+              " || nl || 'Content-Type: text/html' || nl || 'Content-Length: ' || strlen(body)::VARCHAR"
+              " || nl || nl || body || nl || nl")
+    levels = "".join(f""",
+n{i} AS (SELECT warc_file, {'0' if i > warc_fixity.LEVELS else f'node // {warc_fixity.FANOUT}'} AS node,
+        sha256(string_agg(node::VARCHAR || ':' || digest, chr(10) ORDER BY node)) AS digest FROM n{i - 1} GROUP BY ALL)"""
+                     for i in range(2, warc_fixity.LEVELS + 2))
+    return f"""
+WITH b AS (SELECT page_id, url, coalesce(html, '') AS body, chr(13) || chr(10) AS nl,
+                  coalesce(CAST(page_id AS VARCHAR), 'null') AS key FROM pages),
+m AS (SELECT *, md5('warc:' || key) AS m FROM b),
+r AS (SELECT page_id, key, {record} AS record FROM m),
+f AS (SELECT page_id, key, strlen(record) AS length, sha256(record) AS digest,
+             {_digest52_sql("'fate:' || key")} % 500 AS fate FROM r),
+t AS (SELECT greatest(1, ceil(sum(length) / {float(warc_fixity.FILE_BYTES)}))::BIGINT AS files FROM f),
+w AS (SELECT f.*, ({_digest52_sql("'file:' || key")} % files)::INTEGER AS warc_file,
+             {_digest52_sql("'place:' || key")} AS h FROM f, t),
+l AS (SELECT *, (sum(length) OVER (PARTITION BY warc_file ORDER BY h, page_id, length, digest
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT - length AS start FROM w),
+n1 AS (SELECT warc_file, start // {warc_fixity.RANGE_BYTES} AS node,
+              sha256(string_agg(concat_ws(':', start, length, digest), chr(10) ORDER BY start)) AS digest
+       FROM l GROUP BY ALL){levels}
+SELECT page_id, l.warc_file, start AS "offset", length, l.digest, n{warc_fixity.LEVELS + 1}.digest AS root,
+       CASE fate WHEN 0 THEN 'damaged' WHEN 1 THEN 'missing' ELSE 'ok' END AS status
+FROM l JOIN n{warc_fixity.LEVELS + 1} USING (warc_file)
+"""
+
+
+@register("op10_merkle_fixity", _warc_sql())
+def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in two replicas, and where the second departs."""
+    return warc_fixity.fixity_drill(table(spark, sf_dir, "pages"))
