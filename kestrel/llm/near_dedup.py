@@ -9,10 +9,12 @@ Jaccard similarity. Tiles are visited only up to the rank at which all coordinat
 filled, about ``k (ln k + 3) / weight`` rows, so a signature costs O(n + k log k).
 
 Equal band keys make buckets; candidates are checked exactly and linked, and classes are
-the connected components. A bucket is never expanded into pairs. Members are compared with
-leaders: one in the first round, eight times as many in each later one, and only members
-that are not yet in the leader's class. A bucket is finished when all its members that have
-not led are in one class, so no link between members is missed.
+the connected components. A bucket is never expanded into pairs: its members are compared
+with a leader, and a bucket is finished when all members that have not led are in one
+class. The documents of buckets that one leader doesn't settle (those that merely share a
+passage, mostly) are dealt anew by their rarest shingles (prefix filtering, which misses no
+similar pair), again with leaders, eight times as many in each round, compared only with
+members outside of their class.
 """
 
 from __future__ import annotations
@@ -233,33 +235,70 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                .select("node", "leader")
 
 
+def prefix_buckets(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(key, node, n, at, leads): the rarest elements of each of the given nodes with their
+    places in the order of rarity, as many as must contain a shared one if two sets are
+    similar: n - ceil(similarity * n) + 1. ``leads`` marks those of them that must contain
+    one shared with a set at least as large: n - ceil(2 similarity / (1 + similarity) * n) + 1.
+    So a similar pair always meets under a key that leads in the smaller set; documents
+    that only share a frequent passage, or are far copies of one text, don't: the elements
+    they share stand behind their own."""
+    own = checkpointed(sets.join(nodes, "node", "left_semi")
+                       .select("node", "n", F.explode("elements").alias("key")))
+    spread = own.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    by_rarity = Window.partitionBy("node").orderBy("df", "key")  # one document's elements
+    least = F.ceil(similarity * F.col("n") - _EPSILON)
+    both = F.ceil(2 * similarity / (1 + similarity) * F.col("n") - _EPSILON)
+    return own.join(spread, "key").withColumn("at", F.row_number().over(by_rarity)) \
+              .where((F.col("at") <= F.col("n") - least + 1) & (F.col("df") > 1)) \
+              .select("key", "node", "n", "at", (F.col("at") <= F.col("n") - both + 1).alias("leads"))
+
+
+_EPSILON = 1e-9
+
+
 def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(node, comp): components of the similar pairs that share a bucket.
 
     ``buckets`` has (key, node) of buckets with more than one node, ``sets`` (node, n,
-    elements). Each round takes leaders from every open bucket."""
+    elements). Each round takes leaders from every open bucket. The first round settles
+    nearly everything; the nodes of the buckets that are still open then are dealt anew by
+    their rarest elements, which no similar pair can miss."""
     comps = checkpointed(sets.select("node", F.col("node").alias("comp")))
-    rows = buckets.withColumn("led", F.lit(False))
-    leaders, tried = 1, None
+    rows = buckets.join(sets.select("node", "n"), "node") \
+                  .select("key", "node", "n", F.lit(1).alias("at"), F.lit(True).alias("leads"))
+    leaders, round_, tried = 1, 1, None
     while True:
+        # A row that has led was compared with all others of its bucket and is out of it.
         now = rows.join(comps, "node")
-        open_ = now.where("not led").groupBy("key") \
-                   .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                       F.bool_or("leads").alias("any")) \
+                   .where("lo <> hi and any").select("key")
         now = checkpointed(now.join(open_, "key", "left_semi"))
         if now.isEmpty():
             return comps
-        idle = now.where("not led")
+        if round_ == 2:
+            left = now.select("node").distinct()
+            rows = checkpointed(prefix_buckets(left, sets, similarity))
+            round_ = 3
+            continue
+        first = F.struct("node", F.col("comp").alias("of"), "n", "at")
         if leaders == 1:  # a plain aggregate: pre-aggregated however large the bucket
-            picked = idle.groupBy("key").agg(F.min(F.struct("node", "comp")).alias("l")) \
-                         .select("key", F.col("l.node").alias("leader"), F.col("l.comp").alias("of"))
+            picked = now.where("leads").groupBy("key").agg(F.min(first).alias("l"))
         else:
             best = Window.partitionBy("key").orderBy("node")
-            picked = idle.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= leaders) \
-                         .select("key", F.col("node").alias("leader"), F.col("comp").alias("of"))
-        picked = checkpointed(picked)
-        pairs = idle.join(picked, "key").where("comp <> of") \
-                    .select(F.greatest("node", "leader").alias("node"),
-                            F.least("node", "leader").alias("leader")).distinct()
+            picked = now.where("leads").withColumn("_r", F.row_number().over(best)) \
+                        .where(F.col("_r") <= leaders).select("key", first.alias("l"))
+        picked = checkpointed(picked.select("key", F.col("l.node").alias("leader"), "l.of",
+                                            F.col("l.n").alias("m"), F.col("l.at").alias("lat")))
+        # If this is the first element that two sets share, they share at most what stands
+        # behind it in both; a similar pair is met under its first shared element.
+        reach = 1 + F.least(F.col("n") - F.col("at"), F.col("m") - F.col("lat"))
+        meet = (now["key"] == picked["key"]) & (F.col("comp") != F.col("of")) & \
+               (reach >= similarity / (1 + similarity) * (F.col("n") + F.col("m")) - _EPSILON)
+        pairs = now.join(picked, meet) \
+                   .select(F.greatest("node", "leader").alias("node"),
+                           F.least("node", "leader").alias("leader")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["node", "leader"], "left_anti")
         pairs = checkpointed(pairs)
@@ -269,11 +308,12 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
                      .join(comps.select(F.col("node").alias("leader"), F.col("comp").alias("b")), "leader") \
                      .select("a", "b")
         comps = components(comps, links)
-        rows = now.select("key", "node", "led") \
-                  .join(picked.select("key", F.col("leader").alias("node"), F.lit(True).alias("_l")),
-                        ["key", "node"], "left") \
-                  .select("key", "node", (F.col("led") | F.coalesce("_l", F.lit(False))).alias("led"))
-        leaders *= LEADERS
+        rows = now.drop("comp").join(picked.select("key", F.col("leader").alias("node")),
+                                     ["key", "node"], "left_anti")
+        if round_ == 1:
+            round_ = 2
+        else:
+            leaders *= LEADERS
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS,

@@ -25,22 +25,26 @@ from kestrel.llm.common import digest52, key_text
 MAX_LABELLED = 4096   # documented bound of the labelled sample
 TERMS = 4096          # hashed terms
 DIMS = 64             # latent dimensions
-NEIGHBOURS = 25
-SHARPNESS = 8         # a neighbour votes with similarity ** SHARPNESS
-PRIOR_VOTES = 8.0     # votes for the labelled mean: decides where nothing is similar
+NEIGHBOURS = 9
+SHARPNESS = 16        # a neighbour votes with similarity ** SHARPNESS
+PRIOR_VOTES = 0.5     # votes for the labelled mean: decides where nothing is similar
 THRESHOLD = 0.7
 BLOCK = 512           # documents per block of cosine products
 STYLE = 256           # the first terms are word shapes
+STYLE_SHARE, WORD_SHARE = 1.0, 0.4  # lengths of the two parts of a term vector
 TERM_MEMO = 200_000   # words whose terms a worker remembers; only saves time
 
 
-def _shape(word: str) -> str:
-    """Case and punctuation of a word: ``THE!!`` -> ``A!!``, ``are.***`` -> ``a.***``."""
-    body = word.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-    tail = word[len(word.rstrip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")):] if body else word
-    case = "" if not body else "0" if body.isdigit() else "A" if len(body) > 1 and body.isupper() \
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _shape(word: str) -> tuple[str, str]:
+    """Case and final punctuation of a word: ``THE!!`` -> A, !!; ``are.***`` -> a, .***."""
+    body = word.strip(_PUNCTUATION)
+    tail = word[len(word.rstrip(_PUNCTUATION)):] if body else word
+    case = "-" if not body else "0" if body.isdigit() else "A" if len(body) > 1 and body.isupper() \
         else "c" if body[0].isupper() else "a"
-    return case + tail[:4]
+    return case, tail[:4]
 
 
 def _bucket(term: str, least: int, most: int) -> int:
@@ -52,7 +56,7 @@ class Terms:
     length so that neither drowns the other."""
 
     def __init__(self):
-        self.memo: dict[str, tuple[int, int]] = {}
+        self.memo: dict[str, tuple[int, int, int]] = {}
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         words = (text or "").split()
@@ -66,13 +70,16 @@ class Terms:
         for w, n in Counter(words).items():
             ids = memo.get(w)
             if ids is None:
-                ids = memo[w] = (_bucket(_shape(w), 1, STYLE),
-                                 _bucket("w" + w.lower().strip(".,!$%&*#|"), STYLE, TERMS))
+                case, tail = _shape(w)
+                odd = "" if len(tail) < 2 else "2"  # more than a sentence's punctuation
+                ids = memo[w] = (_bucket(case + tail, 8, STYLE), _bucket("c" + case + odd, 8, STYLE),
+                                 _bucket("w" + w.lower().strip(_PUNCTUATION), STYLE, TERMS))
             style[ids[0]] += n
-            meant[ids[1]] += n
+            style[ids[1]] += n
+            meant[ids[2]] += n
         style[0] = 2 * sum(map(eq, words, words[1:]))  # repeats of the word before
         out_i, out_v = [], []
-        for counts, share in ((style, 0.9), (meant, 0.45)):
+        for counts, share in ((style, STYLE_SHARE), (meant, WORD_SHARE)):
             v = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
             out_i.append(np.fromiter(counts.keys(), np.int64, len(counts)))
             out_v.append(v * (share / max(1e-9, float(np.sqrt((v * v).sum())))))
