@@ -1,8 +1,67 @@
-"""From raw documents to token ids, in stages that are each written and read again."""
+"""From raw documents to token ids, in stages that are each written and read again.
 
-STAGES = []
+Quality classifier, exact dedup, near dedup, source mixing, SentencePiece encoding: every
+stage works on all rows that the one before kept. All but the last return the columns of
+``documents``; the last returns the piece ids by doc_id. A document that the mix
+takes twice is encoded twice, as two training rows.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from kestrel.llm import exact_dedup, mixing, near_dedup, quality, unigram
+from kestrel.llm.common import table
+from kestrel.llm.queries import PIECES
+from kestrel.session import ensure_checkpoint_dir
+
+#: The classifier and the order of the mix aren't expressible in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. Its labelled rows come from ``documents``."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document stays of equal texts: the one with the largest doc_id."""
+    return exact_dedup.drop_equal_texts(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document stays of each near-duplicate class: the one with the least doc_id."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in training order."""
+    return mixing.training_order(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every training row."""
+    return unigram.encode_documents(docs, PIECES)
+
+
+STAGES = [
+    ("quality classifier", keep_good_quality),
+    ("exact dedup", drop_exact_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; every stage is written as Parquet in the shared folder
+    and read again."""
+    docs = table(spark, sf_dir, "documents")
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-pipeline/{uuid.uuid4().hex}"
+    for number, (_, stage) in enumerate(STAGES):
+        path = f"{base}/{number}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
