@@ -5,9 +5,9 @@
     python bench.py KEY [KEY ...]  # selected queries
 
 Each query is executed in full with a ``noop`` write (every row is produced, nothing
-is collected to the driver). Untimed warm-up queries (a scan and aggregation of ``region``,
-a pandas UDF on every core) absorb JVM start-up, JIT compilation and Python worker
-start-up. Prints one JSON line.
+is collected to the driver). An untimed warm-up query (a scan and aggregation of
+``region``) absorbs JVM start-up. Every key runs ``BENCH_REPEATS`` times (default 1) and its
+median counts. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -53,21 +54,20 @@ def main() -> None:
     args = sys.argv[1:]
     run_all = "--all" in args
     only = [a for a in args if not a.startswith("--")]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, scan_partitions=cpus,
                           app_name="kestrel-bench")
     catalog.load_all()
     region = spark.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
     region.groupBy("r_regionkey").count().write.format("noop").mode("overwrite").save()
-    # Start the Python workers too (a once-per-executor cost, not a per-query one).
-    from kestrel.functions.text import porter_stem_udf
-    (spark.range(0, 64, 1, cpus).select(porter_stem_udf(F.lit("warming")))
-          .write.format("noop").mode("overwrite").save())
+    repeats = max(1, int(os.environ.get("BENCH_REPEATS", "1")))
     timings: dict[str, float] = {}
     for key in only or (sorted(catalog.QUERIES) if run_all else HEADLINE):
-        t0 = time.perf_counter()
-        df = catalog.QUERIES[key](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        timings[key] = round(time.perf_counter() - t0, 3)
+        took = []
+        for _ in range(repeats):
+            t0 = time.perf_counter()
+            catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            took.append(time.perf_counter() - t0)
+        timings[key] = round(statistics.median(took), 3)
         print(f"# {key}: {timings[key]:.2f}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

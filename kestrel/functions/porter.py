@@ -1,7 +1,7 @@
 """Porter's suffix-stripping algorithm (M.F. Porter, 1980, Program 14(3) 130-137).
 
-A pure per-word function. Spark code never calls it per token: the stemming job applies
-it once per distinct word of the corpus (see ``kestrel.functions.text``).
+The rule tables, and a per-word function against which the tests hold the column form
+of the algorithm (``kestrel.functions.porter_sql``). No Spark job calls it.
 """
 
 from __future__ import annotations

@@ -10,12 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
-from kestrel.functions.porter import stem as porter_stem
+from kestrel.functions import porter_sql
 from kestrel.functions.stopwords import ENGLISH_STOP_WORDS
 
 
@@ -56,30 +54,9 @@ def join_tokens(tokens: str | Column) -> Column:
     return F.array_join(F.col(tokens) if isinstance(tokens, str) else tokens, " ")
 
 
-@F.pandas_udf(StringType())
-def porter_stem_udf(words: pd.Series) -> pd.Series:
-    """Arrow-batched Porter stem; memoised per Python worker."""
-    return words.map(porter_stem)
-
-
-_MEMO: dict[str, str] = {}
-_MEMO_LIMIT = 1 << 21
-
-
-def _stem_memo(word: str) -> str:
-    s = _MEMO.get(word)
-    if s is None:
-        if len(_MEMO) >= _MEMO_LIMIT:
-            _MEMO.clear()
-        s = _MEMO[word] = porter_stem(word)
-    return s
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def porter_stem_array_udf(token_lists: pd.Series) -> pd.Series:
-    """Stem every token of every array in an Arrow batch; each Python worker keeps a
-    memo, so a word is stemmed about once per worker however often it occurs."""
-    return token_lists.map(lambda ts: None if ts is None else [_stem_memo(t) for t in ts])
+def porter_stems(tokens_col: str) -> Column:
+    """T4: the Porter stem of every word of an array column, in the JVM (``porter_sql``)."""
+    return F.expr(porter_sql.stems(f"`{tokens_col}`"))
 
 
 def stem_vocabulary(tokens: DataFrame, token_col: str = "token", times: int = 1
@@ -87,14 +64,13 @@ def stem_vocabulary(tokens: DataFrame, token_col: str = "token", times: int = 1
     """``(word, stem)`` for every distinct word, stemmed ``times`` times.
 
     The distinct step is a partial aggregation, so a word that fills a third of the
-    corpus is one row per task before the shuffle; Python then runs once per distinct
-    word, not once per token.
+    corpus is one row per task before the shuffle; a word is stemmed once.
     """
-    vocab = tokens.select(F.col(token_col).alias("word")).distinct()
-    s = F.col("word")
+    d = tokens.select(F.col(token_col).alias("word")).distinct() \
+              .withColumn("_stems", F.array("word"))
     for _ in range(times):
-        s = porter_stem_udf(s)
-    return vocab.select("word", s.alias("stem"))
+        d = d.withColumn("_stems", porter_stems("_stems"))
+    return d.select("word", F.element_at("_stems", 1).alias("stem"))
 
 
 def explode_tokens(docs: DataFrame, key: str, tokens_col: str) -> DataFrame:
@@ -107,19 +83,18 @@ def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens"
                 keep: Sequence[str] = ()) -> DataFrame:
     """Replace each token array by its stems, keeping token order (T4 applied).
 
-    ``inline`` (default): an Arrow-batched pandas UDF stems the arrays where they are,
-    with a per-worker memo; no token ever crosses the network.
+    ``inline`` (default): the arrays are stemmed where they are; no token crosses the
+    network.
     ``vocabulary``: tokens -> (key, pos, token) -> join the stemmed distinct vocabulary
-    -> rebuild each array in position order. Python runs once per distinct word of the
-    corpus, but every token is shuffled twice (join, regroup); hot words skew the join
-    (AQE splits those partitions, or broadcasts a vocabulary measured small).
+    -> rebuild each array in position order. A distinct word is stemmed once, but every
+    token is shuffled twice (join, regroup).
     ``keep`` names columns carried through unchanged (inline strategy only).
     """
     if strategy == "inline":
-        s = F.col(tokens_col)
+        d = docs.select(key, *keep, F.col(tokens_col).alias("_stems"))
         for _ in range(times):
-            s = porter_stem_array_udf(s)
-        return docs.select(key, *keep, s.alias(out))
+            d = d.withColumn("_stems", porter_stems("_stems"))
+        return d.select(key, *keep, F.col("_stems").alias(out))
     if keep:
         raise ValueError("keep is only supported by the inline strategy")
     exploded = explode_tokens(docs, key, tokens_col)

@@ -3,8 +3,9 @@
 Two shapes: a long form ``(doc_id, term, tf, df, weight)`` that SQL can check, built
 from aggregations and equi-joins only, and Spark ML vectors for model fitting.
 Per-term statistics are computed with ``groupBy`` (partial aggregation absorbs a term
-present in every document) and joined back; a window partitioned by term would put all
-rows of a frequent term into one task. Per-document statistics use a window over the
+present in every document) and joined back: frequent terms by a broadcast of bounded
+size, the others by a shuffle. A window partitioned by term would put all rows of a
+frequent term into one task. Per-document statistics use a window over the
 document, a group bounded by the document's own length.
 """
 
@@ -14,6 +15,8 @@ from pyspark.ml.feature import HashingTF, IDF
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import materialize
+
 
 def explode_terms(docs: DataFrame, key: str, tokens: str) -> DataFrame:
     """(key, term) for every token. ``explode_outer`` + a null filter, because for a
@@ -34,6 +37,26 @@ def document_frequency(tf: DataFrame, key: str = "doc_id") -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+HOT_TERMS = 10_000
+
+
+def join_term_stats(tf: DataFrame, stats: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:
+    """``tf`` (.., term, ..) with the statistics (term, df, ..) of its terms.
+
+    Terms in more than 1 / ``hot_terms`` of all postings are joined by broadcast: there are
+    at most ``hot_terms`` of them, since their document frequencies sum up to the postings.
+    Every other term is in so few documents that its rows fit in a task of the shuffled
+    join. ``stats`` is read three times: pass a checkpoint.
+    """
+    postings = stats.agg(F.sum("df")).first()[0] or 0
+    limit = postings / hot_terms
+    hot = F.broadcast(stats.where(F.col("df") > limit))
+    often = tf.join(hot, "term")
+    seldom = tf.join(F.broadcast(stats.where(F.col("df") > limit).select("term")), "term", "left_anti") \
+               .join(stats.where(F.col("df") <= limit), "term")
+    return often.unionByName(seldom)
+
+
 def n_documents(docs: DataFrame) -> int:
     """Corpus size; a scalar computed once and used as a literal."""
     return docs.count()
@@ -62,12 +85,12 @@ def tfidf_smooth_l2(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens"
     """
     base = fit_docs if fit_docs is not None else docs
     m = n_documents(base)
-    tf = term_counts(docs, key, tokens)
+    tf = materialize(term_counts(docs, key, tokens))  # the texts are tokenised once
     df = document_frequency(term_counts(base, key, tokens) if fit_docs is not None else tf,
                             key)
-    idf = df.select("term", "df",
-                    (F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    w = tf.join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    idf = materialize(df.select(
+        "term", "df", (F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")))
+    w = join_term_stats(tf, idf).withColumn("raw", F.col("tf") * F.col("idf"))
     # A document is a bounded group (its own distinct terms), so the row norm is a
     # window over the document; unlike a groupBy + join it does not recompute ``w``.
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))

@@ -12,41 +12,28 @@ from collections.abc import Sequence
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Binarizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import ensure_checkpoint_dir
+from kestrel.session import materialize  # noqa: F401
 
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a table that several fits read.
-
-    A reliable checkpoint is written to the shared directory named by
-    ``spark.checkpoint.dir``, so a lost executor costs a re-read, not a replay of the
-    text pipeline.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def for_gradient_passes(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
-    """Fewer, larger partitions for L-BFGS: every iteration ships one dense gradient of
-    the full feature width per partition, so on wide hashed features the partition
-    count, not the rows, sets the cost. Coalescing is narrow (no shuffle); a large
-    table keeps about one partition per ``rows_per_partition`` rows."""
-    import math
-    want = max(1, math.ceil(df.count() / rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+MAX_CLUSTERS = 256
 
 
 def classifier(name: str, features: str = "features", label: str = "label", seed: int = 0,
-               max_depth: int = 5):
-    """The estimators of the reference with Spark ML defaults (seeds made explicit)."""
+               max_depth: int = 5, reg_param: float = 0.0, num_trees: int = 20,
+               max_bins: int = 32, aggregation_depth: int = 2):
+    """The estimators of the reference with Spark ML defaults (seeds made explicit).
+
+    ``aggregation_depth`` sets how gradients are summed: a deeper tree for many partitions
+    and wide features."""
     if name == "lr":
         return LogisticRegression(featuresCol=features, labelCol=label, maxIter=100,
-                                  regParam=0.0)
+                                  regParam=reg_param, aggregationDepth=aggregation_depth)
     if name == "nb":
         return NaiveBayes(featuresCol=features, labelCol=label, modelType="multinomial",
                           smoothing=1.0)
@@ -55,24 +42,24 @@ def classifier(name: str, features: str = "features", label: str = "label", seed
                           smoothing=1.0)
     if name == "dt":
         return DecisionTreeClassifier(featuresCol=features, labelCol=label,
-                                      maxDepth=max_depth, maxBins=32, seed=seed)
+                                      maxDepth=max_depth, maxBins=max_bins, seed=seed)
     if name == "rf":
-        return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=20,
-                                      maxDepth=max_depth, seed=seed)
+        return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=num_trees,
+                                      maxDepth=max_depth, maxBins=max_bins, seed=seed)
     raise ValueError(name)
 
 
 def fit_predict(name: str, train: DataFrame, test: DataFrame, keep: Sequence[str],
                 features: str = "features", label: str = "label", seed: int = 0,
-                max_depth: int = 5) -> DataFrame:
+                max_depth: int = 5, **params) -> DataFrame:
     """Fit on ``train``; return ``(model, keep..., label, prediction, score)`` for
     ``test`` where ``score`` is the positive-class probability (K10, P8)."""
-    est = classifier(name, features, label, seed, max_depth)
+    est = classifier(name, features, label, seed, max_depth, **params)
     if name == "nb_bernoulli":
         # Bernoulli NB accepts only 0/1 values: presence of a term.
         binar = Binarizer(threshold=0.0, inputCol=features, outputCol="_binary")
         train, test = binar.transform(train), binar.transform(test)
-    model = est.fit(for_gradient_passes(train) if name == "lr" else train)
+    model = est.fit(train)
     pred = model.transform(test)
     return pred.select(
         F.lit(name).alias("model"), *keep, F.col(label).cast("int").alias("label"),
@@ -100,26 +87,34 @@ def group_means(points: DataFrame, group: str, vector_col: str = "embedding") ->
                   .groupBy(group, "dim").agg(F.avg(F.col("v").cast("double")).alias("mean")))
 
 
-def silhouette(points: DataFrame, cluster: str, vector_col: str = "embedding",
-               per_point: bool = False) -> DataFrame:
-    """Mean silhouette with squared Euclidean distance (E16), in O(n * k * d).
+def mean_silhouette(points: DataFrame, cluster: str, vector_col: str = "embedding") -> DataFrame:
+    """Mean silhouette with squared Euclidean distance (E16), by Spark ML's evaluator."""
+    vectors = points.select(array_to_vector(F.col(vector_col).cast("array<double>")).alias("_x"),
+                            F.col(cluster).cast("double").alias("_c"))
+    value = ClusteringEvaluator(featuresCol="_x", predictionCol="_c", metricName="silhouette",
+                                distanceMeasure="squaredEuclidean").evaluate(vectors)
+    return points.sparkSession.createDataFrame([(float(value),)], "silhouette double")
+
+
+def point_silhouettes(points: DataFrame, cluster: str, vector_col: str = "embedding") -> DataFrame:
+    """``points`` with the silhouette of every row (squared Euclidean distance), in
+    O(n * k * d); the evaluator of Spark ML only has the mean.
 
     The mean squared distance from x to the points of cluster C is
     ``||x||^2 - 2 x . S_C / N_C + Q_C / N_C`` with S_C the vector sum, Q_C the sum of
     squared norms and N_C the size of C; for x's own cluster it is rescaled by
     N/(N-1) to leave x itself out. Only these k-cluster statistics (k x d numbers)
-    are gathered, as Spark ML's ClusteringEvaluator does; no pair of points is ever
-    formed. A point alone in its cluster scores 0.
+    are gathered; no pair of points is ever formed. A point alone in its cluster scores 0.
+    At most ``MAX_CLUSTERS`` clusters: the statistics become expressions.
     """
     pts = points.select(cluster, F.col(vector_col).cast("array<double>").alias("_x"))
-    dims = pts.select(F.posexplode("_x").alias("dim", "v"), cluster)
-    sums = dims.groupBy(cluster, "dim").agg(F.sum("v").alias("s"))
-    sizes = pts.groupBy(cluster).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v)).alias("q"))
-    stats = {r[cluster]: {"n": r["n"], "q": r["q"]} for r in sizes.collect()}
-    for r in sums.collect():
-        stats[r[cluster]].setdefault("s", {})[r["dim"]] = r["s"]
+    squares = F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v)
+    rows = pts.groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(squares).alias("q"),
+        Summarizer.sum(array_to_vector("_x")).alias("s")).take(MAX_CLUSTERS + 1)
+    if len(rows) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters in {cluster}")
+    stats = {r[cluster]: {"n": r["n"], "q": r["q"], "s": dict(enumerate(r["s"]))} for r in rows}
     keys = sorted(stats)
     norm2 = F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v)
     d = pts.withColumn("_n2", norm2)
@@ -144,8 +139,5 @@ def silhouette(points: DataFrame, cluster: str, vector_col: str = "embedding",
           .when(a < b, F.lit(1.0) - a / b)
           .when(a > b, b / a - F.lit(1.0))
           .otherwise(F.lit(0.0)))
-    d = d.withColumn("silhouette", s)
-    if per_point:
-        return d.drop("_x", "_n2", *[f"_a{i}" for i in range(len(keys))],
-                      *[f"_b{i}" for i in range(len(keys))])
-    return d.agg(F.avg("silhouette").alias("silhouette"))
+    return d.withColumn("silhouette", s) \
+            .drop("_x", "_n2", *[f"_a{i}" for i in range(len(keys))], *[f"_b{i}" for i in range(len(keys))])

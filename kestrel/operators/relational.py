@@ -122,14 +122,6 @@ def null_flag(df: DataFrame, columns: Sequence[str] | None = None, keep: Sequenc
                               for c in cols])
 
 
-def null_counts_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """A6 laid out as rows ``(column_name, n_null)``."""
-    cols = list(columns) if columns else df.columns
-    wide = null_counts(df, cols)
-    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, n_null)")
-
-
 def null_total(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Sum of the per-column null counts, leaving out ``exclude``."""
     cols = [c for c in df.columns if c not in exclude]
@@ -139,9 +131,11 @@ def null_total(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
 
 def duplicates_removed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows minus distinct rows (A8); one aggregation over the distinct set."""
+    """Rows minus distinct rows (A8); one aggregation over the distinct rows' digests, so
+    that only 64 characters of a row are shuffled."""
     cols = list(columns) if columns else df.columns
-    per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    row = F.sha2(F.to_json(F.struct(*cols)), 256)
+    per_row = df.groupBy(row.alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     return per_row.agg(
         F.sum("_n").cast("long").alias("n_rows"),
         F.count(F.lit(1)).alias("n_distinct"),

@@ -77,9 +77,10 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42,
 
 def size_schedule(df: DataFrame, chunks: int, min_size: int, max_size: int) -> DataFrame:
     """Sample sizes ``min + (i+1) * floor((n - min) / chunks)`` with
-    ``n = min(rows, max)`` (R4); ``rows`` is counted by Spark."""
+    ``n = min(rows, max)`` (R4); ``rows`` is counted by Spark. With fewer rows than
+    ``min_size`` the step is 0, as in the learning curve."""
     n = F.least(F.col("_rows"), F.lit(max_size))
-    step = F.floor((n - F.lit(min_size)) / F.lit(chunks)).cast("long")
+    step = F.greatest(F.lit(0), F.floor((n - F.lit(min_size)) / F.lit(chunks))).cast("long")
     return (df.agg(F.count(F.lit(1)).alias("_rows"))
               .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
                       .alias("chunk"),

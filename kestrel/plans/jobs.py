@@ -50,6 +50,6 @@ def overfit_job(spark, sf_dir):
 def clustering_job(spark, sf_dir):
     """Q5: k-means -> assignment -> per-cluster size and mean silhouette."""
     _, assigned = M.kmeans_fit(T.load(spark, sf_dir, "embeddings"), KMEANS_K, KMEANS_SEED)
-    per_point = M.silhouette(assigned, "cluster", per_point=True)
+    per_point = M.point_silhouettes(assigned, "cluster")
     return per_point.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n_points"), F.avg("silhouette").alias("silhouette"))

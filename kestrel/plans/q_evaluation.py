@@ -192,13 +192,10 @@ def train_test_accuracy(spark, sf_dir):
 
 
 def _accuracy_table(spark, sf_dir):
-    s = stacked_rule_predictions(spark, sf_dir)
-    c = E.confusion_counts(s, ["model"]).select("model")  # keeps every model present
-    acc = E.classification_metrics(s, ["model", "split"])
-    wide = acc.groupBy("model").agg(
+    acc = E.classification_metrics(stacked_rule_predictions(spark, sf_dir), ["model", "split"])
+    return acc.groupBy("model").agg(
         F.max(F.when(F.col("split") == "train", F.col("accuracy"))).alias("train_accuracy"),
         F.max(F.when(F.col("split") == "test", F.col("accuracy"))).alias("test_accuracy"))
-    return c.join(wide, "model", "left")
 
 
 @register("fit_diagnosis", _SPLIT_COUNTS + """

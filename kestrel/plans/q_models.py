@@ -14,6 +14,7 @@ from kestrel.functions import text as X
 from kestrel.operators import evaluation as E
 from kestrel.operators import features as V
 from kestrel.operators import models as M
+from kestrel.operators import naive_bayes as NB
 from kestrel.operators.sampling import exact_split, random_split, split_threshold
 from kestrel.plans.catalog import register
 from kestrel.plans.q_text import TOKENS_SQL
@@ -48,18 +49,23 @@ def text_features(spark, sf_dir, num_features: int = LINEAR_FEATURES, clean=None
     return M.materialize(feats.select("doc_id", "label", "split", "features"))
 
 
-def count_features(spark, sf_dir):
-    """(doc_id, label, split, features): exact-vocabulary raw term counts of the T1-T3
-    tokens (CountVectorizer fitted on all labelled rows, as the reference fits its
-    vectoriser before the split). The vocabulary is the model's only driver state."""
-    from pyspark.ml.feature import CountVectorizer
+def labelled_terms(spark, sf_dir):
+    """(docs, terms): (doc_id, label, split) and (doc_id, label, split, term, n) of the
+    T1-T3 tokens of the labelled text, checkpointed."""
     docs = labelled_docs(spark, sf_dir)
-    toks = docs.select("doc_id", F.col("label").cast("double").alias("label"),
-                       X.letter_tokens("text").alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=1 << 18,
-                         minDF=1.0).fit(toks)
-    feats = cv.transform(toks).select("doc_id", "label", "features")
-    return M.materialize(random_split(feats, "doc_id", 0.8, SPLIT_SEED))
+    toks = docs.select("doc_id", "label", X.letter_tokens("text").alias("tokens"))
+    toks = M.materialize(random_split(toks, "doc_id", 0.8, SPLIT_SEED))
+    terms = toks.select("doc_id", "label", "split", F.explode("tokens").alias("term")) \
+                .groupBy("doc_id", "label", "split", "term").agg(F.count(F.lit(1)).alias("n"))
+    return toks.select("doc_id", "label", "split"), M.materialize(terms)
+
+
+def tfidf_terms(docs, terms):
+    """The counts weighted by ``ln((m + 1) / (df + 1))`` over all rows (V2)."""
+    m = docs.count()
+    df = M.materialize(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    d = V.join_term_stats(terms, df)
+    return M.materialize(d.withColumn("n", F.col("n") * F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0))).drop("df"))
 
 
 _NB_SQL = """
@@ -69,8 +75,9 @@ ds AS (SELECT doc_id, label,
               CASE WHEN substr(md5('{seed}:' || CAST(doc_id AS VARCHAR)), 1, 4) < '{thr}'
                    THEN 'train' ELSE 'test' END AS split,
               {tokens} AS tokens FROM docs),
-tc AS (SELECT doc_id, label, split, term, count(*) AS n
-       FROM (SELECT doc_id, label, split, unnest(tokens) AS term FROM ds) u GROUP BY ALL),
+raw AS (SELECT doc_id, label, split, term, count(*) AS n
+        FROM (SELECT doc_id, label, split, unnest(tokens) AS term FROM ds) u GROUP BY ALL),
+tc AS (SELECT doc_id, label, split, term, {weight} AS n FROM raw),
 v AS (SELECT count(DISTINCT term) AS nv FROM tc),
 ntrain AS (SELECT count(*) AS n FROM ds WHERE split = 'train'),
 cls AS (SELECT label AS c, count(*) AS nd FROM ds WHERE split = 'train' GROUP BY label),
@@ -90,8 +97,7 @@ scores AS (
                           FROM test_terms tt LEFT JOIN ct ON ct.c = p.c AND ct.term = tt.term
                           WHERE tt.doc_id = t.doc_id), 0) AS s
   FROM test_docs t, prior p, ctot, v WHERE ctot.c = p.c)
-SELECT doc_id, label, CASE WHEN max(s) FILTER (WHERE c = 1) > max(s) FILTER (WHERE c = 0)
-                          THEN 1 ELSE 0 END AS prediction
+SELECT {columns}
 FROM scores GROUP BY doc_id, label"""
 
 NB_BERNOULLI_SQL = _NB_SQL + """
@@ -108,11 +114,22 @@ scores AS (
                                   FROM test_terms tt LEFT JOIN theta th ON th.c = p.c AND th.term = tt.term
                                   WHERE tt.doc_id = t.doc_id), 0) AS s
   FROM test_docs t, prior p, negsum ns WHERE ns.c = p.c)
-SELECT doc_id, label, CASE WHEN max(s) FILTER (WHERE c = 1) > max(s) FILTER (WHERE c = 0)
-                          THEN 1 ELSE 0 END AS prediction
+SELECT {columns}
 FROM scores GROUP BY doc_id, label"""
 
 
+_S1, _S0 = "max(s) FILTER (WHERE c = 1)", "max(s) FILTER (WHERE c = 0)"
+_PREDICTION = f"doc_id, label, CASE WHEN {_S1} > {_S0} THEN 1 ELSE 0 END AS prediction"
+_POSTERIOR = f"1.0 / (1.0 + exp({_S0} - ({_S1})))"
+_IDF = ("n * ln(((SELECT count(*) FROM ds) + 1.0) / "
+        "((SELECT count(*) FROM raw r WHERE r.term = raw.term) + 1.0))")
+
+
+def nb_sql(template: str, columns: str, weight: str = "n") -> str:
+    return template.format(seed=SPLIT_SEED, thr=split_threshold(0.8), tokens=TOKENS_SQL,
+                           columns=columns, weight=weight)
+
+
 def _split(feats):
     return (feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test"))
 
@@ -128,10 +145,12 @@ def logistic_regression(spark, sf_dir):
     return _text_model(spark, sf_dir, "lr", LINEAR_FEATURES)
 
 
-@register("naive_bayes_multinomial")
+@register("naive_bayes_multinomial", nb_sql(NB_MULTINOMIAL_SQL, _PREDICTION + f", round({_POSTERIOR}, 6) AS score",
+                                            _IDF))
 def naive_bayes_multinomial(spark, sf_dir):
-    """K2: multinomial naive Bayes on TF-IDF weights."""
-    return _text_model(spark, sf_dir, "nb", LINEAR_FEATURES)
+    """K2: multinomial naive Bayes on TF-IDF weights over the exact vocabulary."""
+    docs, terms = labelled_terms(spark, sf_dir)
+    return NB.naive_bayes_scores(tfidf_terms(docs, terms), docs).withColumn("score", F.round("score", 6))
 
 
 @register("naive_bayes_bernoulli")
@@ -140,22 +159,19 @@ def naive_bayes_bernoulli(spark, sf_dir):
     return _text_model(spark, sf_dir, "nb_bernoulli", LINEAR_FEATURES)
 
 
-@register("naive_bayes_counts", NB_MULTINOMIAL_SQL.format(seed=SPLIT_SEED, thr=split_threshold(0.8),
-                                                                tokens=TOKENS_SQL))
+@register("naive_bayes_counts", nb_sql(NB_MULTINOMIAL_SQL, _PREDICTION))
 def naive_bayes_counts(spark, sf_dir):
     """K2 on raw counts: multinomial naive Bayes (smoothing 1) over the exact
     vocabulary; its closed form is the SQL twin."""
-    train, test = _split(count_features(spark, sf_dir))
-    return M.fit_predict("nb", train, test, ["doc_id"]).select("doc_id", "label", "prediction")
+    docs, terms = labelled_terms(spark, sf_dir)
+    return NB.naive_bayes_scores(terms, docs).drop("score")
 
 
-@register("naive_bayes_presence", NB_BERNOULLI_SQL.format(seed=SPLIT_SEED, thr=split_threshold(0.8),
-                                                               tokens=TOKENS_SQL))
+@register("naive_bayes_presence", nb_sql(NB_BERNOULLI_SQL, _PREDICTION))
 def naive_bayes_presence(spark, sf_dir):
     """K3 on term presence: Bernoulli naive Bayes over the exact vocabulary."""
-    train, test = _split(count_features(spark, sf_dir))
-    return M.fit_predict("nb_bernoulli", train, test, ["doc_id"]).select(
-        "doc_id", "label", "prediction")
+    docs, terms = labelled_terms(spark, sf_dir)
+    return NB.naive_bayes_scores(terms, docs, "bernoulli").drop("score")
 
 
 @register("decision_tree")
@@ -170,17 +186,19 @@ def random_forest(spark, sf_dir):
     return _text_model(spark, sf_dir, "rf", TREE_FEATURES)
 
 
-@register("predict_proba")
+@register("predict_proba", nb_sql(NB_BERNOULLI_SQL, f"doc_id, round({_POSTERIOR}, 6) AS score"))
 def predict_proba(spark, sf_dir):
-    """Positive-class probability from the probability vector."""
-    return _text_model(spark, sf_dir, "lr", LINEAR_FEATURES).select("doc_id", "score")
+    """Positive-class probability of every test row (Bernoulli naive Bayes)."""
+    docs, terms = labelled_terms(spark, sf_dir)
+    return NB.naive_bayes_scores(terms, docs, "bernoulli").select("doc_id", F.round("score", 6).alias("score"))
 
 
-@register("vector_element")
+@register("vector_element", nb_sql(NB_MULTINOMIAL_SQL, f"doc_id, round({_POSTERIOR}, 6) AS p_positive"))
 def vector_element(spark, sf_dir):
-    """Element 1 of the probability vector of every test row."""
-    return _text_model(spark, sf_dir, "nb", LINEAR_FEATURES).select(
-        "doc_id", F.col("score").alias("p_positive"))
+    """Element 1 of the probability vector (p0, p1) of every test row."""
+    docs, terms = labelled_terms(spark, sf_dir)
+    p = F.array(F.lit(1.0) - F.col("score"), F.col("score"))
+    return NB.naive_bayes_scores(terms, docs).select("doc_id", F.round(F.element_at(p, 2), 6).alias("p_positive"))
 
 
 def tabular_table(spark, sf_dir):
@@ -253,4 +271,4 @@ SELECT avg(CASE WHEN a IS NULL THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THE
        AS silhouette FROM ab""")
 def silhouette(spark, sf_dir):
     """Silhouette of the given labels, squared Euclidean distance."""
-    return M.silhouette(T.load(spark, sf_dir, "embeddings"), "label")
+    return M.mean_silhouette(T.load(spark, sf_dir, "embeddings"), "label")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kestrel import tables as T
+from kestrel.functions import porter_sql
 from kestrel.functions import text as X
 from kestrel.functions.stopwords import ENGLISH_STOP_WORDS, sql_list_literal
 from kestrel.operators import features as V
@@ -71,7 +72,11 @@ def stopword_table(spark, sf_dir):
                     .cast("long").alias("n_stopwords"))
 
 
-@register("stem_vocabulary")
+_WORDS_SQL = f"SELECT DISTINCT unnest(tokens) AS word FROM {DOC_TOKENS_SQL} t"
+_STEM_SQL = porter_sql.stems("s", porter_sql.DUCKDB)
+
+
+@register("stem_vocabulary", f"SELECT word, {_STEM_SQL}[1] AS stem FROM (SELECT word, [word] AS s FROM ({_WORDS_SQL}) w) v")
 def stem_vocabulary(spark, sf_dir):
     """T4: (word, stem) once per distinct word of the corpus."""
     toks = V.explode_terms(doc_tokens(spark, sf_dir), "doc_id", "tokens") \
@@ -79,7 +84,9 @@ def stem_vocabulary(spark, sf_dir):
     return X.stem_vocabulary(toks, "token", 1)
 
 
-@register("double_stem")
+@register("double_stem", f"""
+SELECT word, {_STEM_SQL}[1] AS stem
+FROM (SELECT word, {_STEM_SQL} AS s FROM (SELECT word, [word] AS s FROM ({_WORDS_SQL}) w) v) t""")
 def double_stem(spark, sf_dir):
     """The pandas vectoriser stems the already stemmed text again."""
     toks = V.explode_terms(doc_tokens(spark, sf_dir), "doc_id", "tokens") \
@@ -87,7 +94,10 @@ def double_stem(spark, sf_dir):
     return X.stem_vocabulary(toks, "token", 2)
 
 
-@register("clean_text")
+@register("clean_text", f"""
+SELECT doc_id, CAST(len(kept) AS INTEGER) AS n_tokens, array_to_string(kept, ' ') AS text FROM (
+  SELECT doc_id, list_filter({_STEM_SQL}, lambda x: NOT list_contains({STOP_SQL}, x)) AS kept
+  FROM (SELECT doc_id, tokens AS s FROM {DOC_TOKENS_SQL} t) d) k""")
 def clean_text(spark, sf_dir):
     """Lower -> letters -> split -> stem -> stop words -> one string per document."""
     c = X.clean_text(T.documents(spark, sf_dir).select("doc_id", "text"))

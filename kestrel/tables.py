@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.session import SCAN_PARTITIONS
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -22,16 +24,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str | Column) -> DataFrame:
-    """Hash-partition on a unique key when the scan has fewer splits than the cluster
-    has cores, so CPU-heavy row work (regular expressions, hashing, stemming) uses
-    every core. A large input already has many splits and is left alone: no shuffle.
+    """Hash-partition on a unique key where the session asks for it.
+
+    A machine whose inputs are single parquet files has one scan task; setting
+    ``spark.kestrel.scanPartitions`` there lets the row work use every core. Unset, as on
+    a cluster with many splits, the plan has no such shuffle, whatever the input's size.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    return df if splits >= cores else df.repartition(cores, key)
+    wanted = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(wanted), key) if wanted else df
 
 
 def lineitem_row_key() -> Column:
@@ -40,7 +40,7 @@ def lineitem_row_key() -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents, spread over all cores for text processing."""
+    """documents, spread if the session asks for it."""
     return spread(load(spark, sf_dir, "documents"), "doc_id")
 
 

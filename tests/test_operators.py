@@ -123,7 +123,7 @@ def test_silhouette_matches_clustering_evaluator(spark):
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
     emb = T.load(spark, MEDIUM, "embeddings")
-    ours = M.silhouette(emb, "label").collect()[0]["silhouette"]
+    ours = M.mean_silhouette(emb, "label").collect()[0]["silhouette"]
     ev = ClusteringEvaluator(featuresCol="f", predictionCol="label",
                              distanceMeasure="squaredEuclidean")
     theirs = ev.evaluate(emb.withColumn("f", array_to_vector("embedding"))
