@@ -36,7 +36,7 @@ BANDS, ROWS = 50, 6     # P(no common band) at 0.8: (1 - 0.8^6)^50 = 3e-7
 LEADERS = 8             # growth of the leaders per round
 MEMO = 300_000          # word hashes a worker remembers; only saves time
 
-_MASK = (1 << 64) - 1
+_EPSILON = 1e-9  # on the safe side of rounding where sizes are compared
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -186,53 +186,33 @@ def _elements_udf(words: int):
     return elements
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, comp) with the comp of linked classes merged; ``nodes`` has (node, comp),
-    ``links`` (a, b) names comps. Every comp hooks to its least neighbour and paths are
-    halved, until no link joins two comps; hubs pre-aggregate."""
-    links = checkpointed(links.where("a <> b").distinct())
-    if links.isEmpty():
-        return nodes
-    roots = checkpointed(links.select(F.col("a").alias("x")).union(links.select("b")).distinct()
-                         .select("x", F.col("x").alias("r")))
+def components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) after the links (a, b) between nodes: every node takes the least comp
+    of itself and its neighbours, then the comp of that node, until nothing changes. Hubs
+    pre-aggregate; chains shorten by half in every round."""
+    both = checkpointed(links.union(links.select("b", "a")).toDF("a", "b").distinct())
     while True:
-        both = links.union(links.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        hooked = checkpointed(roots.select("r").distinct()
-                              .join(least, F.col("r") == F.col("a"), "left")
-                              .select(F.col("r").alias("from"), F.least("r", "m").alias("to")))
-        while True:  # jump to the end of every chain
-            nxt = hooked.alias("h").join(hooked.alias("g"), F.col("h.to") == F.col("g.from")) \
-                        .select("h.from", F.col("g.to").alias("to"), (F.col("h.to") != F.col("g.to")).alias("moved"))
-            nxt = checkpointed(nxt)
-            hooked = nxt.select("from", "to")
-            if nxt.where("moved").isEmpty():
-                break
-        roots = checkpointed(roots.join(hooked, F.col("r") == F.col("from"))
-                             .select("x", F.col("to").alias("r")))
-        ends = hooked.alias("p"), hooked.alias("q")
-        links = checkpointed(links.join(ends[0], F.col("a") == F.col("p.from"))
-                             .join(ends[1], F.col("b") == F.col("q.from"))
-                             .select(F.col("p.to").alias("a"), F.col("q.to").alias("b"))
-                             .where("a <> b").distinct())
-        if links.isEmpty():
-            break
-    return checkpointed(nodes.join(roots, F.col("comp") == F.col("x"), "left")
-                        .select("node", F.coalesce("r", "comp").alias("comp")))
+        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b") \
+                   .groupBy("a").agg(F.min("comp").alias("least"))
+        hooked = labels.join(near, F.col("node") == F.col("a"), "left") \
+                       .select("node", "comp", F.least("comp", "least").alias("to"))
+        ends = hooked.select(F.col("node").alias("to"), F.col("to").alias("end"))
+        jumped = checkpointed(hooked.join(ends, "to")
+                              .select("node", F.least("to", "end").alias("comp"),
+                                      (F.least("to", "end") != F.col("comp")).alias("moved")))
+        labels = jumped.select("node", "comp")
+        if jumped.where("moved").isEmpty():
+            return labels
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (node, leader) whose exact weighted Jaccard similarity reaches the bound."""
-    sizes = sets.select("node", "n")
-    fits = pairs.join(sizes, "node") \
-                .join(sizes.select(F.col("node").alias("leader"), F.col("n").alias("m")), "leader") \
-                .where(F.least("n", "m") >= similarity * F.greatest("n", "m")).select("node", "leader")
     own = sets.select("node", F.col("elements").alias("x"))
     led = sets.select(F.col("node").alias("leader"), F.col("elements").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return fits.join(own, "node").join(led, "leader") \
-               .where(common >= similarity * (F.size("x") + F.size("y") - common)) \
-               .select("node", "leader")
+    return pairs.join(own, "node").join(led, "leader") \
+                .where(common >= similarity * (F.size("x") + F.size("y") - common) - _EPSILON) \
+                .select("node", "leader")
 
 
 def prefix_buckets(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -254,9 +234,6 @@ def prefix_buckets(nodes: DataFrame, sets: DataFrame, similarity: float) -> Data
               .select("key", "node", "n", "at", (F.col("at") <= F.col("n") - both + 1).alias("leads"))
 
 
-_EPSILON = 1e-9
-
-
 def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(node, comp): components of the similar pairs that share a bucket.
 
@@ -267,7 +244,7 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
     comps = checkpointed(sets.select("node", F.col("node").alias("comp")))
     rows = buckets.join(sets.select("node", "n"), "node") \
                   .select("key", "node", "n", F.lit(1).alias("at"), F.lit(True).alias("leads"))
-    leaders, round_, tried = 1, 1, None
+    leaders, round_ = 1, 1
     while True:
         # A row that has led was compared with all others of its bucket and is out of it.
         now = rows.join(comps, "node")
@@ -299,15 +276,8 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         pairs = now.join(picked, meet) \
                    .select(F.greatest("node", "leader").alias("node"),
                            F.least("node", "leader").alias("leader")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["node", "leader"], "left_anti")
-        pairs = checkpointed(pairs)
-        tried = pairs if tried is None else tried.union(pairs)
-        found = _similar(pairs, sets, similarity)
-        links = found.join(comps.select("node", F.col("comp").alias("a")), "node") \
-                     .join(comps.select(F.col("node").alias("leader"), F.col("comp").alias("b")), "leader") \
-                     .select("a", "b")
-        comps = components(comps, links)
+        found = checkpointed(_similar(pairs, sets, similarity).toDF("a", "b"))
+        comps = components(comps, found)
         rows = now.drop("comp").join(picked.select("key", F.col("leader").alias("node")),
                                      ["key", "node"], "left_anti")
         if round_ == 1:
