@@ -29,6 +29,7 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p "
     "pre search section summary table tbody td tfoot th thead tr ul caption xmp optgroup".split())
 SPACED = frozenset("p blockquote dl figure h1 h2 h3 h4 h5 h6 hr ol pre table ul menu dir fieldset".split())
+FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
 #: Start tags that close an open <p>.
 CLOSES_P = BLOCK - frozenset("html body td th tr tbody thead tfoot caption optgroup".split())
 #: start tag -> (open elements it closes, elements beyond which it doesn't look)
@@ -146,7 +147,10 @@ def _end(stack: list[Node], tag: str) -> None:
         return  # what follows still belongs to the page
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag == tag:
-            del stack[i:]
+            if tag in FORMATTING and any(x.tag in BLOCK for x in stack[i:]):
+                del stack[i]  # the blocks that it opened stay open
+            else:
+                del stack[i:]
             return
         if stack[i].tag in SCOPE and tag not in SCOPE and tag not in ("tr", "tbody", "thead", "tfoot"):
             return

@@ -150,9 +150,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
                            digest52(F.concat(F.lit("label:"), key_text("doc_id"))).alias("_h")) \
                    .orderBy("_h", "_id").limit(max_labelled)
     # At most ``max_labelled`` short rows: broadcast, so that no text is shuffled.
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")) \
-               .select(F.col("text").cast("string").alias("text"), "label", "_h") \
-               .orderBy("_h", "text").limit(max_labelled).drop("_h")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")) \
+                .select("text", "label", "_h") \
+                .orderBy("_h", "text").limit(max_labelled).drop("_h")
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Space:
