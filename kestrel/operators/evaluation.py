@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators.ordering import running_sums
+from kestrel.session import materialize
 
 
 def _is(c: str, v: int) -> Column:
@@ -105,7 +106,7 @@ def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label",
               score: str = "score") -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score (E7): rows with score >= threshold
     count as predicted positive. Running sums are computed two-phase, never in one task."""
-    sc = _score_counts(df, by, label, score)
+    sc = materialize(_score_counts(df, by, label, score))  # read for cut points and sums
     r = running_sums(sc, [F.col("_s")], ["pos", "neg"], by)
     tp = F.col("tot_pos") - F.col("run_pos") + F.col("pos")
     fp = F.col("tot_neg") - F.col("run_neg") + F.col("neg")
@@ -114,11 +115,29 @@ def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label",
                     F.try_divide(tp.cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))
 
 
+def auc_hard_label(df: DataFrame, by: Sequence[str] = (), label: str = "label",
+                   prediction: str = "prediction") -> DataFrame:
+    """AUC of the 0/1 prediction itself (E9): (tpr + tnr) / 2, null without one of the
+    classes. A closed form of the confusion counts: no ranks."""
+    def share(value: int) -> Column:
+        own = F.col(label) == value
+        return F.try_divide(F.count_if(own & (F.col(prediction) == value)).cast("double"),
+                            F.count_if(own).cast("double"))
+
+    return df.groupBy(*by).agg(((share(1) + share(0)) / F.lit(2.0)).alias("auc"))
+
+
+def auc_constant(df: DataFrame, by: Sequence[str] = (), label: str = "label") -> DataFrame:
+    """AUC of a constant score (E9): one half wherever both classes occur."""
+    both = (F.count_if(F.col(label) == 1) > 0) & (F.count_if(F.col(label) == 0) > 0)
+    return df.groupBy(*by).agg(F.when(both, F.lit(0.5)).alias("auc"))
+
+
 def auc_score(df: DataFrame, by: Sequence[str] = (), label: str = "label",
               score: str = "score") -> DataFrame:
     """Area under the ROC curve (E8): sum over positives of the negatives scored lower,
     plus half the tied ones, over P*N. Equal to the trapezoid area of ``roc_curve``."""
-    sc = _score_counts(df, by, label, score)
+    sc = materialize(_score_counts(df, by, label, score))
     r = running_sums(sc, [F.col("_s")], ["neg"], by)
     below = (F.col("run_neg") - F.col("neg")).cast("double")
     credit = F.col("pos").cast("double") * (below + F.col("neg").cast("double") / F.lit(2.0))

@@ -8,6 +8,7 @@ adds the exclusive prefix of the bucket totals (at most ``buckets`` rows per gro
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,11 +25,19 @@ _B = "_bucket"
 _CASE_TREE_MAX = 255
 
 
+# A table of one row per group or bucket is broadcast up to so many rows (counted).
+_BROADCAST_ROWS = 100_000
+
+
 def default_buckets(df: DataFrame) -> int:
-    """Two buckets per shuffle partition: the per-bucket windows then have about the
-    rows of a shuffle partition each, whatever the data size."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(16384, 2 * parts))
+    """About a quarter of the square root of the rows: buckets and the totals of all
+    buckets grow alike with the data, whatever the session's settings."""
+    return max(2, math.isqrt(df.count()) // 4)
+
+
+def _broadcast_small(df: DataFrame) -> DataFrame:
+    """``df`` (a checkpoint) marked for broadcast if it has few rows; else left to Spark."""
+    return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
 
 
 def _count_below(cut, lo: int, hi: int, key: Column) -> Column:
@@ -76,9 +85,10 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
         # plan branches below (and any task retry) must see the same cut points, so
         # the small table (one row per group) is checkpointed in the shared folder.
         ensure_checkpoint_dir(d.sparkSession)
-        cuts = cuts.checkpoint(eager=True)
+        cuts = _broadcast_small(cuts.checkpoint(eager=True))
         # percentile_approx returns len(probs) sorted values per group.
         cuts = cuts.select(*[F.col(c).alias(f"_c_{c}") for c in partition_cols], "_cuts")
+        # Broadcast, so that the rows aren't shuffled by the group key alone.
         cond = [d[c].eqNullSafe(cuts[f"_c_{c}"]) for c in partition_cols]
         d = (d.join(cuts, cond, "left").drop(*[f"_c_{c}" for c in partition_cols])
               .withColumn(_B, _count_below(lambda i: F.element_at("_cuts", i + 1), 0,
@@ -127,7 +137,10 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[st
         tot = F.broadcast(tot)  # at most ``nb`` rows by construction
         out = d.join(tot, [_B])
     else:
-        # Null-safe on the group keys: a null group is a group too.
+        # Null-safe on the group keys: a null group is a group too. ``d`` is already dealt by
+        # (group, bucket); a broadcast of the totals spares it a second shuffle.
+        ensure_checkpoint_dir(d.sparkSession)
+        tot = _broadcast_small(tot.checkpoint(eager=True))
         t = tot.select(*[F.col(c).alias(f"_g_{c}") for c in pc], F.col(_B).alias("_g_b"),
                        *[c for c in tot.columns if c not in pc and c != _B])
         cond = [d[c].eqNullSafe(t[f"_g_{c}"]) for c in pc] + [d[_B] == t["_g_b"]]

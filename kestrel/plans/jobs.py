@@ -33,7 +33,8 @@ def sentiment_pipeline(spark, sf_dir):
     stacked = preds[0]
     for p in preds[1:]:
         stacked = stacked.unionByName(p)
-    return model_comparison_table(stacked)
+    # Predictions are written once; the metrics and the AUC read them from there.
+    return model_comparison_table(M.materialize(stacked))
 
 
 @register("overfit_job")

@@ -169,15 +169,13 @@ def auc_score(spark, sf_dir):
 @register("auc_hard_label", STACKED_SQL + _auc_sql("CAST(prediction AS DOUBLE)"))
 def auc_hard_label(spark, sf_dir):
     """AUC of the 0/1 prediction itself, (tpr + tnr) / 2."""
-    s = stacked_rule_predictions(spark, sf_dir).withColumn("score", F.col("prediction").cast("double"))
-    return E.auc_score(s, ["model"])
+    return E.auc_hard_label(stacked_rule_predictions(spark, sf_dir), ["model"])
 
 
 @register("auc_constant", STACKED_SQL + _auc_sql("0.0"))
 def auc_constant(spark, sf_dir):
     """An all-zero predictor scores 0.5."""
-    s = stacked_rule_predictions(spark, sf_dir).withColumn("score", F.lit(0.0))
-    return E.auc_score(s, ["model"])
+    return E.auc_constant(stacked_rule_predictions(spark, sf_dir), ["model"])
 
 
 _SPLIT_COUNTS = stacked_sql(by="model, split")

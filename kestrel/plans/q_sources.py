@@ -149,6 +149,23 @@ def fixed_width_report(spark, sf_dir):
     return report.fixed_width_report(top, R.review_ranking_order())
 
 
+@register("review_report_job", _report_sql())
+def review_report_job(spark, sf_dir):
+    """Q1 from files to report: reviews and metadata as JSON lines (S1), count and average
+    per product and day (A1), brands of repeated metadata (J2), top 15 (F1), report (S7)."""
+    reviews, meta = scratch_path(spark, "reviews_json"), scratch_path(spark, "metadata_json")
+    source = T.reviews_from_lineitem(spark, sf_dir)
+    json_lines.write_json_lines(source.select(
+        "asin", F.date_format("review_day", report.REVIEW_TIME_FORMAT).alias("reviewTime"), "overall"), reviews)
+    json_lines.write_json_lines(T.metadata_from_part(spark, sf_dir), meta)
+    day = F.to_date("reviewTime", report.REVIEW_TIME_FORMAT).alias("review_day")
+    top = R.top_products(
+        json_lines.read_json_lines(spark, reviews, "asin long, reviewTime string, overall double")
+                  .select("asin", day, "overall"),
+        json_lines.read_json_lines(spark, meta, "asin long, brand string"), k=15)
+    return report.fixed_width_report(top, R.review_ranking_order())
+
+
 @register("pad_left", """
 SELECT p_partkey,
        lpad(p_name, CAST(greatest(length(p_name), 20) AS INTEGER), ' ') AS name_20,
