@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.sampling import hash_order, random_split
+from kestrel.operators.sampling import hash_cuts, random_split, up_to
 
 
 def fit_line(train: DataFrame, x: str, y: str) -> tuple[float, float, int]:
@@ -41,19 +41,17 @@ def learning_curve(df: DataFrame, key: str, x: str, y: str, chunks: int, min_siz
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("cx"),
                    F.avg(y).alias("cy")).first()
     rows, cx, cy = int(stats["n"]), float(stats["cx"] or 0.0), float(stats["cy"] or 0.0)
-    ranked = hash_order(df.select(key, x, y), key, sample_seed, "_draw")
-    ranked = random_split(ranked, key, train_fraction, split_seed, "_split")
-
-    n_eff = F.lit(min(rows, max_size))
-    step = F.floor((n_eff - F.lit(min_size)) / F.lit(chunks))
-    first_chunk = F.when(step > 0, F.greatest(
-        F.lit(0), F.ceil((F.col("_draw") - F.lit(min_size)) / step) - 1)).otherwise(F.lit(0))
-    last_size = F.lit(min_size) + F.lit(chunks) * F.greatest(step, F.lit(0))
+    step_n = max(0, (min(rows, max_size) - min_size) // chunks)
+    schedule = [min_size + (i + 1) * step_n for i in range(chunks)]
+    cuts = hash_cuts(df, key, sample_seed, schedule)
+    ranked = random_split(df.select(key, x, y), key, train_fraction, split_seed, "_split")
+    chunk = F.lit(None).cast("long")  # the first sample that holds the row
+    for i in reversed(range(chunks)):
+        chunk = F.when(up_to(cuts[i], key, sample_seed), F.lit(i).cast("long")).otherwise(chunk)
     xc = F.col(x).cast("double") - F.lit(cx)
     yc = F.col(y).cast("double") - F.lit(cy)
-    tagged = (ranked.where(F.col("_draw") <= last_size)
-              .select(first_chunk.cast("long").alias("chunk"), "_split",
-                      xc.alias("xc"), yc.alias("yc")))
+    tagged = ranked.select(chunk.alias("chunk"), "_split", xc.alias("xc"), yc.alias("yc")) \
+                   .where(F.col("chunk").isNotNull())
     sums = tagged.groupBy("chunk").agg(*[
         F.sum(F.when(F.col("_split") == s, e)).alias(f"{s}_{name}")
         for s in ("train", "test")
@@ -63,7 +61,6 @@ def learning_curve(df: DataFrame, key: str, x: str, y: str, chunks: int, min_siz
                         ("syy", F.col("yc") * F.col("yc")))])
     # Sizes of all chunks (R4's rule on the counted rows); chunks without new rows
     # still appear.
-    step_n = max(0, (min(rows, max_size) - min_size) // chunks)
     sizes = df.sparkSession.range(chunks).select(
         F.col("id").alias("chunk"),
         (F.lit(min_size) + (F.col("id") + 1) * F.lit(step_n)).cast("long").alias("size"))

@@ -8,12 +8,15 @@ same rule can be written in SQL.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators.ordering import global_rank
 
+_PREFIX = 4  # hex digits of a digest
+
 
 def row_hash(key: Column | str, seed: int) -> Column:
     k = F.col(key) if isinstance(key, str) else key
@@ -58,21 +61,65 @@ def hash_order(df: DataFrame, key: str, seed: int, rank_col: str = "draw",
     return r.drop("_h")
 
 
+def hash_cuts(df: DataFrame, key: str, seed: int, positions: Sequence[int]
+              ) -> list[tuple[str, str] | None]:
+    """Where a hash order is cut: for each position the (digest, key) of the row that has
+    this rank; None beyond the last row.
+
+    One aggregation counts the rows per digest prefix (at most 65,536 counts reach the
+    driver, whatever the table); only the rows of the prefixes in which a position falls
+    are ranked. No row of the table is shuffled for the others.
+    """
+    h = F.coalesce(row_hash(key, seed), F.lit(""))
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    counts = df.groupBy(F.substring(h, 1, _PREFIX).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    wanted: dict[str, dict[int, list[int]]] = {}
+    below, todo = 0, sorted((p, i) for i, p in enumerate(positions))
+    out: list[tuple[str, str] | None] = [None] * len(positions)
+    at = 0
+    for prefix, n in sorted((r.p, r.n) for r in counts):
+        while at < len(todo) and todo[at][0] <= below + n:
+            position, i = todo[at]
+            if position <= below:
+                out[i] = ("", "")  # before the first row
+            else:
+                wanted.setdefault(prefix, {}).setdefault(position - below, []).append(i)
+            at += 1
+        below += n
+    if wanted:
+        some = df.select(h.alias("h"), name.alias("k")).where(F.substring("h", 1, _PREFIX).isin(list(wanted)))
+        order = Window.partitionBy(F.substring("h", 1, _PREFIX)).orderBy("h", "k")
+        ranks = sorted({r for v in wanted.values() for r in v})
+        for r in some.withColumn("r", F.row_number().over(order)).where(F.col("r").isin(ranks)).collect():
+            for i in wanted[r.h[:_PREFIX]].get(r.r, ()):
+                out[i] = (r.h, r.k)
+    return out
+
+
+def up_to(cut: tuple[str, str] | None, key: str, seed: int) -> Column:
+    """Whether a row stands at or before a cut of ``hash_cuts``."""
+    if cut is None:
+        return F.lit(True)
+    h = F.coalesce(row_hash(key, seed), F.lit(""))
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (name <= F.lit(cut[1])))
+
+
 def exact_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42,
                 split_col: str = "split") -> DataFrame:
-    """Exactly ceil(test_fraction * n) test rows (R2): the first ones in hash order."""
-    r = hash_order(df, key, seed, "_draw", count_col="_n")
-    n_test = F.ceil(F.col("_n") * F.lit(test_fraction))
-    return (r.withColumn(split_col, F.when(F.col("_draw") <= n_test, F.lit("test"))
-                                     .otherwise(F.lit("train")))
-             .drop("_draw", "_n"))
+    """Exactly ceil(test_fraction * n) test rows (R2): the first ones in hash order. Only
+    the rows around the boundary are ranked; every other row compares its hash."""
+    n_test = math.ceil(df.count() * test_fraction)
+    cut = hash_cuts(df, key, seed, [n_test])[0]
+    return df.withColumn(split_col, F.when(up_to(cut, key, seed), F.lit("test")).otherwise(F.lit("train")))
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42,
              rank_col: str = "draw") -> DataFrame:
     """Exactly min(n, rows) rows without replacement (R3). Features and label are drawn
-    as one row, so they stay paired."""
-    return hash_order(df, key, seed, rank_col).where(F.col(rank_col) <= F.lit(n))
+    as one row, so they stay paired. Only the drawn rows are ranked."""
+    cut = hash_cuts(df, key, seed, [n])[0]
+    return hash_order(df.where(up_to(cut, key, seed)), key, seed, rank_col)
 
 
 def size_schedule(df: DataFrame, chunks: int, min_size: int, max_size: int) -> DataFrame:
