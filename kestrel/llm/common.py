@@ -79,6 +79,12 @@ def text_digest(col: str | Column = "text") -> Column:
     return F.unhex(F.substring(F.sha2(text_or_empty(col), 256), 1, 32))
 
 
+def merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A sort-merge join whatever the sizes: in loops of many small joins nothing is
+    gathered on the driver for a broadcast, and adaptive execution still splits hot keys."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], unique: str,
                 salts: int = 16) -> DataFrame:
     """Inner join of rows with one row per key of ``groups``. Every key is copied ``salts``

@@ -13,7 +13,7 @@ the connected components. A bucket is never expanded into pairs: its members are
 with a leader, and a bucket is finished when all members that have not led are in one
 class. The documents of buckets that one leader doesn't settle (those that merely share a
 passage, mostly) are dealt anew by their rarest shingles (prefix filtering, which misses no
-similar pair), again with leaders, eight times as many in each round, compared only with
+similar pair), again with leaders, sixteen times as many in each round, compared only with
 members outside of their class.
 """
 
@@ -28,12 +28,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import checkpointed, drop_rows, salted_join, text_digest
+from kestrel.llm.common import checkpointed, drop_rows, merged, salted_join, text_digest
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 50, 6     # P(no common band) at 0.8: (1 - 0.8^6)^50 = 3e-7
-LEADERS = 8             # growth of the leaders per round
+LEADERS = 16            # growth of the leaders per round
 MEMO = 300_000          # word hashes a worker remembers; only saves time
 
 _EPSILON = 1e-9  # on the safe side of rounding where sizes are compared
@@ -192,12 +192,12 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     pre-aggregate; chains shorten by half in every round."""
     both = checkpointed(links.union(links.select("b", "a")).toDF("a", "b").distinct())
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b") \
-                   .groupBy("a").agg(F.min("comp").alias("least"))
-        hooked = labels.join(near, F.col("node") == F.col("a"), "left") \
-                       .select("node", "comp", F.least("comp", "least").alias("to"))
+        near = merged(both, labels.select(F.col("node").alias("b"), "comp"), "b") \
+            .groupBy("a").agg(F.min("comp").alias("least"))
+        hooked = merged(labels, near.withColumnRenamed("a", "node"), "node", "left") \
+            .select("node", "comp", F.least("comp", "least").alias("to"))
         ends = hooked.select(F.col("node").alias("to"), F.col("to").alias("end"))
-        jumped = checkpointed(hooked.join(ends, "to")
+        jumped = checkpointed(merged(hooked, ends, "to")
                               .select("node", F.least("to", "end").alias("comp"),
                                       (F.least("to", "end") != F.col("comp")).alias("moved")))
         labels = jumped.select("node", "comp")
@@ -210,9 +210,9 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     own = sets.select("node", F.col("elements").alias("x"))
     led = sets.select(F.col("node").alias("leader"), F.col("elements").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return pairs.join(own, "node").join(led, "leader") \
-                .where(common >= similarity * (F.size("x") + F.size("y") - common) - _EPSILON) \
-                .select("node", "leader")
+    return merged(merged(pairs, own, "node"), led, "leader") \
+        .where(common >= similarity * (F.size("x") + F.size("y") - common) - _EPSILON) \
+        .select("node", "leader")
 
 
 def prefix_buckets(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -223,13 +223,13 @@ def prefix_buckets(nodes: DataFrame, sets: DataFrame, similarity: float) -> Data
     So a similar pair always meets under a key that leads in the smaller set; documents
     that only share a frequent passage, or are far copies of one text, don't: the elements
     they share stand behind their own."""
-    own = checkpointed(sets.join(nodes, "node", "left_semi")
+    own = checkpointed(merged(sets, nodes, "node", "left_semi")
                        .select("node", "n", F.explode("elements").alias("key")))
     spread = own.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
     by_rarity = Window.partitionBy("node").orderBy("df", "key")  # one document's elements
     least = F.ceil(similarity * F.col("n") - _EPSILON)
     both = F.ceil(2 * similarity / (1 + similarity) * F.col("n") - _EPSILON)
-    return own.join(spread, "key").withColumn("at", F.row_number().over(by_rarity)) \
+    return merged(own, spread, "key").withColumn("at", F.row_number().over(by_rarity)) \
               .where((F.col("at") <= F.col("n") - least + 1) & (F.col("df") > 1)) \
               .select("key", "node", "n", "at", (F.col("at") <= F.col("n") - both + 1).alias("leads"))
 
@@ -242,16 +242,16 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
     nearly everything; the nodes of the buckets that are still open then are dealt anew by
     their rarest elements, which no similar pair can miss."""
     comps = checkpointed(sets.select("node", F.col("node").alias("comp")))
-    rows = buckets.join(sets.select("node", "n"), "node") \
-                  .select("key", "node", "n", F.lit(1).alias("at"), F.lit(True).alias("leads"))
+    rows = merged(buckets, sets.select("node", "n"), "node") \
+        .select("key", "node", "n", F.lit(1).alias("at"), F.lit(True).alias("leads"))
     leaders, round_ = 1, 1
     while True:
         # A row that has led was compared with all others of its bucket and is out of it.
-        now = rows.join(comps, "node")
+        now = merged(rows, comps, "node")
         open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                        F.bool_or("leads").alias("any")) \
                    .where("lo <> hi and any").select("key")
-        now = checkpointed(now.join(open_, "key", "left_semi"))
+        now = checkpointed(merged(now, open_, "key", "left_semi"))
         if now.isEmpty():
             return comps
         if round_ == 2:
@@ -273,17 +273,16 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         reach = 1 + F.least(F.col("n") - F.col("at"), F.col("m") - F.col("lat"))
         meet = (now["key"] == picked["key"]) & (F.col("comp") != F.col("of")) & \
                (reach >= similarity / (1 + similarity) * (F.col("n") + F.col("m")) - _EPSILON)
-        pairs = now.join(picked, meet) \
-                   .select(F.greatest("node", "leader").alias("node"),
+        pairs = merged(now, picked, meet) \
+            .select(F.greatest("node", "leader").alias("node"),
                            F.least("node", "leader").alias("leader")).distinct()
         found = checkpointed(_similar(pairs, sets, similarity).toDF("a", "b"))
-        comps = components(comps, found)
-        rows = now.drop("comp").join(picked.select("key", F.col("leader").alias("node")),
-                                     ["key", "node"], "left_anti")
-        if round_ == 1:
-            round_ = 2
-        else:
-            leaders *= LEADERS
+        if not found.isEmpty():
+            comps = components(comps, found)
+        rows = merged(now.drop("comp"), picked.select("key", F.col("leader").alias("node")),
+                      ["key", "node"], "left_anti")
+        round_ = max(round_, 2)
+        leaders *= LEADERS
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS,
@@ -304,11 +303,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     member = salted_join(state.select("uid", "doc_id", "digest"), equal, ["digest"], "uid")
     member = checkpointed(member.select("uid", "doc_id", "digest", "node"))
     nodes = equal.select(F.col("node").alias("uid"))
-    banded = state.select("uid", "keys").join(nodes, "uid") \
-                  .select(F.explode("keys").alias("key"), F.col("uid").alias("node"))
+    banded = merged(state.select("uid", "keys"), nodes, "uid") \
+        .select(F.explode("keys").alias("key"), F.col("uid").alias("node"))
     shared = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")) \
                    .where("lo <> hi").select("key")
-    buckets = checkpointed(banded.join(shared, "key", "left_semi"))
+    buckets = checkpointed(merged(banded, shared, "key", "left_semi"))
     wanted = buckets.select("node").distinct() \
                     .join(equal, "node").select("node", F.col("digest").alias("_digest"))
     wanted = checkpointed(wanted)
@@ -320,8 +319,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     sets = checkpointed(texts.select("node", elements("text").alias("elements"))
                         .withColumn("n", F.size("elements")))
     comps = linked_nodes(buckets, sets, similarity)
-    classes = member.join(comps, "node", "left") \
-                    .select("uid", "doc_id", "digest", F.coalesce("comp", "node").alias("comp"))
+    classes = merged(member, comps, "node", "left") \
+        .select("uid", "doc_id", "digest", F.coalesce("comp", "node").alias("comp"))
     classes = checkpointed(classes)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"),
                            F.col("uid").alias("u")))
