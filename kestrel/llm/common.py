@@ -24,6 +24,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compact(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
+    """A checkpoint read in as few partitions as its rows need: the loops over small tables
+    then don't write a shuffle file per task and partition."""
+    out = checkpointed(df)
+    return out.coalesce(max(1, -(-out.count() // rows_per_partition)))
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(c.cast("string"), F.lit(""))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import checkpointed, drop_rows, merged, salted_join, text_digest
+from kestrel.llm.common import checkpointed, compact, drop_rows, merged, salted_join, text_digest
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -190,14 +190,14 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(node, comp) after the links (a, b) between nodes: every node takes the least comp
     of itself and its neighbours, then the comp of that node, until nothing changes. Hubs
     pre-aggregate; chains shorten by half in every round."""
-    both = checkpointed(links.union(links.select("b", "a")).toDF("a", "b").distinct())
+    both = compact(links.union(links.select("b", "a")).toDF("a", "b").distinct())
     while True:
         near = merged(both, labels.select(F.col("node").alias("b"), "comp"), "b") \
             .groupBy("a").agg(F.min("comp").alias("least"))
         hooked = merged(labels, near.withColumnRenamed("a", "node"), "node", "left") \
             .select("node", "comp", F.least("comp", "least").alias("to"))
         ends = hooked.select(F.col("node").alias("to"), F.col("to").alias("end"))
-        jumped = checkpointed(merged(hooked, ends, "to")
+        jumped = compact(merged(hooked, ends, "to")
                               .select("node", F.least("to", "end").alias("comp"),
                                       (F.least("to", "end") != F.col("comp")).alias("moved")))
         labels = jumped.select("node", "comp")
@@ -223,7 +223,7 @@ def prefix_buckets(nodes: DataFrame, sets: DataFrame, similarity: float) -> Data
     So a similar pair always meets under a key that leads in the smaller set; documents
     that only share a frequent passage, or are far copies of one text, don't: the elements
     they share stand behind their own."""
-    own = checkpointed(merged(sets, nodes, "node", "left_semi")
+    own = compact(merged(sets, nodes, "node", "left_semi")
                        .select("node", "n", F.explode("elements").alias("key")))
     spread = own.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
     by_rarity = Window.partitionBy("node").orderBy("df", "key")  # one document's elements
@@ -241,7 +241,7 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
     elements). Each round takes leaders from every open bucket. The first round settles
     nearly everything; the nodes of the buckets that are still open then are dealt anew by
     their rarest elements, which no similar pair can miss."""
-    comps = checkpointed(sets.select("node", F.col("node").alias("comp")))
+    comps = compact(sets.select("node", F.col("node").alias("comp")))
     rows = merged(buckets, sets.select("node", "n"), "node") \
         .select("key", "node", "n", F.lit(1).alias("at"), F.lit(True).alias("leads"))
     leaders, round_ = 1, 1
@@ -251,12 +251,12 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                        F.bool_or("leads").alias("any")) \
                    .where("lo <> hi and any").select("key")
-        now = checkpointed(merged(now, open_, "key", "left_semi"))
+        now = compact(merged(now, open_, "key", "left_semi"))
         if now.isEmpty():
             return comps
         if round_ == 2:
             left = now.select("node").distinct()
-            rows = checkpointed(prefix_buckets(left, sets, similarity))
+            rows = compact(prefix_buckets(left, sets, similarity))
             round_ = 3
             continue
         first = F.struct("node", F.col("comp").alias("of"), "n", "at")
@@ -266,7 +266,7 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
             best = Window.partitionBy("key").orderBy("node")
             picked = now.where("leads").withColumn("_r", F.row_number().over(best)) \
                         .where(F.col("_r") <= leaders).select("key", first.alias("l"))
-        picked = checkpointed(picked.select("key", F.col("l.node").alias("leader"), "l.of",
+        picked = compact(picked.select("key", F.col("l.node").alias("leader"), "l.of",
                                             F.col("l.n").alias("m"), F.col("l.at").alias("lat")))
         # If this is the first element that two sets share, they share at most what stands
         # behind it in both; a similar pair is met under its first shared element.
@@ -276,7 +276,7 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         pairs = merged(now, picked, meet) \
             .select(F.greatest("node", "leader").alias("node"),
                            F.least("node", "leader").alias("leader")).distinct()
-        found = checkpointed(_similar(pairs, sets, similarity).toDF("a", "b"))
+        found = compact(_similar(pairs, sets, similarity).toDF("a", "b"))
         if not found.isEmpty():
             comps = components(comps, found)
         rows = merged(now.drop("comp"), picked.select("key", F.col("leader").alias("node")),
