@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import zstandard
@@ -30,7 +32,10 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
-MAX_LAYER_BYTES = 64 << 20  # a layer that unpacks to more is left packed and counted
+MAX_LAYER_BYTES = 64 << 20  # a layer that unpacks to more is counted and scanned as a stream
+MAX_STREAM_BYTES = 16 << 30  # of a stream; one that goes on is counted once more
+MAX_STREAM_DEPTH = 64       # compressed streams within one another
+CHUNK = 1 << 16
 MIN_BASE64 = 16
 
 _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
@@ -43,9 +48,13 @@ _ESCAPE = re.compile(
     r"|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _ESCAPES = re.compile(f"(?:{_ESCAPE.pattern})+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
-_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{40,}\r?\n)+[A-Za-z0-9+/]+={0,2}")
+# From the start of a run and without stepping back: a long run is read once.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40,}+\r?\n)+[A-Za-z0-9+/]+={0,2}")
 _BASE64_PART = re.compile(r"[A-Za-z0-9]{%d,}={0,2}" % MIN_BASE64)
 # First bytes of the compressed formats (fixed values): gzip, zlib, bzip2, xz, zstd.
+_BLANKS = re.compile(r"\x20{3,}")
+_RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+_ENCODED = _RUN + "= \t\r\n>%\\&#;{}"  # what encoded data of any kind is written in
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
 
@@ -72,51 +81,170 @@ def joined(spans) -> str:
 
 class Layer:
     """A decoded text and, per character, the range of the root text it came from.
-    ``starts`` is None for the root, where character i is the range (i, i + 1)."""
+    ``starts`` is None for the root, where character i is the range (i, i + 1). It is a
+    number where every character came from the one range (starts, ends)."""
 
-    def __init__(self, text: str, starts, ends, ancestors: frozenset):
-        self.text, self.starts, self.ends, self.ancestors = text, starts, ends, ancestors
+    def __init__(self, text: str, starts, ends, ancestors: frozenset, digest: bytes = b""):
+        self.text, self.starts, self.ends = text, starts, ends
+        self.ancestors, self.digest = ancestors, digest
+        self.whole = isinstance(starts, int)
 
     def root(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
             return start, end
+        if self.whole:
+            return self.starts, self.ends
         return min(self.starts[start:end]), max(self.ends[start:end])
 
     def child(self, text: str, pieces) -> Layer | None:
-        """``pieces``: per character of ``text`` its range in this layer. None if the text
-        is one of its own ancestors."""
+        """``pieces``: per character of ``text`` its range in this layer, or the one range
+        of all of them. None if the text is one of its own ancestors."""
         digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
         if digest in self.ancestors or not text:
             return None
+        if self.whole or isinstance(pieces, tuple):
+            a, b = self.root(*pieces) if isinstance(pieces, tuple) else (self.starts, self.ends)
+            return Layer(text, a, b, self.ancestors | {digest}, digest)
         own = [self.root(a, b) for a, b in pieces]
-        return Layer(text, [a for a, _ in own], [b for _, b in own], self.ancestors | {digest})
+        return Layer(text, [a for a, _ in own], [b for _, b in own], self.ancestors | {digest}, digest)
+
+
+class Stream:
+    """A range of a layer whose content is too large for a layer. As all of it maps to that
+    range, it is scanned in overlapping pieces, one at a time."""
+
+    def __init__(self, layer: Layer, start: int, end: int, data: bytes):
+        self.layer, self.range, self.data, self.cut = layer, (start, end), data, False
+
+    def _texts(self) -> Iterator[str]:
+        decode, size = codecs.getincrementaldecoder("utf-8")("surrogateescape").decode, 0
+        for chunk in _opened(_chunks(self.data)):
+            if size >= MAX_STREAM_BYTES:
+                self.cut = True
+                break
+            size += len(chunk)
+            yield decode(chunk)
+        yield decode(b"", True)
+
+    def layers(self) -> Iterator[Layer | None]:
+        for piece in _pieces(self._texts()):
+            yield self.layer.child(piece, self.range)
+
+
+def _pieces(texts: Iterable[str]) -> Iterator[str]:
+    """A long text in pieces. A piece begins where the encoded run that the last one cut
+    begins, and at least an overlap before its end; only a run longer than a piece is
+    parted, at a line or at a multiple of four characters, where base64 can be parted."""
+    size, overlap = max(64, MAX_LAYER_BYTES // 4), max(16, MAX_LAYER_BYTES // 64)
+    held, due = [], 0
+    for text in texts:
+        held.append(text)
+        due += len(text)
+        if due < size:
+            continue
+        whole = _BLANKS.sub("  ", "".join(held))  # no pattern counts blanks
+        while len(whole) >= size:
+            yield whole[:size]
+            at = size - overlap
+            start = min(at, len(whole[:size].rstrip(_ENCODED)))
+            if start < overlap:
+                start = whole.rfind("\n", overlap, at) + 1
+            if not start:
+                run = len(whole[:at].rstrip(_RUN))
+                start = run + (at - run) // 4 * 4
+            whole = whole[start:]
+        held, due = [whole], len(whole)
+    if due:
+        yield "".join(held)
+
+
+def _chunks(data: bytes) -> Iterator[bytes]:
+    return (data[i:i + CHUNK] for i in range(0, len(data), CHUNK))
+
+
+def _decompressor(head: bytes):
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(47)
+    if head[:1] == b"\x78":
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:1] == b"\xfd":
+        return lzma.LZMADecompressor()
+    return zstandard.ZstdDecompressor().decompressobj()
+
+
+_BROKEN = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError)
+
+
+def _output(d, data: bytes) -> Iterator[bytes]:
+    """What a decompressor makes of some more input, in small parts."""
+    if isinstance(d, (bz2.BZ2Decompressor, lzma.LZMADecompressor)):
+        yield d.decompress(data, CHUNK)
+        while not d.eof and not d.needs_input:
+            yield d.decompress(b"", CHUNK)
+    elif type(d).__module__ == "zlib":
+        yield d.decompress(data, CHUNK)
+        while d.unconsumed_tail and not d.eof:
+            yield d.decompress(d.unconsumed_tail, CHUNK)
+    else:  # zstd has no bound on its output
+        for i in range(0, len(data), 1024):
+            yield d.decompress(data[i:i + 1024])
+            if d.eof:
+                break
+
+
+def _unpacking(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """The content of compressed data, as it comes."""
+    d = None
+    for chunk in chunks:
+        d = d or _decompressor(chunk)
+        yield from _output(d, chunk)
+        if d.eof:
+            return
+    if type(d).__module__ == "zlib":
+        yield d.flush()
+
+
+def _opened(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The content of compressed data through all layers of compression."""
+    for _ in range(MAX_STREAM_DEPTH):
+        head = b""
+        while len(head) < CHUNK and (more := next(chunks, None)) is not None:
+            head += more
+        try:
+            if packed := _MAGIC.match(head) is not None:
+                any(_unpacking([head]))  # breaks at once if they only look so
+        except _BROKEN:
+            packed = False
+        chunks = itertools.chain([head], chunks)
+        if not packed:
+            break
+        chunks = _unbroken(_unpacking(chunks))
+    return chunks
+
+
+def _unbroken(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    try:
+        yield from chunks
+    except _BROKEN:
+        return  # what came before the damage stands
 
 
 def unpacked(data: bytes) -> bytes | None:
     """The content of compressed bytes; None if they aren't. OverflowError beyond the bound."""
-    m = _MAGIC.match(data)
-    if not m:
+    if not _MAGIC.match(data):
         return None
+    out, size = [], 0
     try:
-        if data[:2] == b"\x1f\x8b":
-            d = zlib.decompressobj(47)
-        elif data[:1] == b"\x78":
-            d = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif data[:1] == b"\xfd":
-            d = lzma.LZMADecompressor()
-        else:
-            out = zstandard.ZstdDecompressor().stream_reader(data).read(MAX_LAYER_BYTES + 1)
-            if len(out) > MAX_LAYER_BYTES:
+        for part in _unpacking(_chunks(data)):
+            out.append(part)
+            size += len(part)
+            if size > MAX_LAYER_BYTES:
                 raise OverflowError
-            return out
-        out = d.decompress(data, MAX_LAYER_BYTES + 1)
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+    except _BROKEN:
         return None
-    if len(out) > MAX_LAYER_BYTES:
-        raise OverflowError
-    return out
+    return b"".join(out)
 
 
 def readable(data: bytes, opened: bool = False) -> str | None:
@@ -133,34 +261,43 @@ def readable(data: bytes, opened: bool = False) -> str | None:
 
 def _content(data: bytes) -> tuple[str | None, bool]:
     """Text of decoded bytes, unpacked through any compressed layers; and whether it was
-    packed (its characters then map to the whole region)."""
+    packed (its characters then map to the whole region). The OverflowError of content beyond
+    the bound has the bytes to unpack."""
     packed = False
-    while (inner := unpacked(data)) is not None and inner != data:
-        data, packed = inner, True
+    try:
+        while (inner := unpacked(data)) is not None and inner != data:
+            data, packed = inner, True
+    except OverflowError:
+        raise OverflowError(data) from None
     return readable(data, packed), packed
 
 
-def _substituted(layer: Layer, pattern, decode) -> Layer | None:
-    """The whole layer with every match of an escape replaced by what it stands for."""
+def _substituted(layer: Layer, pattern, decode) -> Iterator[Layer | Stream | None]:
+    """The whole layer with every match of an escape replaced by what it stands for; what
+    is too large to stand there comes as a stream of its own."""
     text, pieces, at, changed = [], [], 0, False
     for m in pattern.finditer(layer.text):
-        got = decode(m)
-        if got is None:
+        try:
+            got = decode(m)
+        except OverflowError as e:
+            yield Stream(layer, m.start(), m.end(), e.args[0])
             continue
         text.append(layer.text[at:m.start()])
-        pieces += [(i, i + 1) for i in range(at, m.start())]
+        if not layer.whole:
+            pieces += [(i, i + 1) for i in range(at, m.start())]
         for s, a, b in got:
             text.append(s)
-            pieces += [(m.start() + a, m.start() + b)] * len(s)
+            if not layer.whole:
+                pieces += [(m.start() + a, m.start() + b)] * len(s)
         at, changed = m.end(), True
-    if not changed:
-        return None
-    text.append(layer.text[at:])
-    pieces += [(i, i + 1) for i in range(at, len(layer.text))]
-    return layer.child("".join(text), pieces)
+    if changed:
+        text.append(layer.text[at:])
+        if not layer.whole:
+            pieces += [(i, i + 1) for i in range(at, len(layer.text))]
+        yield layer.child("".join(text), pieces)
 
 
-def _percent(m) -> list | None:
+def _percent(m) -> list:
     data = bytes.fromhex(m[0].replace("%", ""))
     text, packed = _content(data)
     if packed and text is not None:
@@ -180,7 +317,7 @@ def _percent(m) -> list | None:
     return out
 
 
-def _escapes(m) -> list | None:
+def _escapes(m) -> list:
     """A run of escapes: one character each, or the compressed bytes they spell out."""
     out = []
     for e in _ESCAPE.finditer(m[0]):
@@ -195,9 +332,8 @@ def _escapes(m) -> list | None:
     return out
 
 
-def _decoded_run(layer: Layer, start: int, end: int) -> Layer | None:
-    at = [i for i in range(start, end) if layer.text[i] not in "\r\n"]
-    body = "".join([layer.text[i] for i in at]).rstrip("=")
+def _decoded_run(layer: Layer, start: int, end: int) -> Layer | Stream | None:
+    body = layer.text[start:end].replace("\r", "").replace("\n", "").rstrip("=")
     if len(body) % 4 == 1:
         return None
     raw = body.replace("-", "+").replace("_", "/")
@@ -205,11 +341,15 @@ def _decoded_run(layer: Layer, start: int, end: int) -> Layer | None:
         data = base64.b64decode(raw + "=" * (-len(raw) % 4), validate=True)
     except ValueError:
         return None
-    text, packed = _content(data)
+    try:
+        text, packed = _content(data)
+    except OverflowError as e:
+        return Stream(layer, start, end, e.args[0])
     if not text:
         return None
-    if packed:
-        return layer.child(text, [(start, end)] * len(text))
+    if packed or layer.whole:
+        return layer.child(text, (start, end))
+    at = [i for i in range(start, end) if layer.text[i] not in "\r\n"]
     pieces, byte = [], 0
     for c in text:  # three bytes stand in four characters
         n = len(c.encode("utf-8"))
@@ -219,13 +359,13 @@ def _decoded_run(layer: Layer, start: int, end: int) -> Layer | None:
     return layer.child(text, pieces)
 
 
-def children(layer: Layer) -> Iterator[Layer | None]:
+def children(layer: Layer) -> Iterator[Layer | Stream | None]:
     """Every layer that one step of decoding gives."""
     text = layer.text
     if "%" in text:
-        yield _substituted(layer, _PERCENT, _percent)
+        yield from _substituted(layer, _PERCENT, _percent)
     if "\\" in text or "&#" in text:
-        yield _substituted(layer, _ESCAPES, _escapes)
+        yield from _substituted(layer, _ESCAPES, _escapes)
     for m in _WRAPPED.finditer(text):
         yield _decoded_run(layer, m.start(), m.end())
     for m in _BASE64.finditer(text):
@@ -237,31 +377,31 @@ def children(layer: Layer) -> Iterator[Layer | None]:
 
 
 def scan(text: str | None) -> tuple[list, list, int, int]:
-    """(base spans, all spans, decoded layers, layers left packed) of one text."""
+    """(base spans, all spans, decoded layers, layers over the bound) of one text."""
     text = text or ""
     base = base_spans(text)
     spans, layers, packed = set(base), 0, 0
-    seen, work = set(), [Layer(text, None, None, frozenset())]
+    # The worklist holds what is left to decode of each open layer; the newest goes on.
+    seen, work, streams = set(), [children(Layer(text, None, None, frozenset()))], []
     while work:
-        layer = work.pop()
-        found = children(layer)
-        while True:
-            try:
-                got = next(found, False)
-            except OverflowError:
-                packed += 1
-                break
-            if got is False:
-                break
-            if got is None or (key := (got.text, got.starts[0], got.ends[-1])) in seen:
+        got = next(work[-1], False)
+        if got is False:
+            work.pop()
+        elif isinstance(got, Stream):
+            packed += 1
+            streams.append(got)
+            work.append(got.layers())
+        elif got is not None:
+            key = (got.digest, got.root(0, 1)[0], got.root(len(got.text) - 1, len(got.text))[1])
+            if key in seen:
                 continue
             seen.add(key)
             layers += 1
             for start, kind, end in base_spans(got.text):
                 a, b = got.root(start, end)
                 spans.add((a, kind, b))
-            work.append(got)
-    return base, in_order(spans), layers, packed
+            work.append(children(got))
+    return base, in_order(spans), layers, packed + sum(s.cut for s in streams)
 
 
 SCHEMA = ("doc_id {id}, n_assign long, n_access long, n_hex long, base_sha256 string, "

@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import random
 import re
 import urllib.parse
 import zlib
@@ -70,6 +71,43 @@ def test_bomb_is_left_packed(monkeypatch):
     assert S.scan(b64(gzip.compress(b"a" * (1 << 20))))[3] == 1
 
 
+def big(secret="", before=b""):
+    """Words that unpack to more than the bound of the test, with a secret among them."""
+    return before + b"word, " * 30_000 + secret.encode() + b" more." * 30_000
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, zlib.compress, zstandard.compress])
+def test_secrets_after_and_in_a_bomb(monkeypatch, pack):
+    monkeypatch.setattr(S, "MAX_LAYER_BYTES", 1 << 16)
+    for encode in (b64, percent):
+        bomb = encode(pack(big()))
+        text = f"{bomb} then {b64(SECRET)} and {urllib.parse.quote(SECRET, safe='')}"
+        base, spans, _, packed = S.scan(text)
+        assert base == [] and packed >= 1 and all(start > len(bomb) for start, _, _ in spans)
+        assert len(spans) == 2
+        for hidden in (SECRET, b64(SECRET), b64(gzip.compress(SECRET.encode())), "x" + " " * 9000,
+                       "password" + " " * 100_000 + "= hunter2hunter2", b64("filler " * 2000 + SECRET)):
+            bomb = encode(pack(big(f" {hidden} ")))
+            spans = S.scan(f"a {bomb} b")[1]
+            assert spans == ([] if hidden[0] == "x" else [(2, "assign", 2 + len(bomb))])
+        twice = encode(pack(pack(big(SECRET, random.Random(1).randbytes(1 << 17)))))
+        assert S.scan(twice)[1] == [(0, "assign", len(twice))]
+
+
+def test_a_run_longer_than_a_piece(monkeypatch):
+    monkeypatch.setattr(S, "MAX_LAYER_BYTES", 1 << 16)
+    run = b64("filler " * 20_000 + SECRET + " filler" * 20_000)
+    bomb = b64(gzip.compress(f"odd {run}".encode()))
+    assert S.scan(bomb)[1] == [(0, "assign", len(bomb))]
+
+
+def test_layers_of_whole_ranges_and_long_runs_are_cheap():
+    run = b64(b"\xff" * 300_000)  # no newline after a long run
+    assert S.scan(run + " " + b64(SECRET))[1][0][1] == "assign"
+    packed = b64(gzip.compress(b"quiet " * 1_000_000 + SECRET.encode()))
+    assert S.scan(packed)[1] == [(0, "assign", len(packed))]
+
+
 def brute(text):
     text = text or ""
     found = [(m.start(), 0, m.end()) for m in re.finditer(
