@@ -51,11 +51,12 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
 # From the start of a run and without stepping back: a long run is read once.
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40,}+\r?\n)+[A-Za-z0-9+/]+={0,2}")
 _BASE64_PART = re.compile(r"[A-Za-z0-9]{%d,}={0,2}" % MIN_BASE64)
-# First bytes of the compressed formats (fixed values): gzip, zlib, bzip2, xz, zstd.
+# First bytes of the compressed formats (fixed values): gzip, zlib, bzip2, xz, zstd and its
+# frames to skip.
 _BLANKS = re.compile(r"\x20{3,}")
 _RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _ENCODED = _RUN + "= \t\r\n>%\\&#;{}"  # what encoded data of any kind is written in
-_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|[\x50-\x5f]\x2a\x4d\x18")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -178,7 +179,8 @@ _BROKEN = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.
 
 
 def _output(d, data: bytes) -> Iterator[bytes]:
-    """What a decompressor makes of some more input, in small parts."""
+    """What a decompressor makes of some more input, in small parts; returns the bytes that
+    stand behind its end."""
     if isinstance(d, (bz2.BZ2Decompressor, lzma.LZMADecompressor)):
         yield d.decompress(data, CHUNK)
         while not d.eof and not d.needs_input:
@@ -191,19 +193,34 @@ def _output(d, data: bytes) -> Iterator[bytes]:
         for i in range(0, len(data), 1024):
             yield d.decompress(data[i:i + 1024])
             if d.eof:
-                break
+                return d.unused_data + data[i + 1024:]
+    return d.unused_data if d.eof else b""
 
 
 def _unpacking(chunks: Iterable[bytes]) -> Iterator[bytes]:
-    """The content of compressed data, as it comes."""
-    d = None
-    for chunk in chunks:
-        d = d or _decompressor(chunk)
-        yield from _output(d, chunk)
+    """The content of compressed data, as it comes: of all members or frames, also of
+    different formats, with or without zeros between them."""
+    chunks, d, rest, first = iter(chunks), None, b"", True
+    while True:
+        if d is None:
+            while len(rest) < 8 and (more := next(chunks, None)) is not None:
+                rest = (rest + more).lstrip(b"\0")
+            if not _MAGIC.match(rest):
+                return
+            d = _decompressor(rest)
+        try:
+            rest = yield from _output(d, rest)
+        except _BROKEN:
+            if first:
+                raise
+            return
         if d.eof:
+            d, first = None, False
+            rest = rest.lstrip(b"\0")
+        elif not (rest := next(chunks, b"")):
+            if type(d).__module__ == "zlib":
+                yield d.flush()
             return
-    if type(d).__module__ == "zlib":
-        yield d.flush()
 
 
 def _opened(chunks: Iterator[bytes]) -> Iterator[bytes]:

@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -94,6 +95,22 @@ def test_secrets_after_and_in_a_bomb(monkeypatch, pack):
         assert S.scan(twice)[1] == [(0, "assign", len(twice))]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress, zstandard.compress])
+def test_all_members(monkeypatch, pack):
+    skipped = (0x184D2A50).to_bytes(4, "little") + (2000).to_bytes(4, "little") + bytes(2000)
+    for parts in ([pack(b"one\n"), pack(SECRET.encode())], [pack(b"one")] * 50 + [pack(SECRET.encode())],
+                  [pack(b"pass"), pack(b"word = hunter2"), pack(b"hunter2")],
+                  [pack(b"one"), bytes(512), pack(SECRET.encode())], [pack(b""), pack(SECRET.encode())],
+                  [pack(b"one"), gzip.compress(SECRET.encode())], [skipped, pack(SECRET.encode())][pack is not zstandard.compress:],
+                  [pack(random.Random(2).randbytes(200_000).hex("\n").encode()), pack(SECRET.encode())]):
+        for encode in (b64, percent):
+            text = encode(b"".join(parts))
+            assert (0, "assign", len(text)) in S.scan(text)[1]
+    monkeypatch.setattr(S, "MAX_LAYER_BYTES", 1 << 16)
+    text = b64(pack(big()) + pack(big(b64(SECRET) + " ")))
+    assert S.scan(text)[1] == [(0, "assign", len(text))]
+
+
 def test_a_run_longer_than_a_piece(monkeypatch):
     monkeypatch.setattr(S, "MAX_LAYER_BYTES", 1 << 16)
     run = b64("filler " * 20_000 + SECRET + " filler" * 20_000)
