@@ -48,14 +48,22 @@ _ESCAPE = re.compile(
     r"|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _ESCAPES = re.compile(f"(?:{_ESCAPE.pattern})+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
-# From the start of a run and without stepping back: a long run is read once.
-_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40,}+\r?\n)+[A-Za-z0-9+/]+={0,2}")
+# Lines of base64 of any length, indented or quoted. Possessive: a long run is read once.
+_BREAK = re.compile(r"""(?:["'][ \t]*+[+,\\]?|[ \t]++[+\\]|[,\\])?[ \t]*+(?:\r\n|\n|\r)[ \t>|#*]*+["']?""")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:%s[A-Za-z0-9+/_-]++)+={0,2}" % _BREAK.pattern)
 _BASE64_PART = re.compile(r"[A-Za-z0-9]{%d,}={0,2}" % MIN_BASE64)
 # First bytes of the compressed formats (fixed values): gzip, zlib, bzip2, xz, zstd and its
 # frames to skip.
+# ASCII as UTF-16 of either byte order (the last character of the one has no zero behind it).
+_WIDE = re.compile(r"\x00?(?:[\x01-\x7f]\x00){4,}")
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+_NO_TEXT = re.compile(r"[\udc80-\udcff]")  # bytes that are not UTF-8
+# What a layer has that can be decoded further.
+_WORTH = re.compile(r"%%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{%d}|(?:[\x01-\x7f]\x00){4}"
+                    r"|[A-Za-z0-9+/_-]%s[A-Za-z0-9+/_-]" % (MIN_BASE64, _BREAK.pattern))
 _BLANKS = re.compile(r"\x20{3,}")
 _RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-_ENCODED = _RUN + "= \t\r\n>%\\&#;{}"  # what encoded data of any kind is written in
+_ENCODED = _RUN + "= \t\r\n>|*\"',%\\&#;{}\0"  # what encoded data of any kind is written in
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|[\x50-\x5f]\x2a\x4d\x18")
 
 
@@ -89,6 +97,7 @@ class Layer:
         self.text, self.starts, self.ends = text, starts, ends
         self.ancestors, self.digest = ancestors, digest
         self.whole = isinstance(starts, int)
+        self.doubtful = False  # may be no text at all
 
     def root(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
@@ -199,28 +208,33 @@ def _output(d, data: bytes) -> Iterator[bytes]:
 
 def _unpacking(chunks: Iterable[bytes]) -> Iterator[bytes]:
     """The content of compressed data, as it comes: of all members or frames, also of
-    different formats, with or without zeros between them."""
+    different formats, with or without zeros between them, and what stands behind as it is.
+    Returns whether all of it was whole."""
     chunks, d, rest, first = iter(chunks), None, b"", True
     while True:
         if d is None:
             while len(rest) < 8 and (more := next(chunks, None)) is not None:
                 rest = (rest + more).lstrip(b"\0")
             if not _MAGIC.match(rest):
-                return
+                yield rest
+                yield from chunks
+                return True
             d = _decompressor(rest)
         try:
             rest = yield from _output(d, rest)
         except _BROKEN:
             if first:
                 raise
-            return
+            yield rest
+            yield from chunks
+            return False
         if d.eof:
             d, first = None, False
             rest = rest.lstrip(b"\0")
         elif not (rest := next(chunks, b"")):
             if type(d).__module__ == "zlib":
                 yield d.flush()
-            return
+            return False
 
 
 def _opened(chunks: Iterator[bytes]) -> Iterator[bytes]:
@@ -248,57 +262,92 @@ def _unbroken(chunks: Iterator[bytes]) -> Iterator[bytes]:
         return  # what came before the damage stands
 
 
-def unpacked(data: bytes) -> bytes | None:
-    """The content of compressed bytes; None if they aren't. OverflowError beyond the bound."""
+def unpacked(data: bytes) -> tuple[bytes, bool] | None:
+    """The content of compressed bytes and whether it is whole; None if they aren't.
+    OverflowError beyond the bound."""
     if not _MAGIC.match(data):
         return None
-    out, size = [], 0
+    out, size, whole, parts = [], 0, False, _unpacking(_chunks(data))
     try:
-        for part in _unpacking(_chunks(data)):
-            out.append(part)
-            size += len(part)
+        while True:
+            out.append(next(parts))
+            size += len(out[-1])
             if size > MAX_LAYER_BYTES:
-                raise OverflowError
+                raise OverflowError(data)
+    except StopIteration as end:
+        whole = end.value
     except _BROKEN:
+        pass
+    return (b"".join(out), whole) if whole or size else None
+
+
+def _contents(data: bytes) -> Iterator[tuple[bytes, bool]]:
+    """Decoded bytes, unpacked through any compressed layers; and whether they were packed
+    (their characters then map to the whole region). Bytes that do not unpack to the end
+    stand for themselves too: they may only look packed. OverflowError has the bytes whose
+    content is beyond the bound."""
+    packed = False
+    while (got := unpacked(data)) is not None and got[0] != data:
+        if not got[1]:
+            yield data, packed
+        data, packed = got[0], True
+    yield data, packed
+
+
+def _readable(data: bytes, packed: bool) -> tuple[str, bool] | None:
+    """The bytes as text, with placeholders for bytes that are not UTF-8, and whether it may
+    be no text at all (then None if nothing in it can be found or decoded)."""
+    text = data.decode("utf-8", "surrogateescape")
+    doubtful = bool(_NO_TEXT.search(text) or not packed and _CONTROL.search(text))
+    if not text or doubtful and not _WORTH.search(text) and not base_spans(text):
         return None
-    return b"".join(out)
+    return text, doubtful
 
 
-def readable(data: bytes, opened: bool = False) -> str | None:
-    """The bytes as text, if they are UTF-8 without control characters (compressed content
-    that was unpacked only has to be UTF-8)."""
+def _whole_ranges(layer: Layer, start: int, end: int, data: bytes) -> Iterator[Layer | Stream | None]:
+    """Layers of the unpacked contents of a range's bytes."""
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not opened and any(c < " " and c not in "\t\n\r\f\v" or c == "\x7f" for c in text):
-        return None
-    return text
+        for content, packed in _contents(data):
+            if packed and (got := _readable(content, packed)):
+                yield _marked(layer.child(got[0], (start, end)), got[1])
+    except OverflowError as e:
+        yield Stream(layer, start, end, e.args[0])
 
 
-def _content(data: bytes) -> tuple[str | None, bool]:
-    """Text of decoded bytes, unpacked through any compressed layers; and whether it was
-    packed (its characters then map to the whole region). The OverflowError of content beyond
-    the bound has the bytes to unpack."""
-    packed = False
+def _is_packed(data: bytes) -> bool:
+    """Whether the bytes surely are compressed data: they do unpack to their end."""
     try:
-        while (inner := unpacked(data)) is not None and inner != data:
-            data, packed = inner, True
+        got = unpacked(data)
     except OverflowError:
-        raise OverflowError(data) from None
-    return readable(data, packed), packed
+        return True
+    return got is not None and got[1] and got[0] != data
+
+
+def _marked(layer: Layer | None, doubtful: bool) -> Layer | None:
+    if layer is not None:
+        layer.doubtful = doubtful
+    return layer
 
 
-def _substituted(layer: Layer, pattern, decode) -> Iterator[Layer | Stream | None]:
-    """The whole layer with every match of an escape replaced by what it stands for; what
-    is too large to stand there comes as a stream of its own."""
+def _substituted(layer: Layer, pattern, decode, as_bytes=None) -> Iterator[Layer | Stream | None]:
+    """The whole layer with every match of an escape replaced by what it stands for.
+    Compressed bytes that the escapes spell out come as layers of their own if they are too
+    large to stand there, or may not be compressed."""
     text, pieces, at, changed = [], [], 0, False
     for m in pattern.finditer(layer.text):
-        try:
-            got = decode(m)
-        except OverflowError as e:
-            yield Stream(layer, m.start(), m.end(), e.args[0])
-            continue
+        got, data = None, as_bytes(m) if as_bytes else None
+        if data and _MAGIC.match(data):
+            try:
+                (content, packed), *others = _contents(data)
+                if packed and not others:
+                    got = [(content.decode("utf-8", "surrogateescape"), 0, len(m[0]))]
+            except OverflowError:
+                others = True
+            if others:
+                yield from _whole_ranges(layer, m.start(), m.end(), data)
+                if _is_packed(data):
+                    continue
+        got = got or decode(m)
         text.append(layer.text[at:m.start()])
         if not layer.whole:
             pieces += [(i, i + 1) for i in range(at, m.start())]
@@ -314,11 +363,12 @@ def _substituted(layer: Layer, pattern, decode) -> Iterator[Layer | Stream | Non
         yield layer.child("".join(text), pieces)
 
 
+def _percent_bytes(m) -> bytes:
+    return bytes.fromhex(m[0].replace("%", ""))
+
+
 def _percent(m) -> list:
-    data = bytes.fromhex(m[0].replace("%", ""))
-    text, packed = _content(data)
-    if packed and text is not None:
-        return [(text, 0, len(m[0]))]
+    data = _percent_bytes(m)
     out, at = [], 0
     while at < len(data):  # by UTF-8 character; a byte that is none stays as it is
         for n in (1, 2, 3, 4):
@@ -335,62 +385,107 @@ def _percent(m) -> list:
 
 
 def _escapes(m) -> list:
-    """A run of escapes: one character each, or the compressed bytes they spell out."""
+    """A run of escapes: one character each."""
     out = []
     for e in _ESCAPE.finditer(m[0]):
         digits = next(g for g in e.groups() if g)
         code = int(digits, 10 if e[6] else 16)
         known = code < 0x110000 and not 0xD800 <= code < 0xE000
         out.append((chr(code) if known else e[0], e.start(), e.end()))
-    if all(len(c) == 1 and c < "\u0100" for c, _, _ in out):
-        text, packed = _content("".join(c for c, _, _ in out).encode("latin-1"))
-        if packed and text is not None:
-            return [(text, 0, len(m[0]))]
     return out
 
 
-def _decoded_run(layer: Layer, start: int, end: int) -> Layer | Stream | None:
-    body = layer.text[start:end].replace("\r", "").replace("\n", "").rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    raw = body.replace("-", "+").replace("_", "/")
+def _escapes_bytes(m) -> bytes | None:
+    """The bytes that a run of escapes spells out, if it does."""
+    chars = [c for c, _, _ in _escapes(m)]
+    if all(len(c) == 1 and c < "\u0100" for c in chars):
+        return "".join(chars).encode("latin-1")
+    return None
+
+
+def _narrow(m) -> list:
+    lead = m[0][0] == "\0"
+    return [(m[0][i], i, i + 2) for i in range(lead, len(m[0]), 2)]
+
+
+def _decoded_run(layer: Layer, lines: list[tuple[int, int]]) -> Iterator[Layer | Stream | None]:
+    """Layers of the base64 that stands in these ranges, one behind another."""
+    start, end = lines[0][0], lines[-1][1]
+    body = "".join([layer.text[a:b] for a, b in lines]).rstrip("=")
+    raw = body[:len(body) - (len(body) % 4 == 1)].replace("-", "+").replace("_", "/")
     try:
         data = base64.b64decode(raw + "=" * (-len(raw) % 4), validate=True)
     except ValueError:
-        return None
-    try:
-        text, packed = _content(data)
-    except OverflowError as e:
-        return Stream(layer, start, end, e.args[0])
-    if not text:
-        return None
-    if packed or layer.whole:
-        return layer.child(text, (start, end))
-    at = [i for i in range(start, end) if layer.text[i] not in "\r\n"]
+        return
+    if _MAGIC.match(data):
+        yield from _whole_ranges(layer, start, end, data)
+        if _is_packed(data):
+            return
+    readable = _readable(data, False)
+    if readable is None:
+        return
+    text, doubtful = readable
+    if layer.whole:
+        yield _marked(layer.child(text, (start, end)), doubtful)
+        return
+    at = [i for a, b in lines for i in range(a, b)]
     pieces, byte = [], 0
     for c in text:  # three bytes stand in four characters
-        n = len(c.encode("utf-8"))
+        n = 1 if c < "\x80" else len(c.encode("utf-8", "surrogateescape"))
         last = min(len(at), ((byte + n - 1) // 3 + 1) * 4) - 1
         pieces.append((at[byte // 3 * 4], at[last] + 1))
         byte += n
-    return layer.child(text, pieces)
+    yield _marked(layer.child(text, pieces), doubtful)
+
+
+def _wrapped_lines(text: str, m) -> Iterator[list[tuple[int, int]]]:
+    """The lines of a wrapped block from where its base64 may begin. Words on the lines
+    before it only shift its phase, of which there are four; compressed data begins at a
+    line of its own."""
+    lines, at = [], m.start()
+    for gap in _BREAK.finditer(text, m.start(), m.end()):
+        lines.append((at, gap.start()))
+        at = gap.end()
+    lines.append((at, m.end()))
+    body = "".join([text[a:b] for a, b in lines]).rstrip("=").replace("-", "+").replace("_", "/")
+    if len(body) < MIN_BASE64:
+        return
+    phases, chars = set(), 0
+    for i, (a, b) in enumerate(lines):
+        if chars % 4 not in phases or _begins_packed(body[chars:chars + 256]):
+            phases.add(chars % 4)
+            yield lines[i:]
+        chars += b - a
+
+
+def _begins_packed(body: str) -> bool:
+    data = base64.b64decode(body[:len(body) // 4 * 4])
+    try:
+        return bool(_MAGIC.match(data)) and (any(_unpacking([data])) or True)
+    except _BROKEN:
+        return False
 
 
 def children(layer: Layer) -> Iterator[Layer | Stream | None]:
     """Every layer that one step of decoding gives."""
     text = layer.text
     if "%" in text:
-        yield from _substituted(layer, _PERCENT, _percent)
+        yield from _substituted(layer, _PERCENT, _percent, _percent_bytes)
     if "\\" in text or "&#" in text:
-        yield from _substituted(layer, _ESCAPES, _escapes)
+        yield from _substituted(layer, _ESCAPES, _escapes, _escapes_bytes)
+    if "\0" in text:
+        yield from _substituted(layer, _WIDE, _narrow)
     for m in _WRAPPED.finditer(text):
-        yield _decoded_run(layer, m.start(), m.end())
+        for lines in _wrapped_lines(text, m):
+            yield from _decoded_run(layer, lines)
     for m in _BASE64.finditer(text):
-        got = _decoded_run(layer, m.start(), m.end())
-        yield got
-        if got is None and any(c in m[0] for c in "+/_-"):  # a path or a joined name
+        clean = False
+        for got in _decoded_run(layer, [m.span()]):
+            clean = clean or isinstance(got, Stream) or got is not None and not got.doubtful
+            yield got
+        if not clean and any(c in m[0] for c in "+/_-"):  # a path or a joined name
             for part in _BASE64_PART.finditer(m[0]):
-                yield _decoded_run(layer, m.start() + part.start(), m.start() + part.end())
+                yield from _decoded_run(layer, [(m.start() + part.start(), m.start() + part.end())])
 
 
 def scan(text: str | None) -> tuple[list, list, int, int]:
@@ -413,8 +508,9 @@ def scan(text: str | None) -> tuple[list, list, int, int]:
             if key in seen:
                 continue
             seen.add(key)
-            layers += 1
-            for start, kind, end in base_spans(got.text):
+            found = base_spans(got.text)
+            layers += bool(found) or not got.doubtful
+            for start, kind, end in found:
                 a, b = got.root(start, end)
                 spans.add((a, kind, b))
             work.append(children(got))

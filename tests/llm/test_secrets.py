@@ -111,6 +111,60 @@ def test_all_members(monkeypatch, pack):
     assert S.scan(text)[1] == [(0, "assign", len(text))]
 
 
+UNCLEAN = {
+    "utf-16le": SECRET.encode("utf-16-le"), "utf-16be": SECRET.encode("utf-16-be"), "utf-16": SECRET.encode("utf-16"),
+    "utf-16 among others": ("größe 日本 " + SECRET + " é日").encode("utf-16-le"),
+    "latin-1": ("größe " + SECRET).encode("latin-1"), "nul": b"a\0bc\0" + SECRET.encode() + b"\0d",
+    "esc": b"\x1b[1m" + SECRET.encode() + b"\x1b[0m", "bad byte": b"\xff\xfe\xc3" + SECRET.encode() + b"\x80",
+    "looks packed": b"x^2 is a square, " + SECRET.encode(), "nested": b"\xff\0" + b64(SECRET).encode() + b"\xff",
+    "escaped": b"\xff\0" + percent(SECRET).encode(), "wide and nested": b64(SECRET).encode("utf-16-le")}
+
+
+@pytest.mark.parametrize("case", UNCLEAN)
+def test_layers_that_are_not_clean_text(case):
+    for data in (UNCLEAN[case], gzip.compress(UNCLEAN[case]), gzip.compress(UNCLEAN[case]) + b"\xff tail"):
+        text = f"é {b64(data)} z"
+        spans = S.scan(text)[1]
+        assert any(kind == "assign" and 2 <= a < b <= len(text) - 2 for a, kind, b in spans), data
+    text = b64(b"\xff" * 60 + SECRET.encode() + b"\xfe" * 60)
+    (a, _, b), = S.scan(text)[1]
+    assert 76 <= a <= 80 and b <= len(text) - 76  # placeholders keep the places of the bytes
+
+
+def test_cut_and_damaged_data():
+    long = gzip.compress(SECRET.encode() + random.Random(3).randbytes(100_000).hex("\n").encode())
+    for data in (long[:30_000], long[:60_000] + b"\0" * 50 + long[60_050:], long + b"\x1f\x8b\x08 no gzip"):
+        for encode in (b64, percent):
+            text = encode(data)
+            assert (0, "assign", len(text)) in S.scan(text)[1]
+    assert S.scan(b64(gzip.compress(b"x") + b" " + SECRET.encode()))[1]
+
+
+LONG = "filler " * 9 + SECRET + " filler" * 9
+BREAKS = {"plain": "\n", "indented": "\n    ", "tabs, crlf": " \r\n\t", "mail": "\n> ", "comment": "\n# ",
+          "quoted": '"\n    "', "added": '" +\n    "', "continued": "\\\n", "list": '",\n "'}
+
+
+@pytest.mark.parametrize("kind", BREAKS)
+def test_wrapped_blocks(kind):
+    for secret in (LONG.encode(), gzip.compress(LONG.encode()), b"\xff" * 5 + LONG.encode(), LONG.encode("utf-16-le")):
+        for encode in (b64, lambda x: base64.urlsafe_b64encode(x).decode()):
+            for width in (5, 11, 20, 39, 64, 76):
+                run = encode(secret)
+                block = BREAKS[kind].join(run[i:i + width] for i in range(0, len(run), width))
+                for before, after in (("", ""), ("key: |\n  ", "\nend."), ("some words before\n", "\n\nprose"),
+                                      ("word\n", "\nword and more"), ('x = "', '"\n')):
+                    text = before + block + after
+                    spans = S.scan(text)[1]
+                    assert any(kind == "assign" and len(before) <= b and a < len(text) - len(after)
+                               for a, kind, b in spans), (width, text)
+
+
+def test_no_layers_in_garbage():
+    names = "internationalization a/long/path/to/some_file_name-with.parts " + hashlib.sha512(b"").hexdigest()[:31]
+    assert S.scan(names)[1:] == ([], 0, 0)
+
+
 def test_a_run_longer_than_a_piece(monkeypatch):
     monkeypatch.setattr(S, "MAX_LAYER_BYTES", 1 << 16)
     run = b64("filler " * 20_000 + SECRET + " filler" * 20_000)
