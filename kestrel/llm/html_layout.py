@@ -55,10 +55,11 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "rows")
 
     def __init__(self, tag: str, attrs: dict | None = None):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
+        self.rows = False  # has rows of the table that it is in
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -77,6 +78,8 @@ def parse(source: str) -> Node:
 
     def text(piece: str) -> None:
         if piece:
+            if stack[-1].tag == "colgroup" and piece.strip(" \t\n\r\f"):
+                stack.pop()
             stack[-1].children.append(html.unescape(piece))
 
     while at < n:
@@ -97,12 +100,16 @@ def parse(source: str) -> Node:
         attrs = _attributes(m[3]) if m[3].strip(" /\t\n\r\f") else {}
         if tag in ("html", "body") and any(x.tag == tag for x in stack):
             continue
+        if stack[-1].tag == "colgroup" and tag not in ("col", "template"):
+            stack.pop()  # its end tag may be left out
         if tag in ("tr", "td", "th") or tag in CLOSES_P or tag in IMPLIED:
             _implied(stack, tag)
         if len(stack) >= MAX_DEPTH and tag not in VOID and tag not in RAW:
             stack.pop()
         node = Node(tag, attrs)
         stack[-1].children.append(node)
+        if tag == "tr":
+            _has_row(stack)
         if tag in VOID:
             continue
         if tag in RAW:
@@ -136,9 +143,17 @@ def _implied(stack: list[Node], tag: str) -> None:
     if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
         row = Node("tr")
         stack[-1].children.append(row)
+        _has_row(stack)
         stack.append(row)
 
 
+def _has_row(stack: list[Node]) -> None:
+    for node in reversed(stack):
+        if node.tag == "table" or node.rows:
+            break
+        node.rows = True
+
+
 def _end(stack: list[Node], tag: str) -> None:
     if tag == "br":
         stack[-1].children.append(Node("br"))
@@ -319,28 +334,48 @@ def _list(node: Node, page: Page, pre: bool, depth: int) -> None:
         page.indent = page.indent[:-len(marker)]
 
 
-def _rows(node: Node) -> Iterator[Node]:
-    for child in node.children:
-        if isinstance(child, Node) and visible(child):
-            if child.tag == "tr":
-                yield child
-            elif child.tag in ("tbody", "thead", "tfoot"):
-                yield from (r for r in child.children if isinstance(r, Node) and r.tag == "tr" and visible(r))
+def _table_parts(table: Node) -> tuple[list[Node], list[Node | str | None]]:
+    """The rows of a table, also through row groups and any other element that they stand
+    in, and its other content; None where a line ends."""
+    rows, stray = [], []
+    todo = [iter(table.children)]
+    while todo:
+        child = next(todo[-1], None)
+        if child is None:
+            todo.pop()
+            stray.append(None)
+        elif isinstance(child, str):
+            stray.append(child)
+        elif not visible(child) or child.tag == "col":
+            continue
+        elif child.tag == "tr":
+            rows.append(child)
+            stray.append(None)
+        elif child.tag in ("tbody", "thead", "tfoot", "colgroup") \
+                or child.rows and child.tag != "table" and (child.tag != "details" or "open" in child.attrs):
+            stray.append(None)
+            todo.append(iter(child.children))
+        else:
+            stray.append(child)
+    return rows, stray
 
 
 def _table(node: Node, page: Page, depth: int) -> None:
     """Rows of cells in columns as wide as their widest line; captions and stray content
     come first."""
-    for child in node.children:
-        if isinstance(child, str):
+    rows, stray = _table_parts(node)
+    for child in stray:
+        if child is None:
+            page.margin(0)
+        elif isinstance(child, str):
             page.text(child, False)
-        elif visible(child) and child.tag not in ("tr", "tbody", "thead", "tfoot", "colgroup", "col"):
+        else:
             _element(child, page, False, depth)
             page.margin(0)
     page.end_line()
     grid: list[list[tuple[int, int, list[str]]]] = []  # per row: (column, span, lines)
     busy: dict[int, int] = {}  # column -> rows that a cell above still covers
-    for row in _rows(node):
+    for row in rows:
         cells, column = [], 0
         stray = Node("td")
         for cell in row.children:

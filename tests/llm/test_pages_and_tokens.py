@@ -42,6 +42,36 @@ def test_deep_and_broken_pages_keep_their_text():
     assert H.extract('<a href="x>unclosed') is not None
 
 
+TABLES = [
+    "<table><tbody>loose<tr><td>a<td>b</tr>more<b>bold</b><tr><td>c</tbody></table>",
+    "<table><tbody><form><tr><td>a<td>b</tr><tr><td>c</form><tr><td>d</table>",
+    "<table><form><tr><td>a</form><tr><td>b</table>", "<table><tbody><font><tr><td>a<tr><td>b</font></table>",
+    "<table><thead><center><tr><th>a<th>b</center></thead><tbody><center>x<font>y<tr><td>c</center></table>",
+    "<table><colgroup><col><col><tr><td>a<td>b</table>", "<table><colgroup><col><tbody><tr><td>a</table>",
+    "<table><colgroup><td>a<td>b</table>", "<table><colgroup><col><thead><tr><th>a<tbody><tr><td>b</table>",
+    "<table><colgroup><col>loose<tr><td>a</table>", "<table><colgroup><col><caption>a</caption><tr><td>b</table>",
+    "<table><colgroup><col><colgroup><col><tfoot><tr><td>a</table>z", "<table><tbody><p>a<ul><li>b</ul></tbody></table>",
+    "<table><tbody><tr><td><table><tbody>in<form><tr><td>a</table>b<tr><td>c</table>",
+    "<table>one<tr><td>a</tr>two</table>", "<table><tbody>a<tbody>b</table>", "<table><div><span><tr><td>a</table>"]
+
+
+@pytest.mark.parametrize("source", TABLES)
+def test_all_words_of_odd_tables(source):
+    marked = re.sub(r">([a-z]+)", lambda m: f">{m[1]}{m.start()}", source)  # words that differ
+    want = re.findall(r">([a-z]+\d+)", marked)
+    got = re.findall(r"[a-z]+\d+", H.extract(marked))
+    assert want and sorted(got) == sorted(want)
+
+
+def test_rows_in_wrappers_are_laid_out():
+    rows = "<tr><td>a<td>bb</tr><tr><td>ccc<td>d</tr>"
+    for source in (f"<tbody><form>{rows}</form></tbody>", f"<colgroup><col>{rows}", f"<font><center>{rows}",
+                   f"<colgroup><col><tbody>{rows}"):
+        assert H.extract(f"<table>{source}</table>") == "a    bb\nccc  d"
+    assert H.extract(f"<table><form hidden>{rows}</form></table>") == ""
+    assert H.extract(f"<table><details><summary>s</summary>{rows}</details></table>") == "s"
+
+
 class Words(HTMLParser):
     """All text outside of invisible elements, for the pages of the tests only."""
 
