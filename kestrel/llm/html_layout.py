@@ -22,8 +22,16 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template title noscript iframe object audio video canvas svg math datalist "
-    "noembed noframes meta link base param source track area".split())
+    "head script style template title noscript iframe object audio video canvas datalist "
+    "noembed noframes meta link base param source track area annotation annotation-xml mphantom".split())
+#: Start tags that an open <head> holds; any other ends it.
+HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: Of svg and math: start tags that end them, elements with HTML inside, and svg that isn't drawn in place.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+    "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+INTEGRATION = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+UNDRAWN = frozenset("defs symbol clippath mask pattern marker metadata desc lineargradient radialgradient filter".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p "
@@ -51,15 +59,18 @@ _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
+MATH_PARTS = frozenset("mfrac mroot mtable mtr mlabeledtr".split())
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z|\A[^=]*/\Z")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "rows")
+    __slots__ = ("tag", "attrs", "children", "rows", "foreign")
 
     def __init__(self, tag: str, attrs: dict | None = None):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
         self.rows = False  # has rows of the table that it is in
+        self.foreign = False  # svg or math, where tags follow other rules
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -76,11 +87,12 @@ def parse(source: str) -> Node:
     root = Node("html")
     stack, at, n = [root], 0, len(source)
 
-    def text(piece: str) -> None:
+    def text(piece: str, unescape=html.unescape) -> None:
         if piece:
-            if stack[-1].tag == "colgroup" and piece.strip(" \t\n\r\f"):
+            piece = unescape(piece)
+            if stack[-1].tag in ("colgroup", "head") and piece.strip(" \t\n\r\f"):
                 stack.pop()
-            stack[-1].children.append(html.unescape(piece))
+            stack[-1].children.append(piece)
 
     while at < n:
         m = _TOKEN.search(source, at)
@@ -91,7 +103,7 @@ def parse(source: str) -> Node:
         at = max(m.end(), m.start() + 1)
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
-                stack[-1].children.append(m[0][9:].removesuffix("]]>"))
+                text(m[0][9:].removesuffix("]]>"), str)
             continue
         tag = m[2].lower()
         if m[1]:
@@ -100,6 +112,13 @@ def parse(source: str) -> Node:
         attrs = _attributes(m[3]) if m[3].strip(" /\t\n\r\f") else {}
         if tag in ("html", "body") and any(x.tag == tag for x in stack):
             continue
+        foreign = stack[-1].foreign and stack[-1].tag not in INTEGRATION
+        if foreign and (tag in BREAKOUT or tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size"))):
+            while stack[-1].foreign and stack[-1].tag not in INTEGRATION:
+                stack.pop()
+            foreign = False
+        if stack[-1].tag == "head" and tag not in HEAD:
+            stack.pop()  # its end tag and the start tag of the body may be left out
         if stack[-1].tag == "colgroup" and tag not in ("col", "template"):
             stack.pop()  # its end tag may be left out
         if tag in ("tr", "td", "th") or tag in CLOSES_P or tag in IMPLIED:
@@ -110,7 +129,8 @@ def parse(source: str) -> Node:
         stack[-1].children.append(node)
         if tag == "tr":
             _has_row(stack)
-        if tag in VOID:
+        node.foreign = foreign or tag in ("svg", "math")
+        if tag in VOID or node.foreign and _CLOSED.search(m[3]):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
@@ -179,6 +199,8 @@ def visible(node: Node) -> bool:
     a = node.attrs
     if not a:
         return True
+    if node.foreign and (a.get("display", "").strip() == "none" or a.get("visibility", "").strip() in ("hidden", "collapse")):
+        return False
     if "hidden" in a and a["hidden"].lower() != "until-found" or node.tag == "input" and a.get("type", "").lower() == "hidden":
         return False
     if node.tag == "dialog" and "open" not in a:
@@ -266,6 +288,9 @@ def _element(node: Node, page: Page, pre: bool, depth: int) -> None:
         if node.attrs.get("type", "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel", "number"):
             page.text(node.attrs.get("value", ""), False)
         return
+    if node.foreign and (tag == "svg" or tag in MATH_PARTS):
+        (_svg if tag == "svg" else _math_parts)(node, page, depth)
+        return
     if tag == "table":
         page.margin(1)
         _table(node, page, depth)
@@ -305,6 +330,40 @@ def _element(node: Node, page: Page, pre: bool, depth: int) -> None:
         page.text("”", False)
 
 
+def _svg(node: Node, page: Page, depth: int) -> None:
+    """The texts of a drawing, each on a line of its own, and HTML inside of it."""
+    for child in node.children:
+        if isinstance(child, str) or child.tag in UNDRAWN or not visible(child):
+            continue
+        if child.tag in ("text", "foreignobject"):
+            page.margin(0)
+            (_svg_text if child.tag == "text" else _render)(child, page, False, depth)
+            page.margin(0)
+        else:
+            _svg(child, page, depth)
+
+
+def _svg_text(node: Node, page: Page, pre: bool, depth: int) -> None:
+    for child in node.children:
+        if isinstance(child, str):
+            page.text(child, pre)
+        elif child.tag not in UNDRAWN and visible(child):
+            if not child.attrs.keys().isdisjoint(("x", "y", "dy")):
+                page.space = True  # it stands elsewhere
+            _svg_text(child, page, pre, depth)
+
+
+def _math_parts(node: Node, page: Page, depth: int) -> None:
+    """Parts of a formula that stand apart."""
+    for child in node.children:
+        page.space = True
+        if isinstance(child, str):
+            page.text(child, False)
+        elif visible(child):
+            _element(child, page, False, depth)
+    page.space = True
+
+
 def _number(value: str | None, default: int) -> int:
     m = re.match(r"\s*([+-]?\d{1,9})", value or "")
     return int(m[1]) if m else default

@@ -72,6 +72,27 @@ def test_rows_in_wrappers_are_laid_out():
     assert H.extract(f"<table><details><summary>s</summary>{rows}</details></table>") == "s"
 
 
+HEADS = {
+    "<html><head><title>t</title><p>text <b>bold": "text bold", "<head><meta charset=x><style>s</style>plain": "plain",
+    "<head><title>t</title>\n <link rel=x>\n<h1>H</h1>one": "H\n\none", "<head>&nbsp;x": "\xa0x",
+    "<html><head><script>s</script><noscript>n</noscript><table><tr><td>a": "a", "<head><header>h</header>": "h",
+    "<head><title>t</title></head><p>a": "a", "<head><title>t<body>a": "", "<head><template><p>no</template>yes": "yes",
+    "<head><![CDATA[c]]>": "c", "<head><title>t</title><div hidden>no</div>a": "a",
+    "a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b": "a x=2 b", "<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>": "1 2",
+    "<math><semantics><mi>x</mi><annotation>no</annotation></semantics></math>": "x",
+    "<svg><title>no</title><style/><path d='M0'/><g><text x=1>label <tspan>two</tspan></text></g><text>b</text></svg>c":
+        "label two\nb\nc",
+    "<svg><defs><text>no</text></defs><desc>no</desc><g display=none><text>no</text></g>no<rect/></svg>yes": "yes",
+    "<svg><foreignObject><p>html</p></foreignObject><circle r='1'/><text>t</text></svg>": "html\n\nt",
+    "<svg><path d='M0'><p>out of it</p>": "out of it", "<svg hidden><text>no</text></svg>x": "x",
+    "<math><mi>x</mi><div>out</div>": "x\nout", "<svg><text><tspan x=0>a</tspan><tspan x=0>b</tspan></text></svg>": "a b"}
+
+
+@pytest.mark.parametrize("source", HEADS)
+def test_open_heads_and_drawings(source):
+    assert H.extract(source) == HEADS[source]
+
+
 class Words(HTMLParser):
     """All text outside of invisible elements, for the pages of the tests only."""
 
