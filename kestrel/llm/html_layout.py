@@ -12,6 +12,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -52,7 +54,9 @@ IMPLIED = {
     "body": (("head",), ("html",)),
 }
 SCOPE = frozenset("table td th caption html object template".split())  # end tags don't reach out
-MAX_DEPTH = 150   # deeper elements become children of the one at this depth; no text is lost
+P_SCOPE = SCOPE | {"button"}
+MAX_INDENT = 400  # columns; text that is nested deeper is indented by as many
+MAX_TABLES = 64   # within one another; cells of deeper ones stand one below another
 COLUMN_GAP = "  "
 
 _TOKEN = re.compile(
@@ -82,16 +86,60 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
+class Open(list):
+    """The open elements, and where those of each tag stand: no look-up walks through the
+    elements, of which a page that leaves out end tags has as many as tags."""
+
+    def __init__(self, root: Node):
+        super().__init__()
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.ended: set[int] = set()  # formatting that ended while blocks inside are open
+        self.push(root)
+
+    def push(self, node: Node) -> None:
+        self.at[node.tag].append(len(self))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self))
+        self.append(node)
+
+    def last(self, tags) -> int:
+        return max([places[-1] for t in tags if (places := self.at.get(t))], default=-1)
+
+    def first_beyond(self, edge: int, tags) -> int | None:
+        found = [places[i] for t in tags if (places := self.at.get(t))
+                 and (i := bisect_right(places, edge)) < len(places)]
+        return min(found, default=None)
+
+    def cut(self, i: int) -> None:
+        """Close the elements from the i-th on, and ended ones that are then the innermost."""
+        while len(self) > i or len(self) - 1 in self.ended:
+            tag = self.pop().tag
+            if len(self) in self.ended:
+                self.ended.remove(len(self))
+                continue
+            self.at[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def leave(self) -> None:
+        self.cut(len(self) - 1)
+
+    def end_formatting(self, i: int) -> None:
+        self.at[self[i].tag].pop()
+        self.ended.add(i)
+
+
 def parse(source: str) -> Node:
     """The element tree of a page."""
     root = Node("html")
-    stack, at, n = [root], 0, len(source)
+    stack, at, n = Open(root), 0, len(source)
 
     def text(piece: str, unescape=html.unescape) -> None:
         if piece:
             piece = unescape(piece)
             if stack[-1].tag in ("colgroup", "head") and piece.strip(" \t\n\r\f"):
-                stack.pop()
+                stack.leave()
             stack[-1].children.append(piece)
 
     while at < n:
@@ -110,21 +158,19 @@ def parse(source: str) -> Node:
             _end(stack, tag)
             continue
         attrs = _attributes(m[3]) if m[3].strip(" /\t\n\r\f") else {}
-        if tag in ("html", "body") and any(x.tag == tag for x in stack):
+        if tag in ("html", "body") and stack.at.get(tag):
             continue
         foreign = stack[-1].foreign and stack[-1].tag not in INTEGRATION
         if foreign and (tag in BREAKOUT or tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size"))):
             while stack[-1].foreign and stack[-1].tag not in INTEGRATION:
-                stack.pop()
+                stack.leave()
             foreign = False
         if stack[-1].tag == "head" and tag not in HEAD:
-            stack.pop()  # its end tag and the start tag of the body may be left out
+            stack.leave()  # its end tag and the start tag of the body may be left out
         if stack[-1].tag == "colgroup" and tag not in ("col", "template"):
-            stack.pop()  # its end tag may be left out
+            stack.leave()  # its end tag may be left out
         if tag in ("tr", "td", "th") or tag in CLOSES_P or tag in IMPLIED:
             _implied(stack, tag)
-        if len(stack) >= MAX_DEPTH and tag not in VOID and tag not in RAW:
-            stack.pop()
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag == "tr":
@@ -138,33 +184,24 @@ def parse(source: str) -> Node:
             node.children.append(html.unescape(body) if tag in ("textarea", "title") else body)
             at = end.end() if end else n
             continue
-        stack.append(node)
+        stack.push(node)
     return root
 
 
-def _implied(stack: list[Node], tag: str) -> None:
+def _implied(stack: Open, tag: str) -> None:
     """End tags that a start tag implies, and the rows of tables."""
-    if tag in CLOSES_P:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == "p":
-                del stack[i:]
-                break
-            if stack[i].tag in SCOPE or stack[i].tag == "button":
-                break
-    closes, edge = IMPLIED.get(tag, ((), ()))
-    cut = None
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in edge:
-            break
-        if stack[i].tag in closes:
-            cut = i
-    if cut is not None:
-        del stack[cut:]
+    if tag in CLOSES_P and stack.at.get("p") and (i := stack.last(("p",))) > stack.last(P_SCOPE):
+        stack.cut(i)
+    if tag in IMPLIED:
+        closes, edge = IMPLIED[tag]
+        i = stack.first_beyond(max(0, stack.last(edge)), closes)
+        if i is not None:
+            stack.cut(i)
     if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
         row = Node("tr")
         stack[-1].children.append(row)
         _has_row(stack)
-        stack.append(row)
+        stack.push(row)
 
 
 def _has_row(stack: list[Node]) -> None:
@@ -174,21 +211,21 @@ def _has_row(stack: list[Node]) -> None:
         node.rows = True
 
 
-def _end(stack: list[Node], tag: str) -> None:
+def _end(stack: Open, tag: str) -> None:
     if tag == "br":
         stack[-1].children.append(Node("br"))
         return
     if tag in ("html", "body"):
         return  # what follows still belongs to the page
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            if tag in FORMATTING and any(x.tag in BLOCK for x in stack[i:]):
-                del stack[i]  # the blocks that it opened stay open
-            else:
-                del stack[i:]
-            return
-        if stack[i].tag in SCOPE and tag not in SCOPE and tag not in ("tr", "tbody", "thead", "tfoot"):
-            return
+    i = stack.last((tag,))
+    if tag not in SCOPE and tag not in ("tr", "tbody", "thead", "tfoot") and stack.last(SCOPE) > max(i, 0):
+        return
+    if i > 0:
+        if tag in FORMATTING and stack.blocks[-1] > i:
+            stack.end_formatting(i)  # the blocks that it opened stay open
+        else:
+            stack.cut(i)
+        return
     if tag == "p":
         stack[-1].children.append(Node("p"))
 
@@ -213,12 +250,13 @@ class Page:
     """Lines of text under construction. Margins collapse: only the largest pending one is
     laid out, when the next text comes."""
 
-    def __init__(self):
+    def __init__(self, tables: int = 0):
+        self.tables = tables      # that it stands in
         self.lines: list[str] = []
         self.line: list[str] = []
         self.gap = 0              # blank lines due before the next line
         self.space = False        # a collapsed space is due before the next word
-        self.indent = ""
+        self.indent = 0
         self.marker = ""          # of a list item, for its first line
 
     def text(self, s: str, pre: bool) -> None:
@@ -250,8 +288,8 @@ class Page:
             if self.lines and self.gap:
                 self.lines += [""] * self.gap
             self.gap = 0
-            self.lines.append((self.indent[:len(self.indent) - len(self.marker)] + self.marker + line).rstrip()
-                              if self.marker else (self.indent + line).rstrip())
+            indent = min(self.indent, MAX_INDENT) - len(self.marker)
+            self.lines.append((" " * indent + self.marker + line).rstrip())
             if line:
                 self.marker = ""
 
@@ -266,15 +304,30 @@ class Page:
         return "\n".join(self.lines)
 
 
-def _render(node: Node, page: Page, pre: bool, depth: int) -> None:
+#: Rendering functions yield what is to be rendered before they go on, so that no nesting
+#: of a page is too deep for the interpreter's stack.
+Steps = Iterator["Steps"]
+
+
+def _run(steps: Steps) -> None:
+    open_steps = [steps]
+    while open_steps:
+        inner = next(open_steps[-1], None)
+        if inner is None:
+            open_steps.pop()
+        else:
+            open_steps.append(inner)
+
+
+def _render(node: Node, page: Page, pre: bool, depth: int) -> Steps:
     for child in node.children:
         if isinstance(child, str):
             page.text(child, pre)
         elif visible(child):
-            _element(child, page, pre, depth)
+            yield _element(child, page, pre, depth)
 
 
-def _element(node: Node, page: Page, pre: bool, depth: int) -> None:
+def _element(node: Node, page: Page, pre: bool, depth: int) -> Steps:
     tag = node.tag
     if tag == "br":
         page.end_line(keep=True)
@@ -289,23 +342,23 @@ def _element(node: Node, page: Page, pre: bool, depth: int) -> None:
             page.text(node.attrs.get("value", ""), False)
         return
     if node.foreign and (tag == "svg" or tag in MATH_PARTS):
-        (_svg if tag == "svg" else _math_parts)(node, page, depth)
+        yield (_svg if tag == "svg" else _math_parts)(node, page, depth)
         return
     if tag == "table":
         page.margin(1)
-        _table(node, page, depth)
+        yield _table(node, page, depth)
         page.margin(1)
         return
     if tag in ("ul", "ol", "menu", "dir"):
         page.margin(1 if not depth else 0)
-        _list(node, page, pre, depth)
+        yield _list(node, page, pre, depth)
         page.margin(1 if not depth else 0)
         return
     if tag == "details" and "open" not in node.attrs:
         for child in node.children:  # closed: only its summary shows
             if isinstance(child, Node) and child.tag == "summary" and visible(child):
                 page.margin(0)
-                _render(child, page, pre, depth)
+                yield _render(child, page, pre, depth)
                 page.margin(0)
                 break
         return
@@ -314,53 +367,52 @@ def _element(node: Node, page: Page, pre: bool, depth: int) -> None:
     spaced = 1 if tag in SPACED else 0
     if tag in BLOCK:
         page.margin(spaced)
-        inner = {"blockquote": "  ", "dd": "  "}.get(tag, "")
+        inner = 2 if tag in ("blockquote", "dd") else 0
         page.indent += inner
-        _render(node, page, pre or tag in ("pre", "xmp"), depth)
+        yield _render(node, page, pre or tag in ("pre", "xmp"), depth)
         page.margin(spaced)
-        if inner:
-            page.indent = page.indent[:-len(inner)]
+        page.indent -= inner
         return
     if tag == "textarea":
         pre = True
     if tag == "q":
         page.text("“", False)
-    _render(node, page, pre, depth)
+    yield _render(node, page, pre, depth)
     if tag == "q":
         page.text("”", False)
 
 
-def _svg(node: Node, page: Page, depth: int) -> None:
+def _svg(node: Node, page: Page, depth: int) -> Steps:
     """The texts of a drawing, each on a line of its own, and HTML inside of it."""
     for child in node.children:
         if isinstance(child, str) or child.tag in UNDRAWN or not visible(child):
             continue
         if child.tag in ("text", "foreignobject"):
             page.margin(0)
-            (_svg_text if child.tag == "text" else _render)(child, page, False, depth)
+            yield (_svg_text if child.tag == "text" else _render)(child, page, False, depth)
             page.margin(0)
         else:
-            _svg(child, page, depth)
+            yield _svg(child, page, depth)
 
 
-def _svg_text(node: Node, page: Page, pre: bool, depth: int) -> None:
+def _svg_text(node: Node, page: Page, pre: bool, depth: int) -> Steps:
     for child in node.children:
         if isinstance(child, str):
             page.text(child, pre)
         elif child.tag not in UNDRAWN and visible(child):
             if not child.attrs.keys().isdisjoint(("x", "y", "dy")):
                 page.space = True  # it stands elsewhere
-            _svg_text(child, page, pre, depth)
+            yield _svg_text(child, page, pre, depth)
 
 
-def _math_parts(node: Node, page: Page, depth: int) -> None:
+def _math_parts(node: Node, page: Page, depth: int) -> Steps:
     """Parts of a formula that stand apart."""
     for child in node.children:
         page.space = True
         if isinstance(child, str):
             page.text(child, False)
         elif visible(child):
-            _element(child, page, False, depth)
+            yield _element(child, page, False, depth)
     page.space = True
 
 
@@ -369,7 +421,7 @@ def _number(value: str | None, default: int) -> int:
     return int(m[1]) if m else default
 
 
-def _list(node: Node, page: Page, pre: bool, depth: int) -> None:
+def _list(node: Node, page: Page, pre: bool, depth: int) -> Steps:
     number = _number(node.attrs.get("start"), 1)
     for child in node.children:
         if isinstance(child, str):
@@ -378,19 +430,19 @@ def _list(node: Node, page: Page, pre: bool, depth: int) -> None:
         if not visible(child):
             continue
         if child.tag != "li":
-            _element(child, page, pre, depth + 1)
+            yield _element(child, page, pre, depth + 1)
             continue
         if node.tag == "ol":
             number = _number(child.attrs.get("value"), number)
         marker = f"{number}. " if node.tag == "ol" else "- "
         number += 1
         page.margin(0)
-        page.indent += " " * len(marker)
+        page.indent += len(marker)
         page.marker = marker
-        _render(child, page, pre, depth + 1)
+        yield _render(child, page, pre, depth + 1)
         page.margin(0)
         page.marker = ""
-        page.indent = page.indent[:-len(marker)]
+        page.indent -= len(marker)
 
 
 def _table_parts(table: Node) -> tuple[list[Node], list[Node | str | None]]:
@@ -419,7 +471,7 @@ def _table_parts(table: Node) -> tuple[list[Node], list[Node | str | None]]:
     return rows, stray
 
 
-def _table(node: Node, page: Page, depth: int) -> None:
+def _table(node: Node, page: Page, depth: int) -> Steps:
     """Rows of cells in columns as wide as their widest line; captions and stray content
     come first."""
     rows, stray = _table_parts(node)
@@ -429,9 +481,13 @@ def _table(node: Node, page: Page, depth: int) -> None:
         elif isinstance(child, str):
             page.text(child, False)
         else:
-            _element(child, page, False, depth)
+            yield _element(child, page, False, depth)
             page.margin(0)
     page.end_line()
+    if page.tables >= MAX_TABLES:
+        for row in rows:
+            yield _element(row, page, False, depth + 1)
+        return
     grid: list[list[tuple[int, int, list[str]]]] = []  # per row: (column, span, lines)
     busy: dict[int, int] = {}  # column -> rows that a cell above still covers
     for row in rows:
@@ -445,8 +501,8 @@ def _table(node: Node, page: Page, depth: int) -> None:
                     column += 1
                 span = max(1, min(1000, _number(cell.attrs.get("colspan"), 1)))
                 down = max(1, _number(cell.attrs.get("rowspan"), 1))
-                own = Page()
-                _render(cell, own, False, depth + 1)
+                own = Page(page.tables + 1)
+                yield _render(cell, own, False, depth + 1)
                 cells.append((column, span, own.done().split("\n")))
                 if down > 1:
                     for c in range(column, column + span):
@@ -456,8 +512,8 @@ def _table(node: Node, page: Page, depth: int) -> None:
                 stray.children.append(cell)
         for c in list(busy):
             busy[c] -= 1
-        own = Page()
-        _render(stray, own, False, depth + 1)
+        own = Page(page.tables + 1)
+        yield _render(stray, own, False, depth + 1)
         if text := own.done():  # content outside of cells
             page.text(text, True)
             page.end_line()
@@ -489,7 +545,7 @@ def extract(source: str | None) -> str:
     if not source:
         return ""
     page = Page()
-    _render(parse(source), page, False, 0)
+    _run(_render(parse(source), page, False, 0))
     return page.done()
 
 

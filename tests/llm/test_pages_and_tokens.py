@@ -93,6 +93,26 @@ def test_open_heads_and_drawings(source):
     assert H.extract(source) == HEADS[source]
 
 
+@pytest.mark.parametrize("outer", ["<div>", "<font>", "<b>", "<span><div>", "<center><form>"])
+def test_nothing_changes_with_depth(outer):
+    for inner, want in (("<p hidden>no<b>no</b></p>yes", "yes"), ("<div style='display:none'><p>no<div>no</div></div>yes", "yes"),
+                        ("<noscript><p>no</p></noscript>yes", "yes"), ("<template><p>no</p></template>yes", "yes"),
+                        ("<svg><g><path/>no</g></svg>yes", "yes"), ("<ul><li>a<ul><li>b</ul><li>c</ul>", "- a\n  - b\n- c"),
+                        ("<table><tr><td>a<td>bb<tr><td>ccc<td>d</table>", "a    bb\nccc  d")):
+        for depth in (200, 5000):
+            assert H.extract(outer * depth + inner) == want
+
+
+def test_long_sloppy_and_deep_pages():
+    rows = "<font><b><span>word <table><tr><td>a<td>bb</table>" * 20_000
+    assert H.extract(rows) == "word\n\na  bb\n\n" * 19_999 + "word\n\na  bb"
+    assert H.extract("<p><button>" + "<b><div>x" * 50_000).split() == ["x"] * 50_000
+    deep = H.extract("<ul><li>x" * 20_000)
+    assert deep.count("x") == 20_000 and max(map(len, deep.split("\n"))) <= H.MAX_INDENT + 1
+    assert H.extract("<table><tr><td hidden>no<td>x" * 20_000).split() == ["x"] * 20_000
+    assert H.extract("<svg><g>" * 20_000 + "<text>x") == H.extract("<math><mrow>" * 20_000 + "x") == "x"
+
+
 class Words(HTMLParser):
     """All text outside of invisible elements, for the pages of the tests only."""
 
