@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import bucket_count, checkpointed, digest52, key_text, running_sum
+from kestrel.session import _remove_tree as remove_scratch, scratch_path
 
 FILE_BYTES = 16 << 20      # a file's records have about so many bytes
 RANGE_BYTES = 64 << 10     # a lowest node covers records that begin in so many bytes
 FANOUT = 16
+PARTS = 4                  # Parquet files of a WARC file
 LEVELS = 4                 # 64 KiB, 1 MiB, 16 MiB, 256 MiB; the root is above
 DATE = "1970-01-01T00:00:00Z"
 
@@ -34,15 +36,21 @@ def record_text(page_id: str = "page_id", url: str = "url", html: str = "html")
         F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
+def _files(total: int | None, file_bytes: int) -> int:
+    return max(1, -(-int(total or 0) // file_bytes))
+
+
+def _file_of(files: int) -> Column:
+    return F.pmod(digest52(F.concat(F.lit("file:"), key_text("page_id"))), F.lit(files)).cast("int")
+
+
 def lay_out(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Give every record its place: adds ``warc_file`` and ``offset`` to rows that have
     page_id, length and any narrow columns. A page's file follows from a hash of its id;
     in a file the records stand in the order of another hash, then page_id and length."""
     narrow = checkpointed(records.withColumn("_h", digest52(F.concat(F.lit("place:"), key_text("page_id")))))
     total = narrow.agg(F.sum("length")).first()[0] or 0
-    files = max(1, -(-int(total) // file_bytes))
-    file = F.pmod(digest52(F.concat(F.lit("file:"), key_text("page_id"))), F.lit(files)).cast("int")
-    placed = checkpointed(narrow.withColumn("warc_file", file))
+    placed = checkpointed(narrow.withColumn("warc_file", _file_of(_files(total, file_bytes))))
     return checkpointed(running_sum(placed, "warc_file", "_h", ["page_id", "length", "digest"],
                                     "length", "offset", bucket_count(placed.count())).drop("_h"))
 
@@ -114,24 +122,27 @@ def _rot(text: Column) -> Column:
 
 
 def fixity_drill(pages: DataFrame, every: int = 500) -> DataFrame:
-    """Lay out all pages as WARC files with a second replica that has known faults, and
-    audit it: page_id, warc_file, offset, length, digest, root (of the primary's file),
-    status (``ok``, ``damaged``, ``missing``) of every record.
+    """Write all pages as WARC records and a second replica that has known faults, read
+    both back and audit them: page_id, warc_file, offset, length, digest, root (of the
+    primary's file), status (``ok``, ``damaged``, ``missing``) of every record.
 
     About one record in ``every`` has rotted in the replica and as many are lost, chosen by
     a hash of the page id. Null ids, urls and pages are empty parts of a record; repeated
     rows are records of their own; other columns are ignored; no pages give no rows.
     """
+    spark = pages.sparkSession
+    paths = [scratch_path(spark, f"warc_{name}") for name in ("primary", "replica")]
+    kind = pages.schema["page_id"].dataType.simpleString()
+    reader = spark.read.schema(f"page_id {kind}, offset long, record string, warc_file int")
+    write_records(pages, paths[0])
+    stored = reader.parquet(paths[0])
     fate = F.pmod(digest52(F.concat(F.lit("fate:"), key_text("page_id"))), F.lit(every))
-    record = record_text()
-    records = pages.select(
-        "page_id", F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"),
-        F.when(fate == 0, F.sha2(_rot(record), 256)).when(fate != 1, F.sha2(record, 256)).alias("held"))
-    leaves = lay_out(records)
-    primary = leaves.select("warc_file", "offset", "length", "digest")
-    replica = leaves.where(F.col("held").isNotNull()) \
-                    .select("warc_file", "offset", "length", F.col("held").alias("digest"))
-    found = checkpointed(audit(primary, replica))
+    stored.where(fate != 1).withColumn("record", F.when(fate == 0, _rot(F.col("record"))).otherwise(F.col("record"))) \
+          .write.partitionBy("warc_file").option("compression", "zstd").parquet(paths[1])
+    leaves, replica = (checkpointed(read_records(records, "page_id"))
+                       for records in (stored, reader.parquet(paths[1])))
+    primary = leaves.drop("page_id")
+    found = checkpointed(audit(primary, replica.drop("page_id")))
     roots = merkle_tree(primary).where(F.col("level") == LEVELS + 1) \
                                 .select("warc_file", F.col("digest").alias("root"))
     return leaves.join(found, ["warc_file", "offset"], "left").join(roots, "warc_file") \
@@ -140,18 +151,30 @@ def fixity_drill(pages: DataFrame, every: int = 500) -> DataFrame:
 
 
 def write_records(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
-    """The records themselves as Parquet (warc_file, offset, record), a folder per file."""
-    records = pages.select("page_id", record_text().alias("record"))
-    sized = records.select("page_id", F.octet_length("record").cast("long").alias("length"),
+    """The records themselves as Parquet (page_id, warc_file, offset, record), a folder per
+    file. Every row is a record at a place of its own, also null ids and repeated rows: the
+    records are staged with a number of their row, which finds their places."""
+    staged = scratch_path(pages.sparkSession, "warc_staged")
+    pages.select(F.monotonically_increasing_id().alias("_row"), "page_id", record_text().alias("record")) \
+         .write.option("compression", "zstd").parquet(staged)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    records = pages.sparkSession.read.schema(f"_row long, page_id {kind}, record string").parquet(staged)
+    sized = records.select("_row", "page_id", F.octet_length("record").cast("long").alias("length"),
                            F.sha2("record", 256).alias("digest"))
-    places = lay_out(sized, file_bytes).dropDuplicates(["warc_file", "offset"])
-    records.withColumn("digest", F.sha2("record", 256)) \
-           .join(places.drop("length"), ["page_id", "digest"]) \
-           .select("warc_file", "offset", "record") \
-           .write.partitionBy("warc_file").parquet(path)
-
-
-def read_records(records: DataFrame) -> DataFrame:
-    """Leaves (warc_file, offset, length, digest) of stored records."""
+    places = lay_out(sized, file_bytes).select("_row", "warc_file", "offset")
+    # The texts move once, to where their files are written; a file's are dealt over PARTS tasks.
+    files = _files(sized.agg(F.sum("length")).first()[0], file_bytes)
+    keys = ["warc_file", "_part", "_row"]
+    part = F.pmod(F.xxhash64("_row"), F.lit(PARTS)).cast("int")
+    records, places = (df.withColumn("_part", part).repartition("warc_file", "_part") for df in
+                       (records.withColumn("warc_file", _file_of(files)), places))
+    records.hint("shuffle_merge").join(places, keys) \
+           .select("page_id", "warc_file", "offset", "record") \
+           .write.partitionBy("warc_file").option("compression", "zstd").parquet(path)
+    remove_scratch(pages.sparkSession, staged)
+
+
+def read_records(records: DataFrame, *more: str) -> DataFrame:
+    """Leaves (warc_file, offset, length, digest, and ``more`` columns) of stored records."""
     return records.select("warc_file", "offset", F.octet_length("record").cast("long").alias("length"),
-                          F.sha2("record", 256).alias("digest"))
+                          F.sha2("record", 256).alias("digest"), *more)

@@ -182,6 +182,38 @@ def test_warc_edge_rows(spark):
     assert W.fixity_drill(pages.limit(0)).count() == 0
 
 
+def test_null_and_repeated_pages_are_written(spark, tmp_path):
+    rows = [(1, None, None), (None, "u", "h"), (None, "u", "h"), (None, None, None), (3, "x", "é" * 2000)] + [(2, "", "")] * 30
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    W.write_records(pages, f"{tmp_path}/a", file_bytes=2000)
+    stored = spark.read.parquet(f"{tmp_path}/a").collect()
+    want = sorted(r.record for r in pages.select(W.record_text().alias("record")).collect())
+    assert sorted(r.record for r in stored) == want and len({(r.warc_file, r.offset) for r in stored}) == len(rows)
+    ends = {}
+    for r in sorted(stored, key=lambda r: (r.warc_file, r.offset)):
+        assert r.offset == ends.get(r.warc_file, 0)
+        ends[r.warc_file] = r.offset + len(r.record.encode())
+
+
+def test_drill_audits_stored_records(spark, monkeypatch):
+    read, write = [], W.write_records
+
+    def write_and_spoil(pages, path, *more):  # storage that loses a record
+        write(pages.where("page_id <> 7"), path, *more)
+
+    def read_records(records, *more, own=W.read_records):
+        read.append(records.inputFiles())
+        return own(records, *more)
+
+    monkeypatch.setattr(W, "write_records", write_and_spoil)
+    monkeypatch.setattr(W, "read_records", read_records)
+    pages = spark.createDataFrame([(i, "u", "h") for i in range(40)], "page_id long, url string, html string")
+    got = W.fixity_drill(pages, every=5).collect()
+    assert len(got) == 39 and 7 not in {r.page_id for r in got}
+    assert len(read) == 2 and all(read) and not set(read[0]) & set(read[1])
+    assert {r.status for r in got} == {"ok", "damaged", "missing"}
+
+
 # SentencePiece
 
 @pytest.fixture(scope="module")
