@@ -23,4 +23,4 @@ def register(key: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from kestrel.llm import queries  # noqa: F401
+    from kestrel.llm import queries, queries_runs, queries_vectors, queries_lexical  # noqa: F401
