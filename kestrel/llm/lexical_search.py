@@ -34,7 +34,8 @@ WIDTH = 1024                 # coordinates of a sketch
 SHARD_DOCS = 4096
 SHARD_POSTINGS = 2_000_000
 QUERY_TERMS = 200_000        # (query, term) pairs per block of queries
-AT_ONCE = 32                 # documents rescored between two looks at the threshold
+QUERIES_AT_ONCE = 256        # queries whose bounds are computed together
+AT_ONCE = 32                 # documents rescored between two looks at the threshold, at first
 K1_SCALE, LENGTH_SHARE = 8, 75   # saturation (8 per 100 words' worth) and weight of the length, in percent
 ONE = 1_000_000_000
 
@@ -151,11 +152,10 @@ class Shard:
     def scores(self, docs: np.ndarray, weight_of: np.ndarray) -> np.ndarray:
         """Exact scores of some documents under the weights of one query."""
         lens = self.starts[docs + 1] - self.starts[docs]
-        own = np.repeat(np.arange(len(docs)), lens)
-        at = np.arange(len(own)) - np.repeat(np.cumsum(lens) - lens, lens) + self.starts[docs][own]
-        out = np.zeros(len(docs), np.int64)
-        np.add.at(out, own, weight_of[self.terms[at]] * self.impact[at])
-        return out
+        ends = np.cumsum(lens)
+        at = np.arange(ends[-1]) + np.repeat(self.starts[docs] - (ends - lens), lens)
+        sums = np.concatenate([[0], np.cumsum(weight_of[self.terms[at]] * self.impact[at])])
+        return sums[ends] - sums[ends - lens]
 
 
 def _best(score: np.ndarray, ids: np.ndarray, nameless: np.ndarray, k: int) -> np.ndarray:
@@ -167,33 +167,34 @@ def _best(score: np.ndarray, ids: np.ndarray, nameless: np.ndarray, k: int) -> n
 def search_shard(shard: Shard, block: Block, weights: np.ndarray, best: dict[int, tuple], k: int) -> tuple[int, int]:
     """Bring ``best`` (query -> scores, ids, nameless) up to date with one shard. Returns how
     many documents were rescored, and how many there are for all queries together."""
-    table = np.zeros((WIDTH, len(block.queries)))
     places = np.array([place(t) for t in block.terms], np.int64)
-    for q, (terms, counts) in enumerate(block.queries):
-        np.add.at(table[:, q], places[terms], (weights[terms] * counts).astype(np.float64))
-    # Sums of whole numbers below 2^53 in doubles: the bounds are exact.
-    bounds = (shard.sketch @ table).T
     weight_of = np.zeros(len(block.terms), np.int64)
     rescored = 0
-    for q, (terms, counts) in enumerate(block.queries):
-        score, ids, nameless = best.get(q, (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)))
-        least = int(score[-1]) if len(score) == k else 1
-        may = np.flatnonzero(bounds[q] >= least)
-        order = may[np.argsort(-bounds[q][may], kind="stable")]
-        weight_of[terms] = weights[terms] * counts
-        at, step = 0, AT_ONCE
-        while at < len(order) and bounds[q][order[at]] >= least:
-            docs = order[at:at + step]
-            found = (shard.scores(docs, weight_of), shard.ids[docs], shard.nameless[docs])
-            score, ids, nameless = (np.concatenate(both) for both in zip((score, ids, nameless), found))
-            kept = _best(score, ids, nameless, k)
-            score, ids, nameless = score[kept], ids[kept], nameless[kept]
+    for first in range(0, len(block.queries), QUERIES_AT_ONCE):
+        queries = block.queries[first:first + QUERIES_AT_ONCE]
+        table = np.zeros((WIDTH, len(queries)))
+        for q, (terms, counts) in enumerate(queries):
+            np.add.at(table[:, q], places[terms], (weights[terms] * counts).astype(np.float64))
+        bounds = (shard.sketch @ table).T * (1 + 1e-9)  # doubles round sums above 2^53
+        for q, (terms, counts) in enumerate(queries):
+            score, ids, nameless = best.get(first + q, (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)))
             least = int(score[-1]) if len(score) == k else 1
-            rescored += len(docs)
-            at, step = at + step, 2 * step
-        weight_of[terms] = 0
-        best[q] = (score, ids, nameless)
-    return rescored, bounds.size
+            may = np.flatnonzero(bounds[q] >= least)
+            order = may[np.argsort(-bounds[q][may], kind="stable")]
+            weight_of[terms] = weights[terms] * counts
+            at, step = 0, AT_ONCE
+            while at < len(order) and bounds[q][order[at]] >= least:
+                docs = order[at:at + step]
+                found = (shard.scores(docs, weight_of), shard.ids[docs], shard.nameless[docs])
+                score, ids, nameless = (np.concatenate(both) for both in zip((score, ids, nameless), found))
+                kept = _best(score, ids, nameless, k)
+                score, ids, nameless = score[kept], ids[kept], nameless[kept]
+                least = int(score[-1]) if len(score) == k else 1
+                rescored += len(docs)
+                at, step = at + step, 2 * step
+            weight_of[terms] = 0
+            best[first + q] = (score, ids, nameless)
+    return rescored, len(shard.m) * len(block.queries)
 
 
 def _frequencies(index: DataFrame, shared) -> np.ndarray:

@@ -103,10 +103,12 @@ def lag_scan(words: np.ndarray) -> list[tuple[int, int, int]]:
     mixed ^= mixed >> np.uint64(32)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * power[:-1], dtype=np.uint64)])
     for q in range(SHORT_LAG, m // MIN_PERIODS + 1):
-        windows = np.diff(sums[::q])
-        hits = np.flatnonzero(windows[:-1] * power[q] == windows[1:]) * q
-        if not len(hits):
+        ends = sums[::q]
+        windows = ends[1:] - ends[:-1]
+        same = windows[:-1] * power[q] == windows[1:]
+        if not same.any():
             continue
+        hits = same.nonzero()[0] * q
         for (start, stop), period in found.items():
             if q % period == 0:  # this stretch has lag q as well, and no longer one has
                 hits = hits[(hits < start) | (hits + 2 * q > stop)]

@@ -34,7 +34,8 @@ from kestrel.llm.common import bucket_count, checkpointed, digest52, running_sum
 TABLES = 64
 PROBES = 64                  # buckets a query looks into, of all tables together
 LEAST = 1024                 # candidates a shard gives at least
-SHARD_ROWS = 1 << 14
+SHARD_NUMBERS = 1 << 20      # components of the vectors of a shard (at least LEAST vectors)
+QUERIES_AT_ONCE = 256        # queries turned together
 QUERY_NUMBERS = 1 << 20      # components of the queries of a block
 SEED = 12
 
@@ -120,11 +121,12 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
                 names, parts = waiting.setdefault(dim, ([], []))
                 names += ids.take(pa.array(rows)).to_pylist()
                 parts.append(found)
-                if len(names) >= SHARD_ROWS:
+                size = min(1 << 16, max(LEAST, SHARD_NUMBERS // dim))  # rows are kept in 16 bits
+                if len(names) >= size:
                     whole = np.concatenate(parts)
-                    full = len(names) - len(names) % SHARD_ROWS
-                    for at in range(0, full, SHARD_ROWS):
-                        yield _shard(dim, names[at:at + SHARD_ROWS], whole[at:at + SHARD_ROWS])
+                    full = len(names) - len(names) % size
+                    for at in range(0, full, size):
+                        yield _shard(dim, names[at:at + size], whole[at:at + size])
                     waiting[dim] = names[full:], [whole[full:]]
         for dim, (names, parts) in waiting.items():
             if names:
@@ -138,15 +140,20 @@ class Queries:
 
     def __init__(self, dim: int, ids: list[int], vectors: list[list[float]], probes: int | None):
         self.ids, self.vectors, self.probes = ids, np.array(vectors, np.float64), probes
-        columns = unit_columns(self.vectors)
-        self.axes = 2 * len(columns)
-        self.close = np.empty((len(ids), TABLES, self.axes), np.float32)
+        self.axes = 2 * len(unit_columns(self.vectors[:1]))
+        n = min(probes or 1, TABLES * self.axes)
+        self.first = np.empty((len(ids), n), np.int64)
+        for at in range(0, len(ids), QUERIES_AT_ONCE):
+            self.first[at:at + QUERIES_AT_ONCE] = np.argpartition(-self._close(at, at + QUERIES_AT_ONCE), n - 1, axis=1)[:, :n]
+
+    def _close(self, lo: int, hi: int) -> np.ndarray:
+        """The coordinate of some queries on every signed axis, table after table."""
+        columns = unit_columns(self.vectors[lo:hi])
+        close = np.empty((columns.shape[1], TABLES, self.axes), np.float32)
         for t in range(TABLES):
             at = turned(columns, t).T
-            self.close[:, t, 0::2], self.close[:, t, 1::2] = at, -at
-        self.close = self.close.reshape(len(ids), -1)
-        n = min(probes or 1, self.close.shape[1])
-        self.first = np.argpartition(-self.close, n - 1, axis=1)[:, :n]
+            close[:, t, 0::2], close[:, t, 1::2] = at, -at
+        return close.reshape(len(close), -1)
 
     def candidates(self, q: int, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Row numbers of a shard in the buckets that query ``q`` looks into."""
@@ -159,9 +166,9 @@ class Queries:
             for t, axis in zip((chosen // self.axes).tolist(), (chosen % self.axes).tolist()):
                 taken[rows[t, starts[t, axis]:starts[t, axis + 1]]] = True
             found = np.flatnonzero(taken)
-            if len(found) >= LEAST or done >= self.close.shape[1]:
+            if len(found) >= LEAST or done >= TABLES * self.axes:
                 return found
-            ranked = np.argsort(-self.close[q], kind="stable") if ranked is None else ranked
+            ranked = np.argsort(-self._close(q, q + 1)[0], kind="stable") if ranked is None else ranked
             chosen, done = ranked[done:2 * done], 2 * done
 
 
