@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "▁"
+DISABLED = -1e8         # pieces with scores as low as this are in no best segmentation
 UNKNOWN_PENALTY = 10.0  # below the least score, as SentencePiece has it
 WORD_CACHE = 250_000    # distinct words a worker remembers; only saves time
 SLICE = 1 << 20         # characters encoded together
@@ -95,7 +96,7 @@ class Model:
         self.scores = np.array(scores, np.float64)
         self.trie = DoubleArray({pieces[i].encode("utf-8"): i for i in normal})
         self.longest = max((len(pieces[i].encode("utf-8")) for i in normal), default=1)
-        self.unknown = float(min((scores[i] for i in normal), default=0.0)) - UNKNOWN_PENALTY
+        self.unknown = float(min((scores[i] for i in normal if scores[i] > DISABLED), default=0.0)) - UNKNOWN_PENALTY
         self.byte_id = np.full(256, -1, np.int64)
         for i, k in enumerate(kinds):
             if k == "byte":
@@ -113,8 +114,24 @@ def load_model(path: str) -> Model:
     kinds = ["byte" if sp.is_byte(i) else "unknown" if sp.is_unknown(i)
              else "control" if sp.is_control(i) or sp.is_unused(i) else "normal"
              for i in range(sp.get_piece_size())]
-    return Model([sp.id_to_piece(i) for i in range(len(kinds))],
-                 [sp.get_score(i) for i in range(len(kinds))], kinds)
+    scores = log_scores([sp.get_score(i) for i in range(len(kinds))], kinds)
+    return Model([sp.id_to_piece(i) for i in range(len(kinds))], scores, kinds)
+
+
+def log_scores(scores: list[float], kinds: list[str]) -> list[float]:
+    """Scores whose sum is a log likelihood. Files of unigram models hold them; files of merge
+    models hold minus the rank of the merge (0, -1, -2, ...), whose sum means nothing. Their
+    pieces get the probabilities that Zipf's law gives to ranks, 1 / (rank + 2) over the sum of
+    all: a rule on the installed vocabulary, nothing is trained."""
+    normal = [i for i, kind in enumerate(kinds) if kind == "normal" and scores[i] > DISABLED]
+    ranks = -np.array([scores[i] for i in normal], np.float64)
+    if not len(ranks) or ranks.min() < 0 or (ranks % 1).any() or len(np.unique(ranks)) < len(ranks):
+        return scores
+    out = list(scores)
+    logs = -np.log(ranks + 2.0) - np.log((1.0 / (ranks + 2.0)).sum())
+    for i, score in zip(normal, logs.tolist()):
+        out[i] = score
+    return out
 
 
 def segment(model: Model, words: list[str], block: int = 16_384) -> list[np.ndarray]:
