@@ -21,6 +21,7 @@ from kestrel.llm.common import checkpointed, drop_rows
 
 FIRST_BYTES = 256
 GROWTH = 16
+WIDEST = 1 << 28  # bytes of one round; wider literals would leave the range of an int
 SALTS = 16
 
 
@@ -86,7 +87,7 @@ def equal_text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     done = [closed(state)]
     going = not groups.isEmpty()
     while going:
-        width *= growth
+        width = min(width * growth, max(width, WIDEST))
         rows = state.where("open").select("doc_id", "uid", "sha", "rest", F.col("next").alias("gid"))
         joined, groups = _split(rows, width, salts, ["doc_id", "uid"])
         state = state_of(joined, F.col("uid"), F.col("next").isNotNull() & F.col("more"),
