@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.session import ensure_checkpoint_dir
@@ -24,11 +24,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def counted(df: DataFrame, flag: str | None = None, rows_per_partition: int = 100_000
+            ) -> tuple[DataFrame, int, int]:
+    """A checkpoint read in as few partitions as its rows need, the number of rows, and of
+    rows where ``flag`` holds. Both are observed as the checkpoint is written, so the loops
+    over small tables spend one job where count and test would take two more. A stage that
+    is run again after a lost executor may count twice: zero stays zero, more stays more."""
+    ensure_checkpoint_dir(df.sparkSession)
+    seen = Observation()
+    marked = F.count_if(F.col(flag)) if flag else F.count(F.lit(1))
+    out = df.observe(seen, F.count(F.lit(1)).alias("n"), marked.alias("m")).checkpoint(eager=True)
+    n = seen.get["n"]
+    return out.coalesce(max(1, -(-n // rows_per_partition))), n, seen.get["m"]
+
+
 def compact(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
-    """A checkpoint read in as few partitions as its rows need: the loops over small tables
-    then don't write a shuffle file per task and partition."""
-    out = checkpointed(df)
-    return out.coalesce(max(1, -(-out.count() // rows_per_partition)))
+    """``counted`` without the counts: small tables don't keep a task per partition of what
+    they were made from."""
+    return counted(df, None, rows_per_partition)[0]
 
 
 def text_or_empty(col: str | Column = "text") -> Column:

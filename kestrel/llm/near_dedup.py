@@ -28,12 +28,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import checkpointed, compact, drop_rows, merged, salted_join, text_digest
+from kestrel.llm.common import compact, counted, drop_rows, merged, salted_join, text_digest
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 50, 6     # P(no common band) at 0.8: (1 - 0.8^6)^50 = 3e-7
 LEADERS = 16            # growth of the leaders per round
+WIDE_ROWS = 20_000      # rows a partition of the tables with a row per document
 MEMO = 300_000          # word hashes a worker remembers; only saves time
 
 _EPSILON = 1e-9  # on the safe side of rounding where sizes are compared
@@ -197,11 +198,11 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
         hooked = merged(labels, near.withColumnRenamed("a", "node"), "node", "left") \
             .select("node", "comp", F.least("comp", "least").alias("to"))
         ends = hooked.select(F.col("node").alias("to"), F.col("to").alias("end"))
-        jumped = compact(merged(hooked, ends, "to")
-                              .select("node", F.least("to", "end").alias("comp"),
-                                      (F.least("to", "end") != F.col("comp")).alias("moved")))
+        jumped, _, moved = counted(merged(hooked, ends, "to")
+                                   .select("node", F.least("to", "end").alias("comp"),
+                                           (F.least("to", "end") != F.col("comp")).alias("moved")), "moved")
         labels = jumped.select("node", "comp")
-        if jumped.where("moved").isEmpty():
+        if not moved:
             return labels
 
 
@@ -251,8 +252,8 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                        F.bool_or("leads").alias("any")) \
                    .where("lo <> hi and any").select("key")
-        now = compact(merged(now, open_, "key", "left_semi"))
-        if now.isEmpty():
+        now, open_rows, _ = counted(merged(now, open_, "key", "left_semi"))
+        if not open_rows:
             return comps
         if round_ == 2:
             left = now.select("node").distinct()
@@ -276,8 +277,8 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         pairs = merged(now, picked, meet) \
             .select(F.greatest("node", "leader").alias("node"),
                            F.least("node", "leader").alias("leader")).distinct()
-        found = compact(_similar(pairs, sets, similarity).toDF("a", "b"))
-        if not found.isEmpty():
+        found, links, _ = counted(_similar(pairs, sets, similarity).toDF("a", "b"))
+        if links:
             comps = components(comps, found)
         rows = merged(now.drop("comp"), picked.select("key", F.col("leader").alias("node")),
                       ["key", "node"], "left_anti")
@@ -296,35 +297,35 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     to them (null counts as empty). A null doc_id is larger than every other. Other
     columns don't matter; an empty table gives no rows.
     """
-    state = checkpointed(signed(docs.select("doc_id", "text"), words, bands, rows)
-                         .withColumn("uid", F.monotonically_increasing_id()))
+    state = compact(signed(docs.select("doc_id", "text"), words, bands, rows)
+                    .withColumn("uid", F.monotonically_increasing_id()), WIDE_ROWS)
     # Equal texts are one node, named by its least row id.
-    equal = checkpointed(state.groupBy("digest").agg(F.min("uid").alias("node")))
+    equal = compact(state.groupBy("digest").agg(F.min("uid").alias("node")))
     member = salted_join(state.select("uid", "doc_id", "digest"), equal, ["digest"], "uid")
-    member = checkpointed(member.select("uid", "doc_id", "digest", "node"))
+    member = compact(member.select("uid", "doc_id", "digest", "node"), WIDE_ROWS)
     nodes = equal.select(F.col("node").alias("uid"))
     banded = merged(state.select("uid", "keys"), nodes, "uid") \
         .select(F.explode("keys").alias("key"), F.col("uid").alias("node"))
     shared = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")) \
                    .where("lo <> hi").select("key")
-    buckets = checkpointed(merged(banded, shared, "key", "left_semi"))
+    buckets = compact(merged(banded, shared, "key", "left_semi"))
     wanted = buckets.select("node").distinct() \
                     .join(equal, "node").select("node", F.col("digest").alias("_digest"))
-    wanted = checkpointed(wanted)
+    wanted = compact(wanted)
     # The shingles of those nodes only: one text each.
     texts = docs.select(F.col("text").cast("string").alias("text"), text_digest("text").alias("_d")) \
                 .join(wanted, F.col("_d") == F.col("_digest")) \
                 .groupBy("node").agg(F.any_value("text").alias("text"))
     elements = _elements_udf(words)
-    sets = checkpointed(texts.select("node", elements("text").alias("elements"))
-                        .withColumn("n", F.size("elements")))
+    sets = compact(texts.select("node", elements("text").alias("elements"))
+                   .withColumn("n", F.size("elements")), WIDE_ROWS)
     comps = linked_nodes(buckets, sets, similarity)
     classes = merged(member, comps, "node", "left") \
         .select("uid", "doc_id", "digest", F.coalesce("comp", "node").alias("comp"))
-    classes = checkpointed(classes)
+    classes = compact(classes, WIDE_ROWS)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"),
                            F.col("uid").alias("u")))
-    heads = checkpointed(classes.groupBy("comp").agg(first.alias("h"), F.count(F.lit(1)).alias("class_size")))
+    heads = compact(classes.groupBy("comp").agg(first.alias("h"), F.count(F.lit(1)).alias("class_size")))
     return salted_join(classes, heads, ["comp"], "uid") \
         .select("doc_id", F.col("h.d").alias("class_id"), "class_size",
                 (F.col("uid") == F.col("h.u")).alias("kept"), "digest")

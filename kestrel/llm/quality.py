@@ -122,19 +122,32 @@ class Space:
 def fit_space(rows, labels, dims: int = DIMS, seed: int = 7) -> Space:
     """Latent-semantic space of the sample by a randomised singular value decomposition."""
     labels = np.asarray(labels, np.float64)
-    x = np.zeros((len(rows), TERMS), np.float32)
-    for r, (i, v) in enumerate(rows):
-        np.add.at(x[r], i, v)
-    df = (x > 0).sum(axis=0)
+
+    def blocks():
+        """Dense rows of the sample, a block at a time: the whole matrix never exists."""
+        for at in range(0, len(rows), BLOCK):
+            some = rows[at:at + BLOCK]
+            x = np.zeros((len(some), TERMS), np.float32)
+            own = np.repeat(np.arange(len(some)), [len(i) for i, _ in some])
+            np.add.at(x, (own, np.concatenate([i for i, _ in some])), np.concatenate([v for _, v in some]))
+            yield slice(at, at + len(some)), x
+
+    df = sum(((x > 0).sum(axis=0) for _, x in blocks()), np.zeros(TERMS, np.int64))
     idf = np.log((1.0 + len(rows)) / (1.0 + df)).astype(np.float32) + 1.0
-    x *= idf
-    rank = max(1, min(dims, *x.shape))
+
+    def times(right: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros((0, right.shape[1]), np.float32)] + [(x * idf) @ right for _, x in blocks()])
+
+    def transposed_times(right: np.ndarray) -> np.ndarray:
+        return sum(((x * idf).T @ right[at] for at, x in blocks()), np.zeros((TERMS, right.shape[1]), np.float32))
+
+    rank = max(1, min(dims, len(rows), TERMS))
     probe = np.random.default_rng(seed).standard_normal((TERMS, rank + 16)).astype(np.float32)
-    basis = x @ probe
+    basis = times(probe)
     for _ in range(3):
-        basis = x @ (x.T @ np.linalg.qr(basis)[0])
+        basis = times(transposed_times(np.linalg.qr(basis)[0]))
     basis = np.linalg.qr(basis)[0]
-    _, _, vt = np.linalg.svd(basis.T @ x, full_matrices=False)
+    _, _, vt = np.linalg.svd(transposed_times(basis).T, full_matrices=False)
     projection = np.ascontiguousarray(vt[:rank].T, np.float32)
     space = Space(idf, projection, np.zeros((0, rank), np.float32), labels)
     space.vectors = space.project(rows)
@@ -163,12 +176,12 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         of = Terms()
         for batch in batches:
             rows = [of(t) for t in batch["text"]]
-            yield pd.DataFrame({"i": [i for i, _ in rows], "v": [v for _, v in rows],
-                                "label": batch["label"]})
+            yield pd.DataFrame({"i": [i.astype(np.uint16).tobytes() for i, _ in rows],
+                                "v": [v.tobytes() for _, v in rows], "label": batch["label"]})
 
     sample = labelled_sample(docs, labels, max_labelled) \
-        .mapInPandas(terms, "i array<long>, v array<float>, label double").collect()
-    return fit_space([(np.array(r.i, np.int64), np.array(r.v, np.float32)) for r in sample],
+        .mapInPandas(terms, "i binary, v binary, label double").collect()
+    return fit_space([(np.frombuffer(r.i, np.uint16).astype(np.int64), np.frombuffer(r.v, np.float32)) for r in sample],
                      [r.label for r in sample])
 
 
