@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.ordering import running_sums
+from kestrel.operators.ordering import neighbours, running_sums
 from kestrel.session import materialize
 
 
@@ -104,15 +104,27 @@ def _score_counts(df: DataFrame, by: Sequence[str], label: str, score: str) -> D
 
 def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label",
               score: str = "score") -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score (E7): rows with score >= threshold
-    count as predicted positive. Running sums are computed two-phase, never in one task."""
+    """(threshold, fpr, tpr) at the corners of the curve (E7): rows with score >= threshold
+    count as predicted positive.
+
+    A point between two equal steps is left out, as the reference's default does: a distinct
+    score stays if it is the highest or the lowest, or if its positives and negatives differ
+    from those of the next lower score. The points left out lie on a straight line.
+
+    Running sums are computed two-phase; a score's neighbours are found per range of scores,
+    and ranges exchange only their edges, so no window holds a whole curve."""
     sc = materialize(_score_counts(df, by, label, score))  # read for cut points and sums
-    r = running_sums(sc, [F.col("_s")], ["pos", "neg"], by)
+    r = running_sums(sc, [F.col("_s")], ["pos", "neg"], by, keep_bucket="_range")
+    r = neighbours(r, by, "_range", "_s", ["pos", "neg"])
     tp = F.col("tot_pos") - F.col("run_pos") + F.col("pos")
     fp = F.col("tot_neg") - F.col("run_neg") + F.col("neg")
-    return r.select(*by, F.col("_s").alias("threshold"),
-                    F.try_divide(fp.cast("double"), F.col("tot_neg").cast("double")).alias("fpr"),
-                    F.try_divide(tp.cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))
+    # The step to this point is (neg, pos), the step to the point after it the next lower score's.
+    corner = F.col("below_pos").isNull() | F.col("above").isNull() | \
+        (F.col("pos") != F.col("below_pos")) | (F.col("neg") != F.col("below_neg"))
+    return r.where(corner).select(
+        *by, F.col("_s").alias("threshold"),
+        F.try_divide(fp.cast("double"), F.col("tot_neg").cast("double")).alias("fpr"),
+        F.try_divide(tp.cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))
 
 
 def auc_hard_label(df: DataFrame, by: Sequence[str] = (), label: str = "label",

@@ -97,6 +97,71 @@ def tfidf_smooth_l2(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens"
     return w.select(key, "term", "tf", "df", (F.col("raw") / norm).alias("tfidf"))
 
 
+def murmur3_bucket(term: str | Column, num_features: int = 1 << 18) -> Column:
+    """The bucket of a term in Spark ML's ``HashingTF`` (V1): Murmur3 (32 bits, seed 42) of
+    its UTF-8 bytes, modulo the number of features.
+
+    Longs hold all products: a factor is split into halves of 16 bits. The algorithm is the
+    published one; its constants stand below."""
+    c = F.col(term) if isinstance(term, str) else term
+    raw, n = c.cast("binary"), F.octet_length(c)
+    ones = (1 << 32) - 1
+
+    def named(x: Column, use) -> Column:
+        """``use`` of a value that is computed once, however often it is named."""
+        return F.element_at(F.transform(F.array(x), use), 1)
+
+    def times(a: Column, b: int) -> Column:
+        return named(a, lambda x: (x * (b & 0xFFFF) + ((x * (b >> 16)).bitwiseAND(0xFFFF)) * 65536).bitwiseAND(ones))
+
+    def turned(a: Column, by: int) -> Column:
+        return named(a, lambda x: (x * (1 << by)).bitwiseAND(ones).bitwiseOR(F.shiftrightunsigned(x, 32 - by)))
+
+    def byte(at: Column) -> Column:
+        return F.conv(F.hex(raw.substr(at, F.lit(1))), 16, 10).cast("long")
+
+    def mixed(k: Column) -> Column:
+        return times(turned(times(k, 0xCC9E2D51), 15), 0x1B873593)
+
+    words = F.floor(n / 4).cast("int")
+
+    def step(h: Column, i: Column) -> Column:
+        at = i * 4 + 1
+        k = byte(at) + byte(at + 1) * (1 << 8) + byte(at + 2) * (1 << 16) + byte(at + 3) * (1 << 24)
+        return (turned(h.bitwiseXOR(mixed(k)), 13) * 5 + 0xE6546B64).bitwiseAND(ones)
+
+    blocks = F.when(words > 0, F.sequence(F.lit(0), words - 1)).otherwise(F.array().cast("array<int>"))
+    h = F.aggregate(blocks, F.lit(42).cast("long"), step)
+    rest = F.aggregate(F.sequence(F.lit(0), F.lit(2)), F.lit(0).cast("long"), lambda k, i: k + F.when(
+        words * 4 + i < n, byte(words * 4 + i + 1) * F.pow(F.lit(256.0), i).cast("long")).otherwise(0))
+    h = h.bitwiseXOR(mixed(rest)).bitwiseXOR(n.cast("long"))
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = times(named(h, lambda x: x.bitwiseXOR(F.shiftrightunsigned(x, shift))), factor)
+    signed = named(h, lambda x: F.when(x >= 1 << 31, x - (1 << 32)).otherwise(x))
+    return F.pmod(signed, F.lit(num_features).cast("long")).cast("int")
+
+
+def hashed_counts(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens",
+                  num_features: int = 1 << 18) -> DataFrame:
+    """(key, bucket, tf): V1 in long form, zeros left out. Every distinct term is hashed once."""
+    tf = materialize(term_counts(docs, key, tokens))
+    terms = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+                          .withColumn("bucket", murmur3_bucket("term", num_features)))
+    return join_term_stats(tf, terms).groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
+
+
+def hashed_weights(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens",
+                   num_features: int = 1 << 18) -> DataFrame:
+    """(key, bucket, tf, weight): V1 weighted by V2, tf * ln((m + 1) / (df + 1)) with the
+    documents df of the bucket among all m."""
+    m = n_documents(docs)
+    counts = materialize(hashed_counts(docs, key, tokens, num_features)).withColumnRenamed("bucket", "term")
+    df = materialize(document_frequency(counts, key))
+    return join_term_stats(counts, df).select(
+        key, F.col("term").alias("bucket"), "tf",
+        (F.col("tf") * F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0))).alias("weight"))
+
+
 def hashed_tfidf(docs: DataFrame, tokens: str = "tokens", num_features: int = 1 << 18,
                  fit_docs: DataFrame | None = None, tf_col: str = "tf_features",
                  out: str = "features") -> DataFrame:

@@ -99,7 +99,8 @@ def _assign_buckets(df: DataFrame, key: Column, partition_cols: Sequence[str],
 
 def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[str],
                  partition_cols: Sequence[str] = (), bucket_key: Column | None = None,
-                 buckets: int | None = None, bucket: Column | None = None) -> DataFrame:
+                 buckets: int | None = None, bucket: Column | None = None,
+                 keep_bucket: str | None = None) -> DataFrame:
     """Add ``run_<c>`` (inclusive running sum along ``order``) and ``tot_<c>`` (group
     total) for each column ``c`` of ``sums``.
 
@@ -109,6 +110,7 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[st
 
     ``bucket`` may give the bucket directly (an int column, non-decreasing along the
     order), e.g. equal-width ranges of a uniform hash; the quantile pass is then skipped.
+    ``keep_bucket`` names a column for the bucket, for ``neighbours``.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     key = bucket_key if bucket_key is not None else order_cols[0]
@@ -149,9 +151,32 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], sums: Sequence[st
         *[d[c] for c in d.columns if not c.startswith("_in_") and c != _B],
         *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"run_{c}") for c in sums],
         *[F.col(f"tot_{c}") for c in sums],
+        *([d[_B].alias(keep_bucket)] if keep_bucket else []),
     )
 
 
+def neighbours(df: DataFrame, by: Sequence[str], bucket: str, key: str, values: Sequence[str]) -> DataFrame:
+    """Add, along ``key`` within a group, ``above`` (the next higher key) and ``below_<v>`` (the
+    values of the next lower one); null at the ends. Rows of a bucket are compared in one
+    window; buckets, ranges of the key, exchange their first and last row."""
+    d = df
+    inner = Window.partitionBy(*by, bucket).orderBy(key)
+    d = d.select("*", F.lead(key).over(inner).alias("_up"),
+                 *[F.lag(v).over(inner).alias(f"_down_{v}") for v in values],
+                 F.row_number().over(inner).alias("_place"))
+    last = F.max(F.struct(F.col(key), *[F.col(v) for v in values]))
+    edges = df.groupBy(*by, bucket).agg(F.min(key).alias("_low"), last.alias("_last"))
+    along = Window.partitionBy(*by).orderBy(bucket)  # a row per bucket
+    edges = edges.select(*[F.col(c).alias(f"_e_{c}") for c in by], F.col(bucket).alias("_e"),
+                         F.lead("_low").over(along).alias("_next"),
+                         *[F.lag(f"_last.{v}").over(along).alias(f"_before_{v}") for v in values])
+    on = [d[c].eqNullSafe(edges[f"_e_{c}"]) for c in by] + [d[bucket] == edges["_e"]]
+    return d.join(edges, on).select(
+        *[d[c] for c in df.columns], F.coalesce("_up", "_next").alias("above"),
+        *[F.when(F.col("_place") > 1, F.col(f"_down_{v}")).otherwise(F.col(f"_before_{v}")).alias(f"below_{v}")
+          for v in values])
+
+
 def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "rank",
                 partition_cols: Sequence[str] = (), bucket_key: Column | None = None,
                 buckets: int | None = None, count_col: str | None = None,

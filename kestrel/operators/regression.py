@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.sampling import hash_cuts, random_split, up_to
+from kestrel.operators.sampling import count_before, hash_cuts, random_split, with_digest
 
 
 def fit_line(train: DataFrame, x: str, y: str) -> tuple[float, float, int]:
@@ -45,13 +45,16 @@ def learning_curve(df: DataFrame, key: str, x: str, y: str, chunks: int, min_siz
     schedule = [min_size + (i + 1) * step_n for i in range(chunks)]
     cuts = hash_cuts(df, key, sample_seed, schedule)
     ranked = random_split(df.select(key, x, y), key, train_fraction, split_seed, "_split")
-    chunk = F.lit(None).cast("long")  # the first sample that holds the row
-    for i in reversed(range(chunks)):
-        chunk = F.when(up_to(cuts[i], key, sample_seed), F.lit(i).cast("long")).otherwise(chunk)
+    # The digest is a column of its own, below the projection that compares it: computed once
+    # a row, then a balanced search over the cuts. A cut of None lies behind every row.
+    ranked = with_digest(ranked, key, sample_seed, "_h", "_k")
+    ends = [c for c in cuts if c is not None]
+    chunk = count_before(ends, 0, len(ends), F.col("_h"), F.col("_k")).cast("long")
     xc = F.col(x).cast("double") - F.lit(cx)
     yc = F.col(y).cast("double") - F.lit(cy)
-    tagged = ranked.select(chunk.alias("chunk"), "_split", xc.alias("xc"), yc.alias("yc")) \
-                   .where(F.col("chunk").isNotNull())
+    # Rows behind the last cut get a chunk that the join with the sizes drops. A filter or a
+    # null chunk would be pushed below the digest's projection and compute it at every cut.
+    tagged = ranked.select(chunk.alias("chunk"), "_split", xc.alias("xc"), yc.alias("yc"))
     sums = tagged.groupBy("chunk").agg(*[
         F.sum(F.when(F.col("_split") == s, e)).alias(f"{s}_{name}")
         for s in ("train", "test")

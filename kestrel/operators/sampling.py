@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators.ordering import global_rank
+from kestrel.session import materialize
 
 _PREFIX = 4  # hex digits of a digest
 
@@ -61,17 +62,19 @@ def hash_order(df: DataFrame, key: str, seed: int, rank_col: str = "draw",
     return r.drop("_h")
 
 
-def hash_cuts(df: DataFrame, key: str, seed: int, positions: Sequence[int]
-              ) -> list[tuple[str, str] | None]:
+def hash_cuts(df: DataFrame, key: str, seed: int, positions: Sequence[int],
+              digested: bool = False) -> list[tuple[str, str] | None]:
     """Where a hash order is cut: for each position the (digest, key) of the row that has
     this rank; None beyond the last row.
 
     One aggregation counts the rows per digest prefix (at most 65,536 counts reach the
     driver, whatever the table); only the rows of the prefixes in which a position falls
-    are ranked. No row of the table is shuffled for the others.
+    are ranked. No row of the table is shuffled for the others. ``digested``: ``df`` has
+    the columns of ``with_digest``.
     """
-    h = F.coalesce(row_hash(key, seed), F.lit(""))
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    if not digested:
+        df = with_digest(df.select(key), key, seed)
+    h, name = F.col("_h"), F.col("_k")
     counts = df.groupBy(F.substring(h, 1, _PREFIX).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
     wanted: dict[str, dict[int, list[int]]] = {}
     below, todo = 0, sorted((p, i) for i, p in enumerate(positions))
@@ -96,22 +99,51 @@ def hash_cuts(df: DataFrame, key: str, seed: int, positions: Sequence[int]
     return out
 
 
+def with_digest(df: DataFrame, key: str, seed: int, digest: str = "_h", name: str = "_k") -> DataFrame:
+    """``df`` with the digest and the name that order a row. Spark doesn't merge a projection
+    into one that names its expressions often, so the digest is computed once per row."""
+    return df.select("*", F.coalesce(row_hash(key, seed), F.lit("")).alias(digest),
+                     F.coalesce(F.col(key).cast("string"), F.lit("")).alias(name))
+
+
+def count_before(cuts: Sequence[tuple[str, str]], lo: int, hi: int, h: Column, k: Column) -> Column:
+    """How many of the sorted cuts in [lo, hi) lie before the row (digest, name), as a
+    balanced tree of comparisons."""
+    if lo >= hi:
+        return F.lit(0)
+    mid = (lo + hi) // 2
+    digest, name = (F.lit(v) for v in cuts[mid])
+    before = (h > digest) | ((h == digest) & (k > name))
+    return F.when(before, F.lit(mid - lo + 1) + count_before(cuts, mid + 1, hi, h, k)) \
+            .otherwise(count_before(cuts, lo, mid, h, k))
+
+
 def up_to(cut: tuple[str, str] | None, key: str, seed: int) -> Column:
-    """Whether a row stands at or before a cut of ``hash_cuts``."""
+    """Whether a row stands at or before a cut of ``hash_cuts``; names the digest twice, see
+    ``with_digest``."""
+    return at_or_before(cut, F.coalesce(row_hash(key, seed), F.lit("")),
+                        F.coalesce(F.col(key).cast("string"), F.lit("")))
+
+
+def at_or_before(cut: tuple[str, str] | None, h: Column, k: Column) -> Column:
+    """``up_to`` for a row's digest and name in columns."""
     if cut is None:
         return F.lit(True)
-    h = F.coalesce(row_hash(key, seed), F.lit(""))
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (name <= F.lit(cut[1])))
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (k <= F.lit(cut[1])))
 
 
 def exact_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42,
-                split_col: str = "split") -> DataFrame:
+                split_col: str = "split", written: bool = False) -> DataFrame:
     """Exactly ceil(test_fraction * n) test rows (R2): the first ones in hash order. Only
-    the rows around the boundary are ranked; every other row compares its hash."""
+    the rows around the boundary are ranked; every other row compares its hash. ``written``
+    checkpoints the rows with their digests first: for narrow rows that are read often."""
+    d = with_digest(df, key, seed)
+    if written:
+        d = materialize(d)
     n_test = math.ceil(df.count() * test_fraction)
-    cut = hash_cuts(df, key, seed, [n_test])[0]
-    return df.withColumn(split_col, F.when(up_to(cut, key, seed), F.lit("test")).otherwise(F.lit("train")))
+    cut = hash_cuts(d, key, seed, [n_test], digested=True)[0]
+    return d.withColumn(split_col, F.when(at_or_before(cut, F.col("_h"), F.col("_k")), F.lit("test"))
+                        .otherwise(F.lit("train"))).drop("_h", "_k")
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42,
@@ -119,7 +151,8 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42,
     """Exactly min(n, rows) rows without replacement (R3). Features and label are drawn
     as one row, so they stay paired. Only the drawn rows are ranked."""
     cut = hash_cuts(df, key, seed, [n])[0]
-    return hash_order(df.where(up_to(cut, key, seed)), key, seed, rank_col)
+    some = with_digest(df, key, seed).where(at_or_before(cut, F.col("_h"), F.col("_k"))).drop("_h", "_k")
+    return hash_order(some, key, seed, rank_col)
 
 
 def size_schedule(df: DataFrame, chunks: int, min_size: int, max_size: int) -> DataFrame:

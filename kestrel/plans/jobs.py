@@ -9,27 +9,24 @@ from kestrel.operators import evaluation as E
 from kestrel.operators import models as M
 from kestrel.plans.catalog import register
 from kestrel.plans.q_evaluation import model_comparison_table
-from kestrel.plans.q_models import (KMEANS_K, KMEANS_SEED, LINEAR_FEATURES, TREE_FEATURES,
-                                    TREE_SEED, clean_labelled_tokens, overfit_predictions,
-                                    text_features)
+from kestrel.plans.q_models import (FOREST, KMEANS_K, KMEANS_SEED, TREE_SQL, TREE_SEED,
+                                    clean_labelled_tokens, hashed_rows, overfit_predictions,
+                                    text_features, tree_predictions)
 
 
 @register("sentiment_pipeline")
 def sentiment_pipeline(spark, sf_dir):
     """Q2: dedupe -> clean -> TF-IDF -> split -> LR, NB, DT, RF -> one metrics pass.
 
-    The cleaned tokens are checkpointed once and hashed at two widths (2^18 for the
-    linear models, 2^12 for the trees); all four models' test predictions are stacked
-    and scored by a single aggregation.
+    The cleaned tokens are checkpointed once and hashed to 2^18 features; all four models'
+    test predictions are stacked and scored by a single aggregation.
     """
     clean = clean_labelled_tokens(spark, sf_dir)
-    linear = text_features(spark, sf_dir, LINEAR_FEATURES, clean)
-    trees = text_features(spark, sf_dir, TREE_FEATURES, clean)
-    preds = []
-    for name, feats in (("lr", linear), ("nb", linear), ("dt", trees), ("rf", trees)):
-        train = feats.where(F.col("split") == "train")
-        test = feats.where(F.col("split") == "test")
-        preds.append(M.fit_predict(name, train, test, ["doc_id"], seed=TREE_SEED))
+    feats = text_features(spark, sf_dir, clean=clean)
+    train, test = (feats.where(F.col("split") == s) for s in ("train", "test"))
+    preds = [M.fit_predict(name, train, test, ["doc_id"], seed=TREE_SEED) for name in ("lr", "nb")]
+    rows = hashed_rows(clean)
+    preds += [tree_predictions("dt", rows), tree_predictions("rf", rows, **FOREST)]
     stacked = preds[0]
     for p in preds[1:]:
         stacked = stacked.unionByName(p)
@@ -39,7 +36,7 @@ def sentiment_pipeline(spark, sf_dir):
 
 @register("overfit_job")
 def overfit_job(spark, sf_dir):
-    """Q4: trees of depth 1, 5, 30 -> train/test accuracy -> fit diagnosis."""
+    """Q4: trees of depth 1, 5, 32 -> train/test accuracy -> fit diagnosis."""
     acc = E.classification_metrics(overfit_predictions(spark, sf_dir), ["model", "split"])
     wide = acc.groupBy("model").agg(
         F.max(F.when(F.col("split") == "train", F.col("accuracy"))).alias("train_accuracy"),

@@ -153,10 +153,14 @@ def classification_report(spark, sf_dir):
          FROM stacked GROUP BY model, score),
 rn AS (SELECT *, sum(pos) OVER (PARTITION BY model ORDER BY s DESC) AS tp,
                  sum(neg) OVER (PARTITION BY model ORDER BY s DESC) AS fp,
-                 sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n
+                 sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n,
+                 lag(s) OVER (PARTITION BY model ORDER BY s DESC) AS above,
+                 lead(pos) OVER (PARTITION BY model ORDER BY s DESC) AS pos2,
+                 lead(neg) OVER (PARTITION BY model ORDER BY s DESC) AS neg2
        FROM sc)
 SELECT model, s AS threshold, CASE WHEN n > 0 THEN fp::DOUBLE / n END AS fpr,
-       CASE WHEN p > 0 THEN tp::DOUBLE / p END AS tpr FROM rn""")
+       CASE WHEN p > 0 THEN tp::DOUBLE / p END AS tpr FROM rn
+WHERE above IS NULL OR pos2 IS NULL OR pos <> pos2 OR neg <> neg2""")
 def roc_curve(spark, sf_dir):
     return E.roc_curve(stacked_rule_predictions(spark, sf_dir), ["model"])
 

@@ -15,6 +15,7 @@ from kestrel.operators import evaluation as E
 from kestrel.operators import features as V
 from kestrel.operators import models as M
 from kestrel.operators import naive_bayes as NB
+from kestrel.operators import trees as TR
 from kestrel.operators.sampling import exact_split, random_split, split_threshold
 from kestrel.plans.catalog import register
 from kestrel.plans.q_text import TOKENS_SQL
@@ -22,9 +23,9 @@ from kestrel.plans.q_text import TOKENS_SQL
 SPLIT_SEED = 0
 TREE_SEED = 42
 KMEANS_K, KMEANS_SEED = 4, 13
-# Hashed dimensions: the Spark ML default for LR/NB; fewer for trees, whose split
-# search grows with the number of features.
-LINEAR_FEATURES, TREE_FEATURES = 1 << 18, 1 << 12
+HASHED_FEATURES = 1 << 18  # the Spark ML default
+TREE_DEPTH, FOREST_TREES = 5, 20
+FOREST_SUBSET = HASHED_FEATURES ** -0.5  # the square root of the features at each node
 
 
 def labelled_docs(spark, sf_dir):
@@ -41,7 +42,7 @@ def clean_labelled_tokens(spark, sf_dir):
     return M.materialize(random_split(tab, "doc_id", 0.8, SPLIT_SEED))
 
 
-def text_features(spark, sf_dir, num_features: int = LINEAR_FEATURES, clean=None):
+def text_features(spark, sf_dir, num_features: int = HASHED_FEATURES, clean=None):
     """(doc_id, label, split, features): hashed TF (V1) weighted by an IDF fitted on
     all rows (V2), as the reference. Checkpointed, because several estimators read it."""
     clean = clean if clean is not None else clean_labelled_tokens(spark, sf_dir)
@@ -142,7 +143,7 @@ def _text_model(spark, sf_dir, name, num_features):
 @register("logistic_regression")
 def logistic_regression(spark, sf_dir):
     """K1: test predictions of logistic regression on TF-IDF."""
-    return _text_model(spark, sf_dir, "lr", LINEAR_FEATURES)
+    return _text_model(spark, sf_dir, "lr", HASHED_FEATURES)
 
 
 @register("naive_bayes_multinomial", nb_sql(NB_MULTINOMIAL_SQL, _PREDICTION + f", round({_POSTERIOR}, 6) AS score",
@@ -156,7 +157,7 @@ def naive_bayes_multinomial(spark, sf_dir):
 @register("naive_bayes_bernoulli")
 def naive_bayes_bernoulli(spark, sf_dir):
     """K3: term presence, Bernoulli naive Bayes (the pandas half's model)."""
-    return _text_model(spark, sf_dir, "nb_bernoulli", LINEAR_FEATURES)
+    return _text_model(spark, sf_dir, "nb_bernoulli", HASHED_FEATURES)
 
 
 @register("naive_bayes_counts", nb_sql(NB_MULTINOMIAL_SQL, _PREDICTION))
@@ -174,16 +175,36 @@ def naive_bayes_presence(spark, sf_dir):
     return NB.naive_bayes_scores(terms, docs, "bernoulli").drop("score")
 
 
+def hashed_rows(clean):
+    """(key, label, train, features) for the trees: the hashed TF-IDF (V1, V2) of cleaned
+    tokens as an array of (f, v), all 2^18 features, checkpointed."""
+    weights = V.hashed_weights(clean, "doc_id", "clean_tokens", HASHED_FEATURES)
+    features = weights.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("bucket").alias("f"), F.col("weight").alias("v")))
+                                             .cast(TR.FEATURES).alias("features"))
+    rows = clean.select("doc_id", F.col("label").cast("int").alias("label"), (F.col("split") == "train").alias("train"))
+    return M.materialize(rows.join(features, "doc_id", "left").withColumnRenamed("doc_id", "key"))
+
+
+def tree_predictions(name, rows, **options):
+    """(model, doc_id, label, prediction, score) of the test rows."""
+    found = TR.tree_scores(TR.grow(rows, TREE_DEPTH, seed=TREE_SEED, **options), rows)
+    return rows.where(~F.col("train")).select("key", "label").join(found, "key") \
+               .select(F.lit(name).alias("model"), F.col("key").alias("doc_id"), "label", "prediction", "score")
+
+
+FOREST = dict(trees=FOREST_TREES, bootstrap=True, subset=FOREST_SUBSET)
+
+
 @register("decision_tree")
 def decision_tree(spark, sf_dir):
-    """K4: depth-5 tree, 32 bins."""
-    return _text_model(spark, sf_dir, "dt", TREE_FEATURES)
+    """K4: exact depth-5 tree on all 2^18 hashed features."""
+    return tree_predictions("dt", hashed_rows(clean_labelled_tokens(spark, sf_dir)))
 
 
 @register("random_forest")
 def random_forest(spark, sf_dir):
-    """K5: 20 trees of depth 5, seeded."""
-    return _text_model(spark, sf_dir, "rf", TREE_FEATURES)
+    """K5: 20 exact trees of depth 5 on all 2^18 hashed features, seeded."""
+    return tree_predictions("rf", hashed_rows(clean_labelled_tokens(spark, sf_dir)), **FOREST)
 
 
 @register("predict_proba", nb_sql(NB_BERNOULLI_SQL, f"doc_id, round({_POSTERIOR}, 6) AS score"))
@@ -209,30 +230,63 @@ def tabular_table(spark, sf_dir):
                     F.size(F.array_distinct(toks)).alias("n_distinct_tokens"), "quality")
 
 
-DEPTHS = (1, 5, 30)  # the reference's 32 is above Spark ML's maximum depth of 30
+DEPTHS = (1, 5, 32)
 
 
 def overfit_predictions(spark, sf_dir):
-    """Stacked train and test predictions of trees of depth 1, 5 and 30 (K6)."""
-    from pyspark.ml.functions import array_to_vector
+    """Stacked train and test predictions of trees of depth 1, 5 and 32 (K6): one exact tree,
+    cut at each depth."""
     from kestrel.operators.relational import positional_features
     tab = positional_features(tabular_table(spark, sf_dir), keep=["doc_id"])
-    tab = exact_split(tab, "doc_id", 0.2, 42).withColumn(
-        "features", array_to_vector("features")).withColumn("label", F.col("label").cast("double"))
-    tab = M.materialize(tab)
-    train = tab.where(F.col("split") == "train")
+    tab = exact_split(tab, "doc_id", 0.2, 42)
+    rows = M.materialize(tab.select(
+        F.col("doc_id").alias("key"), F.col("label").cast("int").alias("label"),
+        (F.col("split") == "train").alias("train"), TR.sparse("features").alias("features"), "split"))
+    leaves = M.materialize(TR.grow(rows, max(DEPTHS)))
     out = None
     for depth in DEPTHS:
-        # One fit per depth; it scores the train and the test rows in one pass.
-        p = M.fit_predict("dt", train, tab, ["doc_id", "split"], seed=42, max_depth=depth) \
-             .withColumn("model", F.lit(f"depth_{depth}"))
+        p = TR.tree_scores(leaves, rows, depth).join(rows.select("key", "label", "split"), "key") \
+              .select(F.lit(f"depth_{depth}").alias("model"), F.col("key").alias("doc_id"), "split",
+                      "label", "prediction", "score")
         out = p if out is None else out.unionByName(p)
     return out
 
 
-@register("depth_sweep")
+# The tree in SQL: every step reads the rows of the open nodes, finds each node's best
+# threshold over all values of all features, and sends the rows of split nodes on.
+_TREE_SQL = """
+WITH RECURSIVE base AS (
+  SELECT d.doc_id, l.quality AS y, [d.n_chars, len(t.tokens), len(list_distinct(t.tokens))]::DOUBLE[] AS x,
+         row_number() OVER (ORDER BY md5('42:' || CAST(d.doc_id AS VARCHAR)), CAST(d.doc_id AS VARCHAR))
+         > ceil(count(*) OVER () * 0.2) AS train
+  FROM documents d JOIN labels l USING (doc_id) JOIN {tokens} t USING (doc_id)),
+tree AS (
+  SELECT 0 AS depth, 1::BIGINT AS node, doc_id, y, x, train FROM base
+  UNION ALL (
+  WITH tot AS (SELECT node, sum(1 - y)::DOUBLE AS n0, sum(y)::DOUBLE AS n1 FROM tree WHERE train GROUP BY node),
+  val AS (SELECT node, f, x[f] AS v, sum(1 - y)::DOUBLE AS s0, sum(y)::DOUBLE AS s1
+          FROM tree, range(1, 4) r(f) WHERE train GROUP BY node, f, x[f]),
+  cum AS (SELECT node, f, v, sum(s0) OVER w AS l0, sum(s1) OVER w AS l1, lead(v) OVER w AS nxt FROM val
+          WINDOW w AS (PARTITION BY node, f ORDER BY v)),
+  gain AS (SELECT node, f, (v + nxt) / 2 AS cut, n0, n1,
+                  (l0 * l0 + l1 * l1) / (l0 + l1) + ((n0 - l0) * (n0 - l0) + (n1 - l1) * (n1 - l1)) / ((n0 - l0) + (n1 - l1)) AS g
+           FROM cum JOIN tot USING (node) WHERE nxt IS NOT NULL AND n0 > 0 AND n1 > 0),
+  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY g DESC, f, cut) AS r FROM gain)
+           WHERE r = 1 AND g > (n0 * n0 + n1 * n1) / (n0 + n1) * (1 + 1e-9))
+  SELECT depth + 1, 2 * node + (x[f] > cut)::BIGINT, doc_id, y, x, train FROM tree JOIN best USING (node) WHERE depth < 32)),
+shares AS (SELECT node, (sum(y) FILTER (WHERE train))::DOUBLE / count(*) FILTER (WHERE train) AS p FROM tree GROUP BY node),
+leaf AS (SELECT m.depth AS cut, t.doc_id, t.y, t.train, max(t.node) AS node
+         FROM tree t JOIN (VALUES (1), (5), (32)) m(depth) ON t.depth <= m.depth GROUP BY ALL),
+acc AS (SELECT 'depth_' || cut AS model, CASE WHEN train THEN 'train' ELSE 'test' END AS split,
+               avg(CASE WHEN (coalesce(p, 0) > 0.5)::INT = y THEN 1.0 ELSE 0.0 END) AS accuracy
+        FROM leaf JOIN shares USING (node) GROUP BY ALL)
+"""
+TREE_SQL = _TREE_SQL.format(tokens=f"(SELECT doc_id, {TOKENS_SQL} AS tokens FROM documents)")
+
+
+@register("depth_sweep", TREE_SQL + "SELECT model, split, accuracy FROM acc")
 def depth_sweep(spark, sf_dir):
-    """K6 + E13: train and test accuracy of trees of depth 1, 5 and 30."""
+    """K6 + E13: train and test accuracy of trees of depth 1, 5 and 32."""
     return E.classification_metrics(overfit_predictions(spark, sf_dir), ["model", "split"]) \
             .select("model", "split", "accuracy")
 

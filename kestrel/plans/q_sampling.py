@@ -80,8 +80,8 @@ def size_schedule(spark, sf_dir):
 
 
 def regression_split(spark, sf_dir):
-    """Exact 80/20 split of the weather rows: a comparison of hashes, cheap to repeat."""
-    return S.exact_split(weather(spark, sf_dir), "row_key", 0.2, SAMPLE_SEED)
+    """Exact 80/20 split of the weather rows; their digests are computed once and written."""
+    return S.exact_split(weather(spark, sf_dir), "row_key", 0.2, SAMPLE_SEED, written=True)
 
 
 _REG_SQL = f"""

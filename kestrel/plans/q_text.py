@@ -105,11 +105,48 @@ def clean_text(spark, sf_dir):
                     X.join_tokens("clean_tokens").alias("text"))
 
 
-@register("hashing_tf")
+_M32 = "4294967295"
+
+
+def _times_sql(a: str, b: int) -> str:
+    return f"((({a}) * {b & 0xFFFF} + ((({a}) * {b >> 16}) & 65535) * 65536) & {_M32})"
+
+
+def _turned_sql(a: str, by: int) -> str:
+    return f"(((({a}) * {1 << by}) & {_M32}) | (({a}) >> {32 - by}))"
+
+
+# Murmur3 step by step, every intermediate value a column of its own: the bytes of a term
+# as a list of numbers, whole words of four, the rest, the final mix.
+_MIX_SQL = _times_sql("k2", 0x1B873593)
+MURMUR_SQL = f"""(
+SELECT term, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END & 262143 AS bucket FROM (
+SELECT term, xor(h, h >> 16) AS h FROM (
+SELECT term, {_times_sql("h", 0xC2B2AE35)} AS h FROM (
+SELECT term, xor(h, h >> 13) AS h FROM (
+SELECT term, {_times_sql("h", 0x85EBCA6B)} AS h FROM (
+SELECT term, xor(h, h >> 16) AS h FROM (
+SELECT term, xor(xor(list_reduce(list_prepend(42::BIGINT, list_transform(ks, lambda k2: {_MIX_SQL})),
+         lambda h, k: (({_turned_sql("xor(h, k)", 13)}) * 5 + {0xE6546B64}) & {_M32}), {_times_sql("rest2", 0x1B873593)}), n) AS h FROM (
+SELECT term, n, {_turned_sql("rest1", 15)} AS rest2, list_transform(ks1, lambda k1: {_turned_sql("k1", 15)}) AS ks FROM (
+SELECT term, n, {_times_sql("rest", 0xCC9E2D51)} AS rest1, list_transform(ks, lambda k: {_times_sql("k", 0xCC9E2D51)}) AS ks1 FROM (
+SELECT term, len(b) AS n,
+       list_transform(range(len(b) // 4), lambda i: b[4*i+1] + b[4*i+2] * 256 + b[4*i+3] * 65536 + b[4*i+4] * 16777216) AS ks,
+       coalesce(b[len(b) // 4 * 4 + 1], 0) + coalesce(b[len(b) // 4 * 4 + 2], 0) * 256
+       + coalesce(b[len(b) // 4 * 4 + 3], 0) * 65536 AS rest FROM (
+SELECT term, list_transform(regexp_extract_all(hex(encode(term)), '..'), lambda x: ('0x' || x)::BIGINT) AS b
+FROM (SELECT DISTINCT unnest(tokens) AS term FROM {DOC_TOKENS_SQL} t))))))))))))"""
+
+
+@register("hashing_tf", f"""
+WITH h AS {MURMUR_SQL},
+tf AS (SELECT doc_id, bucket, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM {DOC_TOKENS_SQL} t) u
+       JOIN h USING (term) GROUP BY doc_id, bucket),
+df AS (SELECT bucket, count(*) AS df FROM tf GROUP BY bucket)
+SELECT doc_id, bucket, tf, tf * ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) AS weight FROM tf JOIN df USING (bucket)""")
 def hashing_tf(spark, sf_dir):
-    """V1 + V2: hashed term counts (2^18 buckets) weighted by the fitted IDF."""
-    v = V.hashed_tfidf(doc_tokens(spark, sf_dir), "tokens")
-    return v.select("doc_id", "tf_features", "features")
+    """V1 + V2 in long form: hashed term counts (2^18 buckets) weighted by the fitted IDF."""
+    return V.hashed_weights(doc_tokens(spark, sf_dir))
 
 
 @register("idf_weights", f"""

@@ -147,7 +147,7 @@ def test_models_are_seeded_and_complete(spark):
 def test_overfit_job_labels(spark):
     catalog.load_all()
     rows = catalog.QUERIES["overfit_job"](spark, SMALL).collect()
-    assert {r["model"] for r in rows} == {"depth_1", "depth_5", "depth_30"}
+    assert {r["model"] for r in rows} == {"depth_1", "depth_5", "depth_32"}
     assert "best" in {r["diagnosis"] for r in rows}
 
 

@@ -22,7 +22,7 @@ def test_stems_of_the_whole_vocabulary(spark):
 def test_y_and_double_letters(spark):
     words = ["y", "yy", "yyy", "toy", "syzygy", "say", "happy", "dying", "yes", "bay", "playing",
              "hopping", "hissing", "falling", "filing", "failing", "agreed", "feed", "sky", "oed",
-             "ying", "aing", "ee", "eee", "lll", "adoption", "controll", "rate", "cease", "is", "a"]
+             "ying", "aing", "ee", "eee", "lll", "yyyyyyyyying", "yyyyyyyyyyying", "sayyying", "cyyyyyed", "y" * 40 + "ings", "adoption", "controll", "rate", "cease", "is", "a"]
     d = spark.createDataFrame([(words,)], "t array<string>")
     got = d.select(X.porter_stems("t").alias("s")).first().s
     assert got == [porter.stem(w) for w in words]
