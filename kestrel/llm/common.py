@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -44,6 +45,15 @@ def compact(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
     return counted(df, None, rows_per_partition)[0]
 
 
+def release(df: DataFrame) -> None:
+    """Let go of what earlier rounds of a loop left behind. Spark removes shuffles, checkpoints
+    and compiled plans once the driver's collector has seen that nothing refers to them; a
+    long loop of small jobs gives it no reason to run (``spark.cleaner.periodicGC.interval``
+    is half an hour)."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(c.cast("string"), F.lit(""))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import compact, counted, drop_rows, merged, salted_join, text_digest
+from kestrel.llm.common import compact, counted, drop_rows, merged, release, salted_join, text_digest
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -202,6 +202,7 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
                                    .select("node", F.least("to", "end").alias("comp"),
                                            (F.least("to", "end") != F.col("comp")).alias("moved")), "moved")
         labels = jumped.select("node", "comp")
+        release(labels)
         if not moved:
             return labels
 
@@ -282,6 +283,7 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
             comps = components(comps, found)
         rows = merged(now.drop("comp"), picked.select("key", F.col("leader").alias("node")),
                       ["key", "node"], "left_anti")
+        release(comps)
         round_ = max(round_, 2)
         leaders *= LEADERS
 

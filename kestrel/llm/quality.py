@@ -170,19 +170,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Space:
-    """Fit on the bounded sample: its hashed terms, not its texts, come to the driver."""
+    """Fit on the bounded sample, in the one task that its ordering ends in: the driver gets
+    the fitted numbers, neither texts nor terms."""
 
-    def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = Terms()
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, rows, marks = Terms(), [], []
         for batch in batches:
-            rows = [of(t) for t in batch["text"]]
-            yield pd.DataFrame({"i": [i.astype(np.uint16).tobytes() for i, _ in rows],
-                                "v": [v.tobytes() for _, v in rows], "label": batch["label"]})
-
-    sample = labelled_sample(docs, labels, max_labelled) \
-        .mapInPandas(terms, "i binary, v binary, label double").collect()
-    return fit_space([(np.frombuffer(r.i, np.uint16).astype(np.int64), np.frombuffer(r.v, np.float32)) for r in sample],
-                     [r.label for r in sample])
+            rows += [of(t) for t in batch["text"]]
+            marks += batch["label"].tolist()
+        space = fit_space(rows, marks)
+        yield pd.DataFrame({"idf": [space.idf.tobytes()], "projection": [space.projection.tobytes()],
+                            "vectors": [space.vectors.tobytes()], "labels": [space.labels.tobytes()]})
+
+    found = labelled_sample(docs, labels, max_labelled).coalesce(1) \
+        .mapInPandas(fit, "idf binary, projection binary, vectors binary, labels binary").collect()
+    if not found:  # no partition, hence no row
+        return fit_space([], [])
+    idf, projection, vectors = (np.frombuffer(found[0][c], np.float32) for c in ("idf", "projection", "vectors"))
+    projection = projection.reshape(TERMS, -1)
+    return Space(idf, projection, vectors.reshape(-1, projection.shape[1]), np.frombuffer(found[0].labels, np.float64))
 
 
 def scorer(docs: DataFrame, space: Space):
