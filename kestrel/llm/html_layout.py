@@ -2,7 +2,8 @@
 
 A tree builder reads a page with the implied tags of HTML (``<p>`` closed by the next
 block, ``<li>``, ``<tr>``, ``<td>``, ``<option>``... by their likes, missing end tags at the
-end). Visibility rules leave out what a browser doesn't show. The tree is rendered as
+end); ``html_tags.py`` cuts its tags. Visibility rules (``html_visibility.py``) leave out what
+a browser doesn't show. The tree is rendered as
 text: blocks on lines of their own with blank lines where margins are, lists with markers
 and indents, table cells in aligned columns, preformatted text as it stands.
 """
@@ -20,6 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.html_tags import Tag, raw_end, tokens
+from kestrel.llm.html_visibility import Rules, keep_visible
+
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -59,31 +63,20 @@ MAX_INDENT = 400  # columns; text that is nested deeper is indented by as many
 MAX_TABLES = 64   # within one another; cells of deeper ones stand one below another
 COLUMN_GAP = "  "
 
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 MATH_PARTS = frozenset("mfrac mroot mtable mtr mlabeledtr".split())
-_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z|\A[^=]*/\Z")
+_SHEET = re.compile(r"\s*(?:text/css)?\s*", re.IGNORECASE)
+_MEDIA = re.compile(r"\s*(?:(?:only\s+)?(?:all|screen)\s*(?:,.*)?)?", re.IGNORECASE | re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "rows", "foreign")
+    __slots__ = ("tag", "attrs", "children", "rows", "foreign", "hidden")
 
     def __init__(self, tag: str, attrs: dict | None = None):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
         self.rows = False  # has rows of the table that it is in
         self.foreign = False  # svg or math, where tags follow other rules
-
-
-def _attributes(source: str) -> dict[str, str]:
-    out: dict[str, str] = {}
-    for name, value in _ATTRIBUTE.findall(source):
-        if value[:1] in ("'", '"'):
-            value = value[1:-1]
-        out.setdefault(name.lower(), html.unescape(value))
-    return out
+        self.hidden = False   # it is there for the visible elements in it, or for its place
 
 
 class Open(list):
@@ -130,10 +123,10 @@ class Open(list):
         self.ended.add(i)
 
 
-def parse(source: str) -> Node:
-    """The element tree of a page."""
+def parse(source: str, sheets: list[str] | None = None) -> Node:
+    """The element tree of a page; the texts of its style sheets are added to ``sheets``."""
     root = Node("html")
-    stack, at, n = Open(root), 0, len(source)
+    stack, at = Open(root), 0
 
     def text(piece: str, unescape=html.unescape) -> None:
         if piece:
@@ -142,22 +135,17 @@ def parse(source: str) -> Node:
                 stack.leave()
             stack[-1].children.append(piece)
 
-    while at < n:
-        m = _TOKEN.search(source, at)
-        if m is None:
-            text(source[at:])
-            break
-        text(source[at:m.start()])
-        at = max(m.end(), m.start() + 1)
-        if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                text(m[0][9:].removesuffix("]]>"), str)
+    markup = tokens(source)
+    for start, end, what in markup:
+        text(source[at:start])
+        at = end
+        if not isinstance(what, Tag):
+            text(what or "", str)  # a CDATA section
             continue
-        tag = m[2].lower()
-        if m[1]:
+        tag, attrs = what.name, what.attrs
+        if what.end:
             _end(stack, tag)
             continue
-        attrs = _attributes(m[3]) if m[3].strip(" /\t\n\r\f") else {}
         if tag in ("html", "body") and stack.at.get(tag):
             continue
         foreign = stack[-1].foreign and stack[-1].tag not in INTEGRATION
@@ -176,15 +164,20 @@ def parse(source: str) -> Node:
         if tag == "tr":
             _has_row(stack)
         node.foreign = foreign or tag in ("svg", "math")
-        if tag in VOID or node.foreign and _CLOSED.search(m[3]):
+        if tag in VOID or node.foreign and what.closed:
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-            body = source[at:end.start() if end else n]
+            start = at
+            end, at = raw_end(source, tag, at)
+            body = source[start:end]
             node.children.append(html.unescape(body) if tag in ("textarea", "title") else body)
-            at = end.end() if end else n
+            if sheets is not None and tag == "style" and not (stack.at.get("template") or stack.at.get("noscript")) \
+                    and _SHEET.fullmatch(attrs.get("type", "")) and _MEDIA.fullmatch(attrs.get("media", "")):
+                sheets.append(body)
+            markup.send(at)
             continue
         stack.push(node)
+    text(source[at:])
     return root
 
 
@@ -230,22 +223,6 @@ def _end(stack: Open, tag: str) -> None:
         stack[-1].children.append(Node("p"))
 
 
-def visible(node: Node) -> bool:
-    if node.tag in UNSEEN:
-        return False
-    a = node.attrs
-    if not a:
-        return True
-    if node.foreign and (a.get("display", "").strip() == "none" or a.get("visibility", "").strip() in ("hidden", "collapse")):
-        return False
-    if "hidden" in a and a["hidden"].lower() != "until-found" or node.tag == "input" and a.get("type", "").lower() == "hidden":
-        return False
-    if node.tag == "dialog" and "open" not in a:
-        return False
-    style = a.get("style", "").lower().replace(" ", "")
-    return not ("display:none" in style or "visibility:hidden" in style or "visibility:collapse" in style)
-
-
 class Page:
     """Lines of text under construction. Margins collapse: only the largest pending one is
     laid out, when the next text comes."""
@@ -323,7 +300,7 @@ def _render(node: Node, page: Page, pre: bool, depth: int) -> Steps:
     for child in node.children:
         if isinstance(child, str):
             page.text(child, pre)
-        elif visible(child):
+        else:
             yield _element(child, page, pre, depth)
 
 
@@ -356,7 +333,7 @@ def _element(node: Node, page: Page, pre: bool, depth: int) -> Steps:
         return
     if tag == "details" and "open" not in node.attrs:
         for child in node.children:  # closed: only its summary shows
-            if isinstance(child, Node) and child.tag == "summary" and visible(child):
+            if isinstance(child, Node) and child.tag == "summary":
                 page.margin(0)
                 yield _render(child, page, pre, depth)
                 page.margin(0)
@@ -364,6 +341,9 @@ def _element(node: Node, page: Page, pre: bool, depth: int) -> Steps:
         return
     if tag == "option" or tag == "legend":
         page.margin(0)
+    if tag == "optgroup" and not node.hidden:
+        page.margin(0)
+        page.text(node.attrs.get("label", ""), False)
     spaced = 1 if tag in SPACED else 0
     if tag in BLOCK:
         page.margin(spaced)
@@ -375,17 +355,17 @@ def _element(node: Node, page: Page, pre: bool, depth: int) -> Steps:
         return
     if tag == "textarea":
         pre = True
-    if tag == "q":
+    if tag == "q" and not node.hidden:
         page.text("“", False)
     yield _render(node, page, pre, depth)
-    if tag == "q":
+    if tag == "q" and not node.hidden:
         page.text("”", False)
 
 
 def _svg(node: Node, page: Page, depth: int) -> Steps:
     """The texts of a drawing, each on a line of its own, and HTML inside of it."""
     for child in node.children:
-        if isinstance(child, str) or child.tag in UNDRAWN or not visible(child):
+        if isinstance(child, str) or child.tag in UNDRAWN:
             continue
         if child.tag in ("text", "foreignobject"):
             page.margin(0)
@@ -399,7 +379,7 @@ def _svg_text(node: Node, page: Page, pre: bool, depth: int) -> Steps:
     for child in node.children:
         if isinstance(child, str):
             page.text(child, pre)
-        elif child.tag not in UNDRAWN and visible(child):
+        elif child.tag not in UNDRAWN:
             if not child.attrs.keys().isdisjoint(("x", "y", "dy")):
                 page.space = True  # it stands elsewhere
             yield _svg_text(child, page, pre, depth)
@@ -411,7 +391,7 @@ def _math_parts(node: Node, page: Page, depth: int) -> Steps:
         page.space = True
         if isinstance(child, str):
             page.text(child, False)
-        elif visible(child):
+        else:
             yield _element(child, page, False, depth)
     page.space = True
 
@@ -421,24 +401,43 @@ def _number(value: str | None, default: int) -> int:
     return int(m[1]) if m else default
 
 
+def _marker(kind: str, number: int) -> str:
+    """Of an item of a numbered list: figures, letters (a to z, aa, ...) or Roman numerals;
+    figures where a number has no such form."""
+    if kind in ("a", "A") and number > 0:
+        out = ""
+        while number:
+            number, letter = divmod(number - 1, 26)
+            out = chr(ord(kind) + letter) + out
+        return out + ". "
+    if kind in ("i", "I") and 0 < number < 4000:
+        out = ""
+        for value, sign in ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"),
+                            (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
+            out += sign * (number // value)
+            number %= value
+        return (out if kind == "i" else out.upper()) + ". "
+    return f"{number}. "
+
+
 def _list(node: Node, page: Page, pre: bool, depth: int) -> Steps:
-    number = _number(node.attrs.get("start"), 1)
+    step = -1 if node.tag == "ol" and "reversed" in node.attrs else 1
+    items = sum(isinstance(child, Node) and child.tag == "li" for child in node.children)
+    number = _number(node.attrs.get("start"), 1 if step == 1 else items)
     for child in node.children:
         if isinstance(child, str):
             page.text(child, pre)
             continue
-        if not visible(child):
-            continue
         if child.tag != "li":
             yield _element(child, page, pre, depth + 1)
             continue
         if node.tag == "ol":
             number = _number(child.attrs.get("value"), number)
-        marker = f"{number}. " if node.tag == "ol" else "- "
-        number += 1
+        marker = _marker(child.attrs.get("type", node.attrs.get("type", "")), number) if node.tag == "ol" else "- "
+        number += step
         page.margin(0)
         page.indent += len(marker)
-        page.marker = marker
+        page.marker = marker if not child.hidden else ""
         yield _render(child, page, pre, depth + 1)
         page.margin(0)
         page.marker = ""
@@ -457,7 +456,7 @@ def _table_parts(table: Node) -> tuple[list[Node], list[Node | str | None]]:
             stray.append(None)
         elif isinstance(child, str):
             stray.append(child)
-        elif not visible(child) or child.tag == "col":
+        elif child.tag == "col":
             continue
         elif child.tag == "tr":
             rows.append(child)
@@ -495,8 +494,6 @@ def _table(node: Node, page: Page, depth: int) -> Steps:
         stray = Node("td")
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in ("td", "th"):
-                if not visible(cell):
-                    continue
                 while busy.get(column, 0) > 0:
                     column += 1
                 span = max(1, min(1000, _number(cell.attrs.get("colspan"), 1)))
@@ -544,8 +541,13 @@ def extract(source: str | None) -> str:
     """The visible text of a page as laid out lines."""
     if not source:
         return ""
+    sheets: list[str] = []
+    root, rules = parse(source, sheets), Rules()
+    for sheet in sheets:
+        rules.add(sheet)
+    keep_visible(root, rules, UNSEEN)
     page = Page()
-    _run(_render(parse(source), page, False, 0))
+    _run(_render(root, page, False, 0))
     return page.done()
 
 
@@ -554,7 +556,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
 
     Null and empty pages, and pages with nothing to see, give an empty text of no lines.
     Every row stands alone: repeated rows give repeated results, a null id stays null,
-    other columns are ignored, an empty table gives no rows.
+    other columns are ignored whatever their names, an empty table gives no rows. Long pages
+    are read whole, in time that grows with their length; a page is one value of a task.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
