@@ -187,8 +187,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     if not found:  # no partition, hence no row
         return fit_space([], [])
     idf, projection, vectors = (np.frombuffer(found[0][c], np.float32) for c in ("idf", "projection", "vectors"))
-    projection = projection.reshape(TERMS, -1)
-    return Space(idf, projection, vectors.reshape(-1, projection.shape[1]), np.frombuffer(found[0].labels, np.float64))
+    marks = np.frombuffer(found[0].labels, np.float64)
+    projection = projection.reshape(TERMS, -1)  # of no columns, if there are no rows
+    return Space(idf, projection, vectors.reshape(len(marks), projection.shape[1]), marks)
 
 
 def scorer(docs: DataFrame, space: Space):
