@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,12 +38,31 @@ def counted(df: DataFrame, flag: str | None = None, rows_per_partition: int = 10
     ensure_checkpoint_dir(df.sparkSession)
     seen = Observation()
     marked = F.count_if(F.col(flag)) if flag else F.count(F.lit(1))
-    out = df.observe(seen, F.count(F.lit(1)).alias("n"), marked.alias("m")).checkpoint(eager=True)
+    with single_partitions_stay(df.sparkSession):
+        out = df.observe(seen, F.count(F.lit(1)).alias("n"), marked.alias("m")).checkpoint(eager=True)
     n = seen.get["n"]
     release(out)
     return out.coalesce(max(1, -(-n // rows_per_partition))), n, seen.get["m"]
 
 
+@contextmanager
+def single_partitions_stay(spark: SparkSession) -> Iterator[None]:
+    """Plan joins of two single partitions in one task. Spark shuffles them if it estimates
+    either at more than this setting, and a checkpoint keeps the estimate of what it was made
+    from, which multiplies the sizes of joined tables: after a few rounds of a loop every
+    table looks huge. ``counted`` gives one partition only to tables it has counted."""
+    name = "spark.sql.maxSinglePartitionBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str((1 << 63) - 1))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def compact(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
     """``counted`` without the counts: small tables don't keep a task per partition of what
     they were made from."""

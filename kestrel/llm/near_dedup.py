@@ -35,6 +35,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 50, 6     # P(no common band) at 0.8: (1 - 0.8^6)^50 = 3e-7
 LEADERS = 16            # growth of the leaders per round
 WIDE_ROWS = 20_000      # rows a partition of the tables with a row per document
+SLIM_ROWS = 400_000     # rows a partition of the loops' tables, which hold a few numbers a row
 MEMO = 300_000          # word hashes a worker remembers; only saves time
 
 _EPSILON = 1e-9  # on the safe side of rounding where sizes are compared
@@ -187,20 +188,29 @@ def _elements_udf(words: int):
     return elements
 
 
-def components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, comp) after the links (a, b) between nodes: every node takes the least comp
-    of itself and its neighbours, then the comp of that node, until nothing changes. Hubs
-    pre-aggregate; chains shorten by half in every round."""
-    both = compact(links.union(links.select("b", "a")).toDF("a", "b").distinct())
+def _slim(df: DataFrame, *rows: int) -> DataFrame:
+    """One partition if none of the tables that ``df`` joins or groups has more rows than a
+    partition of theirs: Spark takes the result of a join for many partitions and would
+    shuffle it, in as many tasks as the cluster shuffles into, before it is joined again."""
+    return df.coalesce(1) if max(rows) <= SLIM_ROWS else df
+
+
+def components(labels: DataFrame, links: DataFrame, nodes: int) -> DataFrame:
+    """(node, comp) of the ``nodes`` rows of ``labels`` after the links (a, b) between nodes:
+    every node takes the least comp of itself and its neighbours, then the comp of that
+    node, until nothing changes. Hubs pre-aggregate; chains shorten by half in every round."""
+    both, ways, _ = counted(links.union(links.select("b", "a")).toDF("a", "b").distinct(),
+                             None, SLIM_ROWS)
     while True:
-        near = merged(both, labels.select(F.col("node").alias("b"), "comp"), "b") \
-            .groupBy("a").agg(F.min("comp").alias("least"))
-        hooked = merged(labels, near.withColumnRenamed("a", "node"), "node", "left") \
-            .select("node", "comp", F.least("comp", "least").alias("to"))
+        near = _slim(merged(both, labels.select(F.col("node").alias("b"), "comp"), "b")
+                     .groupBy("a").agg(F.min("comp").alias("least")), nodes, ways)
+        hooked = _slim(merged(labels, near.withColumnRenamed("a", "node"), "node", "left")
+                       .select("node", "comp", F.least("comp", "least").alias("to")), nodes, ways)
         ends = hooked.select(F.col("node").alias("to"), F.col("to").alias("end"))
         jumped, _, moved = counted(merged(hooked, ends, "to")
                                    .select("node", F.least("to", "end").alias("comp"),
-                                           (F.least("to", "end") != F.col("comp")).alias("moved")), "moved")
+                                           (F.least("to", "end") != F.col("comp")).alias("moved")),
+                                   "moved", SLIM_ROWS)
         labels = jumped.select("node", "comp")
         if not moved:
             return labels
@@ -224,8 +234,9 @@ def prefix_buckets(nodes: DataFrame, sets: DataFrame, similarity: float) -> Data
     So a similar pair always meets under a key that leads in the smaller set; documents
     that only share a frequent passage, or are far copies of one text, don't: the elements
     they share stand behind their own."""
-    own = compact(merged(sets, nodes, "node", "left_semi")
-                       .select("node", "n", F.explode("elements").alias("key")))
+    # Dealt by element at once: a table of few sets has one partition but many elements.
+    own = merged(sets, nodes, "node", "left_semi") \
+        .select("node", "n", F.explode("elements").alias("key")).repartition("key")
     spread = own.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
     by_rarity = Window.partitionBy("node").orderBy("df", "key")  # one document's elements
     least = F.ceil(similarity * F.col("n") - _EPSILON)
@@ -242,22 +253,24 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
     elements). Each round takes leaders from every open bucket. The first round settles
     nearly everything; the nodes of the buckets that are still open then are dealt anew by
     their rarest elements, which no similar pair can miss."""
-    comps = compact(sets.select("node", F.col("node").alias("comp")))
-    rows = merged(buckets, sets.select("node", "n"), "node") \
-        .select("key", "node", "n", F.lit(1).alias("at"), F.lit(True).alias("leads"))
+    comps, nodes, _ = counted(sets.select("node", F.col("node").alias("comp")), None, SLIM_ROWS)
+    rows, count, _ = counted(merged(buckets, sets.select("node", "n"), "node")
+                             .select("key", "node", "n", F.lit(1).alias("at"),
+                                     F.lit(True).alias("leads")), None, SLIM_ROWS)
     leaders, round_ = 1, 1
     while True:
         # A row that has led was compared with all others of its bucket and is out of it.
-        now = merged(rows, comps, "node")
+        now = _slim(merged(rows, comps, "node"), count, nodes)
         open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                        F.bool_or("leads").alias("any")) \
                    .where("lo <> hi and any").select("key")
-        now, open_rows, _ = counted(merged(now, open_, "key", "left_semi"))
-        if not open_rows:
+        now, count, _ = counted(merged(now, _slim(open_, count, nodes), "key", "left_semi"),
+                                None, SLIM_ROWS)
+        if not count:
             return comps
         if round_ == 2:
             left = now.select("node").distinct()
-            rows = compact(prefix_buckets(left, sets, similarity))
+            rows, count, _ = counted(prefix_buckets(left, sets, similarity), None, SLIM_ROWS)
             round_ = 3
             continue
         first = F.struct("node", F.col("comp").alias("of"), "n", "at")
@@ -268,7 +281,7 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
             picked = now.where("leads").withColumn("_r", F.row_number().over(best)) \
                         .where(F.col("_r") <= leaders).select("key", first.alias("l"))
         picked = compact(picked.select("key", F.col("l.node").alias("leader"), "l.of",
-                                            F.col("l.n").alias("m"), F.col("l.at").alias("lat")))
+                                       F.col("l.n").alias("m"), F.col("l.at").alias("lat")), SLIM_ROWS)
         # If this is the first element that two sets share, they share at most what stands
         # behind it in both; a similar pair is met under its first shared element.
         reach = 1 + F.least(F.col("n") - F.col("at"), F.col("m") - F.col("lat"))
@@ -277,11 +290,13 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         pairs = merged(now, picked, meet) \
             .select(F.greatest("node", "leader").alias("node"),
                            F.least("node", "leader").alias("leader")).distinct()
-        found, links, _ = counted(_similar(pairs, sets, similarity).toDF("a", "b"))
+        # The comparisons are the work of a round: never all of them in one task.
+        found, links, _ = counted(_similar(pairs.repartition("node"), sets, similarity).toDF("a", "b"),
+                                  None, SLIM_ROWS)
         if links:
-            comps = components(comps, found)
-        rows = merged(now.drop("comp"), picked.select("key", F.col("leader").alias("node")),
-                      ["key", "node"], "left_anti")
+            comps = components(comps, found, nodes)
+        rows = _slim(merged(now.drop("comp"), picked.select("key", F.col("leader").alias("node")),
+                            ["key", "node"], "left_anti"), count)
         round_ = max(round_, 2)
         leaders *= LEADERS
 
