@@ -57,8 +57,10 @@ def test_classes_equal_brute_force(spark, corpus):
     assert len(set(want.values())) < len(want) - 50  # there is something to find
 
 
-def test_leaders_find_links_that_the_first_misses(spark):
+@pytest.mark.parametrize("slim", [N.SLIM_ROWS, 6])  # loop tables in one task, and shuffled
+def test_leaders_find_links_that_the_first_misses(spark, monkeypatch, slim):
     """A chain: the least document is similar to the second only, that to the third..."""
+    monkeypatch.setattr(N, "SLIM_ROWS", slim)
     base = [f"w{i}" for i in range(200)]
     rows = []
     for step in range(8):
