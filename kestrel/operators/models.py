@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
+from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression, LogisticRegressionModel,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -19,7 +19,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import materialize  # noqa: F401
+from kestrel.session import materialize, scratch_path  # noqa: F401
 
 MAX_CLUSTERS = 256
 
@@ -49,6 +49,15 @@ def classifier(name: str, features: str = "features", label: str = "label", seed
     raise ValueError(name)
 
 
+def reloaded(model: LogisticRegressionModel, df: DataFrame) -> LogisticRegressionModel:
+    """``model`` written to the shared folder and read back, which leaves its training summary
+    behind: that refers to the session, and a session in which an ``Observation`` ran (or jobs
+    were tagged) can't be sent to tasks."""
+    path = scratch_path(df.sparkSession, "model")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def fit_predict(name: str, train: DataFrame, test: DataFrame, keep: Sequence[str],
                 features: str = "features", label: str = "label", seed: int = 0,
                 max_depth: int = 5, **params) -> DataFrame:
@@ -60,6 +69,8 @@ def fit_predict(name: str, train: DataFrame, test: DataFrame, keep: Sequence[str
         binar = Binarizer(threshold=0.0, inputCol=features, outputCol="_binary")
         train, test = binar.transform(train), binar.transform(test)
     model = est.fit(train)
+    if name == "lr":
+        model = reloaded(model, train)
     pred = model.transform(test)
     return pred.select(
         F.lit(name).alias("model"), *keep, F.col(label).cast("int").alias("label"),
