@@ -12,7 +12,7 @@ document, a group bounded by the document's own length.
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, IDF
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.session import materialize
@@ -26,10 +26,23 @@ def explode_terms(docs: DataFrame, key: str, tokens: str) -> DataFrame:
                 .where(F.col("term").isNotNull()))
 
 
+def has_repeats(docs: DataFrame, key: str) -> bool:
+    """Whether two rows share a key; only the keys are read."""
+    return not docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def term_counts(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """(key, term, tf): occurrences of each term in each document."""
-    return (explode_terms(docs, key, tokens)
-                .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    """(key, term, tf): occurrences of each term in each document.
+
+    A row's tokens are sorted and the lengths of their runs taken, where the row is; only
+    where keys repeat are the counts of several rows summed, in a shuffle."""
+    words = docs.select(key, F.sort_array(F.array_compact(tokens)).alias("_s"))
+    at = F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    starts = words.where(F.size("_s") > 0).select(key, "_s", at.alias("_at"))
+    runs = F.transform("_at", lambda i, k: F.struct(
+        F.get("_s", i).alias("term"), (F.coalesce(F.get("_at", k + 1), F.size("_s")) - i).cast("long").alias("tf")))
+    tf = explode_terms(starts.select(key, runs.alias("_runs")), key, "_runs").select(key, "term.*")
+    return tf.groupBy(key, "term").agg(F.sum("tf").alias("tf")) if has_repeats(docs, key) else tf
 
 
 def document_frequency(tf: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -141,23 +154,40 @@ def murmur3_bucket(term: str | Column, num_features: int = 1 << 18) -> Column:
     return F.pmod(signed, F.lit(num_features).cast("long")).cast("int")
 
 
+def hashed_vectors(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens",
+                   num_features: int = 1 << 18) -> DataFrame:
+    """(key, tf_features): Spark ML's ``HashingTF`` (V1) of every row; null tokens are none."""
+    words = docs.select(key, F.coalesce(F.array_compact(tokens), F.array().cast("array<string>")).alias("_tokens"))
+    return HashingTF(inputCol="_tokens", outputCol="tf_features", numFeatures=num_features) \
+        .transform(words).select(key, "tf_features")
+
+
+def vector_entries(vector: str, index: str, value: str, kind: str) -> Column:
+    """The array of (index, value) of a sparse vector's entries."""
+    v = F.unwrap_udt(vector)
+    return F.arrays_zip(v["indices"].alias(index), v["values"].alias(value)).cast(kind)
+
+
 def hashed_counts(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens",
                   num_features: int = 1 << 18) -> DataFrame:
-    """(key, bucket, tf): V1 in long form, zeros left out. Every distinct term is hashed once."""
-    tf = materialize(term_counts(docs, key, tokens))
-    terms = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-                          .withColumn("bucket", murmur3_bucket("term", num_features)))
-    return join_term_stats(tf, terms).groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
+    """(key, bucket, tf): V1 in long form, zeros left out, counted where the row is; only where
+    keys repeat are the counts of several rows summed, in a shuffle."""
+    entries = hashed_vectors(docs, key, tokens, num_features) \
+        .select(key, vector_entries("tf_features", "bucket", "tf", "array<struct<bucket:int,tf:bigint>>").alias("_e"))
+    tf = entries.select(key, F.explode_outer("_e").alias("_e")).where("_e is not null").select(key, "_e.*")
+    return tf.groupBy(key, "bucket").agg(F.sum("tf").alias("tf")) if has_repeats(docs, key) else tf
 
 
 def hashed_weights(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens",
                    num_features: int = 1 << 18) -> DataFrame:
     """(key, bucket, tf, weight): V1 weighted by V2, tf * ln((m + 1) / (df + 1)) with the
-    documents df of the bucket among all m."""
+    documents df of the bucket among all m. There are at most ``num_features`` buckets: up to
+    2^18 of them are broadcast."""
     m = n_documents(docs)
     counts = materialize(hashed_counts(docs, key, tokens, num_features)).withColumnRenamed("bucket", "term")
     df = materialize(document_frequency(counts, key))
-    return join_term_stats(counts, df).select(
+    found = counts.join(F.broadcast(df), "term") if num_features <= 1 << 18 else join_term_stats(counts, df)
+    return found.select(
         key, F.col("term").alias("bucket"), "tf",
         (F.col("tf") * F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0))).alias("weight"))
 

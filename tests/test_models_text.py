@@ -1,9 +1,12 @@
 """Text models: fits in a session that has observed something, features without shuffles."""
 
+import pytest
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from kestrel.operators import features as V
 from kestrel.operators import models as M
 
 
@@ -15,3 +18,26 @@ def test_logistic_regression_after_an_observation(spark):
                               ["doc_id", "label", "features"])
     got = M.fit_predict("lr", d, d, ["doc_id"]).collect()
     assert len(got) == 20 and all(r.prediction == r.label for r in got)
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("count, name", [(V.term_counts, "term"), (V.hashed_counts, "bucket")])
+def test_terms_are_counted_where_the_rows_are(spark, count, name):
+    rows = [(1, ["b", "a", "b", "é", None]), (2, []), (3, None), (4, ["a"]), (None, ["c", "c"])]
+    d = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    want = {(1, "a", 1), (1, "b", 2), (1, "é", 1), (4, "a", 1), (None, "c", 2)}
+    at = {t: HashingTF().indexOf(t) for t in "abcé"} if name == "bucket" else {t: t for t in "abcé"}
+    got = count(d)
+    assert shuffles(got) == 0
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((k, at[t], n) for k, t, n in want), key=str)
+    twice = count(d.unionByName(d))  # the counts of equal keys are summed
+    assert sorted(map(tuple, twice.collect()), key=str) == sorted(((k, at[t], 2 * n) for k, t, n in want), key=str)
+
+
+def test_hashed_weights_shuffle_no_posting(spark):
+    d = spark.createDataFrame([(i, ["a", f"w{i}"]) for i in range(50)], "doc_id long, tokens array<string>")
+    got = V.hashed_weights(d)
+    assert shuffles(got) == 0 and got.count() == 100
