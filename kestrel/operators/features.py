@@ -18,31 +18,36 @@ from pyspark.sql import functions as F
 from kestrel.session import materialize
 
 
-def explode_terms(docs: DataFrame, key: str, tokens: str) -> DataFrame:
+def keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else key
+
+
+def explode_terms(docs: DataFrame, key: str | list[str], tokens: str) -> DataFrame:
     """(key, term) for every token. ``explode_outer`` + a null filter, because for a
     plain ``explode`` Catalyst infers ``size(tokens) > 0`` and pushes it below any
     repartition, evaluating the whole tokenisation a second time inside the scan."""
-    return (docs.select(key, F.explode_outer(tokens).alias("term"))
+    return (docs.select(*keys(key), F.explode_outer(tokens).alias("term"))
                 .where(F.col("term").isNotNull()))
 
 
-def has_repeats(docs: DataFrame, key: str) -> bool:
+def has_repeats(docs: DataFrame, *key: str) -> bool:
     """Whether two rows share a key; only the keys are read."""
-    return not docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    return not docs.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
-def term_counts(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+def term_counts(docs: DataFrame, key: str | list[str] = "doc_id", tokens: str = "tokens") -> DataFrame:
     """(key, term, tf): occurrences of each term in each document.
 
     A row's tokens are sorted and the lengths of their runs taken, where the row is; only
     where keys repeat are the counts of several rows summed, in a shuffle."""
-    words = docs.select(key, F.sort_array(F.array_compact(tokens)).alias("_s"))
+    on = keys(key)
+    words = docs.select(*on, F.sort_array(F.array_compact(tokens)).alias("_s"))
     at = F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
-    starts = words.where(F.size("_s") > 0).select(key, "_s", at.alias("_at"))
+    starts = words.where(F.size("_s") > 0).select(*on, "_s", at.alias("_at"))
     runs = F.transform("_at", lambda i, k: F.struct(
         F.get("_s", i).alias("term"), (F.coalesce(F.get("_at", k + 1), F.size("_s")) - i).cast("long").alias("tf")))
-    tf = explode_terms(starts.select(key, runs.alias("_runs")), key, "_runs").select(key, "term.*")
-    return tf.groupBy(key, "term").agg(F.sum("tf").alias("tf")) if has_repeats(docs, key) else tf
+    tf = explode_terms(starts.select(*on, runs.alias("_runs")), on, "_runs").select(*on, "term.*")
+    return tf.groupBy(*on, "term").agg(F.sum("tf").alias("tf")) if has_repeats(docs, *on) else tf
 
 
 def document_frequency(tf: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -200,7 +205,8 @@ def hashed_tfidf(docs: DataFrame, tokens: str = "tokens", num_features: int = 1
     IDF is fitted on ``fit_docs`` (default: all of ``docs``, as the reference).
     """
     htf = HashingTF(inputCol=tokens, outputCol=tf_col, numFeatures=num_features)
-    tf = htf.transform(docs)
-    fit_on = htf.transform(fit_docs) if fit_docs is not None else tf
+    words = F.coalesce(tokens, F.array().cast("array<string>"))  # null tokens are none
+    tf = htf.transform(docs.withColumn(tokens, words))
+    fit_on = htf.transform(fit_docs.withColumn(tokens, words)) if fit_docs is not None else tf
     model = IDF(inputCol=tf_col, outputCol=out).fit(fit_on)
     return model.transform(tf)

@@ -9,23 +9,21 @@ from kestrel.operators import evaluation as E
 from kestrel.operators import models as M
 from kestrel.plans.catalog import register
 from kestrel.plans.q_evaluation import model_comparison_table
-from kestrel.plans.q_models import (FOREST, KMEANS_K, KMEANS_SEED, TREE_SQL, TREE_SEED,
-                                    clean_labelled_tokens, hashed_rows, overfit_predictions,
-                                    text_features, tree_predictions)
+from kestrel.plans.q_models import (FOREST, KMEANS_K, KMEANS_SEED, TREE_SQL, TREE_SEED, hashed_rows,
+                                    overfit_predictions, text_features, tree_predictions)
 
 
 @register("sentiment_pipeline")
 def sentiment_pipeline(spark, sf_dir):
     """Q2: dedupe -> clean -> TF-IDF -> split -> LR, NB, DT, RF -> one metrics pass.
 
-    The cleaned tokens are checkpointed once and hashed to 2^18 features; all four models'
+    The tokens are cleaned and hashed to 2^18 features once; all four models'
     test predictions are stacked and scored by a single aggregation.
     """
-    clean = clean_labelled_tokens(spark, sf_dir)
-    feats = text_features(spark, sf_dir, clean=clean)
+    feats = text_features(spark, sf_dir)
     train, test = (feats.where(F.col("split") == s) for s in ("train", "test"))
     preds = [M.fit_predict(name, train, test, ["doc_id"], seed=TREE_SEED) for name in ("lr", "nb")]
-    rows = hashed_rows(clean)
+    rows = hashed_rows(feats)
     preds += [tree_predictions("dt", rows), tree_predictions("rf", rows, **FOREST)]
     stacked = preds[0]
     for p in preds[1:]:

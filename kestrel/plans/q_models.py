@@ -25,13 +25,27 @@ TREE_SEED = 42
 KMEANS_K, KMEANS_SEED = 4, 13
 HASHED_FEATURES = 1 << 18  # the Spark ML default
 TREE_DEPTH, FOREST_TREES = 5, 20
+BROADCAST_ROWS = 100_000  # keys of texts that are broadcast (counted)
 FOREST_SUBSET = HASHED_FEATURES ** -0.5  # the square root of the features at each node
 
 
 def labelled_docs(spark, sf_dir):
-    """A3 on (text, label), keeping the smallest doc_id as the row key."""
-    d = T.labelled_text(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
-    return d.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id"))
+    """A3 on (text, label), keeping the smallest doc_id as the row key.
+
+    Equal texts are found by their SHA-256, so no task holds a table of texts; the texts of
+    the rows that stay stream past a small table of their keys."""
+    digest = F.coalesce(F.sha2("text", 256), F.lit("")).alias("_digest")
+    docs = T.documents(spark, sf_dir).select("doc_id", "text")
+    labels = T.load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    firsts = M.materialize(docs.select("doc_id", digest).join(labels, "doc_id")
+                           .groupBy("_digest", "label").agg(F.min("doc_id").alias("doc_id")))
+    on = ["doc_id"]
+    if V.has_repeats(docs, "doc_id"):  # rows that come twice, or texts that share a key
+        on = ["doc_id", "_digest"]
+        docs = docs.select("*", digest).dropDuplicates(on)
+    kept = firsts.select(*on, "label")
+    kept = F.broadcast(kept) if firsts.count() <= BROADCAST_ROWS else kept.hint("shuffle_hash")
+    return docs.join(kept, on).select("text", "label", "doc_id")
 
 
 def clean_labelled_tokens(spark, sf_dir):
@@ -56,8 +70,7 @@ def labelled_terms(spark, sf_dir):
     docs = labelled_docs(spark, sf_dir)
     toks = docs.select("doc_id", "label", X.letter_tokens("text").alias("tokens"))
     toks = M.materialize(random_split(toks, "doc_id", 0.8, SPLIT_SEED))
-    terms = toks.select("doc_id", "label", "split", F.explode("tokens").alias("term")) \
-                .groupBy("doc_id", "label", "split", "term").agg(F.count(F.lit(1)).alias("n"))
+    terms = V.term_counts(toks, ["doc_id", "label", "split"]).withColumnRenamed("tf", "n")
     return toks.select("doc_id", "label", "split"), M.materialize(terms)
 
 
@@ -175,14 +188,12 @@ def naive_bayes_presence(spark, sf_dir):
     return NB.naive_bayes_scores(terms, docs, "bernoulli").drop("score")
 
 
-def hashed_rows(clean):
-    """(key, label, train, features) for the trees: the hashed TF-IDF (V1, V2) of cleaned
-    tokens as an array of (f, v), all 2^18 features, checkpointed."""
-    weights = V.hashed_weights(clean, "doc_id", "clean_tokens", HASHED_FEATURES)
-    features = weights.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("bucket").alias("f"), F.col("weight").alias("v")))
-                                             .cast(TR.FEATURES).alias("features"))
-    rows = clean.select("doc_id", F.col("label").cast("int").alias("label"), (F.col("split") == "train").alias("train"))
-    return M.materialize(rows.join(features, "doc_id", "left").withColumnRenamed("doc_id", "key"))
+def hashed_rows(feats):
+    """(key, label, train, features) for the trees: the hashed TF-IDF (V1, V2) of
+    ``text_features`` as an array of (f, v), all 2^18 features, checkpointed."""
+    return M.materialize(feats.select(
+        F.col("doc_id").alias("key"), F.col("label").cast("int").alias("label"), (F.col("split") == "train").alias("train"),
+        V.vector_entries("features", "f", "v", TR.FEATURES).alias("features")))
 
 
 def tree_predictions(name, rows, **options):
@@ -198,13 +209,13 @@ FOREST = dict(trees=FOREST_TREES, bootstrap=True, subset=FOREST_SUBSET)
 @register("decision_tree")
 def decision_tree(spark, sf_dir):
     """K4: exact depth-5 tree on all 2^18 hashed features."""
-    return tree_predictions("dt", hashed_rows(clean_labelled_tokens(spark, sf_dir)))
+    return tree_predictions("dt", hashed_rows(text_features(spark, sf_dir)))
 
 
 @register("random_forest")
 def random_forest(spark, sf_dir):
     """K5: 20 exact trees of depth 5 on all 2^18 hashed features, seeded."""
-    return tree_predictions("rf", hashed_rows(clean_labelled_tokens(spark, sf_dir)), **FOREST)
+    return tree_predictions("rf", hashed_rows(text_features(spark, sf_dir)), **FOREST)
 
 
 @register("predict_proba", nb_sql(NB_BERNOULLI_SQL, f"doc_id, round({_POSTERIOR}, 6) AS score"))
