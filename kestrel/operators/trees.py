@@ -25,12 +25,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.features import has_repeats
 from kestrel.session import materialize
 
 FEATURES = "array<struct<f:int,v:double>>"
 TASK_ENTRIES = 4_000_000   # (row, feature) entries that a task may hold
 LARGE = 65_536             # distinct values from which a feature is summed in ranges
 BROADCAST_ROWS = 100_000   # splits of a level that are broadcast (counted)
+WALK = 8                   # levels that rows walk again before their nodes are written
+DRAWN = 4_000_000          # features of nodes that are broadcast
 MARGIN = 1e-9              # a split must lower the impurity by more than rounding does
 
 # Poisson(1) distribution function: how often a row is drawn into a tree's sample.
@@ -119,7 +122,7 @@ def finish_subtree(node: int, label: np.ndarray, weight: np.ndarray, row: np.nda
 
 
 def _finish(some: DataFrame, levels: int, kind: str) -> DataFrame:
-    """(key, tree, node) of rows whose subtrees are finished in a task each."""
+    """(key, tree, node, w) of rows whose subtrees are finished in a task each."""
 
     def run(keys, d: pd.DataFrame) -> pd.DataFrame:
         lens = d["fs"].map(len).to_numpy()
@@ -128,10 +131,10 @@ def _finish(some: DataFrame, levels: int, kind: str) -> DataFrame:
         depth = int(keys[1]).bit_length() - 1
         nodes = finish_subtree(int(keys[1]), d["label"].to_numpy(), d["w"].to_numpy(np.float64),
                                np.repeat(np.arange(len(d)), lens), *flat, levels - depth)
-        return pd.DataFrame({"key": d["key"], "tree": d["tree"], "node": nodes})
+        return pd.DataFrame({"key": d["key"], "tree": d["tree"], "node": nodes, "w": d["w"]})
 
     return some.select("key", "tree", "node", "label", "w", F.col("features.f").alias("fs"), F.col("features.v").alias("vs")) \
-               .groupBy("tree", "node").applyInPandas(run, f"key {kind}, tree int, node long")
+               .groupBy("tree", "node").applyInPandas(run, f"key {kind}, tree int, node long, w int")
 
 
 def _ranges(rows: DataFrame) -> DataFrame | None:
@@ -191,7 +194,7 @@ def grow(rows: DataFrame, max_depth: int, trees: int = 1, bootstrap: bool = Fals
          seed: int = 0, task_entries: int = TASK_ENTRIES) -> DataFrame:
     """(key, tree, node, w): the leaf of every row in every tree, and its weight there.
 
-    ``rows`` is a checkpoint of (key, label, train, features): a unique key, a label 0 or 1,
+    ``rows`` is a checkpoint of (key, label, train, features): a key (unique, or slower), a label 0 or 1,
     whether the row is learnt from, and an array of (f, v). With ``bootstrap`` a row counts
     Poisson(1) times in a tree; with ``subset`` a node looks at that share of the features.
     Both are hashes of (seed, tree, row or node and feature). Null features are none, rows
@@ -203,49 +206,109 @@ def grow(rows: DataFrame, max_depth: int, trees: int = 1, bootstrap: bool = Fals
     kind = rows.schema["key"].dataType.simpleString()
     learn = F.col("train") & F.col("label").isNotNull()
     draws = _draws(_uniform(seed, "tree", "key")) if bootstrap else F.lit(1)
-    state = materialize(rows.select(
-        "key", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(1).cast("long").alias("node"),
-        learn.alias("learn")).select("key", "tree", "node", F.when(F.col("learn"), draws).otherwise(0).alias("w")))
-    data = rows.select("key", (F.col("label") != 0).cast("int").alias("label"),
+    data = rows.select("key", (F.col("label") != 0).cast("int").alias("label"), learn.alias("learn"),
                        F.coalesce("features", F.array().cast(FEATURES)).alias("features"))
+    start = data.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")) \
+        .withColumn("w", F.when(F.col("learn"), draws).otherwise(0)).withColumn("node", F.lit(1).cast("long")).drop("learn")
     in_task = task_entries if subset >= 1 else -1  # subsets of features are drawn in columns only
     cuts = _ranges(data) if _entries(data) > in_task else None
+    names = materialize(data.select(F.explode("features.f").alias("f")).distinct()) if subset < 1 else None
     node = ["tree", "node"]
-    ended = []
+    at, steps = start, 0
+    finished, closed, n_closed, ended = [], [], 0, []
+    # Rows that share a key meet at every level, so each level is written and joined by key.
+    state = start.select("key", "tree", "node", "w") if has_repeats(rows, "key") else None
+    if state is not None:
+        at = data.join(state, "key")
     for depth in range(max_depth + 1):
-        joined = data.join(state, "key")
+        # Rows of nodes that ended above keep the lower number of their leaf.
+        here = at.where(F.col("node") >= 1 << depth)
         ones = F.coalesce(F.col("w") * F.col("label"), F.lit(0))
-        totals = materialize(joined.groupBy(*node).agg(
+        totals = materialize(here.groupBy(*node).agg(
             F.sum(F.col("w") - ones).alias("n0"), F.sum(ones).alias("n1"), F.sum(F.size("features")).alias("entries")))
         # Nodes of one class, and all nodes at the last level, are leaves.
         mixed = totals.where("n0 > 0 and n1 > 0") if depth < max_depth else totals.limit(0)
         small, large = mixed.where(F.col("entries") <= in_task), mixed.where(F.col("entries") > in_task).drop("entries")
         n_small, n_large = mixed.agg(F.count_if(F.col("entries") <= in_task),
                                      F.count_if(F.col("entries") > in_task)).first()
-        ended.append(state.join(_few(mixed.select(*node), n_small + n_large), node, "left_anti").select("key", *node))
+        if state is not None:
+            ended.append(state.join(_few(mixed.select(*node), n_small + n_large), node, "left_anti"))
         if n_small:
-            ended.append(materialize(_finish(joined.join(_few(small.select(*node), n_small), node), max_depth, kind)))
+            finished.append(materialize(_finish(here.join(_few(small.select(*node), n_small), node), max_depth, kind)))
+            closed.append(small.select(*node))
+            n_closed += n_small
         if not n_large:
             break
-        joined = joined.join(_few(large.select(*node), n_large), node)
-        chosen = F.col("features")
+        learnt = here.where("w > 0").join(_few(large.select(*node), n_large), node)
         if subset < 1:
-            chosen = F.filter(chosen, lambda e: _uniform(seed, "tree", "node", e["f"]) < subset)
-        counts = joined.where("w > 0").select(*node, "label", "w", F.explode(chosen).alias("e")) \
-            .groupBy(*node, F.col("e.f").alias("f"), F.col("e.v").alias("v")) \
+            chosen = _chosen(learnt, large, n_large, names, subset, seed)
+        else:
+            chosen = learnt.select(*node, "label", "w", F.explode("features").alias("e")) \
+                .select(*node, "label", "w", "e.f", "e.v")
+        counts = chosen.groupBy(*node, "f", "v") \
             .agg(F.sum(F.col("w") * (1 - F.col("label"))).alias("s0"), F.sum(F.col("w") * F.col("label")).alias("s1"))
         splits = materialize(best_splits(materialize(counts), large, cuts))
         n_splits = splits.count()
-        ended.append(state.join(_few(large.select(*node), n_large), node, "left_semi")
-                          .join(_few(splits, n_splits), node, "left_anti").select("key", *node))
-        value = F.coalesce(F.get(F.filter("features", lambda e: e["f"] == F.col("f")), F.lit(0))["v"], F.lit(0.0))
-        state = materialize(joined.join(_few(splits, n_splits), node)
-                            .select("key", "tree", (F.col("node") * 2 + (value > F.col("cut")).cast("long")).alias("node"), "w"))
-    done = ended[0]
-    for part in ended[1:]:
+        at, steps = _step(at, splits, n_splits), steps + 1
+        if state is not None:
+            ended.append(state.join(_few(large.select(*node), n_large), node, "left_semi")
+                              .join(_few(splits, n_splits), node, "left_anti"))
+            state = materialize(at.where(F.col("node") >= 2 << depth).select("key", "tree", "node", "w"))
+            at = data.join(state, "key")
+        elif n_splits > BROADCAST_ROWS or steps == WALK:  # long walks go on from where they are
+            reached = materialize(at.select("key", "tree", "node"))
+            at, steps = start.drop("node").join(reached, ["key", "tree"]), 0
+    if state is not None:
+        done = ended[0]
+        for part in ended[1:]:
+            done = done.unionByName(part)
+        for part in finished:
+            done = done.unionByName(part)
+        done = done.drop("w").join(data.select("key", "learn"), "key")
+        return materialize(done.select("key", "tree", "node", F.when(F.col("learn"), draws).otherwise(0).alias("w")))
+    done = at.select("key", "tree", "node", "w")
+    if closed:
+        ends = closed[0]
+        for part in closed[1:]:
+            ends = ends.unionByName(part)
+        done = done.join(_few(ends, n_closed), node, "left_anti").select("key", "tree", "node", "w")
+    for part in finished:
         done = done.unionByName(part)
-    weights = rows.select("key", learn.alias("learn"))
-    return done.join(weights, "key").withColumn("w", F.when(F.col("learn"), draws).otherwise(0)).drop("learn")
+    return materialize(done)
+
+
+def _value(f: Column) -> Column:
+    """The row's value of the feature ``f``."""
+    place = F.array_position("features.f", f).cast("int") - 1
+    return F.coalesce(F.get("features.v", place), F.lit(0.0))
+
+
+def _step(at: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
+    """``at`` one level down. Where the splits are few they are broadcast, so rows find their
+    way through all levels in the task that reads them."""
+    on = splits.select("tree", "node", F.col("f").alias("_f"), F.col("cut").alias("_cut"))
+    below = F.when(F.col("_f").isNull(), F.col("node")).otherwise(
+        F.col("node") * 2 + (_value(F.col("_f")) > F.col("_cut")).cast("long"))
+    return at.join(_few(on, n_splits), ["tree", "node"], "left") \
+             .select("key", "label", "features", "tree", "w", below.alias("node"))
+
+
+def _chosen(learnt: DataFrame, nodes: DataFrame, n_nodes: int, names: DataFrame, subset: float, seed: int) -> DataFrame:
+    """(tree, node, label, w, f, v): entries of the features that the nodes look at.
+
+    A node's features are drawn once among all ``names`` and broadcast where that is at most
+    ``DRAWN`` numbers; beyond that each row draws for its own entries."""
+    node, drawn = ["tree", "node"], F.lit(subset)
+    if n_nodes <= BROADCAST_ROWS // 100 and names.count() * n_nodes * subset <= DRAWN:
+        each = F.array(*[F.struct(F.lit(r.tree).alias("tree"), F.lit(r.node).cast("long").alias("node"))
+                         for r in nodes.select(*node).collect()])
+        picks = names.select("f", F.explode(each).alias("n")).select("n.*", "f") \
+            .where(_uniform(seed, "tree", "node", "f") < drawn).groupBy(*node).agg(F.collect_list("f").alias("_fs"))
+        both = learnt.join(F.broadcast(materialize(picks)), node) \
+            .select(*node, "label", "w", "features", F.explode_outer(F.array_intersect("features.f", "_fs")).alias("f"))
+        return both.where("f is not null").select(*node, "label", "w", "f", _value(F.col("f")).alias("v"))
+    chosen = F.filter("features", lambda e: _uniform(seed, "tree", "node", e["f"]) < drawn)
+    return learnt.select(*node, "label", "w", F.explode(chosen).alias("e")).select(*node, "label", "w", "e.f", "e.v")
 
 
 def _entries(data: DataFrame) -> int:

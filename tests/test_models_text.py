@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import features as V
 from kestrel.operators import models as M
+from kestrel.operators import trees as TR
+from kestrel.plans import q_models as Q
 
 
 def test_logistic_regression_after_an_observation(spark):
@@ -41,3 +43,38 @@ def test_hashed_weights_shuffle_no_posting(spark):
     d = spark.createDataFrame([(i, ["a", f"w{i}"]) for i in range(50)], "doc_id long, tokens array<string>")
     got = V.hashed_weights(d)
     assert shuffles(got) == 0 and got.count() == 100
+
+
+def test_equal_texts_are_found_without_a_table_of_texts(spark, tmp_dir):
+    texts = [(5, "a b"), (2, "a b"), (9, None), (7, None), (3, "c"), (3, "c"), (4, "c"), (8, "no label")]
+    labels = [(5, 1), (2, 1), (9, 0), (7, 0), (3, 1), (4, 0), (3, 1)]
+    d = spark.createDataFrame(texts, "doc_id long, text string")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
+    d.write.parquet(f"{tmp_dir}/documents.parquet")
+    got = Q.labelled_docs(spark, tmp_dir)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [("a b", 1, 2), (None, 0, 7), ("c", 1, 3), ("c", 0, 4)], key=str)
+    d.distinct().write.parquet(f"{tmp_dir}/once/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_dir}/once/labels.parquet")
+    once = Q.labelled_docs(spark, f"{tmp_dir}/once")
+    assert sorted(map(str, once.collect())) == sorted(map(str, got.collect()))
+    assert "Aggregate" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_levels_of_trees_shuffle_no_rows_by_key(spark, monkeypatch):
+    rows = [(i, i % 2, i % 5 > 0, [(0, float(i % 2)), (1 + i % 3, 1.0 + i % 4)]) for i in range(60)]
+    d = spark.createDataFrame(rows, f"key long, label int, train boolean, features {TR.FEATURES}").cache()
+    plans, write = [], TR.materialize
+
+    def written(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    options = dict(trees=3, bootstrap=True, subset=0.7)
+    monkeypatch.setattr(TR, "materialize", written)
+    leaves = sorted(TR.grow(d, 3, **options).collect())
+    assert len(leaves) == 180 and not any("hashpartitioning(key" in p for p in plans)
+    monkeypatch.setattr(TR, "materialize", write)
+    monkeypatch.setattr(TR, "WALK", 1)   # written at every level
+    monkeypatch.setattr(TR, "DRAWN", 0)  # features drawn row by row
+    assert sorted(TR.grow(d, 3, **options).collect()) == leaves
