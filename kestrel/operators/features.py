@@ -64,14 +64,15 @@ def join_term_stats(tf: DataFrame, stats: DataFrame, hot_terms: int = HOT_TERMS)
     Terms in more than 1 / ``hot_terms`` of all postings are joined by broadcast: there are
     at most ``hot_terms`` of them, since their document frequencies sum up to the postings.
     Every other term is in so few documents that its rows fit in a task of the shuffled
-    join. ``stats`` is read three times: pass a checkpoint.
+    join. There a task holds its share of the statistics, a row a term, and the postings
+    stream past it unsorted. ``stats`` is read three times: pass a checkpoint.
     """
     postings = stats.agg(F.sum("df")).first()[0] or 0
     limit = postings / hot_terms
     hot = F.broadcast(stats.where(F.col("df") > limit))
     often = tf.join(hot, "term")
     seldom = tf.join(F.broadcast(stats.where(F.col("df") > limit).select("term")), "term", "left_anti") \
-               .join(stats.where(F.col("df") <= limit), "term")
+               .join(stats.where(F.col("df") <= limit).hint("shuffle_hash"), "term")
     return often.unionByName(seldom)
 
 

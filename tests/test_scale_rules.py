@@ -60,3 +60,18 @@ def test_closed_form_aucs_equal_ranked_ones(spark):
     closed = {r.model: r.auc for r in E.auc_hard_label(d, ["model"]).collect()}
     assert closed["a"] == pytest.approx(ranked["a"]) and closed["b"] is None and ranked["b"] is None
     assert {r.model: r.auc for r in E.auc_constant(d, ["model"]).collect()} == {"a": 0.5, "b": None}
+
+
+def test_term_statistics_are_joined_without_sorting_postings(spark):
+    tf = spark.sql("SELECT id AS doc_id, concat('t', id % 7) AS term, id AS tf FROM range(70)")
+    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = V.join_term_stats(tf, stats, hot_terms=1)  # no term is hot
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted((r.doc_id, r.term, r.tf, r.df) for r in found.collect()) == \
+            [(i, f"t{i % 7}", i, 10) for i in range(70)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
