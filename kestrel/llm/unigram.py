@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 DISABLED = -1e8         # pieces with scores as low as this are in no best segmentation
 UNKNOWN_PENALTY = 10.0  # below the least score, as SentencePiece has it
-WORD_CACHE = 250_000    # distinct words a worker remembers; only saves time
+WORD_CACHE = 400_000    # distinct words a worker remembers; only saves time
 SLICE = 1 << 20         # characters encoded together
 
 
@@ -137,25 +138,38 @@ def log_scores(scores: list[float], kinds: list[str]) -> list[float]:
 def segment(model: Model, words: list[str], block: int = 16_384) -> list[np.ndarray]:
     """Piece ids of each word (a string that already has its ``▁``), best score first; of
     equal scores the segmentation whose last piece is longest wins."""
+    order, ids, counts = _segment_all(model, words, block)
+    out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+    for i, end, n in zip(order.tolist(), np.cumsum(counts).tolist(), counts.tolist()):
+        out[i] = ids[end - n:end]
+    return out
+
+
+def _segment_all(model: Model, words: list[str], block: int = 16_384) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the words by falling length, their piece ids one after another in that
+    order, and the number of ids of each."""
     raw = [w.encode("utf-8", "replace") for w in words]
-    order = sorted(range(len(raw)), key=lambda i: -len(raw[i]))
-    out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(raw)
+    lens = np.fromiter(map(len, raw), np.int64, len(raw))
+    order = np.argsort(-lens, kind="stable")
+    found, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     at = 0
     while at < len(order):  # words of about the same length; one very long word alone
-        longest = max(1, len(raw[order[at]]))
+        longest = max(1, int(lens[order[at]]))
         take = order[at:at + max(1, min(block, block * 32 // longest))]
-        for i, ids in zip(take, _segment_block(model, [raw[i] for i in take])):
-            out[i] = ids
+        ids, n = _segment_block(model, [raw[i] for i in take.tolist()])
+        found.append(ids)
+        counts.append(n)
         at += len(take)
-    return out
+    return order, np.concatenate(found), np.concatenate(counts)
 
 
-def _segment_block(model: Model, raw: list[bytes]) -> list[np.ndarray]:
-    """Words in the order of falling length: row p of every table is byte position p."""
+def _segment_block(model: Model, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words and how many each has. The words come in the order of falling
+    length: row p of every table is byte position p."""
     count, lens = len(raw), np.array([len(r) for r in raw])
     top = int(lens[0])
     if not top:
-        return [np.zeros(0, np.int32)] * count
+        return np.zeros(0, np.int32), np.zeros(count, np.int64)
     text = np.frombuffer(b"".join(r.ljust(top, b"\0") for r in raw), np.uint8) \
              .reshape(count, top).T.astype(np.int32)
     best = np.full((top + 1, count), -np.inf)
@@ -227,7 +241,7 @@ def _segment_block(model: Model, raw: list[bytes]) -> list[np.ndarray]:
         step += 1
     w, p, s = np.concatenate(words_of), np.concatenate(ids_of), np.concatenate(step_of)
     by = np.lexsort((-s, w))
-    return np.split(p[by].astype(np.int32), np.cumsum(np.bincount(w, minlength=count))[:-1])
+    return p[by].astype(np.int32), np.bincount(w, minlength=count)
 
 
 def marked_words(text: str) -> list[str]:
@@ -249,24 +263,106 @@ def marked_words(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes batches; a bounded memo spares repeated words the recursion."""
+    """Encodes batches; a bounded memo spares repeated words the recursion, the count of
+    their byte pieces and the test whether they decode to themselves."""
 
     def __init__(self, model: Model):
-        self.model, self.memo = model, {}
+        self.model = model
+        self.spoken = np.array([p.replace(MARK, " ") for p in model.pieces], dtype=object)
+        self.raw = np.array([bytes([model.byte_of[i]]) if i in model.byte_of else p.encode("utf-8", "surrogatepass")
+                             for i, p in enumerate(self.spoken)], dtype=object)
+        self.size = np.array([len(r) for r in self.raw], np.int64)
+        self.is_byte = np.zeros(len(model.pieces), bool)
+        self.is_byte[model.byte_id[model.byte_id >= 0]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """``memo`` numbers the words: word i has the ``count[i]`` ids before ``end[i]``."""
+        self.memo: dict[str, int] = {}
+        self.ids = np.zeros(0, np.int32)
+        self.end, self.count, self.n_bytes = (np.zeros(0, np.int64) for _ in range(3))
+        self.exact = np.zeros(0, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        order, ids, count = _segment_all(self.model, words)
+        words = [words[i] for i in order.tolist()]
+        end = np.cumsum(count)
+        n_bytes = np.diff(np.concatenate([[0], np.cumsum(self.is_byte[ids])])[np.concatenate([[0], end])])
+        said = [w.replace(MARK, " ") for w in words]
+        exact = self._decode_to(said, ids, end, count, n_bytes)
+        self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words))))
+        self.end = np.concatenate([self.end, end + len(self.ids)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.count = np.concatenate([self.count, count])
+        self.n_bytes = np.concatenate([self.n_bytes, n_bytes])
+        self.exact = np.concatenate([self.exact, exact])
+
+    def _decode_to(self, said: list[str], ids: np.ndarray, end: np.ndarray, count: np.ndarray,
+                   n_bytes: np.ndarray) -> np.ndarray:
+        """Whether the ids of each word decode to it. All words are decoded at once, as bytes:
+        they do if all together give all words and each has its word's length."""
+        want = [w.encode("utf-8", "surrogatepass") for w in said]
+        size = np.concatenate([[0], np.cumsum(self.size[ids])])
+        exact = size[end] - size[end - count] == np.fromiter(map(len, want), np.int64, len(want))
+        if not exact.all() or b"".join(self.raw[ids]) != b"".join(want):
+            exact[:] = [self.decodes_to(ids[e - n:e], b, w[1:])
+                        for e, n, b, w in zip(end.tolist(), count.tolist(), n_bytes.tolist(), said)]
+        return exact
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        model, memo = self.model, self.memo
-        if not model.separable:
-            return segment(model, [MARK + t.replace(" ", MARK) if t else "" for t in texts])
+        return self.encode_and_check(texts)[0]
+
+    def encode_and_check(self, texts: list[str]) -> tuple[list[np.ndarray], list[int], list[bool]]:
+        """Piece ids of each text, the number of byte pieces among them, and whether they
+        decode to the text."""
+        if not self.model.separable:
+            found = segment(self.model, [MARK + t.replace(" ", MARK) if t else "" for t in texts])
+            n_bytes = [int(self.is_byte[i].sum()) for i in found]
+            return found, n_bytes, [self.decodes_to(i, n, t) for i, n, t in zip(found, n_bytes, texts)]
         split = [marked_words(t) for t in texts]
-        new = {w for words in split for w in words if w not in memo}
-        if len(memo) + len(new) > WORD_CACHE:
-            memo.clear()
-            new = {w for words in split for w in words}
-        fresh = sorted(new)
-        memo.update(zip(fresh, segment(model, fresh)))
-        empty = np.zeros(0, np.int32)
-        return [np.concatenate([memo[w] for w in words]) if words else empty for words in split]
+        words = list(chain.from_iterable(split))
+        different = set(words)
+        new = different.difference(self.memo)
+        if len(self.memo) + len(new) > WORD_CACHE:
+            self._forget()
+            new = different
+        if new:
+            self._learn(list(new))
+        word = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        count = self.count[word]
+        behind = np.cumsum(count)
+        total = int(behind[-1]) if len(word) else 0
+        ids = self.ids[np.repeat(self.end[word] - behind, count) + np.arange(total)]
+        last = np.cumsum([len(w) for w in split])  # of each text's words
+        first = last - [len(w) for w in split]
+
+        def sums(of_word: np.ndarray) -> np.ndarray:
+            before = np.concatenate([[0], np.cumsum(of_word)])
+            return before[last] - before[first]
+
+        n_tokens, n_bytes, odd = sums(count), sums(self.n_bytes[word]).tolist(), sums(~self.exact[word])
+        ends = np.cumsum(n_tokens)
+        found = [ids[e - n:e] for e, n in zip(ends.tolist(), n_tokens.tolist())]
+        # Words that decode to themselves make a text that does, but for its own marks.
+        exact = [MARK not in t if not o else self.decodes_to(i, n, t)
+                 for i, n, o, t in zip(found, n_bytes, odd.tolist(), texts)]
+        return found, n_bytes, exact
+
+    def decodes_to(self, ids: np.ndarray, n_bytes: int, text: str) -> bool:
+        if n_bytes:
+            at = np.flatnonzero(self.is_byte[ids])
+            out, last = [], 0
+            # joins the plain stretches at once; only byte runs go through ``decode``
+            for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+                out.append("".join(self.spoken[ids[last:run[0]]]))
+                out.append(bytes(self.model.byte_of[int(i)] for i in ids[run[0]:run[-1] + 1])
+                           .decode("utf-8", "replace"))
+                last = run[-1] + 1
+            out.append("".join(self.spoken[ids[last:]]))
+            got = "".join(out)
+        else:
+            got = "".join(self.spoken[ids])
+        return (got[1:] if got.startswith(" ") else got) == text
 
 
 def decode(model: Model, ids) -> str:
@@ -304,16 +400,9 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     shared = _shared(docs.sparkSession, model_path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        encoder = Encoder(model)
-        pieces = np.array([p.replace(MARK, " ") for p in model.pieces], dtype=object)
-        is_byte = np.zeros(len(model.pieces), bool)
-        is_byte[model.byte_id[model.byte_id >= 0]] = True
+        encoder = Encoder(shared.value)
         for doc_ids, texts in _slices(batches):
-            ids = encoder.encode(texts)
-            n_bytes = [int(is_byte[i].sum()) for i in ids]
-            exact = [_decodes_to(model, pieces, is_byte, i, n, t)
-                     for i, n, t in zip(ids, n_bytes, texts)]
+            ids, n_bytes, exact = encoder.encode_and_check(texts)
             yield pd.DataFrame({"doc_id": doc_ids, "ids": ids,
                                 "n_tokens": [len(i) for i in ids], "n_bytes": n_bytes,
                                 "exact": exact})
@@ -340,23 +429,6 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]
             yield ids, texts
 
 
-def _decodes_to(model, pieces, is_byte, ids, n_bytes, text) -> bool:
-    if n_bytes:
-        at = np.flatnonzero(is_byte[ids])
-        out, last = [], 0
-        # joins the plain stretches at once; only byte runs go through ``decode``
-        for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
-            out.append("".join(pieces[ids[last:run[0]]]))
-            out.append(bytes(model.byte_of[int(i)] for i in ids[run[0]:run[-1] + 1])
-                       .decode("utf-8", "replace"))
-            last = run[-1] + 1
-        out.append("".join(pieces[ids[last:]]))
-        got = "".join(out)
-    else:
-        got = "".join(pieces[ids])
-    return (got[1:] if got.startswith(" ") else got) == text
-
-
 def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id and the text of its ``ids``; null ids give a null text."""
     shared = _shared(encoded.sparkSession, model_path)

@@ -262,6 +262,28 @@ def test_memo_and_slices_change_nothing(model, monkeypatch):
     assert [list(e.encode([t])[0]) for t in texts] == want
 
 
+def test_words_are_checked_once(model, monkeypatch):
+    """Counts and checks of remembered words give those of whole texts; no text is decoded."""
+    texts = ["", "one two one", "日本語 𓀀 one", "a▁b", " ▁ two  ", "𓀀" * 3 + " 𓀀", "x\ty\nz", "two"] * 2
+    whole = [(list(i), len(set(np.flatnonzero(np.isin(i, model.byte_id)))), U.decode(model, i) == t)
+             for t in texts for i in U.Encoder(model).encode([t])]
+    e = U.Encoder(model)
+    monkeypatch.setattr(e, "decodes_to", None)  # called for words that don't decode to themselves
+    ids, n_bytes, exact = e.encode_and_check(texts)
+    assert [(list(i), n, x) for i, n, x in zip(ids, n_bytes, exact)] == whole
+    assert [x for x, t in zip(exact, texts) if "▁" in t] == [False] * 4 and sum(exact) == 12
+    assert len(e.memo) == len(e.exact) == len({w for t in texts for w in U.marked_words(t)})
+
+
+def test_words_that_do_not_decode_to_themselves(model):
+    e = U.Encoder(model)
+    e.raw[:], e.size[:] = b"", 0  # no word passes the check of all words together
+    texts = ["one 𓀀 two", "a▁b", "", "naïve"]
+    assert e.encode_and_check(texts)[2] == [True, False, True, True]
+    lone = U.Encoder(model)
+    assert lone.encode_and_check(["a \ud800", "b"])[2] == [False, True]
+
+
 def test_double_array_walk(model):
     trie = model.trie
     for i in random.Random(1).sample(range(300, 32000), 300):
