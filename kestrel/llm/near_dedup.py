@@ -28,7 +28,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import compact, counted, drop_rows, merged, salted_join, text_digest
+from kestrel.llm.common import (compact, drop_rows, merged, rewritten, salted_join,
+                                text_digest)
+from kestrel.session import remove_tree, scratch_path
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -195,22 +197,25 @@ def _slim(df: DataFrame, *rows: int) -> DataFrame:
     return df.coalesce(1) if max(rows) <= SLIM_ROWS else df
 
 
-def components(labels: DataFrame, links: DataFrame, nodes: int) -> DataFrame:
+def components(labels: DataFrame, links: DataFrame, nodes: int, folder: str | None = None
+               ) -> DataFrame:
     """(node, comp) of the ``nodes`` rows of ``labels`` after the links (a, b) between nodes:
     every node takes the least comp of itself and its neighbours, then the comp of that
-    node, until nothing changes. Hubs pre-aggregate; chains shorten by half in every round."""
-    both, ways, _ = counted(links.union(links.select("b", "a")).toDF("a", "b").distinct(),
-                             None, SLIM_ROWS)
+    node, until nothing changes. Hubs pre-aggregate; chains shorten by half in every round.
+    The result stands under ``folder`` (default: one that is removed when the driver ends)."""
+    folder = folder or scratch_path(labels.sparkSession, "components")
+    both, ways, _ = rewritten(links.union(links.select("b", "a")).toDF("a", "b").distinct(),
+                              folder, None, SLIM_ROWS)
     while True:
         near = _slim(merged(both, labels.select(F.col("node").alias("b"), "comp"), "b")
                      .groupBy("a").agg(F.min("comp").alias("least")), nodes, ways)
         hooked = _slim(merged(labels, near.withColumnRenamed("a", "node"), "node", "left")
                        .select("node", "comp", F.least("comp", "least").alias("to")), nodes, ways)
         ends = hooked.select(F.col("node").alias("to"), F.col("to").alias("end"))
-        jumped, _, moved = counted(merged(hooked, ends, "to")
-                                   .select("node", F.least("to", "end").alias("comp"),
-                                           (F.least("to", "end") != F.col("comp")).alias("moved")),
-                                   "moved", SLIM_ROWS)
+        jumped, _, moved = rewritten(merged(hooked, ends, "to")
+                                     .select("node", F.least("to", "end").alias("comp"),
+                                             (F.least("to", "end") != F.col("comp")).alias("moved")),
+                                     folder, "moved", SLIM_ROWS)
         labels = jumped.select("node", "comp")
         if not moved:
             return labels
@@ -253,10 +258,18 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
     elements). Each round takes leaders from every open bucket. The first round settles
     nearly everything; the nodes of the buckets that are still open then are dealt anew by
     their rarest elements, which no similar pair can miss."""
-    comps, nodes, _ = counted(sets.select("node", F.col("node").alias("comp")), None, SLIM_ROWS)
-    rows, count, _ = counted(merged(buckets, sets.select("node", "n"), "node")
-                             .select("key", "node", "n", F.lit(1).alias("at"),
-                                     F.lit(True).alias("leads")), None, SLIM_ROWS)
+    folder = scratch_path(sets.sparkSession, "near-dedup")  # of the tables of all rounds
+    comps = compact(_linked(buckets, sets, similarity, folder), SLIM_ROWS)
+    remove_tree(sets.sparkSession, folder)
+    return comps
+
+
+def _linked(buckets: DataFrame, sets: DataFrame, similarity: float, folder: str) -> DataFrame:
+    comps, nodes, _ = rewritten(sets.select("node", F.col("node").alias("comp")), folder, None,
+                                SLIM_ROWS)
+    rows, count, _ = rewritten(merged(buckets, sets.select("node", "n"), "node")
+                               .select("key", "node", "n", F.lit(1).alias("at"),
+                                       F.lit(True).alias("leads")), folder, None, SLIM_ROWS)
     leaders, round_ = 1, 1
     while True:
         # A row that has led was compared with all others of its bucket and is out of it.
@@ -264,13 +277,14 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
         open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                        F.bool_or("leads").alias("any")) \
                    .where("lo <> hi and any").select("key")
-        now, count, _ = counted(merged(now, _slim(open_, count, nodes), "key", "left_semi"),
-                                None, SLIM_ROWS)
+        now, count, _ = rewritten(merged(now, _slim(open_, count, nodes), "key", "left_semi"),
+                                  folder, None, SLIM_ROWS)
         if not count:
             return comps
         if round_ == 2:
             left = now.select("node").distinct()
-            rows, count, _ = counted(prefix_buckets(left, sets, similarity), None, SLIM_ROWS)
+            rows, count, _ = rewritten(prefix_buckets(left, sets, similarity), folder, None,
+                                       SLIM_ROWS)
             round_ = 3
             continue
         first = F.struct("node", F.col("comp").alias("of"), "n", "at")
@@ -291,10 +305,10 @@ def linked_nodes(buckets: DataFrame, sets: DataFrame, similarity: float) -> Data
             .select(F.greatest("node", "leader").alias("node"),
                            F.least("node", "leader").alias("leader")).distinct()
         # The comparisons are the work of a round: never all of them in one task.
-        found, links, _ = counted(_similar(pairs.repartition("node"), sets, similarity).toDF("a", "b"),
-                                  None, SLIM_ROWS)
+        found, links, _ = rewritten(_similar(pairs.repartition("node"), sets, similarity).toDF("a", "b"),
+                                    folder, None, SLIM_ROWS)
         if links:
-            comps = components(comps, found, nodes)
+            comps = components(comps, found, nodes, folder)
         rows = _slim(merged(now.drop("comp"), picked.select("key", F.col("leader").alias("node")),
                             ["key", "node"], "left_anti"), count)
         round_ = max(round_, 2)

@@ -90,6 +90,29 @@ def test_large_groups_of_near_copies(spark):
     assert got == want
 
 
+def test_rounds_do_not_multiply_size_estimates(spark):
+    """A chain takes many rounds, and every round joins what the one before made."""
+    n = 64
+    labels = spark.range(n).selectExpr("id AS node", "id AS comp")
+    links = spark.range(n - 1).selectExpr("id AS a", "id + 1 AS b")
+    out = N.components(labels, links, n)
+    assert sorted(tuple(r) for r in out.select("node", "comp").collect()) == [(i, 0) for i in range(n)]
+    assert out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 64
+
+
+def test_tables_of_the_rounds_are_removed(spark, monkeypatch):
+    folders = []
+    monkeypatch.setattr(N, "scratch_path", lambda *a, f=N.scratch_path: folders.append(f(*a)) or folders[-1])
+    words = [f"w{i}" for i in range(100)]
+    rows = [(d, " ".join([*words, f"y{d}"])) for d in range(5)]
+    found = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.class_id for r in found.collect()} == {0}
+    assert folders
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_signature_agreement_is_weighted_jaccard():
     s = N.Shingles(1)
     a = s.elements(" ".join(["a"] * 10 + ["b"] * 5 + [f"c{i}" for i in range(85)]))
