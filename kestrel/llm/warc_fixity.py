@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import bucket_count, checkpointed, digest52, key_text, running_sum
-from kestrel.session import _remove_tree as remove_scratch, scratch_path
+from kestrel.session import remove_tree as remove_scratch, scratch_path
 
 FILE_BYTES = 16 << 20      # a file's records have about so many bytes
 RANGE_BYTES = 64 << 10     # a lowest node covers records that begin in so many bytes
