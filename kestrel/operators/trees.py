@@ -11,23 +11,29 @@ every value; it also merges sibling leaves that predict alike, which changes no
 Nodes are numbered as in a heap, so a row's last
 node tells its whole path, and a tree cut at any depth is a shift of that number.
 
-All rows travel along, test rows too, and land in their leaf; there is no second pass to
-predict. A node whose rows hold at most ``TASK_ENTRIES`` entries is finished with its whole
+All rows travel along, test rows too, and land in their leaf. While nodes are few, rows walk
+through all trees where they are read (``walks``), one pass a level, and no row is copied for
+each tree; beyond that, and where keys repeat, a row is a row for each tree. A node whose rows hold at most ``TASK_ENTRIES`` entries is finished with its whole
 subtree in one task, by the same rules, so deep trees don't cost a job per level.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators import walks
 from kestrel.operators.features import has_repeats
 from kestrel.session import materialize
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FEATURES = "array<struct<f:int,v:double>>"
 TASK_ENTRIES = 4_000_000   # (row, feature) entries that a task may hold
 LARGE = 65_536             # distinct values from which a feature is summed in ranges
@@ -36,9 +42,6 @@ WALK = 8                   # levels that rows walk again before their nodes are
 DRAWN = 4_000_000          # features of nodes that are broadcast
 MARGIN = 1e-9              # a split must lower the impurity by more than rounding does
 
-# Poisson(1) distribution function: how often a row is drawn into a tree's sample.
-_POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
-
 
 def sparse(array: str | Column) -> Column:
     """The array of (f, v) of a dense array of numbers."""
@@ -55,7 +58,7 @@ def _uniform(*parts: Column | str | int) -> Column:
 
 def _draws(u: Column) -> Column:
     """How often a row is in a bootstrap sample: Poisson(1) at the uniform ``u``."""
-    return sum(((u >= F.lit(float(c))).cast("int") for c in _POISSON), F.lit(0))
+    return sum(((u >= F.lit(float(c))).cast("int") for c in walks.POISSON), F.lit(0))
 
 
 def _gain(l0, l1, r0, r1):
@@ -137,10 +140,15 @@ def _finish(some: DataFrame, levels: int, kind: str) -> DataFrame:
                .groupBy("tree", "node").applyInPandas(run, f"key {kind}, tree int, node long, w int")
 
 
-def _ranges(rows: DataFrame) -> DataFrame | None:
+def _ranges(rows: DataFrame, names: DataFrame | None = None) -> DataFrame | None:
     """(f, cuts) of the features with many distinct values: about sqrt(n) / 4 ranges each, so
-    that no running sum is one task's. The cuts are written once; they only deal the work."""
-    entries = rows.select(F.explode("features").alias("e")).select("e.f", "e.v")
+    that no running sum is one task's. The cuts are written once; they only deal the work.
+    Values are only told apart where a feature has that many entries (``_features``)."""
+    often = (_features(rows) if names is None else names).where(F.col("n") > LARGE).select("f")
+    n = often.count()
+    if not n:
+        return None
+    entries = rows.select(F.explode("features").alias("e")).select("e.f", "e.v").join(_few(often, n), "f")
     large = entries.groupBy("f").agg(F.approx_count_distinct("v").alias("n")).where(F.col("n") > LARGE)
     most = large.agg(F.max("n")).first()[0]
     if most is None:
@@ -211,16 +219,23 @@ def grow(rows: DataFrame, max_depth: int, trees: int = 1, bootstrap: bool = Fals
     start = data.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")) \
         .withColumn("w", F.when(F.col("learn"), draws).otherwise(0)).withColumn("node", F.lit(1).cast("long")).drop("learn")
     in_task = task_entries if subset >= 1 else -1  # subsets of features are drawn in columns only
-    cuts = _ranges(data) if _entries(data) > in_task else None
-    names = materialize(data.select(F.explode("features.f").alias("f")).distinct()) if subset < 1 else None
+    names = _features(data) if subset < 1 else None
+    cuts = _ranges(data, names) if subset < 1 or _entries(data) > in_task else None
     node = ["tree", "node"]
-    at, steps = start, 0
+    at, steps, above = start, 0, 0
     finished, closed, n_closed, ended = [], [], 0, []
     # Rows that share a key meet at every level, so each level is written and joined by key.
     state = start.select("key", "tree", "node", "w") if has_repeats(rows, "key") else None
     if state is not None:
         at = data.join(state, "key")
-    for depth in range(max_depth + 1):
+    else:
+        walk = _Walk(data, kind, trees, bootstrap, seed)
+        finished, closed, n_closed, above, whole = _descend(walk, max_depth, subset, seed, in_task, cuts, names)
+        if whole:
+            return materialize(_ends(walk.leaves(), closed, n_closed, finished))
+        if above:
+            at = _gone_on(start, materialize(walk.leaves().select("key", "tree", "node")))
+    for depth in range(above, max_depth + 1):
         # Rows of nodes that ended above keep the lower number of their leaf.
         here = at.where(F.col("node") >= 1 << depth)
         ones = F.coalesce(F.col("w") * F.col("label"), F.lit(0))
@@ -245,9 +260,7 @@ def grow(rows: DataFrame, max_depth: int, trees: int = 1, bootstrap: bool = Fals
         else:
             chosen = learnt.select(*node, "label", "w", F.explode("features").alias("e")) \
                 .select(*node, "label", "w", "e.f", "e.v")
-        counts = chosen.groupBy(*node, "f", "v") \
-            .agg(F.sum(F.col("w") * (1 - F.col("label"))).alias("s0"), F.sum(F.col("w") * F.col("label")).alias("s1"))
-        splits = materialize(best_splits(materialize(counts), large, cuts))
+        splits = materialize(best_splits(materialize(_counts(chosen)), large, cuts))
         n_splits = splits.count()
         at, steps = _step(at, splits, n_splits), steps + 1
         if state is not None:
@@ -257,7 +270,7 @@ def grow(rows: DataFrame, max_depth: int, trees: int = 1, bootstrap: bool = Fals
             at = data.join(state, "key")
         elif n_splits > BROADCAST_ROWS or steps == WALK:  # long walks go on from where they are
             reached = materialize(at.select("key", "tree", "node"))
-            at, steps = start.drop("node").join(reached, ["key", "tree"]), 0
+            at, steps = _gone_on(start, reached), 0
     if state is not None:
         done = ended[0]
         for part in ended[1:]:
@@ -266,15 +279,101 @@ def grow(rows: DataFrame, max_depth: int, trees: int = 1, bootstrap: bool = Fals
             done = done.unionByName(part)
         done = done.drop("w").join(data.select("key", "learn"), "key")
         return materialize(done.select("key", "tree", "node", F.when(F.col("learn"), draws).otherwise(0).alias("w")))
-    done = at.select("key", "tree", "node", "w")
+    return materialize(_ends(at.select("key", "tree", "node", "w"), closed, n_closed, finished))
+
+
+def _gone_on(start: DataFrame, reached: DataFrame) -> DataFrame:
+    """The rows of ``start`` at the nodes (key, tree, node) that they have reached."""
+    there = reached.select(F.col("key").alias("_key"), F.col("tree").alias("_tree"), "node")
+    return start.drop("node").join(there, F.col("key").eqNullSafe(F.col("_key")) & (F.col("tree") == F.col("_tree"))) \
+                .drop("_key", "_tree")
+
+
+def _ends(leaves: DataFrame, closed: list[DataFrame], n_closed: int, finished: list[DataFrame]) -> DataFrame:
+    """The leaves, but for the ``closed`` nodes those of their ``finished`` subtrees."""
     if closed:
         ends = closed[0]
         for part in closed[1:]:
             ends = ends.unionByName(part)
-        done = done.join(_few(ends, n_closed), node, "left_anti").select("key", "tree", "node", "w")
+        leaves = leaves.join(_few(ends, n_closed), ["tree", "node"], "left_anti").select("key", "tree", "node", "w")
     for part in finished:
-        done = done.unionByName(part)
-    return materialize(done)
+        leaves = leaves.unionByName(part)
+    return leaves
+
+
+class _Walk:
+    """Passes over the rows, which walk through the levels found so far (``walks``)."""
+
+    def __init__(self, data: DataFrame, kind: str, trees: int, bootstrap: bool, seed: int):
+        hashes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.xxhash64(F.lit(seed), t, F.col("key")))
+        self.data = data.select("key", "label", F.coalesce("learn", F.lit(False)).alias("learn"), "features",
+                                *[hashes.alias("draws")] * bootstrap)
+        self.kind, self.levels = kind, walks.Levels(trees)
+
+    def totals(self) -> DataFrame:
+        """(tree, node, n0, n1, entries) of the lowest level."""
+        return self.data.mapInArrow(walks.totals(self.levels), walks.TOTALS) \
+            .groupBy("tree", "node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "entries")])
+
+    def counts(self, looked: DataFrame) -> DataFrame:
+        """(tree, node, f, v, s0, s1) of the lowest level for the features (at, f) that the nodes
+        in the places ``at`` look at, and with f null for all its nodes."""
+        found = looked.select("at", "f").toArrow()
+        at, f = (found.column(c).to_numpy() for c in ("at", "f"))
+        return self.data.mapInArrow(walks.counts(self.levels, at, f), walks.COUNTS) \
+            .groupBy("tree", "node", "f", "v").agg(F.sum("s0").alias("s0"), F.sum("s1").alias("s1"))
+
+    def rows_at(self, nodes: list[tuple[int, int]], learnt: bool = False) -> DataFrame:
+        """(key, tree, node, label, w, features) of the rows at nodes of the lowest level."""
+        return self.data.mapInArrow(walks.rows_at(self.levels, self.levels.slots(nodes), learnt),
+                                    f"key {self.kind}, tree int, node long, label int, w int, features {FEATURES}")
+
+    def leaves(self) -> DataFrame:
+        """(key, tree, node, w) of every row and tree."""
+        return self.data.mapInArrow(walks.leaves(self.levels), f"key {self.kind}, tree int, node long, w int")
+
+
+def _descend(walk: _Walk, max_depth: int, subset: float, seed: int, in_task: int, cuts: DataFrame | None,
+             names: DataFrame | None) -> tuple[list[DataFrame], list[DataFrame], int, int, bool]:
+    """Finds the splits of one level after the other while their nodes, and the features that
+    these look at, are few enough for every task: (finished, closed, number of closed nodes,
+    levels, whether the trees are whole)."""
+    finished, closed, n_closed, levels = [], [], 0, walk.levels
+    n_names, found = (names.count() if subset < 1 else 0), 0
+    for depth in range(max_depth):
+        n = len(levels.tree)
+        if n + found > BROADCAST_ROWS or subset < 1 and (
+                n > BROADCAST_ROWS // 100 or n_names * n * subset > DRAWN or n * subset > 4 * levels.trees):
+            return finished, closed, n_closed, depth, False
+        if subset < 1:
+            looked = _looked_at(names, list(zip(levels.tree.tolist(), levels.node.tolist())), subset, seed)
+            counted = materialize(walk.counts(looked))
+            large = counted.where("f is null and s0 > 0 and s1 > 0").select("tree", "node", F.col("s0").alias("n0"), F.col("s1").alias("n1"))
+            counted = counted.where("f is not null")
+        else:
+            mixed = materialize(walk.totals()).where("n0 > 0 and n1 > 0")
+            small, large = mixed.where(F.col("entries") <= in_task), mixed.where(F.col("entries") > in_task).drop("entries")
+            parts = [[(r.tree, r.node) for r in d.select("tree", "node").collect()] for d in (small, large)]
+            if parts[0]:
+                finished.append(materialize(_finish(walk.rows_at(parts[0]), max_depth, walk.kind)))
+                closed.append(small.select("tree", "node"))
+                n_closed += len(parts[0])
+            if not parts[1]:
+                break
+            counted = materialize(_counts(walk.rows_at(parts[1], learnt=True).select(
+                "tree", "node", "label", "w", F.explode("features").alias("e")).select("tree", "node", "label", "w", "e.f", "e.v")))
+        splits = [tuple(r) for r in best_splits(counted, F.broadcast(large), cuts).collect()]
+        if not splits:
+            break
+        levels.add(splits)
+        found += len(splits)
+    return finished, closed, n_closed, len(levels.splits), True
+
+
+def _counts(chosen: DataFrame) -> DataFrame:
+    """Class counts of the entries (tree, node, label, w, f, v)."""
+    return chosen.groupBy("tree", "node", "f", "v") \
+        .agg(F.sum(F.col("w") * (1 - F.col("label"))).alias("s0"), F.sum(F.col("w") * F.col("label")).alias("s1"))
 
 
 def _value(f: Column) -> Column:
@@ -300,10 +399,8 @@ def _chosen(learnt: DataFrame, nodes: DataFrame, n_nodes: int, names: DataFrame,
     ``DRAWN`` numbers; beyond that each row draws for its own entries."""
     node, drawn = ["tree", "node"], F.lit(subset)
     if n_nodes <= BROADCAST_ROWS // 100 and names.count() * n_nodes * subset <= DRAWN:
-        each = F.array(*[F.struct(F.lit(r.tree).alias("tree"), F.lit(r.node).cast("long").alias("node"))
-                         for r in nodes.select(*node).collect()])
-        picks = names.select("f", F.explode(each).alias("n")).select("n.*", "f") \
-            .where(_uniform(seed, "tree", "node", "f") < drawn).groupBy(*node).agg(F.collect_list("f").alias("_fs"))
+        picks = _looked_at(names, [tuple(r) for r in nodes.select(*node).collect()], subset, seed) \
+            .groupBy(*node).agg(F.collect_list("f").alias("_fs"))
         both = learnt.join(F.broadcast(materialize(picks)), node) \
             .select(*node, "label", "w", "features", F.explode_outer(F.array_intersect("features.f", "_fs")).alias("f"))
         return both.where("f is not null").select(*node, "label", "w", "f", _value(F.col("f")).alias("v"))
@@ -311,6 +408,19 @@ def _chosen(learnt: DataFrame, nodes: DataFrame, n_nodes: int, names: DataFrame,
     return learnt.select(*node, "label", "w", F.explode(chosen).alias("e")).select(*node, "label", "w", "e.f", "e.v")
 
 
+def _looked_at(names: DataFrame, nodes: list[tuple[int, int]], subset: float, seed: int) -> DataFrame:
+    """(at, tree, node, f): the features among all ``names`` that the nodes look at, and the
+    node's place in the list."""
+    each = F.array(*[F.struct(F.lit(t).alias("tree"), F.lit(n).cast("long").alias("node")) for t, n in nodes])
+    return names.select("f", F.posexplode(each).alias("at", "n")).select("at", "n.*", "f") \
+                .where(_uniform(seed, "tree", "node", "f") < F.lit(subset))
+
+
+def _features(data: DataFrame) -> DataFrame:
+    """(f, n): the features and their entries."""
+    return materialize(data.select(F.explode("features.f").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")))
+
+
 def _entries(data: DataFrame) -> int:
     return data.agg(F.sum(F.size("features"))).first()[0] or 0
 

@@ -1,5 +1,7 @@
 """Exact trees against Spark ML, against themselves grown in other ways, and on edge cases."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -93,3 +95,40 @@ def test_edge_tables(spark):
     assert T.grow(unknown, 3).count() == 40
     with pytest.raises(ValueError):
         T.grow(d, 62)
+
+
+def sparse_table(spark, n=200, features=400, seed=6):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        f = rng.choice(features, rng.integers(0, 40), replace=False)
+        y = int((3 in f) ^ (rng.random() < 0.2))
+        rows.append((i if i else None, y if i % 11 else None, i % 4 != 0, [(int(x), float(rng.integers(1, 4))) for x in f]))
+    rows[1] = rows[1][:3] + ([(7, 1.0), (7, 3.0), (2, 1.0)],)  # a feature twice: the first value counts
+    rows[2] = rows[2][:3] + (None,)
+    return spark.createDataFrame(rows, f"key long, label int, train boolean, features {T.FEATURES}").repartition(3, "key")
+
+
+def test_forest_walks_through_all_trees_in_one_pass(spark, monkeypatch):
+    d = sparse_table(spark).cache()
+    options = dict(trees=3, bootstrap=True, subset=0.1, seed=4)
+    copies, write = [], T.materialize  # plans in which each row is copied for each tree
+
+    def written(df):
+        copies.extend(re.findall(r"Generate explode\(.*\[tree#", df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df)
+
+    monkeypatch.setattr(T, "materialize", written)
+    monkeypatch.setattr(T.walks, "CELLS", 64)  # chunks of 16 rows
+    got = sorted(map(str, T.grow(d, 2, **options).collect()))
+    assert len(got) == 600 and not copies
+    monkeypatch.setattr(T, "BROADCAST_ROWS", 400)  # the second level goes on row by row
+    assert sorted(map(str, T.grow(d, 2, **options).collect())) == got
+    assert copies
+
+
+def test_levels_of_one_tree_are_passes_too(spark, monkeypatch):
+    d = sparse_table(spark, seed=7).cache()
+    got = sorted(map(str, T.grow(d, 3, task_entries=300).collect()))
+    monkeypatch.setattr(T, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, T.grow(d, 3, task_entries=300).collect())) == got
