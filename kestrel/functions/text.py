@@ -8,14 +8,24 @@ Porter-stem every word, then drop stop words - after stemming, so stems such as
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions import porter_sql
+from kestrel.functions import porter, porter_sql
 from kestrel.functions.stopwords import ENGLISH_STOP_WORDS
 
+KNOWN_WORDS = 1 << 18  # words whose stems a task keeps
+
+for _module in (sys.modules[__name__], porter):  # executors need no copy of the package
+    cloudpickle.register_pickle_by_value(_module)
+
 
 def text_lower(col: str | Column) -> Column:
     """T1."""
@@ -78,6 +88,36 @@ def explode_tokens(docs: DataFrame, key: str, tokens_col: str) -> DataFrame:
     return docs.select(key, F.posexplode_outer(tokens_col).alias("pos", "token"))
 
 
+def stemmed_by_dictionary(column: str, times: int = 1):
+    """A function for mapInArrow: batches with the words of an array column replaced by stems."""
+    one = porter.stem.__wrapped__  # its cache can't be sent to tasks
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {}
+        for batch in batches:
+            at = batch.schema.get_field_index(column)
+            arrays = batch.column(at)
+            words = arrays.flatten().dictionary_encode()
+            stems = []
+            for word in words.dictionary.to_pylist():
+                s = known.get(word)
+                if s is None and word is not None:
+                    s = word
+                    for _ in range(times):
+                        s = one(s)
+                    if len(known) >= KNOWN_WORDS:
+                        known.clear()
+                    known[word] = s
+                stems.append(s)
+            values = pa.array(stems, pa.string()).take(words.indices)
+            sizes = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            stemmed = pa.ListArray.from_arrays(offsets, values, mask=arrays.is_null())
+            yield pa.RecordBatch.from_arrays(
+                [stemmed if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+    return run
+
+
 def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens",
                 out: str = "stems", times: int = 1, strategy: str = "inline",
                 keep: Sequence[str] = ()) -> DataFrame:
@@ -85,18 +125,23 @@ def stem_tokens(docs: DataFrame, key: str = "doc_id", tokens_col: str = "tokens"
 
     ``inline`` (default): the arrays are stemmed where they are; no token crosses the
     network.
+    ``dictionary``: the same arrays, but a task stems a distinct word once and looks it up
+    after that (``porter.stem``, at most ``KNOWN_WORDS`` words kept); nothing is shuffled.
     ``vocabulary``: tokens -> (key, pos, token) -> join the stemmed distinct vocabulary
     -> rebuild each array in position order. A distinct word is stemmed once, but every
     token is shuffled twice (join, regroup).
-    ``keep`` names columns carried through unchanged (inline strategy only).
+    ``keep`` names columns carried through unchanged (not with ``vocabulary``).
     """
+    if strategy == "dictionary":
+        d = docs.select(key, *keep, F.col(tokens_col).alias(out))
+        return d.mapInArrow(stemmed_by_dictionary(out, times), d.schema)
     if strategy == "inline":
         d = docs.select(key, *keep, F.col(tokens_col).alias("_stems"))
         for _ in range(times):
             d = d.withColumn("_stems", porter_stems("_stems"))
         return d.select(key, *keep, F.col("_stems").alias(out))
     if keep:
-        raise ValueError("keep is only supported by the inline strategy")
+        raise ValueError("keep is not supported by the vocabulary strategy")
     exploded = explode_tokens(docs, key, tokens_col)
     vocab = stem_vocabulary(exploded.where(F.col("token").isNotNull()), "token", times)
     stemmed = exploded.join(vocab, exploded["token"] == vocab["word"], "left")

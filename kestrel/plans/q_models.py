@@ -52,7 +52,7 @@ def clean_labelled_tokens(spark, sf_dir):
     """(doc_id, label, split, clean_tokens): A3 -> T8 -> R1, checkpointed once; every
     feature width and every model starts from it."""
     docs = labelled_docs(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
-    tab = X.clean_text(docs, keep=["label"])
+    tab = X.clean_text(docs, strategy="dictionary", keep=["label"])
     return M.materialize(random_split(tab, "doc_id", 0.8, SPLIT_SEED))
 
 

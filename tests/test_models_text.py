@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from kestrel.functions import text as X
 from kestrel.operators import features as V
 from kestrel.operators import models as M
 from kestrel.operators import trees as TR
@@ -78,3 +79,20 @@ def test_levels_of_trees_shuffle_no_rows_by_key(spark, monkeypatch):
     monkeypatch.setattr(TR, "WALK", 1)   # written at every level
     monkeypatch.setattr(TR, "DRAWN", 0)  # features drawn row by row
     assert sorted(TR.grow(d, 3, **options).collect()) == leaves
+
+
+def test_a_task_stems_a_word_once(spark, tmp_dir, monkeypatch):
+    rows = [(1, ["caresses", "ponies", "ponies"], 1), (2, None, 0), (3, [], 1), (4, ["ponies", "yyyying", "a", "caresses"], None)]
+    d = spark.createDataFrame(rows, "doc_id long, tokens array<string>, label int")
+    for times in (1, 2):
+        want = sorted(X.stem_tokens(d, times=times, keep=["label"]).collect())
+        assert sorted(X.stem_tokens(d, times=times, strategy="dictionary", keep=["label"]).collect()) == want
+    monkeypatch.setattr(X, "KNOWN_WORDS", 1)  # forgets words that it needs again
+    assert sorted(X.stem_tokens(d, times=2, strategy="dictionary", keep=["label"]).collect()) == want
+    spark.createDataFrame([(1, "Caresses, ponies"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
+    plans, write = [], Q.M.materialize
+    monkeypatch.setattr(Q.M, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    got = Q.clean_labelled_tokens(spark, tmp_dir).select("doc_id", "clean_tokens").collect()
+    assert sorted(map(tuple, got), key=str) == [(1, ["caress", "poni"]), (2, None)]
+    assert "MapInArrow" in plans[-1]  # no rule of the stemmer runs for each token
